@@ -60,3 +60,242 @@ def classify_structured(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     out = J.classify_simple(part, "p_name", "p_partkey", M.KeywordBackend())
     return out.select("p_partkey", "p_name", J.OUT_LABEL, J.OUT_SCORE, J.OUT_REASON, "status")
+
+
+# ---------------------------------------------------------------------------
+# Sources, sinks, unions
+# ---------------------------------------------------------------------------
+
+from ..session import scratch_path  # noqa: E402
+from ..sources import readers as R  # noqa: E402
+
+
+@register("scan_parquet", sql="SELECT * FROM nation")
+def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.load_table(spark, os.path.join(sf_dir, "nation.parquet"))
+
+
+def _roundtrip(spark: SparkSession, df: DataFrame, suffix: str) -> DataFrame:
+    path = scratch_path(spark, f"roundtrip.{suffix}") + f".{suffix}"
+    R.write_table(df, path)
+    return R.load_table(spark, path, schema=df.schema)
+
+
+@register("scan_csv_roundtrip", sql="SELECT * FROM part")
+def scan_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _roundtrip(spark, table(spark, sf_dir, "part"), "csv")
+
+
+@register("scan_json_roundtrip", sql="SELECT * FROM customer")
+def scan_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _roundtrip(spark, table(spark, sf_dir, "customer"), "json")
+
+
+@register("sink_roundtrip", sql="SELECT * FROM lineitem")
+def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _roundtrip(spark, table(spark, sf_dir, "lineitem"), "parquet")
+
+
+_CUST_NULLS = "NULL::BIGINT AS c_custkey, NULL::VARCHAR AS c_name, NULL::INTEGER AS c_nationkey, NULL::DOUBLE AS c_acctbal, NULL::VARCHAR AS c_mktsegment"
+_SUPP_NULLS = "NULL::BIGINT AS s_suppkey, NULL::VARCHAR AS s_name, NULL::INTEGER AS s_nationkey, NULL::DOUBLE AS s_acctbal"
+
+
+@register(
+    "union_named_inputs",
+    sql=f"""
+SELECT *, {_SUPP_NULLS}, 'customer' AS source_name, 0 AS source_ordinal FROM customer
+UNION ALL
+SELECT {_CUST_NULLS}, *, 'supplier' AS source_name, 1 AS source_ordinal FROM supplier""",
+)
+def union_named_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inputs = {n: table(spark, sf_dir, n) for n in ("customer", "supplier", "nation")}
+    return R.union_named_inputs(inputs, exclude=["nation"])
+
+
+@register(
+    "align_columns",
+    sql=f"""
+SELECT *, {_CUST_NULLS}, 'supplier' AS side FROM supplier
+UNION ALL
+SELECT {_SUPP_NULLS}, *, 'customer' AS side FROM customer""",
+)
+def align_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    supp, cust = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "customer")
+    a = R.align_columns(supp, cust).withColumn("side", F.lit("supplier"))
+    b = R.align_columns(cust, supp).withColumn("side", F.lit("customer"))
+    return a.unionByName(b)
+
+
+# ---------------------------------------------------------------------------
+# Positions, sampling, progress
+# ---------------------------------------------------------------------------
+
+from ..operators import metrics as MT  # noqa: E402
+from ..operators.ordering import every_nth, row_index  # noqa: E402
+
+
+@register(
+    "row_index",
+    sql="""SELECT o_orderkey, o_orderstatus,
+       row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1 AS row_id
+FROM orders""",
+)
+def q_row_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    return row_index(orders, ["o_orderkey"], ["o_orderstatus"])
+
+
+@register(
+    "sample_every_n",
+    sql="""SELECT * FROM (
+  SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_id FROM orders)
+WHERE (row_id + 1) % 25 = 0""",
+)
+def sample_every_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return every_nth(row_index(orders, ["o_orderkey"]), "row_id", 25)
+
+
+@register(
+    "progress_rows",
+    sql="""SELECT o_orderkey, rows_done, 'Row: ' || CAST(rows_done AS VARCHAR) AS message FROM (
+  SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rows_done FROM orders)
+WHERE rows_done % 500 = 0""",
+)
+def progress_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return MT.progress_rows(table(spark, sf_dir, "orders"), ["o_orderkey"], 500)
+
+
+# ---------------------------------------------------------------------------
+# Answer text functions on answers made from whole documents
+# ---------------------------------------------------------------------------
+
+from ..functions import answers as A  # noqa: E402
+from ..functions import text as X  # noqa: E402
+
+LABELS = ("materialeindkøb", "tjenesteydelse")
+
+
+def _made_answer() -> "F.Column":
+    t, m = F.col("text"), F.col("doc_id") % 4
+    return (
+        F.when(m == 0, F.concat(F.lit("<think>"), t, F.lit(" tjenesteydelse</think>\nSvar: **Materialeindkøb**")))
+        .when(m == 1, F.concat(t, F.lit("\nLabel: TJENESTEYDELSE.")))
+        .when(m == 2, F.concat(F.lit("<think>overvejer materialeindkøb</think>"), t))
+        .otherwise(t)
+    )
+
+
+_MADE_ANSWER_SQL = (
+    "CASE doc_id % 4 "
+    f"WHEN 0 THEN '<think>' || text || {O.lit(' tjenesteydelse</think>' + chr(10) + 'Svar: **Materialeindkøb**')} "
+    f"WHEN 1 THEN text || {O.lit(chr(10) + 'Label: TJENESTEYDELSE.')} "
+    "WHEN 2 THEN '<think>overvejer materialeindkøb</think>' || text "
+    "ELSE text END"
+)
+_ANSWERS_SQL = f"(SELECT doc_id, {_MADE_ANSWER_SQL} AS answer FROM documents)"
+
+
+def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", _made_answer().alias("answer"))
+
+
+@register(
+    "clean_word",
+    sql=f"""SELECT doc_id,
+  array_to_string(list_transform({O.words('answer')}, lambda w: {O.clean_word('w')}), ' ') AS cleaned
+FROM {_ANSWERS_SQL}""",
+)
+def q_clean_word(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = _answers(spark, sf_dir)
+    return a.select("doc_id", F.array_join(F.transform(X.words("answer"), X.clean_word), " ").alias("cleaned"))
+
+
+@register(
+    "strip_thinking",
+    sql=f"SELECT doc_id, {O.strip_thinking('answer')} AS stripped FROM {_ANSWERS_SQL}",
+)
+def q_strip_thinking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _answers(spark, sf_dir).select("doc_id", X.strip_thinking("answer").alias("stripped"))
+
+
+@register(
+    "word_counts",
+    sql=f"""SELECT doc_id, {O.word_count('answer')} AS total_words,
+  {O.word_count('answer')} - {O.word_count(O.strip_thinking('answer'))} AS thinking_words
+FROM {_ANSWERS_SQL}""",
+)
+def q_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = _answers(spark, sf_dir)
+    return a.select("doc_id", X.word_count("answer").alias("total_words"), X.thinking_word_count("answer").alias("thinking_words"))
+
+
+def _label_sql(text: str) -> str:
+    whens = " ".join(f"WHEN {O.lit(X.clean_word_py(l))} THEN {O.lit(l)}" for l in LABELS)
+    return f"list_filter(list_transform({O.words(text)}, lambda w: CASE {O.clean_word('w')} {whens} END), lambda x: x IS NOT NULL)[1]"
+
+
+@register(
+    "extract_label",
+    sql=f"""SELECT doc_id, {_label_sql(O.strip_thinking('answer'))} AS label,
+  {_label_sql('answer')} AS label_with_thinking
+FROM {_ANSWERS_SQL}""",
+)
+def q_extract_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = _answers(spark, sf_dir)
+    return a.select(
+        "doc_id",
+        X.extract_label("answer", LABELS, remove_thinking=True).alias("label"),
+        X.extract_label("answer", LABELS, remove_thinking=False).alias("label_with_thinking"),
+    )
+
+
+# ---------------------------------------------------------------------------
+# Labels, scores, JSON answers
+# ---------------------------------------------------------------------------
+
+_RAW_LABEL_SQL = """CASE p_partkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'Materialeindkøb'
+  WHEN 3 THEN 'automatisk tjeneste' WHEN 4 THEN 'TJENESTEYDELSE' WHEN 5 THEN 'MAT' ELSE p_name END"""
+
+
+def _raw_label() -> "F.Column":
+    m = F.col("p_partkey") % 7
+    return (
+        F.when(m == 0, F.lit(None).cast("string"))
+        .when(m == 1, F.lit(""))
+        .when(m == 2, F.lit("Materialeindkøb"))
+        .when(m == 3, F.lit("automatisk tjeneste"))
+        .when(m == 4, F.lit("TJENESTEYDELSE"))
+        .when(m == 5, F.lit("MAT"))
+        .otherwise(F.col("p_name"))
+    )
+
+
+@register(
+    "normalise_label",
+    sql=f"SELECT p_partkey, raw_label, {O.normalise('raw_label')} AS label FROM (SELECT p_partkey, {_RAW_LABEL_SQL} AS raw_label FROM part)",
+)
+def q_normalise_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part").select("p_partkey", _raw_label().alias("raw_label"))
+    return p.select("p_partkey", "raw_label", A.normalise_label("raw_label").alias("label"))
+
+
+_EVENT_TEXT_SQL = "CASE WHEN event_id % 7 = 0 THEN '' WHEN event_id % 5 = 0 THEN substr(props, 1, length(props) - 2) ELSE props END"
+
+
+@register(
+    "parse_answer",
+    sql=f"""SELECT event_id,
+  CASE WHEN status = 'ok' AND kd = floor(kd) THEN CAST(kd AS INTEGER) END AS k, status
+FROM (SELECT event_id,
+        CASE WHEN txt IS NULL THEN 'missing' WHEN trim(txt) = '' THEN 'empty'
+             WHEN json_valid(txt) AND json_type(txt) = 'OBJECT' THEN 'ok' ELSE 'invalid' END AS status,
+        CASE WHEN json_valid(txt) THEN TRY_CAST(json_extract_string(txt, '$.k') AS DOUBLE) END AS kd
+      FROM (SELECT event_id, {_EVENT_TEXT_SQL} AS txt FROM events))""",
+)
+def q_parse_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    eid, props = F.col("event_id"), F.col("props")
+    txt = F.when(eid % 7 == 0, F.lit("")).when(eid % 5 == 0, F.expr("substr(props, 1, length(props) - 2)")).otherwise(props)
+    parsed = ev.select("event_id", A.parse_answer(txt, A.AnswerSchema.of(("k", "int"))).alias("a"))
+    return parsed.select("event_id", F.col("a.k").alias("k"), F.col("a.status").alias("status"))

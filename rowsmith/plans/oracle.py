@@ -13,7 +13,7 @@ from ..functions.answers import DEFAULT_LABEL_FALLBACK, DEFAULT_LABEL_RULES
 from ..operators.model import DEFAULT_KEYWORD_RULES, DEFAULT_NO_RULE_LABEL
 
 # DuckDB twin of Python str.split() white space on these tables.
-SQL_WS = r"[\s\x1c-\x1f\x{85}\x{a0}]+"
+SQL_WS = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 
 
 def lit(text: str) -> str:
@@ -55,7 +55,7 @@ def normalise(label: str) -> str:
 
 
 def words(text: str) -> str:
-    return f"list_filter(regexp_split_to_array({text}, '{SQL_WS}'), x -> x <> '')"
+    return f"list_filter(regexp_split_to_array({text}, '{SQL_WS}'), lambda x: x <> '')"
 
 
 def word_count(text: str) -> str:
