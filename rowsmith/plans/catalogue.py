@@ -299,3 +299,250 @@ def q_parse_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
     txt = F.when(eid % 7 == 0, F.lit("")).when(eid % 5 == 0, F.expr("substr(props, 1, length(props) - 2)")).otherwise(props)
     parsed = ev.select("event_id", A.parse_answer(txt, A.AnswerSchema.of(("k", "int"))).alias("a"))
     return parsed.select("event_id", F.col("a.k").alias("k"), F.col("a.status").alias("status"))
+
+
+# ---------------------------------------------------------------------------
+# Nested answers and pages
+# ---------------------------------------------------------------------------
+
+from ..functions import prompts as P  # noqa: E402
+from ..operators import explode as EX  # noqa: E402
+from ..operators.context import invoice_context, ordered_groups, running_history  # noqa: E402
+
+_LINE_TIES = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+_LINE_ORDER_SQL = "l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"
+
+
+@register(
+    "nested_pick",
+    sql=f"""SELECT l_orderkey, len(books) AS n_books, books[2].author AS second_author,
+  CAST(books[2].year AS INTEGER) AS second_year
+FROM (SELECT l_orderkey,
+        list({{'title': 'del ' || CAST(l_partkey AS VARCHAR), 'author': 'lev ' || CAST(l_suppkey AS VARCHAR),
+              'year': l_linenumber, 'stars': l_quantity}} ORDER BY {_LINE_ORDER_SQL}) AS books
+      FROM lineitem GROUP BY l_orderkey)""",
+)
+def nested_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    fields = {
+        "title": F.concat(F.lit("del "), F.col("l_partkey").cast("string")),
+        "author": F.concat(F.lit("lev "), F.col("l_suppkey").cast("string")),
+        "year": F.col("l_linenumber"),
+        "stars": F.col("l_quantity"),
+    }
+    books = ordered_groups(li, ["l_orderkey"], "l_linenumber", fields, _LINE_TIES, list_col="books")
+    # The answer travels as JSON text, as a model would send it, and is parsed back.
+    as_text = books.select("l_orderkey", F.to_json(F.struct("books")).alias("response"))
+    parsed = as_text.select("l_orderkey", F.from_json("response", A.BOOKS_DDL, A.JSON_OPTIONS).alias("a"))
+    second = A.pick("a.books", 2)
+    return parsed.select(
+        "l_orderkey",
+        F.size("a.books").alias("n_books"),
+        second["author"].alias("second_author"),
+        A.whole_int(second["year"]).alias("second_year"),
+    )
+
+
+def _invoice_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order, an invoice answer as JSON text (what the reader's model returns)."""
+    li = table(spark, sf_dir, "lineitem")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    fields = {
+        "fakturalinje_beskrivelse": F.concat(F.lit("del "), F.col("l_partkey").cast("string")),
+        "antal": F.col("l_quantity"),
+        "linje_beløb": F.col("l_extendedprice"),
+    }
+    lines = ordered_groups(li, ["l_orderkey"], "l_linenumber", fields, _LINE_TIES, list_col="fakturalinjer")
+    inv = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
+    doc = F.struct(
+        F.concat(F.lit("kunde "), F.col("o_custkey").cast("string")).alias("kreditor"),
+        F.col("fakturalinjer"),
+        F.least(F.size("fakturalinjer"), F.lit(10)).alias("secure"),
+    )
+    return inv.select("l_orderkey", F.to_json(doc).alias("response"))
+
+
+@register(
+    "explode_answer",
+    sql=f"""SELECT l_orderkey, 'kunde ' || CAST(o_custkey AS VARCHAR) AS answer_kreditor,
+  CAST(least(count(*) OVER (PARTITION BY l_orderkey), 10) AS INTEGER) AS answer_secure,
+  'del ' || CAST(l_partkey AS VARCHAR) AS fakturalinje_beskrivelse,
+  CAST(l_quantity AS INTEGER) AS antal, l_extendedprice AS "linje_beløb",
+  CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER_SQL}) AS INTEGER) AS linjenummer
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+)
+def explode_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ans = _invoice_answers(spark, sf_dir)
+    parsed = ans.select("l_orderkey", F.from_json("response", A.INVOICE_DDL, A.JSON_OPTIONS).alias("answer"))
+    parsed = parsed.withColumn("answer", F.col("answer").withField("secure", A.whole_int(F.col("answer.secure"))))
+    out = EX.explode_answer(parsed, "answer", "fakturalinjer", keep=["l_orderkey"], scalar_fields=["kreditor", "secure"])
+    return out.withColumn("antal", A.whole_int(F.col("antal")))
+
+
+@register(
+    "page_explode",
+    sql="""SELECT doc_id, CAST(page_no AS INTEGER) AS page_no,
+  CAST(doc_id AS VARCHAR) || '_' || CAST(page_no AS VARCHAR) || '.png' AS page_name, page AS content
+FROM (SELECT doc_id, unnest(range(1, len(p) + 1)) AS page_no, unnest(p) AS page
+      FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents))""",
+)
+def page_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    pages = EX.page_explode(docs, "doc_id", EX.split_pages("text"))
+    return pages.withColumn("content", F.decode("content", "UTF-8"))
+
+
+# ---------------------------------------------------------------------------
+# Context and prompts
+# ---------------------------------------------------------------------------
+
+_CTX_TIES = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+
+
+def _invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"
+    )
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    j = li.join(orders, li["l_orderkey"] == orders["o_orderkey"]).join(cust, F.col("o_custkey") == F.col("c_custkey"))
+    j = j.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    return j.select(
+        "c_name", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "p_name", "l_quantity", "l_extendedprice",
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+    )
+
+
+_INVOICE_LINES_SQL = """(SELECT c_name, l_orderkey, l_linenumber, l_partkey, l_suppkey, p_name, l_quantity,
+   l_extendedprice, l_extendedprice / l_quantity AS unit_price
+ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+   JOIN part ON l_partkey = p_partkey)"""
+
+
+@register(
+    "invoice_context",
+    sql=f"""SELECT c_name, l_orderkey, count(*) AS n_lines,
+  string_agg(p_name, ' | ' ORDER BY {_LINE_ORDER_SQL}, p_name) AS descriptions
+FROM {_INVOICE_LINES_SQL} GROUP BY c_name, l_orderkey""",
+)
+def q_invoice_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _invoice_lines(spark, sf_dir)
+    g = ordered_groups(lines, ["c_name", "l_orderkey"], "l_linenumber", {"d": "p_name"}, _CTX_TIES, list_col="ctx")
+    return g.select(
+        "c_name", "l_orderkey", F.size("ctx").cast("long").alias("n_lines"),
+        F.array_join(F.transform("ctx", lambda x: x["d"]), " | ").alias("descriptions"),
+    )
+
+
+@register(
+    "invoice_context_composite",
+    sql=f"""SELECT l_suppkey, l_orderkey % 50 AS order_group, count(*) AS n_lines,
+  string_agg(CAST(l_orderkey AS VARCHAR) || ':' || p_name, ' | ' ORDER BY l_linenumber, l_orderkey, l_partkey, l_quantity, l_extendedprice) AS descriptions
+FROM {_INVOICE_LINES_SQL} GROUP BY l_suppkey, l_orderkey % 50""",
+)
+def invoice_context_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _invoice_lines(spark, sf_dir).withColumn("order_group", F.col("l_orderkey") % 50)
+    g = ordered_groups(
+        lines, ["l_suppkey", "order_group"], "l_linenumber",
+        {"d": F.concat(F.col("l_orderkey").cast("string"), F.lit(":"), F.col("p_name"))},
+        ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"], list_col="ctx",
+    )
+    return g.select(
+        "l_suppkey", "order_group", F.size("ctx").cast("long").alias("n_lines"),
+        F.array_join(F.transform("ctx", lambda x: x["d"]), " | ").alias("descriptions"),
+    )
+
+
+_STATIC_TEMPLATE = "Du er en hjælpsom assistent for en boligadministration.\nSvar kort.\n"
+
+
+@register("render_static", sql=f"SELECT p_partkey, {O.lit(_STATIC_TEMPLATE)} AS prompt FROM part")
+def render_static(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select("p_partkey", P.static_prompt(_STATIC_TEMPLATE).alias("prompt"))
+
+
+_BRACE_TEMPLATE = "{{JSON}} vare {navn} af mærket {maerke} (type {type}), størrelse {str}; pris {pris}.\n"
+
+
+@register(
+    "render_prompt",
+    sql=f"""SELECT p_partkey, {O.render(_BRACE_TEMPLATE, {
+        'navn': 'p_name', 'maerke': "'{' || p_brand || '}'", 'type': 'CASE WHEN p_size % 4 = 0 THEN NULL ELSE p_type END',
+        'str': 'p_size', 'pris': 'p_retailprice'})} AS prompt FROM part""",
+)
+def render_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    variables = {
+        "navn": "p_name",
+        "maerke": F.concat(F.lit("{"), F.col("p_brand"), F.lit("}")),  # braces in data stay as they are
+        "type": F.when(F.col("p_size") % 4 != 0, F.col("p_type")),  # null prints as None
+        "str": "p_size",
+        "pris": "p_retailprice",
+    }
+    return part.select("p_partkey", P.render(_BRACE_TEMPLATE, variables).alias("prompt"))
+
+
+@register(
+    "render_prompt_context",
+    sql=f"""WITH g AS (
+  SELECT c_name, l_orderkey,
+    to_json(list({{'fakturalinje': p_name, 'antal': l_quantity, 'stykpris': unit_price}}
+                 ORDER BY {_LINE_ORDER_SQL}, p_name, l_quantity, unit_price)) AS faktura
+  FROM {_INVOICE_LINES_SQL} GROUP BY c_name, l_orderkey)
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity,
+  {O.render(J.CONTEXT_TEMPLATE, {'kreditor': 'l.c_name', 'faktura': 'g.faktura', 'fakturalinje': 'l.p_name'})} AS prompt
+FROM {_INVOICE_LINES_SQL} l JOIN g ON l.c_name = g.c_name AND l.l_orderkey = g.l_orderkey""",
+)
+def render_prompt_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _invoice_lines(spark, sf_dir)
+    ctx = invoice_context(
+        lines, ["c_name", "l_orderkey"], "l_linenumber",
+        {"fakturalinje": "p_name", "antal": "l_quantity", "stykpris": "unit_price"},
+        tie_breakers=_CTX_TIES, as_json=True, context_col="faktura",
+    )
+    prompt = P.render(J.CONTEXT_TEMPLATE, {"kreditor": "c_name", "faktura": "faktura", "fakturalinje": "p_name"})
+    return ctx.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", prompt.alias("prompt"))
+
+
+@register(
+    "chat_context",
+    sql="""SELECT conv_id, turn, n_user_msgs, history FROM (
+  SELECT conv_id, turn, role,
+    count(CASE WHEN role = 'user' THEN 1 END) OVER w AS n_user_msgs,
+    array_to_string(list(CASE WHEN role = 'user' THEN text END) OVER w, chr(10)) AS history
+  FROM conversations
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+WHERE role = 'user'""",
+)
+def chat_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = table(spark, sf_dir, "conversations")
+    is_user = F.col("role") == "user"
+    h = running_history(conv, ["conv_id"], ["turn"], "text", include=is_user)
+    return h.filter(is_user).select(
+        "conv_id", "turn", F.size("history").cast("long").alias("n_user_msgs"),
+        F.array_join("history", "\n").alias("history"),
+    )
+
+
+CHAT_BATCH = 25
+CHAT_SYSTEM = "Klassificér hver fakturalinje som materialeindkøb eller tjenesteydelse."
+
+
+@register(
+    "chat_batches",
+    sql=f"""SELECT p_partkey, CAST(idx // {CHAT_BATCH} AS BIGINT) AS chat_no, CAST(idx % {CHAT_BATCH} AS BIGINT) AS chat_pos,
+  {O.lit(CHAT_SYSTEM)} || chr(10) || array_to_string(list('Fakturalinje: ' || p_name) OVER (
+    PARTITION BY idx // {CHAT_BATCH} ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), chr(10)) AS chat
+FROM (SELECT p_partkey, p_name, row_number() OVER (ORDER BY p_partkey) - 1 AS idx FROM part)""",
+)
+def chat_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    idx = row_index(part, ["p_partkey"], name="idx")
+    idx = idx.withColumn("chat_no", F.floor(F.col("idx") / CHAT_BATCH).cast("long")).withColumn(
+        "chat_pos", (F.col("idx") % CHAT_BATCH).cast("long")
+    )
+    msg = F.concat(F.lit("Fakturalinje: "), F.col("p_name"))
+    h = running_history(idx, ["chat_no"], ["idx"], msg, name="msgs")
+    chat = F.concat(F.lit(CHAT_SYSTEM + "\n"), F.array_join("msgs", "\n"))
+    return h.select("p_partkey", "chat_no", "chat_pos", chat.alias("chat"))
