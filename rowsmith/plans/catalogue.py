@@ -546,3 +546,170 @@ def chat_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = running_history(idx, ["chat_no"], ["idx"], msg, name="msgs")
     chat = F.concat(F.lit(CHAT_SYSTEM + "\n"), F.array_join("msgs", "\n"))
     return h.select("p_partkey", "chat_no", "chat_pos", chat.alias("chat"))
+
+
+# ---------------------------------------------------------------------------
+# The model stage around the simple job
+# ---------------------------------------------------------------------------
+
+
+def _part_nulled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    return p.withColumn("p_name", F.when(F.col("p_partkey") % 9 != 0, F.col("p_name")))
+
+
+@register(
+    "null_guard",
+    sql=f"""SELECT p_partkey, p_name,
+  CASE WHEN p_name IS NULL THEN NULL ELSE klassificering END AS klassificering,
+  CASE WHEN p_name IS NULL THEN NULL ELSE score END AS score,
+  CASE WHEN p_name IS NULL THEN 'missing' ELSE status END AS status
+FROM ({_simple_sql("(SELECT p_partkey, CASE WHEN p_partkey % 9 <> 0 THEN p_name END AS p_name FROM part)")})""",
+)
+def null_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = J.classify_simple(_part_nulled(spark, sf_dir), "p_name", "p_partkey", M.KeywordBackend())
+    return out.select("p_partkey", "p_name", J.OUT_LABEL, J.OUT_SCORE, "status")
+
+
+@register(
+    "score_bands",
+    sql=f"""SELECT p_partkey, score,
+  CASE WHEN score < 1 OR score > 10 THEN 'out_of_range' WHEN score >= 8 THEN 'clear'
+       WHEN score >= 3 THEN 'unsure' ELSE 'hard' END AS band,
+  score BETWEEN 1 AND 10 AS in_range
+FROM ({_simple_sql("part")})""",
+)
+def score_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    out = J.classify_simple(part, "p_name", "p_partkey", M.KeywordBackend())
+    return out.select(
+        "p_partkey", J.OUT_SCORE, A.score_band(J.OUT_SCORE).alias("band"), A.score_in_range(J.OUT_SCORE).alias("in_range")
+    )
+
+
+FAULTY = M.FaultyBackend(raise_every=97)
+
+
+def _fault_case(k: str = "p_partkey") -> str:
+    f = FAULTY
+    return (f"CASE WHEN {k} % {f.raise_every} = 0 THEN 'raise' WHEN {k} % {f.none_every} = 0 THEN 'none' "
+            f"WHEN {k} % {f.bad_every} = 0 THEN 'bad' WHEN {k} % {f.empty_every} = 0 THEN 'empty' "
+            f"WHEN {k} % {f.cut_every} = 0 THEN 'cut' ELSE 'ok' END")
+
+
+@register(
+    "error_isolation",
+    sql=f"""SELECT p_partkey,
+  CASE WHEN fault = 'ok' THEN klassificering END AS klassificering,
+  CASE WHEN fault = 'ok' THEN score END AS score,
+  CASE fault WHEN 'ok' THEN 'ok' WHEN 'raise' THEN 'missing' WHEN 'none' THEN 'missing'
+             WHEN 'empty' THEN 'empty' ELSE 'invalid' END AS status,
+  fault <> 'ok' AS failed
+FROM (SELECT *, {_fault_case()} AS fault FROM ({_simple_sql("part")}))""",
+)
+def error_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    out = J.classify_simple(part, "p_name", "p_partkey", FAULTY)
+    return out.select("p_partkey", J.OUT_LABEL, J.OUT_SCORE, "status", F.col("error").isNotNull().alias("failed"))
+
+
+@register(
+    "response_stats",
+    sql=f"""SELECT stop_reason, count(*) AS n_rows, count(CASE WHEN fault NOT IN ('raise', 'none') THEN 1 END) AS n_answers,
+  count(CASE WHEN fault = 'raise' THEN 1 END) AS n_errors, CAST(sum(n_tokens) AS BIGINT) AS sum_tokens,
+  CAST(max(n_tokens) AS INTEGER) AS max_tokens
+FROM (SELECT fault,
+        CASE fault WHEN 'raise' THEN NULL WHEN 'none' THEN 'failed' ELSE 'eosFound' END AS stop_reason,
+        CASE WHEN fault = 'raise' THEN NULL ELSE 7 + length(lab) - length(replace(lab, ' ', '')) END AS n_tokens
+      FROM (SELECT *, {_fault_case()} AS fault, {O.keyword_label('needle')} AS lab
+            FROM (SELECT *, {O.keyword_needle('prompt')} AS needle
+                  FROM (SELECT p_partkey, {_SIMPLE_PROMPT_SQL} AS prompt FROM part))))
+GROUP BY stop_reason""",
+)
+def response_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    prompt = P.render(J.SIMPLE_TEMPLATE, {"key": "p_partkey", "fakturalinje": "p_name"})
+    staged = M.call_model(part.select("p_partkey", prompt.alias("prompt")), FAULTY)
+    return MT.response_stats(staged)
+
+
+# ---------------------------------------------------------------------------
+# M1, M8, M4, M3: free text, documents, two-stage chains, document reading
+# ---------------------------------------------------------------------------
+
+_FREETEXT_PROMPT_SQL = O.render(J.FREETEXT_TEMPLATE, {"fakturalinje": "text"})
+
+
+def _prose_sql(prompt: str) -> str:
+    lab = O.keyword_label(O.keyword_needle(prompt))
+    return (f"('<think>' || chr(10) || {prompt} || chr(10) || '</think>' || chr(10) || 'Svaret er **' "
+            f"|| {lab} || '**.')")
+
+
+@register(
+    "classify_freetext",
+    sql=f"""SELECT doc_id, {_label_sql(O.strip_thinking('r'))} AS label, {O.strip_thinking('r')} AS reason,
+  {O.word_count('r')} - {O.word_count(O.strip_thinking('r'))} AS thinking_words, {O.word_count('r')} AS total_words
+FROM (SELECT doc_id, {_prose_sql('prompt')} AS r FROM (SELECT doc_id, {_FREETEXT_PROMPT_SQL} AS prompt FROM documents))""",
+)
+def classify_freetext(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = J.classify_freetext(docs, "text", M.KeywordBackend(mode="prose"), LABELS)
+    return out.select("doc_id", "label", "reason", "thinking_words", "total_words")
+
+
+DOC_TEMPLATE = "Kilde {kilde}, kvalitet {kvalitet}.\nTekst:\n{tekst}\nSvar med JSON: label, reason.\n"
+DOC_BACKEND = M.KeywordBackend(fields=("label", "reason"))
+
+
+@register(
+    "classify_documents",
+    sql=f"""SELECT doc_id, quality, {O.normalise(O.keyword_label('needle'))} AS klassificering, 'rule ' || needle AS begrundelse
+FROM (SELECT *, {O.keyword_needle('prompt')} AS needle
+      FROM (SELECT d.doc_id, l.quality,
+              {O.render(DOC_TEMPLATE, {'kilde': 'd.source', 'kvalitet': 'l.quality', 'tekst': 'd.text'})} AS prompt
+            FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id))""",
+)
+def classify_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    d = docs.join(labels, "doc_id", "left")
+    prompt = P.render(DOC_TEMPLATE, {"kilde": "source", "kvalitet": "quality", "tekst": "text"})
+    staged = J.structured_answers(d.select("doc_id", "quality", prompt.alias("prompt")), F.col("prompt"), DOC_BACKEND, A.CLASSIFICATION)
+    return staged.select(
+        "doc_id", "quality", A.normalise_label("answer.label").alias(J.OUT_LABEL), F.col("answer.reason").alias(J.OUT_REASON)
+    )
+
+
+SECOND_TEMPLATE = "Første svar:\n{svar}\nGiv nu label og secure som JSON.\n"
+SMALL_BACKEND = M.KeywordBackend(fields=("label", "secure"))
+
+
+@register(
+    "two_stage",
+    sql=f"""SELECT doc_id, {O.normalise(O.keyword_label(O.keyword_needle('p2')))} AS klassificering,
+  CAST(length(p2) % 12 AS INTEGER) AS score
+FROM (SELECT doc_id, {O.render(SECOND_TEMPLATE, {'svar': O.strip_thinking('r')})} AS p2
+      FROM (SELECT doc_id, {_prose_sql('prompt')} AS r FROM (SELECT doc_id, {_FREETEXT_PROMPT_SQL} AS prompt FROM documents)))""",
+)
+def two_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = J.two_stage(
+        docs, P.render(J.FREETEXT_TEMPLATE, {"fakturalinje": "text"}), M.KeywordBackend(mode="prose"),
+        SECOND_TEMPLATE, "svar", SMALL_BACKEND, A.PURCHASE_SMALL, keep=["doc_id"],
+    )
+    return out.select("doc_id", A.normalise_label("answer.label").alias(J.OUT_LABEL), F.col("answer.secure").alias(J.OUT_SCORE))
+
+
+@register(
+    "read_documents",
+    sql=f"""SELECT doc_id, source AS answer_kreditor, CAST(least(len(p), 10) AS INTEGER) AS answer_secure,
+  'side ' || CAST(i AS VARCHAR) AS fakturalinje_beskrivelse,
+  CAST({O.word_count('p[i]')} AS INTEGER) AS antal, CAST(length(p[i]) AS DOUBLE) AS "linje_beløb",
+  CAST(i AS INTEGER) AS linjenummer
+FROM (SELECT doc_id, source, p, unnest(range(1, len(p) + 1)) AS i
+      FROM (SELECT doc_id, source, string_split(text, chr(10)) AS p FROM documents))""",
+)
+def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", EX.split_pages("text").alias("pages"))
+    return J.read_documents(docs, "doc_id", "source", "pages")

@@ -65,6 +65,7 @@ def _finish(staged: DataFrame, outputs: Mapping[str, str], keep: Sequence[str])
         F.col("error"),
         F.when(ans["status"].isin("empty", "invalid"), F.concat(F.lit("answer "), ans["status"])),
         F.when((ans["status"] == "ok") & ans["label"].isNull(), F.lit("answer has no label")),
+        F.when((ans["status"] == "missing") & F.col("prompt").isNotNull(), F.lit("no answer")),
     )
     cols += [ans["status"].alias("status"), ans["violations"].alias("violations"), error.alias("error")]
     return staged.select(*cols)
@@ -149,3 +150,72 @@ def classify_with_context(
     if not small_schema:
         outputs.update({"reason_for": OUT_REASON_FOR, "reason_against": OUT_REASON_AGAINST})
     return _finish(staged, outputs, lines.columns)
+
+
+def two_stage(
+    df: DataFrame,
+    prompt1: Column,
+    backend1: BackendSpec,
+    template2: str,
+    answer_var: str,
+    backend2: BackendSpec,
+    schema2: A.AnswerSchema,
+    keep: Sequence[str],
+    remove_thinking: bool = True,
+    checkpoint: bool = False,
+) -> DataFrame:
+    """M4: the first answer becomes a variable of the second prompt.
+
+    With ``checkpoint`` the first stage's output is written to the shared
+    checkpoint folder before the second stage reads it, so a failure in the
+    second stage never repeats first-stage calls.
+    """
+    s1 = call_model(df.select(*keep, prompt1.alias("prompt")), backend1)
+    r = F.col("response")
+    s1 = s1.select(*keep, (X.strip_thinking(r) if remove_thinking else r).alias("_answer1"), F.col("error").alias("_error1"))
+    if checkpoint:
+        s1 = s1.checkpoint(eager=True)
+    prompt2 = P.render(template2, {answer_var: "_answer1"}, null_text=None)
+    s2 = structured_answers(s1, prompt2, backend2, schema2)
+    return s2.select(*keep, "answer", F.coalesce("_error1", "error").alias("error"))
+
+
+# Our own reader templates.
+READER_TEMPLATE_1 = "Læs alle sider af fakturaen og skriv teksten ud side for side.\n"
+READER_TEMPLATE_2 = "Kreditor: {kreditor}\nFakturatekst:\n{faktura_text}\nUdtræk kreditor og fakturalinjer som JSON.\n"
+
+
+def read_documents(
+    docs: DataFrame,
+    id_col: str,
+    creditor_col: str,
+    pages_col: str,
+    reader: BackendSpec | None = None,
+    writer: BackendSpec | None = None,
+    checkpoint: bool = False,
+) -> DataFrame:
+    """Reader job (M3 + M4 + F10): all pages of a document -> text -> invoice
+    JSON -> one row per invoice line, numbered from 1.
+
+    ``pages_col`` is ``ARRAY<BINARY>`` in page order, produced by a page decoder
+    per document, so no shuffle regroups pages. Documents whose answer has no
+    lines give no row (see ``explode.unexploded`` for the dead letters).
+    """
+    from ..operators.explode import explode_answer
+    from ..operators.model import InvoiceWriterBackend, PageReaderBackend
+
+    reader = reader or PageReaderBackend(pages_col=pages_col)
+    writer = writer or InvoiceWriterBackend()
+    s1 = call_model(
+        docs.select(id_col, creditor_col, pages_col, P.static_prompt(READER_TEMPLATE_1).alias("prompt")),
+        reader, request_cols=[pages_col],
+    )
+    s1 = s1.select(id_col, creditor_col, F.col("response").alias("faktura_text"), F.col("error").alias("_error1"))
+    if checkpoint:
+        s1 = s1.checkpoint(eager=True)
+    prompt2 = P.render(READER_TEMPLATE_2, {"kreditor": creditor_col, "faktura_text": "faktura_text"}, null_text=None)
+    s2 = call_model(s1.select(id_col, prompt2.alias("prompt")), writer)
+    parsed = s2.select(id_col, F.from_json("response", A.INVOICE_DDL, A.JSON_OPTIONS).alias("answer"))
+    parsed = parsed.withColumn("answer", F.col("answer").withField("secure", A.whole_int(F.col("answer.secure"))))
+    out = explode_answer(parsed, "answer", "fakturalinjer", keep=[id_col], scalar_fields=["kreditor", "secure"])
+    return out.withColumn("antal", A.whole_int(F.col("antal")))
