@@ -713,3 +713,162 @@ FROM (SELECT doc_id, source, p, unnest(range(1, len(p) + 1)) AS i
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", EX.split_pages("text").alias("pages"))
     return J.read_documents(docs, "doc_id", "source", "pages")
+
+
+# ---------------------------------------------------------------------------
+# Advanced jobs: classify each line in its invoice context (J1 + F15 + M2)
+# ---------------------------------------------------------------------------
+
+_CTX_PROMPT_SQL = f"""(SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity,
+  {O.render(J.CONTEXT_TEMPLATE, {'kreditor': 'l.c_name', 'faktura': 'g.faktura', 'fakturalinje': 'l.p_name'})} AS prompt
+FROM {_INVOICE_LINES_SQL} l JOIN (
+  SELECT c_name, l_orderkey,
+    to_json(list({{'fakturalinje': p_name, 'antal': l_quantity, 'stykpris': unit_price}}
+                 ORDER BY {_LINE_ORDER_SQL}, p_name, l_quantity, unit_price)) AS faktura
+  FROM {_INVOICE_LINES_SQL} GROUP BY c_name, l_orderkey) g
+ON l.c_name = g.c_name AND l.l_orderkey = g.l_orderkey)"""
+
+ADVANCED_BACKEND = M.KeywordBackend(fields=("label", "reason_for", "reason_against", "secure"))
+
+
+@register(
+    "classify_context",
+    sql=f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
+  {O.normalise(O.keyword_label('needle'))} AS klassificering, CAST(length(prompt) % 12 AS INTEGER) AS score,
+  'rule ' || needle AS begrundelse_for, 'no rule before ' || needle AS begrundelse_imod
+FROM (SELECT *, {O.keyword_needle('prompt')} AS needle FROM {_CTX_PROMPT_SQL})""",
+)
+def classify_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _invoice_lines(spark, sf_dir).drop("l_extendedprice")
+    out = J.classify_with_context(
+        lines, "c_name", "l_orderkey", "l_linenumber", "p_name", "l_quantity", "unit_price", ADVANCED_BACKEND,
+        tie_breakers=_CTX_TIES[:3] + ["unit_price"],
+    )
+    return out.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+        J.OUT_LABEL, J.OUT_SCORE, J.OUT_REASON_FOR, J.OUT_REASON_AGAINST,
+    )
+
+
+@register(
+    "classify_context_small",
+    sql=f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
+  {O.normalise(O.keyword_label('needle'))} AS klassificering, CAST(length(prompt) % 12 AS INTEGER) AS score
+FROM (SELECT *, {O.keyword_needle('prompt')} AS needle FROM {_CTX_PROMPT_SQL})""",
+)
+def classify_context_small(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _invoice_lines(spark, sf_dir).drop("l_extendedprice")
+    out = J.classify_with_context(
+        lines, "c_name", "l_orderkey", "l_linenumber", "p_name", "l_quantity", "unit_price", SMALL_BACKEND,
+        small_schema=True, tie_breakers=_CTX_TIES[:3] + ["unit_price"],
+    )
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", J.OUT_LABEL, J.OUT_SCORE)
+
+
+# ---------------------------------------------------------------------------
+# Pages, search, lookup, token windows
+# ---------------------------------------------------------------------------
+
+from ..functions import html as H  # noqa: E402
+from ..operators import documents as D  # noqa: E402
+from ..operators import search as S  # noqa: E402
+
+
+def _html_text_sql(h: str, cut: bool = True) -> str:
+    t = f"CASE WHEN regexp_extract({h}, '(?is)<article\\b[^>]*>(.*)</article>', 1) <> '' THEN regexp_extract({h}, '(?is)<article\\b[^>]*>(.*)</article>', 1) ELSE {h} END"
+    t = f"regexp_replace({t}, '(?is)<script\\b.*?</script>', ' ', 'g')"
+    t = f"regexp_replace({t}, '(?is)<style\\b.*?</style>', ' ', 'g')"
+    t = f"regexp_replace({t}, '(?s)<!--.*?-->', ' ', 'g')"
+    t = f"regexp_replace({t}, '(?s)<[^>]*>', ' ', 'g')"
+    for ent, ch in H.ENTITIES:
+        t = f"replace({t}, {O.lit(ent)}, {O.lit(ch)})"
+    t = f"trim(regexp_replace({t}, '{H.SPACE_RUN}', ' ', 'g'), ' ')"
+    return f"substr({t}, 1, {H.MAX_TEXT_CHARS})" if cut else t
+
+
+def _title_sql(h: str) -> str:
+    t = f"regexp_extract({h}, '(?is)<title[^>]*>(.*?)</title>', 1)"
+    for ent, ch in H.ENTITIES:
+        t = f"replace({t}, {O.lit(ent)}, {O.lit(ch)})"
+    return f"trim(regexp_replace({t}, '{H.SPACE_RUN}', ' ', 'g'), ' ')"
+
+
+@register("html_text", sql=f"SELECT page_id, {_title_sql('html')} AS title, {_html_text_sql('html')} AS text FROM pages")
+def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return pages.select("page_id", H.html_title("html").alias("title"), H.html_to_text("html").alias("text"))
+
+
+# Search requests (user input; the work scales with the pages table).
+SEARCH_QUERIES = ((1, "the and of"), (2, "der und die"), (3, "le la des"), (4, "el los las"), (5, "zzqx"))
+_QUERIES_SQL = "(VALUES " + ", ".join(f"({i}, {O.lit(q)})" for i, q in SEARCH_QUERIES) + ") q(query_id, query)"
+
+
+def _queries(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(SEARCH_QUERIES), "query_id INT, query STRING")
+
+
+_SEARCH_SQL = f"""
+WITH pw AS (SELECT DISTINCT page_id, {O.clean_word('w')} AS word
+            FROM (SELECT page_id, unnest({O.words(_html_text_sql('html', cut=False))}) AS w FROM pages)),
+qw AS (SELECT DISTINCT query_id, {O.clean_word('w')} AS word FROM (SELECT query_id, unnest({O.words('query')}) AS w FROM {_QUERIES_SQL})),
+hits AS (SELECT query_id, page_id, count(*) AS score FROM pw JOIN qw USING (word) WHERE word <> '' GROUP BY query_id, page_id),
+cand AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, page_id) AS rank FROM hits) WHERE rank <= {S.CANDIDATES}),
+linked AS (SELECT c.query_id, c.rank, c.page_id, CASE WHEN p.url <> '' THEN p.url END AS url,
+             coalesce(nullif({_title_sql('p.html')}, ''), {O.lit(S.NO_TITLE)}) AS title, {_html_text_sql('p.html')} AS text
+           FROM cand c JOIN pages p USING (page_id)),
+firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rank) AS position FROM linked WHERE url IS NOT NULL)
+           WHERE position <= {S.MAX_PAGES})"""
+
+
+@register(
+    "search_first_k",
+    sql=_SEARCH_SQL + "\nSELECT query_id, CAST(position AS INTEGER) AS position, page_id, title, url, text FROM firsts",
+)
+def search_first_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = S.first_pages(table(spark, sf_dir, "pages"), _queries(spark))
+    return out.withColumn("position", F.col("position").cast("int"))
+
+
+@register(
+    "search_digest",
+    sql=_SEARCH_SQL + """
+SELECT query_id, string_agg(printf('SIDE %d:' || chr(10) || 'Titel: %s' || chr(10) || 'URL: %s' || chr(10) || 'Uddrag:' || chr(10) || '%s' || chr(10),
+                                   position, title, url, substr(text, 1, 1000)), chr(10) || chr(10) ORDER BY position) AS digest,
+       count(*) AS n_pages
+FROM firsts GROUP BY query_id""",
+)
+def search_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.digest(S.first_pages(table(spark, sf_dir, "pages"), _queries(spark)))
+
+
+@register(
+    "doc_lookup",
+    sql="""WITH f AS (SELECT regexp_extract(regexp_replace(url, '[?#].*$', ''), '([^/]*?)(\\.[^./]*)?$', 1) AS base_name, url, page_id FROM pages),
+firsts AS (SELECT base_name, min(url) AS url, arg_min(page_id, url) AS page_id FROM f GROUP BY base_name)
+SELECT d.doc_id, firsts.url AS doc_url, firsts.page_id AS doc_page_id
+FROM documents d LEFT JOIN firsts ON CAST(d.doc_id AS VARCHAR) = firsts.base_name""",
+)
+def doc_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    files = table(spark, sf_dir, "pages").select("url", "page_id")
+    out = D.lookup_documents(docs, "doc_id", files, path_col="url", strip_query=True)
+    return out.select("doc_id", "doc_url", "doc_page_id")
+
+
+@register(
+    "token_throughput",
+    sql="""WITH idx AS (SELECT event_type, epoch_us(ts) AS us, CAST(user_id AS VARCHAR) || ' ' AS tok,
+    row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS i FROM events),
+w AS (SELECT event_type, i // 50 AS window_no, count(*) AS n_tokens, min(us) AS first_us, max(us) AS last_us,
+    string_agg(tok, '' ORDER BY i) AS text FROM idx GROUP BY event_type, i // 50)
+SELECT a.event_type, a.window_no, a.n_tokens, a.text,
+  a.last_us - coalesce(p.last_us, a.first_us) AS elapsed_us,
+  CASE WHEN a.last_us - coalesce(p.last_us, a.first_us) > 0
+       THEN a.n_tokens / ((a.last_us - coalesce(p.last_us, a.first_us)) / 1000000.0::DOUBLE) ELSE 0.0::DOUBLE END AS tokens_per_sec
+FROM w a LEFT JOIN w p ON a.event_type = p.event_type AND a.window_no = p.window_no + 1""",
+)
+def token_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    tok = F.concat(F.col("user_id").cast("string"), F.lit(" "))
+    return MT.count_windows(ev, ["event_type"], ["ts", "event_id"], "ts", tok, size=50)
