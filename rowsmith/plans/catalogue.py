@@ -872,3 +872,115 @@ def token_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     tok = F.concat(F.col("user_id").cast("string"), F.lit(" "))
     return MT.count_windows(ev, ["event_type"], ["ts", "event_id"], "ts", tok, size=50)
+
+
+# ---------------------------------------------------------------------------
+# Resumable runs (first run stops part way, second resumes)
+# ---------------------------------------------------------------------------
+
+from ..streaming import resume as RS  # noqa: E402
+
+ORDER_TEMPLATE = "Ordre #{key} med prioritet {prioritet}.\nSvar med JSON: label, reason, secure.\n"
+PRIORITY_RULES = (("urgent", "materialeindkøb"), ("high", "tjenesteydelse"), ("low", "Materiale"))
+ORDER_BACKEND = M.KeywordBackend(rules=PRIORITY_RULES)
+CRASH_DATE = "1995-01-01"
+
+
+def _classify_orders(df: DataFrame) -> DataFrame:
+    out = J.classify_simple(
+        df.select("o_orderkey", "o_orderpriority"), "o_orderpriority", "o_orderkey", ORDER_BACKEND,
+        template=ORDER_TEMPLATE.replace("{prioritet}", "{fakturalinje}"),
+    )
+    return out.select("o_orderkey", J.OUT_LABEL, J.OUT_SCORE)
+
+
+_ORDER_PROMPT_SQL = O.render(ORDER_TEMPLATE, {"key": "o_orderkey", "prioritet": "o_orderpriority"})
+
+
+@register(
+    "resume_antijoin",
+    sql=f"""SELECT o_orderkey, {O.normalise(O.keyword_label(O.keyword_needle('prompt', PRIORITY_RULES), PRIORITY_RULES))} AS klassificering,
+  CAST(length(prompt) % 12 AS INTEGER) AS score
+FROM (SELECT o_orderkey, {_ORDER_PROMPT_SQL} AS prompt FROM orders)""",
+)
+def resume_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+    path = scratch_path(spark, "resume-antijoin")
+    # First run: only the orders before the crash date got done.
+    RS.run_resumable(spark, orders.filter(F.col("o_orderdate") < F.lit(CRASH_DATE)), ["o_orderkey"], _classify_orders, path)
+    # Second run over everything: the anti join leaves only the rest to do.
+    return RS.run_resumable(spark, orders, ["o_orderkey"], _classify_orders, path, chunks=2)
+
+
+_EVENT_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+
+
+def _parse_events(batch: DataFrame) -> DataFrame:
+    a = A.parse_answer("props", A.AnswerSchema.of(("k", "int")))
+    return batch.select("event_id", "event_type", a["k"].alias("k"), a["status"].alias("status"))
+
+
+@register(
+    "resume_batches",
+    sql="""SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, 'ok' AS status FROM events""",
+)
+def resume_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import types as T
+
+    events = table(spark, sf_dir, "events")
+    base = scratch_path(spark, "resume-stream")
+    landing, result, ckpt = f"{base}/landing", f"{base}/result", f"{base}/checkpoint"
+    schema = T._parse_datatype_string(_EVENT_SCHEMA)
+    early = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
+    # Files that landed before the crash: first run handles them.
+    events.filter(early).repartition(4).write.parquet(f"{landing}/part=1")
+    RS.run_stream(spark, landing, schema, _parse_events, result, ckpt, max_files_per_trigger=2)
+    # More files land; the rerun with the same checkpoint only reads those.
+    events.filter(~early).repartition(4).write.parquet(f"{landing}/part=2")
+    out = RS.run_stream(spark, landing, schema, _parse_events, result, ckpt, max_files_per_trigger=2)
+    return out.drop("batch_id")
+
+
+def _nested_invoices(todo: DataFrame, lineitem: DataFrame) -> DataFrame:
+    fields = {
+        "fakturalinje_beskrivelse": F.concat(F.lit("del "), F.col("l_partkey").cast("string")),
+        "antal": F.col("l_quantity"),
+        "linje_beløb": F.col("l_extendedprice"),
+    }
+    lines = ordered_groups(lineitem, ["l_orderkey"], "l_linenumber", fields, _LINE_TIES, list_col="fakturalinjer")
+    inv = todo.join(lines, todo["o_orderkey"] == lines["l_orderkey"], "left")
+    doc = F.struct(
+        F.concat(F.lit("kunde "), F.col("o_custkey").cast("string")).alias("kreditor"),
+        F.col("fakturalinjer"),
+        F.least(F.size("fakturalinjer"), F.lit(10)).alias("secure"),
+    )
+    parsed = inv.select("o_orderkey", F.from_json(F.to_json(doc), A.INVOICE_DDL, A.JSON_OPTIONS).alias("a"))
+    lines_t = "array<struct<fakturalinje_beskrivelse:string,antal:int,`linje_beløb`:double>>"
+    return parsed.select(
+        "o_orderkey",
+        F.col("a.kreditor").alias("answer_kreditor"),
+        A.whole_int(F.col("a.secure")).alias("answer_secure"),
+        F.transform("a.fakturalinjer", lambda x: x.withField("antal", A.whole_int(x["antal"]))).cast(lines_t).alias("fakturalinjer"),
+    )
+
+
+@register(
+    "resume_exploded",
+    sql=f"""SELECT o_orderkey, 'kunde ' || CAST(o_custkey AS VARCHAR) AS answer_kreditor,
+  CAST(least(count(*) OVER (PARTITION BY l_orderkey), 10) AS INTEGER) AS answer_secure,
+  'del ' || CAST(l_partkey AS VARCHAR) AS fakturalinje_beskrivelse,
+  CAST(l_quantity AS INTEGER) AS antal, l_extendedprice AS "linje_beløb",
+  CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER_SQL}) AS INTEGER) AS linjenummer
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+)
+def resume_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    li = table(spark, sf_dir, "lineitem")
+    path = scratch_path(spark, "resume-exploded")
+
+    def process(todo: DataFrame) -> DataFrame:
+        return _nested_invoices(todo, li)
+
+    RS.run_resumable_exploded(spark, orders.filter(F.col("o_orderdate") < F.lit(CRASH_DATE)), ["o_orderkey"], process,
+                              "fakturalinjer", path, position="linjenummer")
+    return RS.run_resumable_exploded(spark, orders, ["o_orderkey"], process, "fakturalinjer", path, position="linjenummer")
