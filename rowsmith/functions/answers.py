@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,9 +86,27 @@ def parse_answer(text: Column | str, schema: AnswerSchema) -> Column:
     status: ``ok``; ``missing`` (null answer: the call failed); ``empty`` (blank
     text); ``invalid`` (not a JSON object: bad, cut off, fenced, array, ``null``).
     On anything but ``ok`` every field is null (the reference's default answer).
+
+    As a single Column this repeats the parse inside the expression tree; in a
+    DataFrame use :func:`with_parsed_answer`, which parses once per row.
     """
     t = _c(text)
-    raw = F.from_json(t, schema.raw_struct(), JSON_OPTIONS)
+    return typed_answer(t, F.from_json(t, schema.raw_struct(), JSON_OPTIONS), schema)
+
+
+def with_parsed_answer(df: DataFrame, text_col: str, schema: AnswerSchema, name: str = "answer") -> DataFrame:
+    """Add ``name`` = :func:`parse_answer` of ``text_col``, parsing each row once.
+
+    The raw ``from_json`` result is its own projected column, so Catalyst keeps
+    one parse and reads its fields, instead of inlining the parse into every
+    field expression.
+    """
+    raw = df.withColumn("_raw_answer", F.from_json(F.col(text_col), schema.raw_struct(), JSON_OPTIONS))
+    out = raw.withColumn(name, typed_answer(F.col(text_col), F.col("_raw_answer"), schema))
+    return out.drop("_raw_answer")
+
+
+def typed_answer(t: Column, raw: Column, schema: AnswerSchema) -> Column:
     blank = F.trim(t) == F.lit("")
     status = (
         F.when(t.isNull(), F.lit("missing"))

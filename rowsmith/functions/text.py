@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 NOT_WORD_CHAR = r"[^\p{L}\p{N}_]"
 WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 THINK_BLOCK = r"(?s)<think>.*?</think>"
+NOT_WORD_OR_SPACE = r"(?U)[^\p{L}\p{N}_\s\x1c-\x1f]"
 
 
 def _c(c: Column | str) -> Column:
@@ -76,6 +77,14 @@ def extract_label(text: Column | str, labels: Sequence[str] | None, remove_think
 
     Returns the label as configured. No labels, no hit, or a null answer give
     null. With ``remove_thinking`` the scan skips ``<think>`` blocks.
+
+    Cleaning every word with its own regex call is the slow part on long
+    answers, so the whole text is cleaned once: every character that is
+    neither a word character nor white space is dropped and the text is
+    lower-cased; splitting that on white space gives exactly the cleaned
+    words (a word of only punctuation becomes empty and is dropped, which can
+    only matter for a label that cleans to nothing; that case takes the
+    per-word path).
     """
     if not labels:
         return F.lit(None).cast("string")
@@ -84,15 +93,20 @@ def extract_label(text: Column | str, labels: Sequence[str] | None, remove_think
         t = strip_thinking(t)
     lookup = label_lookup(labels)
 
-    def to_label(w: Column) -> Column:
-        cw = clean_word(w)
+    def to_label(cw: Column) -> Column:
         expr = None
         for cleaned, label in lookup.items():
             expr = F.when(cw == F.lit(cleaned), F.lit(label)) if expr is None else expr.when(cw == F.lit(cleaned), F.lit(label))
         return expr
 
-    hits = F.filter(F.transform(words(t), to_label), lambda x: x.isNotNull())
-    return F.try_element_at(hits, F.lit(1))
+    if "" in lookup:
+        hits = F.filter(F.transform(words(t), lambda w: to_label(clean_word(w))), lambda x: x.isNotNull())
+        return F.try_element_at(hits, F.lit(1))
+    cleaned_words = words(F.lower(F.regexp_replace(t, NOT_WORD_OR_SPACE, "")))
+    wanted = F.array(*[F.lit(c) for c in lookup])
+    first = F.try_element_at(F.filter(cleaned_words, lambda w: F.array_contains(wanted, w)), F.lit(1))
+    as_label = F.create_map(*[F.lit(x) for pair in lookup.items() for x in pair])
+    return F.try_element_at(as_label, first)
 
 
 def answer_without_thinking(text: Column | str, remove_thinking: bool = True) -> Column:

@@ -2,10 +2,9 @@
 
 Invoice context: every line gets all lines of its invoice (same creditor and
 invoice number), ordered by line number. The reference rescans the table per
-row (O(n^2)); here the list is built once per invoice with a partially
-aggregated ``collect_list`` (map-side combine before the shuffle), sorted with
-``array_sort`` and joined back on the keys. The join lets AQE split a hot
-invoice's partition (skew join) instead of sorting it in one window task.
+row (O(n^2)); here the list is built once per invoice, either by a
+whole-partition window (one shuffle, one pass) or by a partially aggregated
+``collect_list`` joined back on the keys, and sorted with ``array_sort``.
 """
 
 from __future__ import annotations
@@ -62,24 +61,60 @@ def invoice_context(
     tie_breakers: Sequence[str] = (),
     as_json: bool = True,
     context_col: str = "context",
+    method: str = "window",
 ) -> DataFrame:
     """Add the ordered invoice context to every line.
 
-    With ``as_json`` the list is rendered once per invoice as JSON text (F15),
-    doubles with NaN written as null; a line with a null key gets ``[]``.
+    With ``as_json`` the list is rendered as JSON text (F15), doubles with NaN
+    written as null; a line with a null key gets ``[]``.
+
+    ``method="window"`` (default) is one pass: one shuffle on the keys, the
+    list collected once per invoice by a whole-partition window frame. Lines
+    with a null key never share a window partition: they are spread by a hash
+    of the row, so a third of the table without a creditor does not land in
+    one task. ``method="join"`` aggregates the lists (partial, map-side) and
+    joins them back: it scans the input twice, but AQE can split a hot
+    invoice on the join side.
     """
     clean = {k: (nan_to_null(v) if _is_double(lines, v) else _c(v)) for k, v in fields.items()}
-    groups = ordered_groups(lines, keys, order_col, clean, tie_breakers, list_col="_ctx")
+    has_key = None
+    for k in keys:
+        cond = F.col(k).isNotNull()
+        has_key = cond if has_key is None else has_key & cond
+    if method == "join":
+        groups = ordered_groups(lines, keys, order_col, clean, tie_breakers, list_col="_ctx")
+        if as_json:
+            groups = groups.select(*keys, context_json("_ctx").alias("_ctx"))
+            empty = F.lit("[]")
+        else:
+            empty = F.array().cast(groups.schema["_ctx"].dataType)
+        right = groups.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_ctx")
+        cond = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
+        joined = lines.join(right, on=cond, how="left")
+        return joined.select(*[F.col(c) for c in lines.columns], F.coalesce(F.col("_ctx"), empty).alias(context_col))
+    if method != "window":
+        raise ValueError(f"unknown method {method!r}")
+    salt = F.when(~has_key, F.xxhash64(*[F.col(c) for c in lines.columns])).otherwise(F.lit(0))
+    # The frame is the whole invoice, in context order, so collect_list is
+    # evaluated once per invoice and comes out sorted (no per-row sort).
+    order = (
+        [F.col(order_col).asc_nulls_last()]
+        + [F.col(t).asc_nulls_first() for t in tie_breakers]
+        + [v.asc_nulls_first() for v in clean.values()]
+    )
+    w = (
+        Window.partitionBy(*keys, salt)
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
+    item = F.struct(*[v.alias(k) for k, v in clean.items()])
+    listed = lines.withColumn("_ctx_list", F.collect_list(item).over(w))
+    ctx = F.col("_ctx_list")
     if as_json:
-        groups = groups.select(*keys, context_json("_ctx").alias("_ctx"))
-        empty = F.lit("[]")
+        value = F.when(has_key, context_json(ctx)).otherwise(F.lit("[]"))
     else:
-        empty = F.array().cast(groups.schema["_ctx"].dataType)
-    ctx_cols = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
-    right = groups.select(*ctx_cols, "_ctx")
-    cond = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
-    joined = lines.join(right, on=cond, how="left")
-    return joined.select(*[F.col(c) for c in lines.columns], F.coalesce(F.col("_ctx"), empty).alias(context_col))
+        value = F.when(has_key, ctx).otherwise(F.array().cast(listed.schema["_ctx_list"].dataType))
+    return listed.select(*[F.col(c) for c in lines.columns], value.alias(context_col))
 
 
 def _is_double(df: DataFrame, v: Column | str) -> bool:

@@ -121,20 +121,36 @@ def call_model(
     backend: BackendSpec,
     prompt_col: str = "prompt",
     request_cols: Sequence[str] = (),
-    slots: int | None = None,
+    slots: int | str | None = "auto",
+    keep_prompt: bool = False,
+    passthrough: Sequence[str] | None = None,
 ) -> DataFrame:
     """Run the model stage; output = input columns + RESPONSE_FIELDS.
 
+    The prompt column is dropped from the output unless ``keep_prompt``: it is
+    usually the widest column and would otherwise cross Arrow a second time.
+    ``passthrough`` names the input columns to carry to the output (default:
+    all but the prompt), e.g. to leave page images behind after the call.
+
     Select only the columns you need before calling: ``mapInPandas`` is a
     column-pruning barrier, so everything that goes in crosses Arrow twice.
-    ``slots`` sets the number of concurrent calls (an explicit repartition, so
-    AQE coalescing cannot shrink model parallelism); by default the input
-    partitioning is kept and nothing is shuffled.
+
+    ``slots`` is the number of concurrent calls. An int forces exactly that
+    many partitions (an explicit repartition, so AQE coalescing cannot shrink
+    model parallelism). ``"auto"`` repartitions only when the input has fewer
+    partitions than the cluster has cores (a small input read as one file
+    split would otherwise call the model from a single task); a large input
+    keeps its partitioning and nothing is shuffled. ``None`` never shuffles.
     """
     clash = {c.lower() for c in df.columns} & set(RESPONSE_COLUMNS)
     if clash:
         raise ValueError(f"input already has model output columns {sorted(clash)}; rename them first")
-    schema = T.StructType(list(df.schema.fields) + list(RESPONSE_FIELDS))
+    passed = [f for f in df.schema.fields if keep_prompt or f.name != prompt_col]
+    if passthrough is not None:
+        wanted = set(passthrough) | ({prompt_col} if keep_prompt else set())
+        passed = [f for f in passed if f.name in wanted]
+    schema = T.StructType(passed + list(RESPONSE_FIELDS))
+    out_cols = [f.name for f in passed]
     req_cols = [prompt_col, *request_cols]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,10 +165,14 @@ def call_model(
                 got.index = np.flatnonzero(mask)
                 for c in RESPONSE_COLUMNS:
                     res.loc[mask, c] = got[c].to_numpy()
-            yield pd.concat([pdf, res], axis=1)
-
-    if slots:
-        df = df.repartition(slots)
+            yield pd.concat([pdf[out_cols], res], axis=1)
+
+    if slots == "auto":
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            df = df.repartition(target)
+    elif slots:
+        df = df.repartition(int(slots))
     return df.mapInPandas(run, schema)
 
 

@@ -297,7 +297,7 @@ def q_parse_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     eid, props = F.col("event_id"), F.col("props")
     txt = F.when(eid % 7 == 0, F.lit("")).when(eid % 5 == 0, F.expr("substr(props, 1, length(props) - 2)")).otherwise(props)
-    parsed = ev.select("event_id", A.parse_answer(txt, A.AnswerSchema.of(("k", "int"))).alias("a"))
+    parsed = A.with_parsed_answer(ev.select("event_id", txt.alias("txt")), "txt", A.AnswerSchema.of(("k", "int")), "a")
     return parsed.select("event_id", F.col("a.k").alias("k"), F.col("a.status").alias("status"))
 
 
@@ -916,8 +916,8 @@ _EVENT_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type S
 
 
 def _parse_events(batch: DataFrame) -> DataFrame:
-    a = A.parse_answer("props", A.AnswerSchema.of(("k", "int")))
-    return batch.select("event_id", "event_type", a["k"].alias("k"), a["status"].alias("status"))
+    a = A.with_parsed_answer(batch, "props", A.AnswerSchema.of(("k", "int")), "a")
+    return a.select("event_id", "event_type", F.col("a.k").alias("k"), F.col("a.status").alias("status"))
 
 
 @register(

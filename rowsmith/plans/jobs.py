@@ -45,11 +45,11 @@ def structured_answers(
     prompt: Column,
     backend: BackendSpec,
     schema: A.AnswerSchema,
-    slots: int | None = None,
+    slots: int | str | None = "auto",
 ) -> DataFrame:
     """M2: prompt -> model -> parsed ``answer`` struct (+ response, error ...)."""
-    staged = call_model(df.withColumn("prompt", prompt), backend, slots=slots)
-    return staged.withColumn("answer", A.parse_answer("response", schema))
+    staged = call_model(df.withColumn("prompt", prompt).withColumn("_sent", F.col("prompt").isNotNull()), backend, slots=slots)
+    return A.with_parsed_answer(staged, "response", schema)
 
 
 def _finish(staged: DataFrame, outputs: Mapping[str, str], keep: Sequence[str]) -> DataFrame:
@@ -65,7 +65,7 @@ def _finish(staged: DataFrame, outputs: Mapping[str, str], keep: Sequence[str])
         F.col("error"),
         F.when(ans["status"].isin("empty", "invalid"), F.concat(F.lit("answer "), ans["status"])),
         F.when((ans["status"] == "ok") & ans["label"].isNull(), F.lit("answer has no label")),
-        F.when((ans["status"] == "missing") & F.col("prompt").isNotNull(), F.lit("no answer")),
+        F.when((ans["status"] == "missing") & F.col("_sent"), F.lit("no answer")),
     )
     cols += [ans["status"].alias("status"), ans["violations"].alias("violations"), error.alias("error")]
     return staged.select(*cols)
@@ -78,7 +78,7 @@ def classify_simple(
     backend: BackendSpec,
     template: str = SIMPLE_TEMPLATE,
     on_null: str = "skip",
-    slots: int | None = None,
+    slots: int | str | None = "auto",
 ) -> DataFrame:
     """Classify one line (simple job): label, score, reason per row.
 
@@ -101,7 +101,7 @@ def classify_freetext(
     labels: Sequence[str],
     template: str = FREETEXT_TEMPLATE,
     remove_thinking: bool = True,
-    slots: int | None = None,
+    slots: int | str | None = "auto",
 ) -> DataFrame:
     """Free-text job: prose answer -> label by word scan, reason, word counts."""
     prompt = F.when(F.col(text_col).isNotNull(), P.render(template, {"fakturalinje": text_col}))
@@ -129,7 +129,7 @@ def classify_with_context(
     small_schema: bool = False,
     template: str = CONTEXT_TEMPLATE,
     tie_breakers: Sequence[str] = (),
-    slots: int | None = None,
+    slots: int | str | None = "auto",
 ) -> DataFrame:
     """Advanced job: each line is classified with all lines of its invoice.
 
@@ -208,7 +208,7 @@ def read_documents(
     writer = writer or InvoiceWriterBackend()
     s1 = call_model(
         docs.select(id_col, creditor_col, pages_col, P.static_prompt(READER_TEMPLATE_1).alias("prompt")),
-        reader, request_cols=[pages_col],
+        reader, request_cols=[pages_col], passthrough=[id_col, creditor_col],
     )
     s1 = s1.select(id_col, creditor_col, F.col("response").alias("faktura_text"), F.col("error").alias("_error1"))
     if checkpoint:
