@@ -26,10 +26,14 @@ BROADCAST_MAX_QUERY_WORDS = 100_000
 
 
 def page_words(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """Distinct cleaned words per page, from the page's whole text."""
+    """Distinct cleaned words per page, from the page's whole text.
+
+    Words are cleaned in one pass over the text and made distinct inside each
+    row (``array_distinct``), so no shuffle is needed to de-duplicate them.
+    """
     text = H.html_to_text(html_col, max_chars=None)
-    words = pages.select(F.col(id_col), F.explode(X.words(text)).alias("_w"))
-    return words.select(id_col, X.clean_word("_w").alias("word")).filter(F.col("word") != "").distinct()
+    cleaned = X.words(F.lower(F.regexp_replace(text, X.NOT_WORD_OR_SPACE, "")))
+    return pages.select(F.col(id_col), F.explode(F.array_distinct(cleaned)).alias("word"))
 
 
 def query_words(queries: DataFrame, id_col: str = "query_id", text_col: str = "query") -> DataFrame:
@@ -79,7 +83,9 @@ def first_pages(
     link = F.coalesce(F.when(href != "", href), F.when(F.col(url_col) != "", F.col(url_col)))
     cols = [id_col, url_col, html_col] + ([href_col] if href_col else [])
     # Only the candidates' pages are rendered to text: join first, then parse.
-    got = cand.join(pages.select(*cols), id_col)
+    # The candidate list has at most ``candidates`` rows per query, and the
+    # query list was counted above, so it is the side to broadcast.
+    got = pages.select(*cols).join(F.broadcast(cand), id_col)
     title = H.html_title(html_col)
     with_link = got.select(
         "query_id", "rank", F.col(id_col), link.alias("link"),

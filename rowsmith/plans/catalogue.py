@@ -31,8 +31,17 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+# Tables with long texts: heavy per-row work, spread over all cores on read.
+TEXT_TABLES = ("documents", "pages", "conversations")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    if name in TEXT_TABLES:
+        from ..sources.readers import spread
+
+        df = spread(df)
+    return df
 
 
 # ---------------------------------------------------------------------------

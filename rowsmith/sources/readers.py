@@ -127,3 +127,17 @@ def null_if_blank(c: Column | str) -> Column:
     """Empty text counts as missing (Python ``or`` semantics)."""
     c = F.col(c) if isinstance(c, str) else c
     return F.when(c != F.lit(""), c)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin an under-partitioned input over the cluster's cores.
+
+    A table stored as one file with one row group is read by one task, so any
+    heavy per-row work (regexes over whole texts) would run on one core. When
+    the input already has enough partitions (the large-table case) nothing is
+    shuffled.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
