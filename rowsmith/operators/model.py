@@ -167,6 +167,9 @@ def call_model(
                     res.loc[mask, c] = got[c].to_numpy()
             yield pd.concat([pdf[out_cols], res], axis=1)
 
+    from ..session import ship_package
+
+    ship_package(df.sparkSession)
     if slots == "auto":
         target = df.sparkSession.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < target:

@@ -57,3 +57,42 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder path under the shared checkpoint root."""
     return os.path.join(checkpoint_root(spark), "rowsmith", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED_KEY = "spark.rowsmith.shippedPyFile"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``rowsmith`` importable on every executor's Python workers.
+
+    Stages that run Python (the model stage) refer to functions of this
+    package; executors get it as a zip via ``addPyFile``, written once per
+    session into the shared checkpoint folder through the Hadoop file system
+    API (so it works for local, HDFS and object-store folders alike).
+    """
+    import hashlib
+    import io
+    import zipfile
+
+    if spark.conf.get(_SHIPPED_KEY, None):
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in sorted(os.walk(pkg_dir)):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    data = buf.getvalue()
+    digest = hashlib.sha1(data).hexdigest()[:12]
+    target = os.path.join(checkpoint_root(spark), "rowsmith", f"pyfiles-{digest}", "rowsmith.zip")
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(target)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        out = fs.create(hpath, True)
+        out.write(bytearray(data))
+        out.close()
+    spark.sparkContext.addPyFile(hpath.toString())
+    spark.conf.set(_SHIPPED_KEY, target)

@@ -4,7 +4,10 @@ import tempfile
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+_HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, os.path.dirname(_HERE))
+# Test-only backends live in tests/backends.py; Python workers must import it.
+os.environ["PYTHONPATH"] = os.pathsep.join([_HERE, os.environ.get("PYTHONPATH", "")])
 
 from rowsmith.session import local_session  # noqa: E402
 
