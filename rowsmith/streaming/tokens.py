@@ -4,9 +4,10 @@
 fragments arrive as rows of a stream, and every ``size`` fragments of a
 response become one window row. The pending (not yet full) window is the only
 state kept per stream key, so state is bounded by ``size`` fragments. A
-pending partial window is emitted when its key has been idle for
-``idle_timeout`` (processing time), as the reference prints its last partial
-group when the stream ends.
+pending partial window is emitted once the event-time watermark passes the
+key's last fragment plus ``idle_gap`` (the response is over), as the reference
+prints its last partial group when the stream ends. Event time (not processing
+time) keeps ``availableNow`` runs finite and replays deterministic.
 
 Fragments of one key must arrive in time order across micro-batches (within a
 micro-batch they are sorted); a fragment older than an emitted window cannot
@@ -40,7 +41,8 @@ def stream_count_windows(
     order_col: str,
     token_col: str,
     size: int = 50,
-    idle_timeout: str = "10 seconds",
+    idle_gap: str = "10 seconds",
+    watermark_delay: str = "1 minute",
 ) -> DataFrame:
     """Count windows over a token stream with per-key state."""
     from ..session import ship_package
@@ -49,7 +51,10 @@ def stream_count_windows(
     keys = list(stream_cols)
     key_fields = ", ".join(f"{k} {dict(stream.dtypes)[k].upper()}" for k in keys)
     out_schema = f"{key_fields}, {WINDOW_FIELDS}"
-    rows = stream.select(
+    out_cols = keys + ["window_no", "n_tokens", "text", "elapsed_us", "tokens_per_sec"]
+    gap_ms = _interval_ms(stream, idle_gap)
+    rows = stream.withWatermark(ts_col, watermark_delay).select(
+        F.col(ts_col),
         *keys,
         F.unix_micros(F.col(ts_col).cast("timestamp")).alias("_us"),
         F.col(order_col).cast("long").alias("_ord"),
@@ -61,7 +66,7 @@ def stream_count_windows(
             nxt, prev_end, toks, us, _ = state.get
             state.remove()
             if toks:
-                yield pd.DataFrame([_window_row(key, nxt, list(toks), list(us), prev_end)])
+                yield pd.DataFrame([_window_row(key, nxt, list(toks), list(us), prev_end)], columns=out_cols)
             return
         if state.exists:
             nxt, prev_end, toks, us, ords = state.get
@@ -78,15 +83,22 @@ def stream_count_windows(
             prev_end, nxt = us[size - 1], nxt + 1
             toks, us, ords = toks[size:], us[size:], ords[size:]
         state.update((nxt, prev_end, toks, us, ords))
-        state.setTimeoutDuration(idle_timeout)
+        if toks:
+            state.setTimeoutTimestamp(int(us[-1] // 1000) + gap_ms)
         if out:
-            yield pd.DataFrame(out)
+            yield pd.DataFrame(out, columns=out_cols)
 
     return rows.groupBy(*keys).applyInPandasWithState(
-        step, out_schema, STATE_SCHEMA, "append", "ProcessingTimeTimeout"
+        step, out_schema, STATE_SCHEMA, "append", "EventTimeTimeout"
     )
 
 
+def _interval_ms(df: DataFrame, interval: str) -> int:
+    """Milliseconds of an interval string such as ``"10 seconds"`` (driver side)."""
+    row = df.sparkSession.sql(f"SELECT CAST(unix_micros(TIMESTAMP'1970-01-01 00:00:00 UTC' + INTERVAL {interval}) / 1000 AS BIGINT) AS ms").first()
+    return int(row["ms"])
+
+
 class ProgressCollector(StreamingQueryListener):
     """Progress of streaming queries as rows (no outgoing HTTP).
 
