@@ -137,10 +137,11 @@ def call_model(
 
     ``slots`` is the number of concurrent calls. An int forces exactly that
     many partitions (an explicit repartition, so AQE coalescing cannot shrink
-    model parallelism). ``"auto"`` repartitions only when the input has fewer
-    partitions than the cluster has cores (a small input read as one file
-    split would otherwise call the model from a single task); a large input
-    keeps its partitioning and nothing is shuffled. ``None`` never shuffles.
+    model parallelism). ``"auto"`` repartitions only a shuffle-free input with
+    fewer partitions than the cluster has cores (a small input read as one
+    file split would otherwise call the model from a single task); a large
+    input keeps its partitioning and nothing is shuffled. ``None`` never
+    shuffles.
     """
     clash = {c.lower() for c in df.columns} & set(RESPONSE_COLUMNS)
     if clash:
@@ -171,9 +172,9 @@ def call_model(
 
     ship_package(df.sparkSession)
     if slots == "auto":
-        target = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
-            df = df.repartition(target)
+        from ..sources.readers import spread
+
+        df = spread(df)
     elif slots:
         df = df.repartition(int(slots))
     return df.mapInPandas(run, schema)

@@ -129,15 +129,30 @@ def null_if_blank(c: Column | str) -> Column:
     return F.when(c != F.lit(""), c)
 
 
+def scan_partitions(df: DataFrame) -> int | None:
+    """Partitions of a plan that has no shuffle yet; None when it has one.
+
+    Asking an adaptive (shuffling) plan for its RDD would run its shuffle
+    stages on the spot, so such plans are not asked: their width is the
+    shuffle's. A plan without a shuffle builds its RDD lazily (file listing
+    only).
+    """
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" or "Exchange" in plan.toString():
+        return None
+    return df.rdd.getNumPartitions()
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin an under-partitioned input over the cluster's cores.
 
     A table stored as one file with one row group is read by one task, so any
     heavy per-row work (regexes over whole texts) would run on one core. When
-    the input already has enough partitions (the large-table case) nothing is
-    shuffled.
+    the input already has enough partitions (the large-table case), or comes
+    out of a shuffle, nothing is added.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    n = scan_partitions(df)
+    if n is not None and n < target:
         return df.repartition(target)
     return df
