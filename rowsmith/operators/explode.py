@@ -24,6 +24,7 @@ def explode_answer(
     scalar_fields: Sequence[str] = (),
     prefix: str = "answer_",
     position: str = "linjenummer",
+    defaults: dict | None = None,
 ) -> DataFrame:
     """one row per element of ``answer.list_field``, numbered from 1.
 
@@ -31,12 +32,17 @@ def explode_answer(
     Spark names are case-insensitive and an input ``Kreditor`` would silently
     collide with an answer ``kreditor``), the element fields, and the position.
     An empty or null list gives no row; use :func:`unexploded` to list those.
+
+    ``defaults`` (P9) maps a scalar field to the value used when it is null.
+    ``from_json`` cannot tell an absent key from an explicit null, so the
+    default covers both (the reference's ``dict.get`` covers only the first).
     """
     ans = F.col(answer)
+    defaults = defaults or {}
     el_type = df.schema[answer].dataType[list_field].dataType.elementType
     base = df.select(
         *[F.col(k) for k in keep],
-        *[ans[f].alias(prefix + f) for f in scalar_fields],
+        *[(F.coalesce(ans[f], F.lit(defaults[f])) if f in defaults else ans[f]).alias(prefix + f) for f in scalar_fields],
         F.posexplode(ans[list_field]).alias("_pos", "_el"),
     )
     return base.select(

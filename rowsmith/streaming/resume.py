@@ -148,3 +148,12 @@ def run_stream(
     if query.exception() is not None:
         raise RuntimeError(f"stream failed: {query.exception()}")
     return spark.read.parquet(result_path)
+
+
+def delete_results(spark: SparkSession, path: str) -> bool:
+    """Remove a result/checkpoint folder after the final output is safely
+    written (a job-level clean-up step, off unless the job asks for it)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(hpath, True)) if fs.exists(hpath) else False
