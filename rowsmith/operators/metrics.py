@@ -1,9 +1,9 @@
 """Throughput, response statistics and progress.
 
 Count windows are computed from a distributed row index (no single-task window
-per stream), aggregated with a partial ``groupBy``, and chained to the previous
-window by an equi-join on ``window - 1`` instead of a ``lag`` over the whole
-stream.
+per stream) and one partial ``groupBy``; the previous window's end reaches each
+window through a copy of its last fragment, instead of a ``lag`` over the whole
+stream or a self-join that would run the pipeline twice.
 """
 
 from __future__ import annotations
@@ -37,33 +37,32 @@ def count_windows(
     """
     idx = row_index(tokens, order_by, stream_cols, name="_tok_idx")
     us = F.unix_micros(F.col(ts_col).cast("timestamp"))
-    win = idx.select(
-        *stream_cols,
-        F.floor(F.col("_tok_idx") / F.lit(size)).cast("long").alias("window_no"),
-        F.col("_tok_idx"),
-        us.alias("_us"),
-        _c(token).cast("string").alias("_tok"),
-    )
-    agg = win.groupBy(*stream_cols, "window_no").agg(
-        F.count(F.lit(1)).alias("n_tokens"),
-        F.min("_us").alias("_first_us"),
-        F.max("_us").alias("_last_us"),
+    win = F.floor(F.col("_tok_idx") / F.lit(size)).cast("long")
+    own = F.struct(win.alias("w"), F.lit(True).alias("real"), F.col("_tok_idx").alias("i"), us.alias("us"),
+                   _c(token).cast("string").alias("tok"))
+    # The last fragment of a window also travels to the next window as that
+    # window's start, so one aggregation (no self-join, no lag) gives both.
+    carry = F.struct((win + F.lit(1)).alias("w"), F.lit(False).alias("real"), F.col("_tok_idx").alias("i"),
+                     us.alias("us"), F.lit(None).cast("string").alias("tok"))
+    is_last = (F.col("_tok_idx") % F.lit(size)) == F.lit(size - 1)
+    entries = F.when(is_last, F.array(own, carry)).otherwise(F.array(own))
+    e = idx.select(*stream_cols, F.explode(entries).alias("e"))
+    real = F.col("e.real")
+    agg = e.groupBy(*stream_cols, F.col("e.w").alias("window_no")).agg(
+        F.count(F.when(real, F.lit(1))).alias("n_tokens"),
+        F.min(F.when(real, F.col("e.us"))).alias("_first_us"),
+        F.max(F.when(real, F.col("e.us"))).alias("_last_us"),
+        F.max(F.when(~real, F.col("e.us"))).alias("_prev_end_us"),
         F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("_tok_idx", "_tok"))), lambda x: x["_tok"]), ""
+            F.transform(
+                F.array_sort(F.collect_list(F.when(real, F.struct(F.col("e.i"), F.col("e.tok"))))), lambda x: x["tok"]
+            ),
+            "",
         ).alias("text"),
-    )
-    prev = agg.select(
-        *[F.col(s).alias(f"_p{i}") for i, s in enumerate(stream_cols)],
-        (F.col("window_no") + F.lit(1)).alias("_p_win"),
-        F.col("_last_us").alias("_prev_end_us"),
-    )
-    cond = [F.col(s).eqNullSafe(F.col(f"_p{i}")) for i, s in enumerate(stream_cols)] + [
-        F.col("window_no") == F.col("_p_win")
-    ]
-    joined = agg.join(prev, on=cond, how="left")
+    ).filter(F.col("n_tokens") > 0)
     start = F.coalesce(F.col("_prev_end_us"), F.col("_first_us"))
     elapsed = F.col("_last_us") - start
-    return joined.select(
+    return agg.select(
         *stream_cols,
         "window_no",
         "n_tokens",
