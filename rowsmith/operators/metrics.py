@@ -20,6 +20,18 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def epoch_micros(df: DataFrame, ts_col: str) -> Column:
+    """Micro-seconds since the epoch, independent of the session time zone.
+
+    A ``TIMESTAMP_NTZ`` is a wall-clock value: casting it to ``TIMESTAMP`` would
+    read it in the session zone (and shift across daylight-saving changes), so
+    it is measured against the NTZ epoch instead.
+    """
+    if df.schema[ts_col].dataType.typeName() == "timestamp_ntz":
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts_col}`)")
+    return F.unix_micros(F.col(ts_col))
+
+
 def count_windows(
     tokens: DataFrame,
     stream_cols: Sequence[str],
@@ -36,7 +48,7 @@ def count_windows(
     (0 when no time passed). A last partial window uses its own length.
     """
     idx = row_index(tokens, order_by, stream_cols, name="_tok_idx")
-    us = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    us = epoch_micros(tokens, ts_col)
     win = F.floor(F.col("_tok_idx") / F.lit(size)).cast("long")
     own = F.struct(win.alias("w"), F.lit(True).alias("real"), F.col("_tok_idx").alias("i"), us.alias("us"),
                    _c(token).cast("string").alias("tok"))

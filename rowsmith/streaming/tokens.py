@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
+from ..operators.metrics import epoch_micros
+
 WINDOW_FIELDS = "window_no LONG, n_tokens LONG, text STRING, elapsed_us LONG, tokens_per_sec DOUBLE"
 STATE_SCHEMA = "next_window LONG, prev_end_us LONG, pend_tok ARRAY<STRING>, pend_us ARRAY<LONG>, pend_ord ARRAY<LONG>"
 
@@ -56,7 +58,7 @@ def stream_count_windows(
     rows = stream.withWatermark(ts_col, watermark_delay).select(
         F.col(ts_col),
         *keys,
-        F.unix_micros(F.col(ts_col).cast("timestamp")).alias("_us"),
+        epoch_micros(stream, ts_col).alias("_us"),
         F.col(order_col).cast("long").alias("_ord"),
         F.col(token_col).cast("string").alias("_tok"),
     )
