@@ -97,6 +97,13 @@ def test_parse_string_number_is_violation(spark):
     assert a["secure"] is None
 
 
+def test_parse_repeated_key(spark):
+    df = spark.createDataFrame([('{"label": "first", "label": "last", "secure": 3}',)], "r STRING")
+    a = A.with_parsed_answer(df, "r", SCHEMA).first()["answer"]
+    # json.loads keeps the last value of a repeated key; so does Spark's parser.
+    assert (a["label"], a["secure"], a["status"]) == ("last", 3, "ok")
+
+
 def test_score_bands(spark):
     df = spark.createDataFrame([(s,) for s in [0, 1, 2, 3, 7, 8, 10, 11, None]], "s INT")
     got = [tuple(r) for r in df.select(A.score_band("s"), A.score_in_range("s")).collect()]
