@@ -21,6 +21,28 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# A group with more rows than this is "hot": its list is built in sorted
+# chunks by many tasks before the chunks are joined, instead of one task
+# collecting and sorting the whole group.
+HOT_GROUP_ROWS = 200_000
+HOT_CHUNK_ROWS = 20_000
+HOT_SAMPLE_FRACTION = 0.01
+HOT_KEYS_MAX = 1_000
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int, fraction: float = HOT_SAMPLE_FRACTION,
+             limit: int = HOT_KEYS_MAX) -> list[tuple]:
+    """Keys that look bigger than ``min_rows`` rows in a sample of the keys.
+
+    Only the sampled key columns are aggregated, and at most ``limit`` keys
+    come back to the driver, so the list has a fixed bound. A missed or wrongly
+    flagged key only changes which path builds its list, never the result.
+    """
+    sampled = df.select(*keys).sample(fraction=fraction, seed=17).groupBy(*keys).count()
+    big = sampled.filter(F.col("count") >= F.lit(max(1.0, min_rows * fraction)))
+    return [tuple(r[k] for k in keys) for r in big.limit(limit).collect()]
+
+
 def ordered_groups(
     df: DataFrame,
     keys: Sequence[str],
@@ -28,29 +50,72 @@ def ordered_groups(
     fields: Mapping[str, Column | str],
     tie_breakers: Sequence[str] = (),
     list_col: str = "items",
+    hot_rows: int | None = HOT_GROUP_ROWS,
+    chunk_rows: int = HOT_CHUNK_ROWS,
+    sample_fraction: float = HOT_SAMPLE_FRACTION,
 ) -> DataFrame:
     """A1 + O1: one row per key with the ordered list of ``fields`` structs.
 
     Sorted by ``order_col`` ascending with nulls last, then by ``tie_breakers``
     and then by every collected field, so ties have one fixed order. Rows with a
     null key are left out (a null key matches nothing).
+
+    Ordinary groups: one partially aggregated ``collect_list`` + ``array_sort``.
+    Hot groups (found by :func:`hot_keys`; ``hot_rows=None`` turns this off)
+    are ranked by the distributed ``row_index`` (range partitioned, so a hot
+    group is sorted by many tasks), cut into sorted chunks of ``chunk_rows``
+    built in parallel, and only the ordered chunks meet in one place, where
+    they are concatenated into the group's one output value.
     """
     not_null = None
     for k in keys:
         cond = F.col(k).isNotNull()
         not_null = cond if not_null is None else not_null & cond
-    item = F.struct(
-        F.col(order_col).isNull().alias("_o_null"),
-        F.col(order_col).alias("_o"),
+    names = list(fields)
+    rows = df.filter(not_null)
+
+    def simple(part: DataFrame) -> DataFrame:
+        item = F.struct(
+            F.col(order_col).isNull().alias("_o_null"),
+            F.col(order_col).alias("_o"),
+            *[F.col(t).alias(f"_t{i}") for i, t in enumerate(tie_breakers)],
+            *[_c(v).alias(k) for k, v in fields.items()],
+        )
+        grouped = part.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_sorted"))
+        return grouped.select(
+            *keys, F.transform("_sorted", lambda x: F.struct(*[x[n].alias(n) for n in names])).alias(list_col)
+        )
+
+    hot = hot_keys(rows, keys, hot_rows, sample_fraction) if hot_rows else []
+    if not hot:
+        return simple(rows)
+
+    from .ordering import row_index
+
+    key_schema = rows.select(*keys).schema
+    hot_df = F.broadcast(rows.sparkSession.createDataFrame(hot, key_schema))  # <= HOT_KEYS_MAX rows
+    cold = simple(rows.join(hot_df, list(keys), "left_anti"))
+    hot_rows_df = rows.join(hot_df, list(keys), "left_semi").select(
+        *keys, F.col(order_col).alias("_o"),
         *[F.col(t).alias(f"_t{i}") for i, t in enumerate(tie_breakers)],
-        *[_c(v).alias(k) for k, v in fields.items()],
+        *[_c(v).alias(f"_f_{k}") for k, v in fields.items()],
     )
-    names = list(fields)
-    grouped = df.filter(not_null).groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_sorted"))
-    return grouped.select(
-        *keys,
-        F.transform("_sorted", lambda x: F.struct(*[x[n].alias(n) for n in names])).alias(list_col),
+    order = (
+        [F.col("_o").asc_nulls_last()]
+        + [F.col(f"_t{i}").asc_nulls_first() for i in range(len(tie_breakers))]
+        + [F.col(f"_f_{k}").asc_nulls_first() for k in names]
+    )
+    ranked = row_index(hot_rows_df, order, keys, name="_rank")
+    item = F.struct(F.col("_rank"), *[F.col(f"_f_{k}").alias(k) for k in names])
+    chunks = ranked.groupBy(*keys, F.floor(F.col("_rank") / F.lit(chunk_rows)).alias("_chunk")).agg(
+        F.array_sort(F.collect_list(item)).alias("_part")
+    )
+    joined = chunks.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct("_chunk", "_part"))).alias("_parts")
     )
+    flat = F.flatten(F.transform("_parts", lambda p: p["_part"]))
+    hot_out = joined.select(*keys, F.transform(flat, lambda x: F.struct(*[x[n].alias(n) for n in names])).alias(list_col))
+    return cold.unionByName(hot_out)
 
 
 def invoice_context(

@@ -154,5 +154,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     n = scan_partitions(df)
     if n is not None and n < target:
-        return df.repartition(target)
+        # Hash on the row's position in its split: no per-partition sort (a
+        # round-robin repartition sorts every partition first), and the same
+        # split always sends the same row to the same place on a retry.
+        return df.repartition(target, F.monotonically_increasing_id())
     return df

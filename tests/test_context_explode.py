@@ -102,3 +102,18 @@ def test_page_explode_and_names(spark):
     out = EX.page_explode(df, "doc", EX.split_pages("text")).orderBy("doc", "page_no").collect()
     assert [(r["doc"], r["page_no"], r["page_name"], bytes(r["content"]).decode()) for r in out] == [
         (5, 1, "5_1.png", "p1"), (5, 2, "5_2.png", "p2"), (5, 3, "5_3.png", ""), (6, 1, "6_1.png", "only")]
+
+
+def test_ordered_groups_hot_split_matches_simple(spark):
+    from rowsmith.operators.context import ordered_groups
+
+    rows = [("hot", i % 37, f"t{i % 11}", float(i % 5)) for i in range(3000)]
+    rows += [(f"c{i % 20}", i % 3, f"u{i}", None) for i in range(200)]
+    rows += [(None, 1, "nokey", 1.0)]
+    df = spark.createDataFrame(rows, "k STRING, l INT, t STRING, q DOUBLE").repartition(5)
+    fields = {"t": "t", "q": "q"}
+    plain = ordered_groups(df, ["k"], "l", fields, hot_rows=None)
+    split = ordered_groups(df, ["k"], "l", fields, hot_rows=500, chunk_rows=128, sample_fraction=1.0)
+    a = {r["k"]: [tuple(x) for x in r["items"]] for r in plain.collect()}
+    b = {r["k"]: [tuple(x) for x in r["items"]] for r in split.collect()}
+    assert a == b and len(a["hot"]) == 3000 and None not in a
