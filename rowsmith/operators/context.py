@@ -126,7 +126,9 @@ def invoice_context(
     tie_breakers: Sequence[str] = (),
     as_json: bool = True,
     context_col: str = "context",
-    method: str = "window",
+    method: str = "auto",
+    hot_rows: int = HOT_GROUP_ROWS,
+    sample_fraction: float = HOT_SAMPLE_FRACTION,
 ) -> DataFrame:
     """Add the ordered invoice context to every line.
 
@@ -138,16 +140,31 @@ def invoice_context(
     with a null key never share a window partition: they are spread by a hash
     of the row, so a third of the table without a creditor does not land in
     one task. ``method="join"`` aggregates the lists (partial, map-side) and
-    joins them back: it scans the input twice, but AQE can split a hot
-    invoice on the join side.
+    joins them back: it scans the input twice, but the list of a hot invoice
+    is built in chunks (see :func:`ordered_groups`) and AQE can split the hot
+    invoice's lines over many join tasks. ``method="auto"`` (default) looks for
+    hot invoices in a sample of the keys (:func:`hot_keys`) and sends only
+    those through the join form, the rest through the window.
     """
     clean = {k: (nan_to_null(v) if _is_double(lines, v) else _c(v)) for k, v in fields.items()}
     has_key = None
     for k in keys:
         cond = F.col(k).isNotNull()
         has_key = cond if has_key is None else has_key & cond
+    if method == "auto":
+        hot = hot_keys(lines.filter(has_key), keys, hot_rows, sample_fraction)
+        if not hot:
+            method = "window"
+        else:
+            hot_df = F.broadcast(lines.sparkSession.createDataFrame(hot, lines.select(*keys).schema))
+            args = (keys, order_col, fields, tie_breakers, as_json, context_col)
+            cold = invoice_context(lines.join(hot_df, list(keys), "left_anti"), *args, method="window")
+            warm = invoice_context(lines.join(hot_df, list(keys), "left_semi"), *args, method="join",
+                                   hot_rows=hot_rows, sample_fraction=sample_fraction)
+            return cold.unionByName(warm)
     if method == "join":
-        groups = ordered_groups(lines, keys, order_col, clean, tie_breakers, list_col="_ctx")
+        groups = ordered_groups(lines, keys, order_col, clean, tie_breakers, list_col="_ctx", hot_rows=hot_rows,
+                                sample_fraction=sample_fraction)
         if as_json:
             groups = groups.select(*keys, context_json("_ctx").alias("_ctx"))
             empty = F.lit("[]")

@@ -23,11 +23,12 @@ LINES = [
 SCHEMA = "k STRING, f LONG, l INT, t STRING, q DOUBLE, p DOUBLE"
 
 
-@pytest.mark.parametrize("method", ["window", "join"])
-def test_invoice_context(spark, method):
+@pytest.mark.parametrize("method,hot_rows", [("window", 1), ("join", 1), ("join", 2), ("auto", 200_000), ("auto", 2)])
+def test_invoice_context(spark, method, hot_rows):
     df = spark.createDataFrame(LINES, SCHEMA)
     out = invoice_context(df, ["k", "f"], "l", {"fakturalinje": "t", "antal": "q", "stykpris": "p"},
-                          tie_breakers=["t"], context_col="ctx", method=method)
+                          tie_breakers=["t"], context_col="ctx", method=method, hot_rows=hot_rows,
+                          sample_fraction=1.0)
     got = {r["t"]: r["ctx"] for r in out.collect()}
     k1 = ('[{"fakturalinje":"a","antal":1.0,"stykpris":1.0},{"fakturalinje":"a2","antal":3.0,"stykpris":null},'
           '{"fakturalinje":"b","antal":1.0,"stykpris":2.0},{"fakturalinje":"z","antal":1.0,"stykpris":1.0}]')
