@@ -23,6 +23,7 @@ CANDIDATES = 10  # results asked from the search engine
 MAX_PAGES = 3  # pages kept per query
 NO_TITLE = "Ingen titel"
 BROADCAST_MAX_QUERY_WORDS = 100_000
+BROADCAST_MAX_CANDIDATES = 1_000_000
 
 
 def page_words(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
@@ -49,6 +50,10 @@ def search_candidates(
     html_col: str = "html",
 ) -> DataFrame:
     """J4 + O2: the ``candidates`` best pages per query: (query_id, rank, page_id, score)."""
+    return _candidates(pages, queries, candidates, id_col, html_col)[0]
+
+
+def _candidates(pages, queries, candidates, id_col, html_col):
     qw = query_words(queries)
     n_words = qw.count()  # driver gets one number: the size check for the broadcast
     if n_words <= BROADCAST_MAX_QUERY_WORDS:
@@ -58,7 +63,8 @@ def search_candidates(
     )
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(id_col).asc())
     ranked = hits.withColumn("rank", F.row_number().over(w))
-    return ranked.filter(F.col("rank") <= F.lit(candidates))
+    # A query without words has no candidates, so rows <= candidates * words.
+    return ranked.filter(F.col("rank") <= F.lit(candidates)), candidates * n_words
 
 
 def first_pages(
@@ -78,14 +84,16 @@ def first_pages(
     are dropped *after* the candidate cut, as the reference does. Output:
     query_id, position (1..max_pages), page_id, title, url, text.
     """
-    cand = search_candidates(pages, queries, candidates, id_col, html_col)
+    cand, max_rows = _candidates(pages, queries, candidates, id_col, html_col)
     href = F.col(href_col) if href_col else F.lit(None).cast("string")
     link = F.coalesce(F.when(href != "", href), F.when(F.col(url_col) != "", F.col(url_col)))
     cols = [id_col, url_col, html_col] + ([href_col] if href_col else [])
     # Only the candidates' pages are rendered to text: join first, then parse.
-    # The candidate list has at most ``candidates`` rows per query, and the
-    # query list was counted above, so it is the side to broadcast.
-    got = pages.select(*cols).join(F.broadcast(cand), id_col)
+    # The candidate list has at most ``candidates`` rows per query word
+    # counted above; under the bound it is the side to broadcast.
+    if max_rows <= BROADCAST_MAX_CANDIDATES:
+        cand = F.broadcast(cand)
+    got = pages.select(*cols).join(cand, id_col)
     title = H.html_title(html_col)
     with_link = got.select(
         "query_id", "rank", F.col(id_col), link.alias("link"),
