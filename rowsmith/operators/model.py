@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ..config import ModelParams
+
 RESPONSE_FIELDS = (
     T.StructField("response", T.StringType()),
     T.StructField("n_tokens", T.IntegerType()),
@@ -224,6 +226,9 @@ class KeywordBackend:
     default_label: str = DEFAULT_NO_RULE_LABEL
     fields: tuple[str, ...] = ("label", "reason", "secure")
     score_mod: int = 12
+    # M6: per-job model settings; max_tokens cuts the answer after that many
+    # space-separated tokens and reports the length stop, as a server would.
+    params: ModelParams | None = None
 
     def build(self) -> KeywordBackend:
         return self
@@ -254,7 +259,14 @@ class KeywordBackend:
                 text = text + ("" if i == 0 else ", ") + f'"{f}": ' + values[f]
             text = text + "}"
         n_tok = text.str.count(" ") + 1
-        return pd.DataFrame({"response": text, "n_tokens": n_tok, "stop_reason": "eosFound"})
+        stop = pd.Series("eosFound", index=text.index, dtype=object)
+        if self.params is not None and self.params.max_tokens:
+            m = self.params.max_tokens
+            over = n_tok > m
+            text = text.where(~over, text.str.split(" ").str[:m].str.join(" "))
+            n_tok = n_tok.clip(upper=m)
+            stop[over] = "maxPredictedTokensReached"
+        return pd.DataFrame({"response": text, "n_tokens": n_tok, "stop_reason": stop})
 
 
 _KEY = re.compile(r"#(\d+)")

@@ -75,3 +75,24 @@ def test_every_nth(spark):
     assert [r["k"] for r in every_nth(df, "row_id", 25).orderBy("k").collect()] == [24, 49, 74, 99]
     with pytest.raises(ValueError):
         every_nth(df, "row_id", 0)
+
+
+def test_model_params_cut_answers(spark):
+    from rowsmith.config import ModelParams
+    from rowsmith.functions import answers as A
+
+    be = M.KeywordBackend(fields=("label", "secure"), params=ModelParams(max_tokens=2))
+    df = _prompts(spark, ["a bolt", "nothing"])
+    out = A.with_parsed_answer(M.call_model(df, be), "response", A.PURCHASE_SMALL).orderBy("id").collect()
+    assert [r["stop_reason"] for r in out] == ["maxPredictedTokensReached"] * 2
+    assert [r["answer"]["status"] for r in out] == ["invalid", "invalid"]  # cut JSON
+    full = M.call_model(df, M.KeywordBackend(fields=("label", "secure"), params=ModelParams(max_tokens=200))).collect()
+    assert all(r["stop_reason"] == "eosFound" for r in full)
+
+
+def test_stats_message(spark):
+    from rowsmith.operators.metrics import stats_message
+
+    df = spark.createDataFrame([(0, 12.345, 7, "eosFound")], "i INT, tps DOUBLE, n INT, stop STRING")
+    msg = df.select(stats_message(F.col("i") + 1, "tps", "n", "stop")).first()[0]
+    assert msg == "[Row 1] Tokens/sec: 12.35 | Total tokens: 7 | Stop reason: eosFound"
