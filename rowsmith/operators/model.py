@@ -200,17 +200,6 @@ DEFAULT_KEYWORD_RULES: tuple[tuple[str, str], ...] = (
 DEFAULT_NO_RULE_LABEL = "ved ikke"
 
 
-def keyword_labels(prompts: pd.Series, rules: Sequence[tuple[str, str]], default: str) -> pd.Series:
-    low = prompts.str.lower()
-    out = pd.Series(default, index=prompts.index, dtype=object)
-    decided = pd.Series(False, index=prompts.index)
-    for needle, label in rules:
-        hit = low.str.contains(needle, regex=False) & ~decided
-        out[hit] = label
-        decided |= hit
-    return out
-
-
 @dataclass(frozen=True)
 class KeywordBackend:
     """Rules on the prompt -> JSON (``mode='json'``) or prose with thinking.
@@ -235,17 +224,18 @@ class KeywordBackend:
 
     def respond(self, requests: pd.DataFrame) -> pd.DataFrame:
         prompts = requests["prompt"].astype(str)
-        labels = keyword_labels(prompts, self.rules, self.default_label)
+        low = prompts.str.lower()
+        labels = pd.Series(self.default_label, index=prompts.index, dtype=object)
+        needles = pd.Series("none", index=prompts.index, dtype=object)
+        open_ = np.ones(len(prompts), dtype=bool)
+        for needle, label in self.rules:  # first matching rule wins
+            hit = open_ & low.str.contains(needle, regex=False).to_numpy()
+            labels[hit] = label
+            needles[hit] = needle
+            open_ &= ~hit
         if self.mode == "prose":
             text = "<think>\n" + prompts + "\n</think>\nSvaret er **" + labels + "**."
         else:
-            needles = pd.Series("none", index=prompts.index, dtype=object)
-            low = prompts.str.lower()
-            done = pd.Series(False, index=prompts.index)
-            for needle, _ in self.rules:
-                hit = low.str.contains(needle, regex=False) & ~done
-                needles[hit] = needle
-                done |= hit
             score = (prompts.str.len() % self.score_mod).astype(str)
             values = {
                 "label": '"' + labels + '"',
@@ -254,9 +244,10 @@ class KeywordBackend:
                 "reason_against": '"no rule before ' + needles + '"',
                 "secure": score,
             }
-            text = "{" + pd.Series("", index=prompts.index)
-            for i, f in enumerate(self.fields):
-                text = text + ("" if i == 0 else ", ") + f'"{f}": ' + values[f]
+            parts = [f'"{f}": ' + values[f] for f in self.fields]
+            text = "{" + parts[0]
+            for p in parts[1:]:
+                text = text + ", " + p
             text = text + "}"
         n_tok = text.str.count(" ") + 1
         stop = pd.Series("eosFound", index=text.index, dtype=object)
