@@ -1,8 +1,9 @@
 """The model stage (M1-M8): a pluggable backend called over Arrow batches.
 
-``call_model`` wraps ``mapInPandas``. Spark keeps the stage a single physical
+``call_model`` wraps ``mapInArrow``. Spark keeps the stage a single physical
 operator (a plain UDF could be duplicated by projection collapsing), so each row
-is sent once per task attempt. The backend is built from a hashable spec once per
+is sent once per task attempt. Only the request columns are turned into pandas
+for the backend; every other column passes through as Arrow. The backend is built from a hashable spec once per
 Python worker (M7) and receives whole pandas batches; failures are isolated per
 row (M5): a failed batch is split and retried, and only the bad rows get an
 ``error`` and null outputs. Rows whose prompt is null are never sent (P1).
@@ -23,6 +24,8 @@ from typing import Protocol
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -156,19 +159,27 @@ def call_model(
     out_cols = [f.name for f in passed]
     req_cols = [prompt_col, *request_cols]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    arrow_types = {"response": pa.string(), "n_tokens": pa.int32(), "seconds": pa.float64(),
+                   "stop_reason": pa.string(), "error": pa.string()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Arrow in, Arrow out: only the request columns become pandas for the
+        # backend; pass-through columns go back untouched (no conversion).
         be = worker_backend(backend)
-        for pdf in batches:
-            pdf = pdf.reset_index(drop=True)
-            res = _empty_result(len(pdf))
-            mask = pdf[prompt_col].notna().to_numpy()
-            if mask.any():
-                req = pdf.loc[mask, req_cols].rename(columns={prompt_col: "prompt"})
-                got = respond_isolated(be, req)
-                got.index = np.flatnonzero(mask)
+        for rb in batches:
+            n = rb.num_rows
+            res = _empty_result(n)
+            valid = pc.is_valid(rb.column(prompt_col))
+            if n and pc.any(valid).as_py():
+                sent = rb.filter(valid)
+                req = pa.Table.from_batches([sent]).select(req_cols).to_pandas()
+                got = respond_isolated(be, req.rename(columns={prompt_col: "prompt"}))
+                rows = np.flatnonzero(valid.to_numpy(zero_copy_only=False))
                 for c in RESPONSE_COLUMNS:
-                    res.loc[mask, c] = got[c].to_numpy()
-            yield pd.concat([pdf[out_cols], res], axis=1)
+                    res.loc[rows, c] = got[c].to_numpy()
+            arrays = [rb.column(c) for c in out_cols]
+            arrays += [pa.Array.from_pandas(res[c], type=arrow_types[c]) for c in RESPONSE_COLUMNS]
+            yield pa.RecordBatch.from_arrays(arrays, names=out_cols + RESPONSE_COLUMNS)
 
     from ..session import ship_package
 
@@ -179,7 +190,7 @@ def call_model(
         df = spread(df)
     elif slots:
         df = df.repartition(int(slots))
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 # ---------------------------------------------------------------------------
