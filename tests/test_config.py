@@ -38,3 +38,17 @@ def test_explode_defaults(spark):
     out = explode_answer(df, "a", "l", keep=["id"], scalar_fields=["kreditor"], defaults={"kreditor": ""})
     assert out.select("answer_kreditor").first()[0] == ""
     assert F is not None
+
+
+def test_load_template_and_observe(spark, tmp_dir):
+    from rowsmith.functions.prompts import load_template
+    from rowsmith.operators.metrics import observed_progress
+
+    path = os.path.join(tmp_dir, "t.txt")
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write("Linje: {x}\n")
+    assert load_template(path) == "Linje: {x}\n"
+    df = spark.createDataFrame([(1, None), (2, "boom")], "id INT, error STRING")
+    obs_df = observed_progress(df)
+    obs_df.write.format("noop").mode("overwrite").save()
+    assert obs_df._rowsmith_observation.get == {"rows": 2, "errors": 1}
