@@ -3,7 +3,7 @@
 Count windows are computed from a distributed row index (no single-task window
 per stream) and one partial ``groupBy``; the previous window's end reaches each
 window through a copy of its last fragment, instead of a ``lag`` over the whole
-stream or a self-join that would run the pipeline twice.
+stream or a self-join that would run the whole plan twice.
 """
 
 from __future__ import annotations
