@@ -28,16 +28,31 @@ HOT_GROUP_ROWS = 200_000
 HOT_CHUNK_ROWS = 20_000
 HOT_SAMPLE_FRACTION = 0.01
 HOT_KEYS_MAX = 1_000
+# Below this much input (bytes read by the plan's scans) no group can be big
+# enough to hurt one task, so the sampling pass is skipped.
+HOT_CHECK_MIN_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes the plan's leaf scans read, from Catalyst's statistics (no job)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    total = 0
+    for i in range(leaves.size()):
+        total += int(str(leaves.apply(i).stats().sizeInBytes()))
+    return total
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int, fraction: float = HOT_SAMPLE_FRACTION,
-             limit: int = HOT_KEYS_MAX) -> list[tuple]:
+             limit: int = HOT_KEYS_MAX, min_bytes: int = HOT_CHECK_MIN_BYTES) -> list[tuple]:
     """Keys that look bigger than ``min_rows`` rows in a sample of the keys.
 
     Only the sampled key columns are aggregated, and at most ``limit`` keys
-    come back to the driver, so the list has a fixed bound. A missed or wrongly
+    come back to the driver, so the list has a fixed bound. Inputs smaller
+    than ``min_bytes`` are not sampled at all. A missed or wrongly
     flagged key only changes which path builds its list, never the result.
     """
+    if input_bytes(df) < min_bytes:
+        return []
     sampled = df.select(*keys).sample(fraction=fraction, seed=17).groupBy(*keys).count()
     big = sampled.filter(F.col("count") >= F.lit(max(1.0, min_rows * fraction)))
     return [tuple(r[k] for k in keys) for r in big.limit(limit).collect()]
@@ -53,6 +68,7 @@ def ordered_groups(
     hot_rows: int | None = HOT_GROUP_ROWS,
     chunk_rows: int = HOT_CHUNK_ROWS,
     sample_fraction: float = HOT_SAMPLE_FRACTION,
+    hot_check_min_bytes: int = HOT_CHECK_MIN_BYTES,
 ) -> DataFrame:
     """A1 + O1: one row per key with the ordered list of ``fields`` structs.
 
@@ -86,7 +102,7 @@ def ordered_groups(
             *keys, F.transform("_sorted", lambda x: F.struct(*[x[n].alias(n) for n in names])).alias(list_col)
         )
 
-    hot = hot_keys(rows, keys, hot_rows, sample_fraction) if hot_rows else []
+    hot = hot_keys(rows, keys, hot_rows, sample_fraction, min_bytes=hot_check_min_bytes) if hot_rows else []
     if not hot:
         return simple(rows)
 
@@ -129,6 +145,7 @@ def invoice_context(
     method: str = "auto",
     hot_rows: int = HOT_GROUP_ROWS,
     sample_fraction: float = HOT_SAMPLE_FRACTION,
+    hot_check_min_bytes: int = HOT_CHECK_MIN_BYTES,
 ) -> DataFrame:
     """Add the ordered invoice context to every line.
 
@@ -152,7 +169,7 @@ def invoice_context(
         cond = F.col(k).isNotNull()
         has_key = cond if has_key is None else has_key & cond
     if method == "auto":
-        hot = hot_keys(lines.filter(has_key), keys, hot_rows, sample_fraction)
+        hot = hot_keys(lines.filter(has_key), keys, hot_rows, sample_fraction, min_bytes=hot_check_min_bytes)
         if not hot:
             method = "window"
         else:
@@ -160,11 +177,12 @@ def invoice_context(
             args = (keys, order_col, fields, tie_breakers, as_json, context_col)
             cold = invoice_context(lines.join(hot_df, list(keys), "left_anti"), *args, method="window")
             warm = invoice_context(lines.join(hot_df, list(keys), "left_semi"), *args, method="join",
-                                   hot_rows=hot_rows, sample_fraction=sample_fraction)
+                                   hot_rows=hot_rows, sample_fraction=sample_fraction,
+                                   hot_check_min_bytes=hot_check_min_bytes)
             return cold.unionByName(warm)
     if method == "join":
         groups = ordered_groups(lines, keys, order_col, clean, tie_breakers, list_col="_ctx", hot_rows=hot_rows,
-                                sample_fraction=sample_fraction)
+                                sample_fraction=sample_fraction, hot_check_min_bytes=hot_check_min_bytes)
         if as_json:
             groups = groups.select(*keys, context_json("_ctx").alias("_ctx"))
             empty = F.lit("[]")

@@ -28,7 +28,7 @@ def test_invoice_context(spark, method, hot_rows):
     df = spark.createDataFrame(LINES, SCHEMA)
     out = invoice_context(df, ["k", "f"], "l", {"fakturalinje": "t", "antal": "q", "stykpris": "p"},
                           tie_breakers=["t"], context_col="ctx", method=method, hot_rows=hot_rows,
-                          sample_fraction=1.0)
+                          sample_fraction=1.0, hot_check_min_bytes=0)
     got = {r["t"]: r["ctx"] for r in out.collect()}
     k1 = ('[{"fakturalinje":"a","antal":1.0,"stykpris":1.0},{"fakturalinje":"a2","antal":3.0,"stykpris":null},'
           '{"fakturalinje":"b","antal":1.0,"stykpris":2.0},{"fakturalinje":"z","antal":1.0,"stykpris":1.0}]')
@@ -114,7 +114,12 @@ def test_ordered_groups_hot_split_matches_simple(spark):
     df = spark.createDataFrame(rows, "k STRING, l INT, t STRING, q DOUBLE").repartition(5)
     fields = {"t": "t", "q": "q"}
     plain = ordered_groups(df, ["k"], "l", fields, hot_rows=None)
-    split = ordered_groups(df, ["k"], "l", fields, hot_rows=500, chunk_rows=128, sample_fraction=1.0)
+    split = ordered_groups(df, ["k"], "l", fields, hot_rows=500, chunk_rows=128, sample_fraction=1.0,
+                           hot_check_min_bytes=0)
     a = {r["k"]: [tuple(x) for x in r["items"]] for r in plain.collect()}
     b = {r["k"]: [tuple(x) for x in r["items"]] for r in split.collect()}
     assert a == b and len(a["hot"]) == 3000 and None not in a
+    from rowsmith.operators.context import hot_keys, input_bytes
+
+    assert hot_keys(df, ["k"], 500, fraction=1.0, min_bytes=0) == [("hot",)]
+    assert hot_keys(df, ["k"], 500, fraction=1.0, min_bytes=input_bytes(df) + 1) == []
