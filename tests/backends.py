@@ -34,3 +34,17 @@ class NullAnswers:
 
     def respond(self, requests):
         return pd.DataFrame({"response": [None] * len(requests)})
+
+
+@dataclass(frozen=True)
+class Counting:
+    """Echo backend that counts every request it receives (Spark accumulator)."""
+
+    acc: object = None
+
+    def build(self):
+        return self
+
+    def respond(self, requests: pd.DataFrame) -> pd.DataFrame:
+        self.acc.add(len(requests))
+        return pd.DataFrame({"response": requests["prompt"]})

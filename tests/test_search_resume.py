@@ -117,3 +117,22 @@ def test_stream_count_windows_and_progress(spark, tmp_dir):
         assert (got[k]["text"], got[k]["elapsed_us"], got[k]["tokens_per_sec"]) == (
             full[k]["text"], full[k]["elapsed_us"], full[k]["tokens_per_sec"])
     assert sum(r[2] for r in collector.rows) == 230 or collector.rows == []
+
+
+def test_resume_calls_each_row_once(spark, tmp_dir):
+    from backends import Counting
+    from rowsmith.operators import model as M
+
+    acc = spark.sparkContext.accumulator(0)
+    backend = Counting(acc)
+    data = spark.range(200).select(F.col("id").alias("k"), F.concat(F.lit("p"), F.col("id").cast("string")).alias("prompt"))
+
+    def process(df):
+        return M.call_model(df, backend).select("k", "response")
+
+    path = os.path.join(tmp_dir, "calls")
+    RS.run_resumable(spark, data.filter("k < 70"), ["k"], process, path)
+    assert acc.value == 70
+    out = RS.run_resumable(spark, data, ["k"], process, path, chunks=4)
+    assert acc.value == 200  # the second run sent only the 130 rows not done
+    assert out.count() == 200 and out.select("k").distinct().count() == 200
