@@ -998,3 +998,24 @@ def resume_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
     RS.run_resumable_exploded(spark, orders.filter(F.col("o_orderdate") < F.lit(CRASH_DATE)), ["o_orderkey"], process,
                               "fakturalinjer", path, position="linjenummer")
     return RS.run_resumable_exploded(spark, orders, ["o_orderkey"], process, "fakturalinjer", path, position="linjenummer")
+
+
+# ---------------------------------------------------------------------------
+# W2 + M2: classify in chats of 25 rows
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "classify_chat",
+    sql=f"""SELECT p_partkey, p_name, chat_no, {O.normalise(O.keyword_label('needle'))} AS klassificering,
+  CAST(length(prompt) % 12 AS INTEGER) AS score
+FROM (SELECT *, {O.keyword_needle('prompt')} AS needle
+      FROM (SELECT p_partkey, p_name, CAST(idx // 25 AS BIGINT) AS chat_no,
+              {O.lit(J.CHAT_SYSTEM_PROMPT)} || array_to_string(list('Fakturalinje: ' || coalesce(p_name, 'None')) OVER (
+                PARTITION BY idx // 25 ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), chr(10)) AS prompt
+            FROM (SELECT p_partkey, p_name, row_number() OVER (ORDER BY p_partkey) - 1 AS idx FROM part)))""",
+)
+def classify_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    out = J.classify_chat(part, "p_name", "p_partkey", M.KeywordBackend())
+    return out.select("p_partkey", "p_name", "chat_no", J.OUT_LABEL, J.OUT_SCORE)

@@ -42,13 +42,17 @@ CONTEXT_TEMPLATE = (
 
 def structured_answers(
     df: DataFrame,
-    prompt: Column,
+    prompt: Column | str,
     backend: BackendSpec,
     schema: A.AnswerSchema,
     slots: int | str | None = "auto",
 ) -> DataFrame:
-    """M2: prompt -> model -> parsed ``answer`` struct (+ response, error ...)."""
-    staged = call_model(df.withColumn("prompt", prompt).withColumn("_sent", F.col("prompt").isNotNull()), backend, slots=slots)
+    """M2: prompt -> model -> parsed ``answer`` struct (+ response, error ...).
+
+    ``prompt`` is a Column, or the name of a column of ``df`` holding it.
+    """
+    df = df.withColumnRenamed(prompt, "prompt") if isinstance(prompt, str) else df.withColumn("prompt", prompt)
+    staged = call_model(df.withColumn("_sent", F.col("prompt").isNotNull()), backend, slots=slots)
     return A.with_parsed_answer(staged, "response", schema)
 
 
@@ -219,3 +223,36 @@ def read_documents(
     parsed = parsed.withColumn("answer", F.col("answer").withField("secure", A.whole_int(F.col("answer.secure"))))
     out = explode_answer(parsed, "answer", "fakturalinjer", keep=[id_col], scalar_fields=["kreditor", "secure"])
     return out.withColumn("antal", A.whole_int(F.col("antal")))
+
+
+CHAT_SYSTEM_PROMPT = "Klassificér hver fakturalinje som materialeindkøb eller tjenesteydelse. Svar som JSON.\n"
+CHAT_USER_TEMPLATE = "Fakturalinje: {fakturalinje}"
+
+
+def classify_chat(
+    df: DataFrame,
+    text_col: str,
+    order_col: str,
+    backend: BackendSpec,
+    batch_rows: int = 25,
+    system_prompt: str = CHAT_SYSTEM_PROMPT,
+    slots: int | str | None = "auto",
+) -> DataFrame:
+    """Chat job (W2 + M2): rows in ``order_col`` order are cut into chats of
+    ``batch_rows``; each call sees the system prompt, every earlier user message
+    of its chat and its own (the model's replies are not added, as in the
+    source). Positions come from the distributed ``row_index``; each chat is a
+    window partition of at most ``batch_rows`` rows.
+    """
+    from ..operators.context import running_history
+    from ..operators.ordering import row_index
+
+    idx = row_index(df, [order_col], name="_chat_idx")
+    idx = idx.withColumn("chat_no", F.floor(F.col("_chat_idx") / F.lit(batch_rows)).cast("long"))
+    msg = P.render(CHAT_USER_TEMPLATE, {"fakturalinje": text_col})
+    hist = running_history(idx, ["chat_no"], ["_chat_idx"], msg, name="_msgs")
+    prompt = F.concat(F.lit(system_prompt), F.array_join("_msgs", "\n"))
+    chats = hist.withColumn("_chat_prompt", prompt).drop("_msgs")
+    staged = structured_answers(chats, "_chat_prompt", backend, A.PURCHASE_SIMPLE, slots)
+    outputs = {"label": OUT_LABEL, "secure": OUT_SCORE, "reason": OUT_REASON}
+    return _finish(staged, outputs, [*df.columns, "chat_no"])
