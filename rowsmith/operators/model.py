@@ -129,6 +129,7 @@ def call_model(
     slots: int | str | None = "auto",
     keep_prompt: bool = False,
     passthrough: Sequence[str] | None = None,
+    checkpoint: bool = False,
 ) -> DataFrame:
     """Run the model stage; output = input columns + RESPONSE_FIELDS.
 
@@ -137,6 +138,12 @@ def call_model(
     ``passthrough`` names the input columns to carry to the output (default:
     all but the prompt), e.g. to leave page images behind after the call.
 
+    ``checkpoint`` runs the stage now and keeps its output in the shared
+    checkpoint folder (a reliable checkpoint, lineage cut). Use it when the
+    answers are shuffled on their own values or read twice: a real model is not
+    deterministic, and a stage recomputed after an executor loss must not give
+    a second, different answer for rows already routed by the first.
+
     Select only the columns you need before calling: ``mapInPandas`` is a
     column-pruning barrier, so everything that goes in crosses Arrow twice.
 
@@ -190,7 +197,13 @@ def call_model(
         df = spread(df)
     elif slots:
         df = df.repartition(int(slots))
-    return df.mapInArrow(run, schema)
+    out = df.mapInArrow(run, schema)
+    if checkpoint:
+        from ..session import checkpoint_root
+
+        checkpoint_root(df.sparkSession)  # the shared folder (created only in tests)
+        out = out.checkpoint(eager=True)
+    return out
 
 
 # ---------------------------------------------------------------------------

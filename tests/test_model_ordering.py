@@ -96,3 +96,13 @@ def test_stats_message(spark):
     df = spark.createDataFrame([(0, 12.345, 7, "eosFound")], "i INT, tps DOUBLE, n INT, stop STRING")
     msg = df.select(stats_message(F.col("i") + 1, "tps", "n", "stop")).first()[0]
     assert msg == "[Row 1] Tokens/sec: 12.35 | Total tokens: 7 | Stop reason: eosFound"
+
+
+def test_checkpointed_stage_calls_once(spark):
+    from backends import Counting
+
+    acc = spark.sparkContext.accumulator(0)
+    out = M.call_model(_prompts(spark, [f"p{i}" for i in range(50)]), Counting(acc), checkpoint=True)
+    assert acc.value == 50  # eager: ran once here
+    assert out.count() == 50 and out.filter("response IS NULL").count() == 0
+    assert acc.value == 50  # reading the checkpoint calls nothing again
