@@ -28,13 +28,18 @@ def template_fields(template: str) -> list[str]:
     return names
 
 
-def render(template: str, variables: Mapping[str, Column | str], null_text: str | None = "None") -> Column:
+# Fixed value: how a missing cell prints in a prompt (Python's str() of a
+# pandas missing value).
+NULL_TEXT = "nan"
+
+
+def render(template: str, variables: Mapping[str, Column | str], null_text: str | None = NULL_TEXT) -> Column:
     """render ``template`` with column-valued variables.
 
     ``variables`` maps each placeholder to a Column (or column name). Values are
-    cast to text; a null value prints as ``null_text`` (the reference prints
-    Python's ``None`` / ``nan``); with ``null_text=None`` a null value makes the
-    whole prompt null. An unknown placeholder, a positional ``{}``, a format spec
+    cast to text; a null value prints as ``null_text`` (``nan``, as a missing
+    table cell prints in the source); with ``null_text=None`` a null value makes
+    the whole prompt null. An unknown placeholder, a positional ``{}``, a format spec
     or a conversion raises here, on the driver, before any job runs.
     """
     parts: list[Column] = []

@@ -1011,7 +1011,7 @@ def resume_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
   CAST(length(prompt) % 12 AS INTEGER) AS score
 FROM (SELECT *, {O.keyword_needle('prompt')} AS needle
       FROM (SELECT p_partkey, p_name, CAST(idx // 25 AS BIGINT) AS chat_no,
-              {O.lit(J.CHAT_SYSTEM_PROMPT)} || array_to_string(list('Fakturalinje: ' || coalesce(p_name, 'None')) OVER (
+              {O.lit(J.CHAT_SYSTEM_PROMPT)} || array_to_string(list('Fakturalinje: ' || coalesce(p_name, 'nan')) OVER (
                 PARTITION BY idx // 25 ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), chr(10)) AS prompt
             FROM (SELECT p_partkey, p_name, row_number() OVER (ORDER BY p_partkey) - 1 AS idx FROM part)))""",
 )

@@ -87,9 +87,10 @@ def classify_simple(
     """Classify one line (simple job): label, score, reason per row.
 
     ``on_null='skip'`` sends no prompt for null text (outputs null);
-    ``on_null='text'`` sends the text ``None`` as the reference's simple job does.
+    ``on_null='text'`` sends the text ``nan`` in its place, as the source's
+    simple job does.
     """
-    null_text = None if on_null == "skip" else "None"
+    null_text = None if on_null == "skip" else P.NULL_TEXT
     prompt = P.render(template, {"key": key_col, "fakturalinje": text_col}, null_text=null_text)
     if on_null == "skip":
         prompt = F.when(F.col(text_col).isNotNull(), prompt)

@@ -24,7 +24,7 @@ def lit(text: str) -> str:
     return f"({out})" if len(pieces) > 1 else out
 
 
-def render(template: str, variables: Mapping[str, str], null_text: str | None = "None") -> str:
+def render(template: str, variables: Mapping[str, str], null_text: str | None = "nan") -> str:
     parts: list[str] = []
     for literal, name, _, _ in string.Formatter().parse(template):
         if literal:

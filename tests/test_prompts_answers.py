@@ -16,8 +16,8 @@ def test_render_braces_nulls_numbers(spark):
     )
     tpl = "{{lit}} {s} | {d} | {n} }}"
     out = dict(df.select("id", P.render(tpl, {"s": "s", "d": "d", "n": "n"}).alias("p")).collect())
-    assert out[1] == "{lit} {x} in data | 2.0 | None }"  # braces from data stay
-    assert out[2] == "{lit} None | NaN | 7 }"
+    assert out[1] == "{lit} {x} in data | 2.0 | nan }"  # braces from data stay
+    assert out[2] == "{lit} nan | NaN | 7 }"
     assert out[3] == "{lit} y | 1.0E7 | 0 }"  # Spark prints 1e7 as 1.0E7 (Python: 10000000.0)
 
 
