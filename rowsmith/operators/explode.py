@@ -31,6 +31,8 @@ def explode_answer(
     Output: ``keep`` input columns, the answer's scalar fields (prefixed, because
     Spark names are case-insensitive and an input ``Kreditor`` would silently
     collide with an answer ``kreditor``), the element fields, and the position.
+    An input column named like an element field or the position is replaced by
+    it.
     An empty or null list gives no row; use :func:`unexploded` to list those.
 
     ``defaults`` (P9) maps a scalar field to the value used when it is null.
@@ -40,6 +42,10 @@ def explode_answer(
     ans = F.col(answer)
     defaults = defaults or {}
     el_type = df.schema[answer].dataType[list_field].dataType.elementType
+    # Element fields override same-named input columns, the position overrides
+    # all (names compared case-insensitively, as Spark resolves them).
+    taken = {f.name.lower() for f in el_type.fields} | {position.lower()}
+    keep = [k for k in keep if k.lower() not in taken]
     base = df.select(
         *[F.col(k) for k in keep],
         *[(F.coalesce(ans[f], F.lit(defaults[f])) if f in defaults else ans[f]).alias(prefix + f) for f in scalar_fields],

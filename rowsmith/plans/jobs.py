@@ -222,7 +222,8 @@ def read_documents(
     s2 = call_model(s1.select(id_col, prompt2.alias("prompt")), writer)
     parsed = s2.select(id_col, F.from_json("response", A.INVOICE_DDL, A.JSON_OPTIONS).alias("answer"))
     parsed = parsed.withColumn("answer", F.col("answer").withField("secure", A.whole_int(F.col("answer.secure"))))
-    out = explode_answer(parsed, "answer", "fakturalinjer", keep=[id_col], scalar_fields=["kreditor", "secure"])
+    out = explode_answer(parsed, "answer", "fakturalinjer", keep=[id_col], scalar_fields=["kreditor", "secure"],
+                         defaults={"kreditor": ""})
     return out.withColumn("antal", A.whole_int(F.col("antal")))
 
 

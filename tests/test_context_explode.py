@@ -92,9 +92,10 @@ def test_explode_answer_cases(spark):
     df = spark.createDataFrame(rows, ddl)
     out = EX.explode_answer(df, "answer", "lines", keep=["id", "Kreditor"], scalar_fields=["kreditor"], position="pos")
     got = sorted(tuple(r) for r in out.collect())
-    assert got == [(3, "in3", "a3", 10, "e", 1), (4, "in4", "a4", 1, "p", 1), (4, "in4", "a4", 2, "q", 2),
-                   (4, "in4", "a4", 3, "r", 3)]
-    assert out.columns == ["id", "Kreditor", "answer_kreditor", "x", "kreditor", "pos"]
+    # The element's "kreditor" replaces the input "Kreditor" (one name in Spark);
+    # the answer-level "kreditor" survives under its prefix.
+    assert got == [(3, "a3", 10, "e", 1), (4, "a4", 1, "p", 1), (4, "a4", 2, "q", 2), (4, "a4", 3, "r", 3)]
+    assert out.columns == ["id", "answer_kreditor", "x", "kreditor", "pos"]
     assert sorted(r["id"] for r in EX.unexploded(df, "answer", "lines").collect()) == [1, 2]
 
 
@@ -123,3 +124,11 @@ def test_ordered_groups_hot_split_matches_simple(spark):
 
     assert hot_keys(df, ["k"], 500, fraction=1.0, min_bytes=0) == [("hot",)]
     assert hot_keys(df, ["k"], 500, fraction=1.0, min_bytes=input_bytes(df) + 1) == []
+
+
+def test_explode_element_fields_override_inputs(spark):
+    df = spark.createDataFrame([(1, 9, 99, ("a", [(5,)]))],
+                               "id INT, X INT, linjenummer INT, answer STRUCT<k: STRING, lines: ARRAY<STRUCT<x: INT>>>")
+    out = EX.explode_answer(df, "answer", "lines", keep=["id", "X", "linjenummer"], scalar_fields=["k"])
+    assert out.columns == ["id", "answer_k", "x", "linjenummer"]
+    assert tuple(out.first()) == (1, "a", 5, 1)
