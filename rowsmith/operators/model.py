@@ -27,6 +27,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import ModelParams
@@ -130,6 +131,7 @@ def call_model(
     keep_prompt: bool = False,
     passthrough: Sequence[str] | None = None,
     checkpoint: bool = False,
+    dedupe: bool = False,
 ) -> DataFrame:
     """Run the model stage; output = input columns + RESPONSE_FIELDS.
 
@@ -138,6 +140,12 @@ def call_model(
     ``passthrough`` names the input columns to carry to the output (default:
     all but the prompt), e.g. to leave page images behind after the call.
 
+    ``dedupe`` calls the model once per distinct request (prompt plus request
+    columns) and joins the answers back: right only for a deterministic model
+    (temperature 0), so it is off by default, as the source calls once per row.
+    The distinct step combines map-side, and a prompt shared by a third of the
+    rows is one call and one skew-split join key, not a hot task.
+
     ``checkpoint`` runs the stage now and keeps its output in the shared
     checkpoint folder (a reliable checkpoint, lineage cut). Use it when the
     answers are shuffled on their own values or read twice: a real model is not
@@ -158,6 +166,15 @@ def call_model(
     clash = {c.lower() for c in df.columns} & set(RESPONSE_COLUMNS)
     if clash:
         raise ValueError(f"input already has model output columns {sorted(clash)}; rename them first")
+    if dedupe:
+        req = [prompt_col, *request_cols]
+        uniq = df.select(*req).filter(F.col(prompt_col).isNotNull()).dropDuplicates(req)
+        answers = call_model(uniq, backend, prompt_col, request_cols, slots, keep_prompt=True, checkpoint=checkpoint)
+        keep = [c for c in df.columns if (keep_prompt or c != prompt_col)]
+        if passthrough is not None:
+            keep = [c for c in keep if c in set(passthrough) or (keep_prompt and c == prompt_col)]
+        joined = df.join(answers, on=req, how="left")
+        return joined.select(*[F.col(c) for c in keep], *RESPONSE_COLUMNS)
     passed = [f for f in df.schema.fields if keep_prompt or f.name != prompt_col]
     if passthrough is not None:
         wanted = set(passthrough) | ({prompt_col} if keep_prompt else set())

@@ -106,3 +106,16 @@ def test_checkpointed_stage_calls_once(spark):
     assert acc.value == 50  # eager: ran once here
     assert out.count() == 50 and out.filter("response IS NULL").count() == 0
     assert acc.value == 50  # reading the checkpoint calls nothing again
+
+
+def test_dedupe_calls_once_per_distinct_prompt(spark):
+    from backends import Counting
+
+    acc = spark.sparkContext.accumulator(0)
+    items = [f"p{i % 7}" for i in range(100)] + [None, None]
+    df = _prompts(spark, items)
+    out = M.call_model(df, Counting(acc), dedupe=True)
+    got = {r["id"]: r["response"] for r in out.collect()}
+    assert acc.value == 7
+    assert len(got) == 102 and got[100] is None and all(got[i] == items[i] for i in range(100))
+    assert "prompt" not in out.columns
