@@ -132,6 +132,7 @@ def call_model(
     passthrough: Sequence[str] | None = None,
     checkpoint: bool = False,
     dedupe: bool = False,
+    request_rows: int | None = None,
 ) -> DataFrame:
     """Run the model stage; output = input columns + RESPONSE_FIELDS.
 
@@ -146,6 +147,11 @@ def call_model(
     The distinct step combines map-side, and a prompt shared by a third of the
     rows is one call and one skew-split join key, not a hot task.
 
+    ``request_rows`` caps how many requests go to one ``respond`` call (each
+    Arrow batch is sliced); with page images also lower
+    ``spark.sql.execution.arrow.maxRecordsPerBatch`` so one batch of documents
+    fits a Python worker.
+
     ``checkpoint`` runs the stage now and keeps its output in the shared
     checkpoint folder (a reliable checkpoint, lineage cut). Use it when the
     answers are shuffled on their own values or read twice: a real model is not
@@ -169,7 +175,8 @@ def call_model(
     if dedupe:
         req = [prompt_col, *request_cols]
         uniq = df.select(*req).filter(F.col(prompt_col).isNotNull()).dropDuplicates(req)
-        answers = call_model(uniq, backend, prompt_col, request_cols, slots, keep_prompt=True, checkpoint=checkpoint)
+        answers = call_model(uniq, backend, prompt_col, request_cols, slots, keep_prompt=True, checkpoint=checkpoint,
+                             request_rows=request_rows)
         keep = [c for c in df.columns if (keep_prompt or c != prompt_col)]
         if passthrough is not None:
             keep = [c for c in keep if c in set(passthrough) or (keep_prompt and c == prompt_col)]
@@ -190,20 +197,25 @@ def call_model(
         # Arrow in, Arrow out: only the request columns become pandas for the
         # backend; pass-through columns go back untouched (no conversion).
         be = worker_backend(backend)
-        for rb in batches:
-            n = rb.num_rows
-            res = _empty_result(n)
-            valid = pc.is_valid(rb.column(prompt_col))
-            if n and pc.any(valid).as_py():
-                sent = rb.filter(valid)
-                req = pa.Table.from_batches([sent]).select(req_cols).to_pandas()
-                got = respond_isolated(be, req.rename(columns={prompt_col: "prompt"}))
-                rows = np.flatnonzero(valid.to_numpy(zero_copy_only=False))
-                for c in RESPONSE_COLUMNS:
-                    res.loc[rows, c] = got[c].to_numpy()
-            arrays = [rb.column(c) for c in out_cols]
-            arrays += [pa.Array.from_pandas(res[c], type=arrow_types[c]) for c in RESPONSE_COLUMNS]
-            yield pa.RecordBatch.from_arrays(arrays, names=out_cols + RESPONSE_COLUMNS)
+        for whole in batches:
+            step = request_rows or max(whole.num_rows, 1)
+            for start in range(0, max(whole.num_rows, 1), step):
+                yield _answer_batch(be, whole.slice(start, step))
+
+    def _answer_batch(be, rb: pa.RecordBatch) -> pa.RecordBatch:
+        n = rb.num_rows
+        res = _empty_result(n)
+        valid = pc.is_valid(rb.column(prompt_col))
+        if n and pc.any(valid).as_py():
+            sent = rb.filter(valid)
+            req = pa.Table.from_batches([sent]).select(req_cols).to_pandas()
+            got = respond_isolated(be, req.rename(columns={prompt_col: "prompt"}))
+            rows = np.flatnonzero(valid.to_numpy(zero_copy_only=False))
+            for c in RESPONSE_COLUMNS:
+                res.loc[rows, c] = got[c].to_numpy()
+        arrays = [rb.column(c) for c in out_cols]
+        arrays += [pa.Array.from_pandas(res[c], type=arrow_types[c]) for c in RESPONSE_COLUMNS]
+        return pa.RecordBatch.from_arrays(arrays, names=out_cols + RESPONSE_COLUMNS)
 
     from ..session import ship_package
 

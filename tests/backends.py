@@ -48,3 +48,18 @@ class Counting:
     def respond(self, requests: pd.DataFrame) -> pd.DataFrame:
         self.acc.add(len(requests))
         return pd.DataFrame({"response": requests["prompt"]})
+
+
+@dataclass(frozen=True)
+class MaxBatch:
+    """Refuses batches larger than ``limit`` requests."""
+
+    limit: int = 7
+
+    def build(self):
+        return self
+
+    def respond(self, requests: pd.DataFrame) -> pd.DataFrame:
+        if len(requests) > self.limit:
+            raise RuntimeError("batch too large")
+        return pd.DataFrame({"response": requests["prompt"]})

@@ -119,3 +119,14 @@ def test_dedupe_calls_once_per_distinct_prompt(spark):
     assert acc.value == 7
     assert len(got) == 102 and got[100] is None and all(got[i] == items[i] for i in range(100))
     assert "prompt" not in out.columns
+
+
+def test_request_rows_bounds_calls(spark):
+    from backends import MaxBatch
+
+    out = M.call_model(_prompts(spark, [f"p{i}" for i in range(40)]).coalesce(1), MaxBatch(7), request_rows=7,
+                       slots=None)
+    assert out.filter("error IS NOT NULL").count() == 0 and out.count() == 40
+    bad = M.call_model(_prompts(spark, [f"p{i}" for i in range(40)]).coalesce(1), MaxBatch(7), slots=None)
+    # Without the cap the batch is too big; bisection still answers every row.
+    assert bad.filter("error IS NOT NULL").count() == 0
