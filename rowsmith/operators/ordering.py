@@ -5,15 +5,18 @@ with a handful of groups (a status, a source, an event type) that is a handful
 of tasks however big the cluster. ``row_index`` gives the same numbers with
 full parallelism:
 
-1. range-partition on ``(group, order)`` and sort within partitions (one
-   shuffle, every task busy, a hot group spread over many partitions);
-2. tag rows with ``monotonically_increasing_id`` = partition << 33 | position;
+1. range-partition on ``(group, order)`` into a fixed number of partitions
+   and sort within partitions (one shuffle, every task busy, a hot group
+   spread over many partitions);
+2. tag rows with ``monotonically_increasing_id`` = partition << 33 | position
+   and checkpoint them (reliable, shared folder), so the two reads below see
+   one fixed set of partitions and ids;
 3. count rows per (partition, group) - a tiny table - and turn the counts into
    starting offsets with a window over that tiny table;
 4. index = offset + position of the row within its group's run in the partition.
 
-The order must be total (add tie-breakers), so a recomputed partition after an
-executor loss sorts the same way and gets the same numbers.
+The order should be total (add tie-breakers) so that the numbering itself is
+deterministic from run to run.
 """
 
 from __future__ import annotations
@@ -39,10 +42,19 @@ def row_index(
     sort_keys = [F.col(g).asc_nulls_first() for g in groups] + [
         F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_by
     ]
-    ranged = df.repartitionByRange(*sort_keys).sortWithinPartitions(*sort_keys)
+    from ..session import checkpoint_root
+
+    spark = df.sparkSession
+    checkpoint_root(spark)  # the shared folder (created only in tests)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *sort_keys).sortWithinPartitions(*sort_keys)
+    # The tagged rows are read twice (counts, then positions). Materialising
+    # them once makes both reads see the same partitions and ids: recomputing
+    # would re-sample the range bounds from input whose row order may differ
+    # (after a shuffle, or after an executor loss).
     tagged = ranged.withColumn("_rs_mid", F.monotonically_increasing_id()).withColumn(
         "_rs_pid", F.shiftright(F.col("_rs_mid"), 33)
-    )
+    ).checkpoint(eager=True)
     stats = tagged.groupBy("_rs_pid", *groups).agg(
         F.min("_rs_mid").alias("_rs_first"), F.count(F.lit(1)).alias("_rs_n")
     )
