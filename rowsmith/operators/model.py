@@ -158,7 +158,7 @@ def call_model(
     deterministic, and a stage recomputed after an executor loss must not give
     a second, different answer for rows already routed by the first.
 
-    Select only the columns you need before calling: ``mapInPandas`` is a
+    Select only the columns you need before calling: ``mapInArrow`` is a
     column-pruning barrier, so everything that goes in crosses Arrow twice.
 
     ``slots`` is the number of concurrent calls. An int forces exactly that
