@@ -130,3 +130,14 @@ def test_request_rows_bounds_calls(spark):
     bad = M.call_model(_prompts(spark, [f"p{i}" for i in range(40)]).coalesce(1), MaxBatch(7), slots=None)
     # Without the cap the batch is too big; bisection still answers every row.
     assert bad.filter("error IS NOT NULL").count() == 0
+
+
+def test_classify_simple_null_policies(spark):
+    from rowsmith.plans import jobs as J
+
+    df = spark.createDataFrame([(1, "a bolt"), (2, None)], "id LONG, text STRING")
+    skip = {r["id"]: r for r in J.classify_simple(df, "text", "id", M.KeywordBackend()).collect()}
+    assert skip[1]["klassificering"] == "Materialeindkøb" and skip[1]["error"] is None
+    assert skip[2]["klassificering"] is None and skip[2]["status"] == "missing" and skip[2]["error"] is None
+    sent = {r["id"]: r for r in J.classify_simple(df, "text", "id", M.KeywordBackend(), on_null="text").collect()}
+    assert sent[2]["status"] == "ok" and sent[2]["klassificering"] == "Ukendt"  # "nan" was sent and answered
