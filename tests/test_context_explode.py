@@ -132,3 +132,20 @@ def test_explode_element_fields_override_inputs(spark):
     out = EX.explode_answer(df, "answer", "lines", keep=["id", "X", "linjenummer"], scalar_fields=["k"])
     assert out.columns == ["id", "answer_k", "x", "linjenummer"]
     assert tuple(out.first()) == (1, "a", 5, 1)
+
+
+def test_hot_paths_on_driver_tables(spark):
+    from rowsmith.operators.context import ordered_groups
+
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    fields = {"p": "l_partkey", "q": "l_quantity"}
+    ties = ["l_orderkey", "l_extendedprice"]
+    plain = ordered_groups(li, ["l_suppkey"], "l_linenumber", fields, ties, hot_rows=None)
+    split = ordered_groups(li, ["l_suppkey"], "l_linenumber", fields, ties, hot_rows=100, chunk_rows=64,
+                           sample_fraction=1.0, hot_check_min_bytes=0)
+    assert {r[0]: list(r[1]) for r in plain.collect()} == {r[0]: list(r[1]) for r in split.collect()}
+    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "ctx"]
+    win = invoice_context(li, ["l_suppkey"], "l_linenumber", fields, ties, method="window", context_col="ctx").select(*key)
+    auto = invoice_context(li, ["l_suppkey"], "l_linenumber", fields, ties, method="auto", context_col="ctx",
+                           hot_rows=100, sample_fraction=1.0, hot_check_min_bytes=0).select(*key)
+    assert win.exceptAll(auto).count() == 0 and auto.exceptAll(win).count() == 0
