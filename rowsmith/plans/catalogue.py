@@ -233,8 +233,8 @@ def q_strip_thinking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "word_counts",
-    sql=f"""SELECT doc_id, {O.word_count('answer')} AS total_words,
-  {O.word_count('answer')} - {O.word_count(O.strip_thinking('answer'))} AS thinking_words
+    sql=f"""SELECT doc_id, CAST({O.word_count('answer')} AS INTEGER) AS total_words,
+  CAST({O.word_count('answer')} - {O.word_count(O.strip_thinking('answer'))} AS INTEGER) AS thinking_words
 FROM {_ANSWERS_SQL}""",
 )
 def q_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,7 +327,7 @@ _LINE_ORDER_SQL = "l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedpri
 
 @register(
     "nested_pick",
-    sql=f"""SELECT l_orderkey, len(books) AS n_books, books[2].author AS second_author,
+    sql=f"""SELECT l_orderkey, CAST(len(books) AS INTEGER) AS n_books, books[2].author AS second_author,
   CAST(books[2].year AS INTEGER) AS second_year
 FROM (SELECT l_orderkey,
         list({{'title': 'del ' || CAST(l_partkey AS VARCHAR), 'author': 'lev ' || CAST(l_suppkey AS VARCHAR),
@@ -661,7 +661,8 @@ def _prose_sql(prompt: str) -> str:
 @register(
     "classify_freetext",
     sql=f"""SELECT doc_id, {_label_sql(O.strip_thinking('r'))} AS label, {O.strip_thinking('r')} AS reason,
-  {O.word_count('r')} - {O.word_count(O.strip_thinking('r'))} AS thinking_words, {O.word_count('r')} AS total_words
+  CAST({O.word_count('r')} - {O.word_count(O.strip_thinking('r'))} AS INTEGER) AS thinking_words,
+  CAST({O.word_count('r')} AS INTEGER) AS total_words
 FROM (SELECT doc_id, {_prose_sql('prompt')} AS r FROM (SELECT doc_id, {_FREETEXT_PROMPT_SQL} AS prompt FROM documents))""",
 )
 def classify_freetext(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,10 +56,17 @@ def test_every_query_has_sql():
     assert not missing, f"queries without oracle SQL: {sorted(missing)}"
 
 
+DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean",
+              "TIMESTAMP": "timestamp_ntz", "BLOB": "binary", "FLOAT": "float"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, name):
-    got = E.queries()[name](spark, SF_DIR).toPandas()
-    want = duck.sql(E.oracle_sql()[name]).df()
+    sdf = E.queries()[name](spark, SF_DIR)
+    rel = duck.sql(E.oracle_sql()[name])
+    assert dict(sdf.dtypes) == {c: DUCK_TYPES.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    got = sdf.toPandas()
+    want = rel.df()
     gc, gr = _rows(got)
     wc, wr = _rows(want)
     assert gc == wc
