@@ -46,7 +46,8 @@ def row_index(
 
     spark = df.sparkSession
     checkpoint_root(spark)  # the shared folder (created only in tests)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    setting = str(spark.conf.get("spark.sql.shuffle.partitions", "0"))
+    n = int(setting) if setting.isdigit() and int(setting) > 0 else spark.sparkContext.defaultParallelism
     ranged = df.repartitionByRange(n, *sort_keys).sortWithinPartitions(*sort_keys)
     # The tagged rows are read twice (counts, then positions). Materialising
     # them once makes both reads see the same partitions and ids: recomputing
