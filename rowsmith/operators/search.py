@@ -23,18 +23,24 @@ CANDIDATES = 10  # results asked from the search engine
 MAX_PAGES = 3  # pages kept per query
 NO_TITLE = "Ingen titel"
 BROADCAST_MAX_QUERY_WORDS = 100_000
+PREFILTER_MAX_QUERY_WORDS = 10_000
 BROADCAST_MAX_CANDIDATES = 1_000_000
 
 
-def page_words(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+def page_words(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
+               only: list[str] | None = None) -> DataFrame:
     """Distinct cleaned words per page, from the page's whole text.
 
     Words are cleaned in one pass over the text and made distinct inside each
     row (``array_distinct``), so no shuffle is needed to de-duplicate them.
+    With ``only`` (a small, known word list) each page's words are intersected
+    with it before exploding, so pages never turn into one row per word.
     """
     text = H.html_to_text(html_col, max_chars=None)
-    cleaned = X.words(F.lower(F.regexp_replace(text, X.NOT_WORD_OR_SPACE, "")))
-    return pages.select(F.col(id_col), F.explode(F.array_distinct(cleaned)).alias("word"))
+    cleaned = F.array_distinct(X.words(F.lower(F.regexp_replace(text, X.NOT_WORD_OR_SPACE, ""))))
+    if only is not None:
+        cleaned = F.array_intersect(cleaned, F.array(*[F.lit(w) for w in only]).cast("array<string>"))
+    return pages.select(F.col(id_col), F.explode(cleaned).alias("word"))
 
 
 def query_words(queries: DataFrame, id_col: str = "query_id", text_col: str = "query") -> DataFrame:
@@ -56,9 +62,12 @@ def search_candidates(
 def _candidates(pages, queries, candidates, id_col, html_col):
     qw = query_words(queries)
     n_words = qw.count()  # driver gets one number: the size check for the broadcast
+    only = None
+    if n_words <= PREFILTER_MAX_QUERY_WORDS:  # bounded list: filter inside each page's array
+        only = sorted({r["word"] for r in qw.select("word").collect()})
     if n_words <= BROADCAST_MAX_QUERY_WORDS:
         qw = F.broadcast(qw)
-    hits = page_words(pages, id_col, html_col).join(qw, "word").groupBy("query_id", id_col).agg(
+    hits = page_words(pages, id_col, html_col, only).join(qw, "word").groupBy("query_id", id_col).agg(
         F.count(F.lit(1)).alias("score")
     )
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(id_col).asc())
