@@ -65,7 +65,8 @@ def run_resumable(
 
     ``chunks`` > 1 commits the work in that many hash slices of the key (the
     "save every n rows" of the reference, without rewriting earlier rows).
-    Returns the whole result table.
+    Returns the whole result table. One writer per result path: two runs at
+    the same time would both see the same work list.
     """
     done = read_done(spark, result_path)
     todo = pending(input_df, done, keys)
