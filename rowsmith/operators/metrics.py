@@ -127,3 +127,19 @@ def observed_progress(df: DataFrame, name: str = "progress") -> DataFrame:
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.count("error").alias("errors"))
     out._rowsmith_observation = obs  # type: ignore[attr-defined]
     return out
+
+
+def response_log(staged: DataFrame, row_col: str, every: int | None = None) -> DataFrame:
+    """A4 + F16: the per-response statistics lines of a model stage.
+
+    Free-text jobs log every row (``every=None``); structured jobs every n-th
+    row by 0-based position ``row_col``. Rows without statistics (failed calls)
+    are left out, as the source only warns for them.
+    """
+    rows = staged if not every else every_nth(staged, row_col, every)
+    rate = F.when(F.col("seconds") > 0, F.col("n_tokens") / F.col("seconds")).otherwise(F.lit(0.0))
+    ok = rows.filter(F.col("n_tokens").isNotNull() & F.col("stop_reason").isNotNull())
+    return ok.select(
+        F.col(row_col),
+        stats_message(F.col(row_col) + F.lit(1), rate, "n_tokens", "stop_reason").alias("message"),
+    )

@@ -141,3 +141,14 @@ def test_classify_simple_null_policies(spark):
     assert skip[2]["klassificering"] is None and skip[2]["status"] == "missing" and skip[2]["error"] is None
     sent = {r["id"]: r for r in J.classify_simple(df, "text", "id", M.KeywordBackend(), on_null="text").collect()}
     assert sent[2]["status"] == "ok" and sent[2]["klassificering"] == "Ukendt"  # "nan" was sent and answered
+
+
+def test_response_log(spark):
+    from rowsmith.operators.metrics import response_log
+
+    df = spark.createDataFrame([(i, 10, 2.0, "eosFound") for i in range(10)] + [(10, None, None, None)],
+                               "row_id LONG, n_tokens INT, seconds DOUBLE, stop_reason STRING")
+    all_rows = response_log(df, "row_id").orderBy("row_id").collect()
+    assert len(all_rows) == 10 and all_rows[0]["message"] == "[Row 1] Tokens/sec: 5.00 | Total tokens: 10 | Stop reason: eosFound"
+    every = [r["row_id"] for r in response_log(df, "row_id", every=5).orderBy("row_id").collect()]
+    assert every == [4, 9]
