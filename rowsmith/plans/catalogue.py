@@ -928,14 +928,28 @@ def resume_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
 _EVENT_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 
+EVENT_TEMPLATE = "Hændelse #{key} af typen {fakturalinje}.\nSvar med JSON: label, reason, secure.\n"
+EVENT_RULES = (("purchase", "materialeindkøb"), ("signup", "tjenesteydelse"), ("click", "Materiale"))
+EVENT_BACKEND = M.KeywordBackend(rules=EVENT_RULES)
+
+
 def _parse_events(batch: DataFrame) -> DataFrame:
+    """Per micro-batch: parse the JSON payload, then classify through the model stage."""
     a = A.with_parsed_answer(batch, "props", A.AnswerSchema.of(("k", "int")), "a")
-    return a.select("event_id", "event_type", F.col("a.k").alias("k"), F.col("a.status").alias("status"))
+    parsed = a.select("event_id", "event_type", F.col("a.k").alias("k"), F.col("a.status").alias("props_status"))
+    out = J.classify_simple(parsed, "event_type", "event_id", EVENT_BACKEND, template=EVENT_TEMPLATE)
+    return out.select("event_id", "event_type", "k", F.col("props_status").alias("status"), J.OUT_LABEL, J.OUT_SCORE)
+
+
+_EVENT_PROMPT_SQL = O.render(EVENT_TEMPLATE, {"key": "event_id", "fakturalinje": "event_type"})
 
 
 @register(
     "resume_batches",
-    sql="""SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, 'ok' AS status FROM events""",
+    sql=f"""SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, 'ok' AS status,
+  {O.normalise(O.keyword_label(O.keyword_needle('prompt', EVENT_RULES), EVENT_RULES))} AS klassificering,
+  CAST(length(prompt) % 12 AS INTEGER) AS score
+FROM (SELECT *, {_EVENT_PROMPT_SQL} AS prompt FROM events)""",
 )
 def resume_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import types as T
