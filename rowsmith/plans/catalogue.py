@@ -893,7 +893,7 @@ def token_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 from ..streaming import resume as RS  # noqa: E402
 
-ORDER_TEMPLATE = "Ordre #{key} med prioritet {prioritet}.\nSvar med JSON: label, reason, secure.\n"
+ORDER_TEMPLATE = "Ordre #{key} med prioritet {fakturalinje}.\nSvar med JSON: label, reason, secure.\n"
 PRIORITY_RULES = (("urgent", "materialeindkøb"), ("high", "tjenesteydelse"), ("low", "Materiale"))
 ORDER_BACKEND = M.KeywordBackend(rules=PRIORITY_RULES)
 CRASH_DATE = "1995-01-01"
@@ -902,12 +902,12 @@ CRASH_DATE = "1995-01-01"
 def _classify_orders(df: DataFrame) -> DataFrame:
     out = J.classify_simple(
         df.select("o_orderkey", "o_orderpriority"), "o_orderpriority", "o_orderkey", ORDER_BACKEND,
-        template=ORDER_TEMPLATE.replace("{prioritet}", "{fakturalinje}"),
+        template=ORDER_TEMPLATE,
     )
     return out.select("o_orderkey", J.OUT_LABEL, J.OUT_SCORE)
 
 
-_ORDER_PROMPT_SQL = O.render(ORDER_TEMPLATE, {"key": "o_orderkey", "prioritet": "o_orderpriority"})
+_ORDER_PROMPT_SQL = O.render(ORDER_TEMPLATE, {"key": "o_orderkey", "fakturalinje": "o_orderpriority"})
 
 
 @register(
