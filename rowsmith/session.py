@@ -34,6 +34,9 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None) -> Spar
         # Model calls must not be repeated by speculative copies.
         .config("spark.speculation", "false")
     )
+    event_log = os.environ.get("ROWSMITH_EVENT_LOG")
+    if event_log:  # stage and task times for later reading, written to a scratch folder
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
