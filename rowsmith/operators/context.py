@@ -208,12 +208,14 @@ def invoice_context(
         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     )
     item = F.struct(*[v.alias(k) for k, v in clean.items()])
-    listed = lines.withColumn("_ctx_list", F.collect_list(item).over(w))
-    ctx = F.col("_ctx_list")
     if as_json:
-        value = F.when(has_key, context_json(ctx)).otherwise(F.lit("[]"))
-    else:
-        value = F.when(has_key, ctx).otherwise(F.array().cast(listed.schema["_ctx_list"].dataType))
+        # Each line is rendered to JSON once; the per-line context is then a
+        # join of ready strings, not a JSON rendering of the whole invoice.
+        listed = lines.withColumn("_ctx_list", F.collect_list(context_json(item)).over(w))
+        value = F.when(has_key, F.concat(F.lit("["), F.array_join("_ctx_list", ","), F.lit("]"))).otherwise(F.lit("[]"))
+        return listed.select(*[F.col(c) for c in lines.columns], value.alias(context_col))
+    listed = lines.withColumn("_ctx_list", F.collect_list(item).over(w))
+    value = F.when(has_key, F.col("_ctx_list")).otherwise(F.array().cast(listed.schema["_ctx_list"].dataType))
     return listed.select(*[F.col(c) for c in lines.columns], value.alias(context_col))
 
 
