@@ -17,6 +17,7 @@ from ..functions import prompts as P
 from ..functions import text as X
 from ..operators.context import invoice_context
 from ..operators.model import BackendSpec, call_model
+from ..sources.readers import spread
 
 # Output column names of the reference jobs (snake-cased).
 OUT_LABEL = "klassificering"
@@ -50,7 +51,11 @@ def structured_answers(
     """M2: prompt -> model -> parsed ``answer`` struct (+ response, error ...).
 
     ``prompt`` is a Column, or the name of a column of ``df`` holding it.
+    An under-partitioned input is widened before the prompt is rendered, so
+    the shuffle moves the inputs, not the longer prompts.
     """
+    if slots == "auto":
+        df = spread(df)
     df = df.withColumnRenamed(prompt, "prompt") if isinstance(prompt, str) else df.withColumn("prompt", prompt)
     staged = call_model(df.withColumn("_sent", F.col("prompt").isNotNull()), backend, slots=slots)
     return A.with_parsed_answer(staged, "response", schema)
@@ -110,6 +115,8 @@ def classify_freetext(
 ) -> DataFrame:
     """Free-text job: prose answer -> label by word scan, reason, word counts."""
     prompt = F.when(F.col(text_col).isNotNull(), P.render(template, {"fakturalinje": text_col}))
+    if slots == "auto":
+        df = spread(df)
     staged = call_model(df.withColumn("prompt", prompt), backend, slots=slots)
     r = F.col("response")
     return staged.select(
