@@ -2,13 +2,14 @@
 
 Scratch output (round trips, resume tables, checkpoints) always lives under the
 folder the cluster names in ``spark.checkpoint.dir``. Only when that setting is
-missing (local tests) do we make one, and then we register it on the session so
-every later call sees the same folder.
+missing and the master is local (tests, bench) do we make one and set it on the
+context, so every later call sees the same folder.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -43,15 +44,19 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None) -> Spar
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; created locally only when unset."""
+    """The shared checkpoint folder.
+
+    It is the folder named by ``spark.checkpoint.dir``, or one already set on
+    the context. A machine-local folder is made only for a local master (tests,
+    bench); on a cluster executors could not see it, so there the missing
+    setting is an error.
+    """
     sc = spark.sparkContext
-    root = sc.getConf().get(_CHECKPOINT_KEY, None) or spark.conf.get(_CHECKPOINT_KEY, None)
+    root = sc.getConf().get(_CHECKPOINT_KEY, None) or spark.conf.get(_CHECKPOINT_KEY, None) or sc.getCheckpointDir()
     if not root:
-        current = sc.getCheckpointDir()
-        if current:
-            return current
+        if not re.fullmatch(r"local(\[[^\[\]]*\])?", sc.master):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="rowsmith-ckpt-")
-        spark.conf.set(_CHECKPOINT_KEY, root)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root

@@ -17,9 +17,7 @@ def spark():
     s = local_session(cores=8, shuffle_partitions=8)
     # Tests run without a cluster: give the session its own checkpoint folder.
     if not s.sparkContext.getCheckpointDir():
-        d = tempfile.mkdtemp(prefix="rowsmith-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rowsmith-test-ckpt-"))
     yield s
     s.stop()
 

@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from rowsmith.plans import catalogue
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -52,7 +53,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_sql():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(catalogue.QUERIES) - set(catalogue.SQL)
     assert not missing, f"queries without oracle SQL: {sorted(missing)}"
 
 
@@ -60,7 +61,7 @@ DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE
               "TIMESTAMP": "timestamp_ntz", "BLOB": "binary", "FLOAT": "float"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF_DIR)
     rel = duck.sql(E.oracle_sql()[name])

@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from rowsmith.plans import catalogue
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,7 +27,7 @@ def test_search_keeps_partial_top_k_before_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
 def test_no_cartesian_or_unpartitioned_window(spark, name):
     plan = _plan(spark, name)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
