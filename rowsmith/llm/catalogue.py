@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .token_counts import op1_token_counts
+from .token_files import op6_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op6_token_files": op6_token_files,
 }
 
 SQL: dict[str, str] = {}

@@ -72,3 +72,25 @@ def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
+
+
+def id_arrays(batch_ids: list[np.ndarray], kind: str = "<u4") -> pa.Array:
+    """Ids of each row as one binary value of little-endian integers."""
+    sizes = np.fromiter((len(x) for x in batch_ids), np.int64, len(batch_ids)) * np.dtype(kind).itemsize
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    data = np.concatenate(batch_ids).astype(kind) if batch_ids else np.empty(0, kind)
+    large = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(batch_ids), [None, pa.py_buffer(offsets), pa.py_buffer(data.tobytes())])
+    return large.cast(pa.binary())
+
+
+def grouped(items: Iterator, weight, most: int) -> Iterator[list]:
+    """Consecutive items, together of about ``most`` by ``weight`` (a heavier one comes alone)."""
+    held, total = [], 0
+    for x in items:
+        if held and total + weight(x) > most:
+            yield held
+            held, total = [], 0
+        held.append(x)
+        total += weight(x)
+    if held:
+        yield held
