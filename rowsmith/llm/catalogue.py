@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .minhash import op2_minhash
 from .packing import op10_packing
 from .token_counts import op1_token_counts
 from .token_files import op6_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_minhash": op2_minhash,
     "op6_token_files": op6_token_files,
     "op10_packing": op10_packing,
 }
