@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat_format import SQL_OP7, op7_chat_format
+from .host_rules import SQL_OP8, op8_host_rules
 from .minhash import op2_minhash
 from .packing import op10_packing
 from .token_counts import op1_token_counts
@@ -15,7 +17,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_minhash": op2_minhash,
     "op6_token_files": op6_token_files,
+    "op7_chat_format": op7_chat_format,
+    "op8_host_rules": op8_host_rules,
     "op10_packing": op10_packing,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op7_chat_format": SQL_OP7,
+    "op8_host_rules": SQL_OP8,
+}
