@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .byte_cnn import op9_byte_cnn
 from .chat_format import SQL_OP7, op7_chat_format
 from .host_rules import SQL_OP8, op8_host_rules
 from .minhash import op2_minhash
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_files": op6_token_files,
     "op7_chat_format": op7_chat_format,
     "op8_host_rules": op8_host_rules,
+    "op9_byte_cnn": op9_byte_cnn,
     "op10_packing": op10_packing,
 }
 
