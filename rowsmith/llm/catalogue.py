@@ -11,12 +11,14 @@ from .chat_format import SQL_OP7, op7_chat_format
 from .host_rules import SQL_OP8, op8_host_rules
 from .minhash import op2_minhash
 from .packing import op10_packing
+from .pii import op5_pii
 from .token_counts import op1_token_counts
 from .token_files import op6_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_minhash": op2_minhash,
+    "op5_pii": op5_pii,
     "op6_token_files": op6_token_files,
     "op7_chat_format": op7_chat_format,
     "op8_host_rules": op8_host_rules,
