@@ -14,10 +14,12 @@ from .packing import op10_packing
 from .pii import op5_pii
 from .token_counts import op1_token_counts
 from .token_files import op6_token_files
+from .vptree import SQL_OP4, op4_vptree
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_minhash": op2_minhash,
+    "op4_vptree": op4_vptree,
     "op5_pii": op5_pii,
     "op6_token_files": op6_token_files,
     "op7_chat_format": op7_chat_format,
@@ -27,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op4_vptree": SQL_OP4,
     "op7_chat_format": SQL_OP7,
     "op8_host_rules": SQL_OP8,
 }
