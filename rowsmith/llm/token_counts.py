@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tables
-from .tokens import text_bytes, vocabulary_path
+from .tokens import byte_symbols, text_bytes, vocabulary_path
 from .wordtable import SLICE_BYTES, WordTable, marked, parts, runs, slices
 
 #: Documents of more tokens than this are reported as over the limit.
@@ -43,15 +43,6 @@ WHITE = r"\t-\r \x85\xa0  -     　"
 SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE}\p{{L}}\p{{N}}]+"
 
 
-def byte_symbols() -> list[str]:
-    """The printable character that stands for each byte in byte-level vocabularies."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    symbols = {b: chr(b) for b in plain}
-    for i, b in enumerate(b for b in range(256) if b not in symbols):
-        symbols[b] = chr(256 + i)
-    return [symbols[b] for b in range(256)]
-
-
 class MergeCounter:
     """Token counts of texts from a vocabulary file's merge list."""
 
@@ -121,8 +112,8 @@ class MergeCounter:
                 total += sum(self._count_run(m) for m in self.split.findall(piece))
         return total
 
-    def _resolve(self, words: list[bytes]) -> list[np.ndarray]:
-        return [np.array([self.count(w.decode())], np.uint32) for w in words]
+    def _resolve(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        return np.ones(len(words), np.int64), np.array([self.count(w.decode()) for w in words], np.uint32)
 
     def texts(self, column: pa.Array) -> Iterator[int]:
         data, offsets = text_bytes(column)

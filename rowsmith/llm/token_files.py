@@ -7,10 +7,10 @@
    corpus holds.
 3. Code lengths come from package-merge with at most ``MAX_BITS`` bits; codes are
    canonical, so the lengths alone (one byte per id) are the code book.
-4. Each document is coded; the bits are range-partitioned by key and sorted, and
-   every partition is cut into blocks of whole documents. A block decodes on its
-   own: header, keys, token counts, bit offsets, bits. A document starts at a whole
-   byte, and its bit offset is noted at every ``CHECKPOINT`` tokens.
+4. The ids are range-partitioned by key and sorted, and every partition is coded
+   and cut into blocks of whole documents. A block decodes on its own: header,
+   keys, token counts, bit offsets, bits. A document starts at a whole byte, and
+   its bit offset is noted at every ``CHECKPOINT`` tokens.
 5. Reading back, all segments of a block between two checkpoints are decoded in
    lockstep through one table of 2**MAX_BITS entries.
 
@@ -19,7 +19,7 @@ any store that Spark reads will do, and a block is a unit of recovery.
 
 Defined results: a null text counts as empty (the end id alone); a null key is
 kept, flagged in the block, and comes first; rows of one key follow each other
-in the order of their bits' hash and bits (a repeated row repeats); an empty
+in the order of their ids' hash and ids (a repeated row repeats); an empty
 table gives empty files and no rows; other input columns are not looked at,
 whatever their names. A document longer than a block has a block of its own.
 """
@@ -133,15 +133,17 @@ def put_bits(ids: np.ndarray, ends: np.ndarray, codes: np.ndarray, lengths: np.n
 # -- blocks -------------------------------------------------------------------
 
 
-def pack_block(rows: list[tuple]) -> bytes:
-    """One block of whole documents: (key, number of tokens, bits, bit offsets of its checkpoints)."""
-    keys, tokens, bits, marks = zip(*rows)
-    first = np.concatenate([[0], np.cumsum([len(b) for b in bits])])[:-1] * 8
-    offsets = np.concatenate([np.frombuffer(m, "<u8").astype(np.int64) + f for m, f in zip(marks, first)])
+def pack_block(keys: list, ids: list[np.ndarray], codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, int]:
+    """One block of whole documents, and its number of tokens."""
+    tokens = np.array([len(x) for x in ids])
+    ends = np.cumsum(tokens)
+    stream, byte, within = put_bits(np.concatenate(ids), ends, codes, lengths)
+    marks = np.concatenate([within[e - n : e : CHECKPOINT] + 8 * b for e, n, b in zip(ends, tokens, byte)])
     null = np.array([k is None for k in keys], np.uint8)
-    ids = np.array([0 if k is None else k for k in keys], "<i8")
-    head = struct.pack(_HEADER, MAGIC, len(keys), sum(tokens), len(offsets), CHECKPOINT)
-    return b"".join([head, null.tobytes(), ids.tobytes(), np.array(tokens, "<u8").tobytes(), offsets.astype("<u8").tobytes(), *bits])
+    named = np.array([0 if k is None else k for k in keys], "<i8")
+    head = struct.pack(_HEADER, MAGIC, len(keys), int(ends[-1]), len(marks), CHECKPOINT)
+    body = [null.tobytes(), named.tobytes(), tokens.astype("<u8").tobytes(), marks.astype("<u8").tobytes(), stream[: byte[-1]].tobytes()]
+    return b"".join([head, *body]), int(ends[-1])
 
 
 def unpack_block(payload: bytes, ids: np.ndarray, size: np.ndarray) -> tuple[list, np.ndarray, np.ndarray]:
@@ -210,41 +212,20 @@ def id_counts(ids: DataFrame, vocabulary: int) -> np.ndarray:
     return counts
 
 
-def coded(ids: DataFrame, lengths: np.ndarray) -> DataFrame:
-    """Per document: key, number of tokens, bits, and the bit offsets of its checkpoints."""
-
-    def code(batches):
-        codes = canonical_codes(lengths)
-        for b in batches:
-            at = 0
-            for rows in grouped((np.frombuffer(x.as_buffer(), "<u2") for x in b.column(1)), len, 1 << 20):
-                n = np.array([len(x) for x in rows])
-                ends = np.cumsum(n)
-                data, byte, within = put_bits(np.concatenate(rows), ends, codes, lengths)
-                data, marks = data.tobytes(), [within[e - k : e : CHECKPOINT].astype("<u8").tobytes() for e, k in zip(ends, n)]
-                bits = [data[x:y] for x, y in zip(byte[:-1].tolist(), byte[1:].tolist())]
-                columns = [b.column(0).slice(at, len(rows)), pa.array(n, pa.int64()), pa.array(bits, pa.binary()), pa.array(marks, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "bits", "marks"])
-                at += len(rows)
-
-    return ids.mapInArrow(code, "doc_id long, n long, bits binary, marks binary")
-
-
-def blocks(documents: DataFrame) -> DataFrame:
+def blocks(ids: DataFrame, lengths: np.ndarray) -> DataFrame:
     """Blocks of the documents in ascending key order; ``shard`` is the place of the partition."""
-    spark = documents.sparkSession
-    keys = [F.col("doc_id").asc_nulls_first(), F.xxhash64("bits"), F.col("bits")]
+    spark = ids.sparkSession
+    keys = [F.col("doc_id").asc_nulls_first(), F.xxhash64("ids"), F.col("ids")]
     setting = spark.conf.get("spark.sql.shuffle.partitions")
     n = int(setting) if str(setting).isdigit() else spark.sparkContext.defaultParallelism
-    ordered = documents.repartitionByRange(n, *keys[:2]).sortWithinPartitions(*keys)
+    ordered = ids.repartitionByRange(n, *keys[:2]).sortWithinPartitions(*keys)
 
     def pack(batches):
-        shard, first = TaskContext.get().partitionId(), 0
-        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
-        for group in grouped(rows, lambda r: r[1], BLOCK_TOKENS):
-            tokens = sum(r[1] for r in group)
-            columns = [[shard], [first], [tokens], [pack_block(group)]]
-            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+        shard, first, codes = TaskContext.get().partitionId(), 0, canonical_codes(lengths)
+        rows = ((k, np.frombuffer(x.as_buffer(), "<u2")) for b in batches for k, x in zip(b.column(0).to_pylist(), b.column(1)))
+        for group in grouped(rows, lambda r: len(r[1]), BLOCK_TOKENS):
+            block, tokens = pack_block([k for k, _ in group], [x for _, x in group], codes, lengths)
+            columns, kinds = [[shard], [first], [tokens], [block]], [pa.int32(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["shard", "first", "tokens", "payload"])
             first += tokens
 
@@ -257,7 +238,7 @@ def write_token_files(
     """Writes the blocks in ascending key order; the written table and its code book (the code lengths)."""
     ids = tables.written(token_ids(docs, path, end_id, key_col, text_col), "token-ids")
     lengths = code_lengths(id_counts(ids, vocabulary))
-    return tables.written(blocks(coded(ids, lengths)), "token-files"), lengths
+    return tables.written(blocks(ids, lengths), "token-files"), lengths
 
 
 def read_token_files(files: DataFrame, lengths: np.ndarray) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,20 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def byte_symbols() -> list[str]:
+    """The printable character that stands for each byte in byte-level vocabularies."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    symbols = {b: chr(b) for b in plain}
+    for i, b in enumerate(b for b in range(256) if b not in symbols):
+        symbols[b] = chr(256 + i)
+    return [symbols[b] for b in range(256)]
+
+
+_SYMBOLS = dict(enumerate(byte_symbols()))
+#: Letters of ASCII and Latin-1: composed already, lower-cased one by one, single-script letters all.
+_LATIN = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿ]+")
+
+
 class Encoder:
     """Ids of texts, by the library on the first sight of a run and by the word table after."""
 
@@ -39,9 +54,30 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.words = WordTable(self._resolve)
 
-    def _resolve(self, words: list[bytes]) -> list[np.ndarray]:
-        got = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(e.ids, np.uint32) for e in got]
+    def _resolve(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of runs; a run of plain Latin letters can go to the library's merges at once.
+
+        Such a run is one word after lower-casing, so all that the library does
+        before its merges is to write its bytes as symbols.
+        """
+        sizes, ids, rest, model = [], [], [], self.tokenizer.model
+        for k, w in enumerate(words):
+            text = w.decode()
+            if _LATIN.fullmatch(text):
+                got = model.tokenize(text.lower().encode().decode("latin-1").translate(_SYMBOLS))
+                sizes.append(len(got))
+                ids += [t.id for t in got]
+            else:
+                rest.append((k, text, len(ids)))
+                sizes.append(0)
+        if rest:
+            other = self.tokenizer.encode_batch_fast([text for _, text, _ in rest], add_special_tokens=False)
+            parts, done = [], 0
+            for (k, _, at), e in zip(rest, other):
+                parts += [ids[done:at], e.ids]
+                sizes[k], done = len(e.ids), at
+            ids = [i for p in [*parts, ids[done:]] for i in p]
+        return np.array(sizes, np.int64), np.array(ids, np.uint32)
 
     def _plain(self, data: np.ndarray) -> np.ndarray:
         return np.array(self.tokenizer.encode(data.tobytes().decode(), add_special_tokens=False).ids, np.uint32)

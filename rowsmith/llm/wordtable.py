@@ -79,9 +79,12 @@ def runs(data: np.ndarray, doc_starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 class WordTable:
-    """Run -> sequence of unsigned 32-bit values, filled by ``resolve`` on first sight."""
+    """Run -> sequence of unsigned 32-bit values, filled by ``resolve`` on first sight.
 
-    def __init__(self, resolve: Callable[[list[bytes]], list[np.ndarray]], bits: int = 20):
+    ``resolve`` gets runs and returns how many values each has, and all values in order.
+    """
+
+    def __init__(self, resolve: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], bits: int = 21):
         self.resolve, self.bits = resolve, bits
         self.limit = int(0.6 * (1 << bits))
         self._clear()
@@ -119,12 +122,12 @@ class WordTable:
             todo = todo[(e >= 0) & (self.keys[e] != keys[todo]).any(axis=1)]
         return entry
 
-    def _insert(self, keys: np.ndarray, h: np.ndarray, values: list[np.ndarray]) -> np.ndarray:
+    def _insert(self, keys: np.ndarray, h: np.ndarray, sizes: np.ndarray, values: np.ndarray) -> np.ndarray:
         """Adds keys that are new and differ from each other; their entries."""
         n, mask = len(keys), np.uint64((1 << self.bits) - 1)
         entry = np.arange(self.used, self.used + n, dtype=np.int32)
         self.keys[entry] = keys
-        self._store(entry, values)
+        self._store(entry, sizes, values)
         todo, step = np.arange(n), 0
         while len(todo):
             slot = (h[todo] + np.uint64(step)) & mask
@@ -139,16 +142,13 @@ class WordTable:
         self.used += n
         return entry
 
-    def _store(self, entry: np.ndarray, values: list[np.ndarray]) -> None:
-        sizes = np.fromiter((len(v) for v in values), np.int64, len(values))
-        total = int(sizes.sum())
-        while self.pooled + total > len(self.pool):
+    def _store(self, entry: np.ndarray, sizes: np.ndarray, values: np.ndarray) -> None:
+        while self.pooled + len(values) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros(len(self.pool), np.uint32)])
-        if total:
-            self.pool[self.pooled : self.pooled + total] = np.concatenate(values)
+        self.pool[self.pooled : self.pooled + len(values)] = values
         self.start[entry] = self.pooled + np.cumsum(sizes) - sizes
         self.size[entry] = sizes
-        self.pooled += total
+        self.pooled += len(values)
 
     def values(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Number of values of each run, and all values of all runs in order."""
@@ -177,15 +177,15 @@ class WordTable:
                 return self.values_in_parts(data, starts, ends) if len(new) > self.limit else self.values(data, starts, ends)
             raw = low.tobytes()
             got = self.resolve([raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())])
-            entry[missing] = self._insert(keys[new], h[new], got)[back]
+            entry[missing] = self._insert(keys[new], h[new], *got)[back]
             for i in missing[unlike].tolist():  # two runs of one hash: next to impossible, and still right
-                extra[i] = self.resolve([raw[starts[i] : ends[i]]])[0]
+                extra[i] = self.resolve([raw[starts[i] : ends[i]]])[1]
         for i in np.flatnonzero(~short).tolist():
             word = low[starts[i] : ends[i]].tobytes()
             if word not in self.long:
                 if len(self.long) >= self.limit // 8:
                     self.long.clear()
-                got = self.resolve([word])[0]
+                got = self.resolve([word])[1]
                 if len(word) > 200:
                     extra[i] = got
                     continue
