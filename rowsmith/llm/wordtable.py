@@ -84,8 +84,8 @@ class WordTable:
     ``resolve`` gets runs and returns how many values each has, and all values in order.
     """
 
-    def __init__(self, resolve: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], bits: int = 21):
-        self.resolve, self.bits = resolve, bits
+    def __init__(self, resolve: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], bits: int = 21, lower: bool = True):
+        self.resolve, self.bits, self.lower = resolve, bits, lower
         self.limit = int(0.6 * (1 << bits))
         self._clear()
 
@@ -155,13 +155,14 @@ class WordTable:
         if not len(starts):
             return np.empty(0, np.int64), np.empty(0, np.uint32)
         low = np.empty(len(data) + KEY_BYTES, np.uint8)
-        np.take(_LOWER, data, out=low[: len(data)])
+        low[: len(data)] = _LOWER[data] if self.lower else data
         low[len(data) :] = 0
         length = ends - starts
         words = np.ndarray(len(low) - 7, "<u8", low, strides=(1,))
         keys = np.empty((len(starts), 3), np.uint64)
         for i in range(3):
-            keys[:, i] = words[np.minimum(starts + 8 * i, len(data))] & _KEEP[np.clip(length - 8 * i, 0, 8)]
+            keep = _KEEP[np.clip(length - 8 * i, 0, 8)]
+            keys[:, i] = (words[np.minimum(starts + 8 * i, len(data))] & keep) | ~keep  # filled up with 255, which no text holds
         short = length <= KEY_BYTES
         h = self._hash(keys)
         entry = self._probe(keys, h)
