@@ -109,7 +109,7 @@ def read_chats(chats: DataFrame) -> DataFrame:
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and the forged one, formatted, read back and digested."""
     given = tables.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    forged = spark.createDataFrame([(-1, 0, "user", FORGED), (-1, 1, "assistant", FORGED)], "conv_id long, turn long, role string, text string")
+    forged = spark.sql(f"SELECT -1L AS conv_id, t.* FROM VALUES (0L, 'user', '{FORGED}'), (1L, 'assistant', '{FORGED}') AS t (turn, role, text)")
     back = read_chats(format_chats(given.union(forged)))
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return back.select(
