@@ -12,6 +12,7 @@ from .host_rules import SQL_OP8, op8_host_rules
 from .minhash import op2_minhash
 from .packing import op10_packing
 from .pii import op5_pii
+from .sentencepiece_lattice import op3_sentencepiece
 from .token_counts import op1_token_counts
 from .token_files import op6_token_files
 from .vptree import SQL_OP4, op4_vptree
@@ -19,6 +20,7 @@ from .vptree import SQL_OP4, op4_vptree
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_minhash": op2_minhash,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_vptree": op4_vptree,
     "op5_pii": op5_pii,
     "op6_token_files": op6_token_files,
