@@ -238,9 +238,13 @@ def fit(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", lang_c
     return train(np.frombuffer(b"".join(w for _, w in rows), np.uint8).reshape(len(rows), WINDOW), labels, languages)
 
 
-def identify(docs: DataFrame, net: Network | None, text_col: str = "text") -> DataFrame:
-    """``docs`` and ``_lang_pred, _lang_score``. One narrow stage, no shuffle."""
-    schema = tables.fields(docs, "_lang_pred string, _lang_score double")
+def identify(docs: DataFrame, net: Network | None, text_col: str = "text", names: tuple[str, str] = ("lang_pred", "lang_score")) -> DataFrame:
+    """``docs`` and two columns, by ``names``: language and score. One narrow stage, no shuffle.
+
+    Names that ``docs`` has already get underscores in front (``tables.fresh``).
+    """
+    language, score = (tables.fresh(docs, n) for n in names)
+    schema = tables.fields(docs, f"`{language}` string, `{score}` double")
     at = docs.columns.index(text_col)
 
     def predict(batches):
@@ -255,4 +259,4 @@ def identify(docs: DataFrame, net: Network | None, text_col: str = "text") -> Da
 def op9_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tables.table(spark, sf_dir, "documents")
     found = identify(docs.select("doc_id", "text"), fit(docs))
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_lang_score").alias("score"))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))

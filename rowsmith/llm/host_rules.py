@@ -58,9 +58,13 @@ def _repeat_words(words: Column, windows: Column) -> Column:
     return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0)).otherwise(_let(pairs, covered))
 
 
-def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` and the counts ``_n_words, _word_chars, _n_symbols, _n_dup_lines, _n_repeat_words`` (long)."""
+def with_counts(docs: DataFrame, text_col: str = "text", host_col: str = "source", carry: list[str] | None = None) -> DataFrame:
+    """Per row: ``row`` (a struct of the ``carry`` columns, all by default), ``host`` and the counts.
+
+    Carried columns sit in the struct, so their names cannot clash with anything.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    row = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)])
 
     def measured(words: Column) -> Column:
         # Windows start at every word that has four after it.
@@ -74,62 +78,58 @@ def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     counted = docs.select(
-        *[F.col(c) for c in docs.columns],
-        _let(F.filter(F.split(text, _SPACES, -1), lambda w: w != ""), measured).alias("_words"),
-        F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("_n_symbols"),
-        _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("_n_dup_lines"),
-        _let(lines, lambda x: F.size(x)).cast("long").alias("_n_lines"),
+        row.alias("row"),
+        F.col(host_col).alias("host"),
+        _let(F.filter(F.split(text, _SPACES, -1), lambda w: w != ""), measured).alias("words"),
+        F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
+        _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+        _let(lines, lambda x: F.size(x)).cast("long").alias("n_lines"),
     )
-    names = ("n_words", "word_chars", "n_repeat_words")
-    return counted.select(*docs.columns, *[F.col(f"_words.{n}").alias(f"_{n}") for n in names], "_n_symbols", "_n_dup_lines", "_n_lines")
+    return counted.select("row", "host", "words.*", "n_symbols", "n_dup_lines", "n_lines")
 
 
 def base_failed() -> Column:
-    return (F.col("_n_words") < MIN_WORDS) | (100 * F.col("_n_repeat_words") > MAX_REPEAT_PERCENT * F.col("_n_words"))
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
 def strict_failed() -> Column:
     return (
         base_failed()
-        | (100 * F.col("_n_repeat_words") > STRICT_REPEAT_PERCENT * F.col("_n_words"))
-        | (100 * F.col("_n_symbols") > STRICT_SYMBOL_PERCENT * F.col("_word_chars"))
-        | (100 * F.col("_n_dup_lines") > STRICT_DUP_LINES_PERCENT * F.col("_n_lines"))
+        | (100 * F.col("n_repeat_words") > STRICT_REPEAT_PERCENT * F.col("n_words"))
+        | (100 * F.col("n_symbols") > STRICT_SYMBOL_PERCENT * F.col("word_chars"))
+        | (100 * F.col("n_dup_lines") > STRICT_DUP_LINES_PERCENT * F.col("n_lines"))
     )
 
 
-def host_verdicts(counted: DataFrame, host_col: str = "source") -> DataFrame:
+def host_verdicts(counted: DataFrame) -> DataFrame:
     """Per host: documents, failures, shrunk rate, and whether the host is bad."""
-    hosts = counted.groupBy(F.col(host_col).alias("_host")).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(F.when(strict_failed(), 1).otherwise(0)).alias("_failed")
-    )
+    hosts = counted.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(strict_failed(), 1).otherwise(0)).alias("failed"))
     # Beta prior by moments: mean of all documents, and variance of the host rates
     # around it, sum n (p - mean)^2 / N = sum(f^2 / n) / N - mean^2. One row.
-    n, f, square = hosts.agg(F.sum("_n"), F.sum("_failed"), F.sum(F.col("_failed") * F.col("_failed") / F.col("_n"))).first()
+    n, f, square = hosts.agg(F.sum("n"), F.sum("failed"), F.sum(F.col("failed") * F.col("failed") / F.col("n"))).first()
     mean, weight = (f / n if n else 0.0), PRIOR_WEIGHT[1]
     if n and (variance := square / n - mean * mean) > 0:
         weight = min(max(mean * (1 - mean) / variance - 1, PRIOR_WEIGHT[0]), PRIOR_WEIGHT[1])
-    rate = (F.col("_failed") + F.lit(weight * mean)) / (F.col("_n") + F.lit(weight))
-    return hosts.select("_host", "_n", "_failed", rate.alias("_rate"), (rate > HOST_LIMIT).alias("_bad"))
+    rate = (F.col("failed") + F.lit(weight * mean)) / (F.col("n") + F.lit(weight))
+    return hosts.select("host", "n", "failed", rate.alias("rate"), (rate > HOST_LIMIT).alias("bad"))
 
 
-def judged(docs: DataFrame, host_col: str = "source", text_col: str = "text", carry_text: bool = True) -> DataFrame:
-    """``docs`` (without its text, if so asked) with counts, ``_base_failed`` and ``_kept``.
+def judged(docs: DataFrame, host_col: str = "source", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """Per row: ``row`` (a struct of the carried columns), the counts, ``base_failed`` and ``kept``.
 
     Counts are worked out once and written, for they are needed by the hosts first
     and by the documents after.
     """
-    counted = with_counts(docs, text_col)
-    counted = tables.written(counted if carry_text else counted.drop(text_col), "counts")
-    hosts = host_verdicts(counted, host_col).select("_host", "_bad")
-    ruled = counted.join(hosts, F.col(host_col).eqNullSafe(F.col("_host")), "left")
-    kept = ~base_failed() & ~(F.col("_bad") & strict_failed())
-    return ruled.select(*counted.columns, base_failed().alias("_base_failed"), kept.alias("_kept"))
+    counted = tables.written(with_counts(docs, text_col, host_col, carry), "counts")
+    verdicts = host_verdicts(counted).select(F.col("host").alias("judged"), "bad")
+    ruled = counted.join(verdicts, F.col("host").eqNullSafe(F.col("judged")), "left")
+    kept = ~base_failed() & ~(F.col("bad") & strict_failed())
+    return ruled.select(*counted.columns, base_failed().alias("base_failed"), kept.alias("kept"))
 
 
 def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = tables.table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-    return judged(docs, carry_text=False).select("doc_id", *[F.col(f"_{c}").alias(c) for c in counts])
+    docs = judged(tables.table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return docs.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 SQL_OP8 = f"""

@@ -32,3 +32,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def fields(df: DataFrame, extra: str) -> T.StructType:
     """Schema of ``df`` followed by the fields of the DDL text ``extra``."""
     return T.StructType([*df.schema.fields, *T.StructType.fromDDL(extra).fields])
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
