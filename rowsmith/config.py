@@ -44,6 +44,9 @@ class JobConfig:
 
     input_path: str
     output_path: str
+    # Saved chunks and progress rows of the run, in the shared folder.
+    work_path: str = ""
+    delete_work: bool = False
     input_col: str | None = None
     labels: tuple[str, ...] = ()
     save_every: int | None = None

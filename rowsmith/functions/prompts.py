@@ -33,11 +33,54 @@ def template_fields(template: str) -> list[str]:
 NULL_TEXT = "nan"
 
 
+def _shortest(c: Column) -> Column:
+    """A double's text with no more digits than needed (older Java runtimes sometimes print one or two more)."""
+    text, double = c.cast("string"), c.cast("double")
+    digits = F.length(F.regexp_replace(F.regexp_replace(text, r"E.*$", ""), r"^-?0*\.?0*|[.]", ""))
+    shown = text
+    for n in (16, 15, 14):  # digits after the first; the fewest that read back the same win
+        sci = F.regexp_replace(F.regexp_replace(F.format_string(f"%.{n}e", double), r"e\+?(-?)0*(\d)", "E$1$2"), r"0+E", "E")
+        sci = F.regexp_replace(sci, r"\.E", ".0E")
+        shown = F.when(sci.cast("double") == double, sci).otherwise(shown)
+    return F.when((digits >= 16) & F.typeof(c).isin("double", "float"), shown).otherwise(text)
+
+
+def number_text(c: Column | str) -> Column:
+    """A double as Python's ``str`` prints it; any other type as its cast to text.
+
+    Both print the shortest digits that read back the same; they differ in when
+    and how an exponent is written: Spark from 1e7 and below 1e-3 as ``1.0E7``,
+    Python from 1e16 and below 1e-4 as ``1e+16``. (The very smallest double is the
+    one value whose digits differ: ``4.9e-324`` here, ``5e-324`` in Python.)
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    text = _shortest(c)
+    part = lambda i: F.regexp_extract(text, r"^(-?)(\d)\.(\d+)E(-?\d+)$", i)
+    sign, exponent = part(1), part(4).cast("int")
+    digits = F.concat(part(2), F.when(part(3) != "0", part(3)).otherwise(F.lit("")))
+    n = F.length(digits)
+    whole = F.concat(F.rpad(digits, exponent + 1, "0"), F.lit(".0"))
+    split = F.concat(F.substring(digits, F.lit(1), exponent + 1), F.lit("."), F.substring(digits, exponent + 2, n))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+    mantissa = F.concat(part(2), F.when(part(3) != "0", F.concat(F.lit("."), part(3))).otherwise(F.lit("")))
+    power = F.concat(F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")), F.when(F.abs(exponent) < 10, F.lit("0")).otherwise(F.lit("")), F.abs(exponent).cast("string"))
+    plain = (
+        F.when((exponent < -4) | (exponent >= 16), F.concat(mantissa, power))
+        .when(exponent < 0, small)
+        .when(n <= exponent + 1, whole)
+        .otherwise(split)
+    )
+    is_double = F.typeof(c).isin("double", "float")
+    special = F.when(text == "NaN", F.lit("nan")).when(text == "Infinity", F.lit("inf")).when(text == "-Infinity", F.lit("-inf"))
+    shown = F.when(text.rlike(r"E-?\d+$"), F.concat(sign, plain)).otherwise(F.coalesce(special, text))
+    return F.when(is_double, shown).otherwise(text)
+
+
 def render(template: str, variables: Mapping[str, Column | str], null_text: str | None = NULL_TEXT) -> Column:
     """render ``template`` with column-valued variables.
 
     ``variables`` maps each placeholder to a Column (or column name). Values are
-    cast to text; a null value prints as ``null_text`` (``nan``, as a missing
+    turned to text as Python prints them (``number_text``); a null value prints as ``null_text`` (``nan``, as a missing
     table cell prints in the source); with ``null_text=None`` a null value makes
     the whole prompt null. An unknown placeholder, a positional ``{}``, a format spec
     or a conversion raises here, on the driver, before any job runs.
@@ -56,7 +99,7 @@ def render(template: str, variables: Mapping[str, Column | str], null_text: str
             raise TemplateError(f"template uses {{{name}}} but no such variable was given")
         value = variables[name]
         value = F.col(value) if isinstance(value, str) else value
-        text = value.cast("string")
+        text = number_text(value)
         if null_text is not None:
             text = F.coalesce(text, F.lit(null_text))
         parts.append(text)
@@ -65,6 +108,25 @@ def render(template: str, variables: Mapping[str, Column | str], null_text: str
     return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
+def render_around(
+    template: str, hole: str, variables: Mapping[str, Column | str], null_text: str | None = NULL_TEXT
+) -> Column:
+    """F1 in pieces: the rendered texts around every ``{hole}``, as an array.
+
+    Joined by the value of ``hole`` they are the prompt; so a value that many
+    prompts share need not be written into each.
+    """
+    pieces, current = [], ""
+    for literal, name, spec, conversion in string.Formatter().parse(template):
+        current += literal.replace("{", "{{").replace("}", "}}")
+        if name == hole:
+            pieces.append(current)
+            current = ""
+        elif name is not None:
+            current += "{" + name + (f"!{conversion}" if conversion else "") + (f":{spec}" if spec else "") + "}"
+    return F.array(*[render(p, variables, null_text) for p in [*pieces, current]])
+
+
 def static_prompt(template: str) -> Column:
     """a template used unchanged, as a literal column."""
     return F.lit(template)
@@ -87,6 +149,24 @@ def context_json(arr: Column | str) -> Column:
     return F.to_json(arr, {"ignoreNullFields": "false"})
 
 
+def json_item(fields: Mapping[str, Column], doubles: set[str]) -> Column:
+    """One JSON object; the fields named in ``doubles`` are written as ``json.dumps`` writes them.
+
+    NaN and infinities are not JSON and become null.
+    """
+    parts: list[Column] = []
+    for i, (name, value) in enumerate(fields.items()):
+        key = F.to_json(F.array(F.lit(name)))
+        parts.append(F.concat(F.lit("," if i else "{"), F.substring(key, F.lit(2), F.length(key) - 2), F.lit(":")))
+        if name in doubles:
+            finite = ~F.isnan(value) & (F.abs(value) != float("inf"))
+            parts.append(F.coalesce(F.when(finite, number_text(value)), F.lit("null")))
+        else:
+            listed = F.to_json(F.array(value), {"ignoreNullFields": "false"})
+            parts.append(F.substring(listed, F.lit(2), F.length(listed) - 2))
+    return F.concat(*parts, F.lit("}"))
+
+
 def nan_to_null(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return F.when(~F.isnan(c), c)

@@ -2,9 +2,8 @@
 
 Invoice context: every line gets all lines of its invoice (same creditor and
 invoice number), ordered by line number. The reference rescans the table per
-row (O(n^2)); here the list is built once per invoice, either by a
-whole-partition window (one shuffle, one pass) or by a partially aggregated
-``collect_list`` joined back on the keys, and sorted with ``array_sort``.
+row (O(n^2)); here the list is built once per invoice, in two levels of
+aggregation whose first one splits an invoice of very many lines into chunks.
 """
 
 from __future__ import annotations
@@ -14,50 +13,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.prompts import context_json, nan_to_null
+from ..functions.prompts import json_item, nan_to_null
 
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# A group with more rows than this is "hot": its list is built in sorted
-# chunks by many tasks before the chunks are joined, instead of one task
-# collecting and sorting the whole group.
-HOT_GROUP_ROWS = 200_000
-HOT_CHUNK_ROWS = 20_000
-HOT_SAMPLE_FRACTION = 0.01
-HOT_KEYS_MAX = 1_000
-# Below this much input (bytes read by the plan's scans) no group can be big
-# enough to hurt one task, so the sampling pass is skipped.
-HOT_CHECK_MIN_BYTES = 256 * 1024 * 1024
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Bytes the plan's leaf scans read, from Catalyst's statistics (no job)."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    total = 0
-    for i in range(leaves.size()):
-        total += int(str(leaves.apply(i).stats().sizeInBytes()))
-    return total
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int, fraction: float = HOT_SAMPLE_FRACTION,
-             limit: int = HOT_KEYS_MAX, min_bytes: int = HOT_CHECK_MIN_BYTES) -> list[tuple]:
-    """Keys that look bigger than ``min_rows`` rows in a sample of the keys.
-
-    Only the sampled key columns are aggregated, and at most ``limit`` keys
-    come back to the driver, so the list has a fixed bound. Inputs smaller
-    than ``min_bytes`` are not sampled at all. A missed or wrongly
-    flagged key only changes which path builds its list, never the result.
-    """
-    if input_bytes(df) < min_bytes:
-        return []
-    sampled = df.select(*keys).sample(fraction=fraction, seed=17).groupBy(*keys).count()
-    big = sampled.filter(F.col("count") >= F.lit(max(1.0, min_rows * fraction)))
-    return [tuple(r[k] for k in keys) for r in big.limit(limit).collect()]
-
-
 def ordered_groups(
     df: DataFrame,
     keys: Sequence[str],
@@ -65,10 +27,6 @@ def ordered_groups(
     fields: Mapping[str, Column | str],
     tie_breakers: Sequence[str] = (),
     list_col: str = "items",
-    hot_rows: int | None = HOT_GROUP_ROWS,
-    chunk_rows: int = HOT_CHUNK_ROWS,
-    sample_fraction: float = HOT_SAMPLE_FRACTION,
-    hot_check_min_bytes: int = HOT_CHECK_MIN_BYTES,
 ) -> DataFrame:
     """A1 + O1: one row per key with the ordered list of ``fields`` structs.
 
@@ -76,62 +34,49 @@ def ordered_groups(
     and then by every collected field, so ties have one fixed order. Rows with a
     null key are left out (a null key matches nothing).
 
-    Ordinary groups: one partially aggregated ``collect_list`` + ``array_sort``.
-    Hot groups (found by :func:`hot_keys`; ``hot_rows=None`` turns this off)
-    are ranked by the distributed ``row_index`` (range partitioned, so a hot
-    group is sorted by many tasks), cut into sorted chunks of ``chunk_rows``
-    built in parallel, and only the ordered chunks meet in one place, where
-    they are concatenated into the group's one output value.
+    One plan for every size, in two levels: rows meet by (key, chunk), where they
+    are listed and sorted; then a key's sorted chunks meet and are merged into its
+    one value. A chunk (:func:`chunked`) is a run of at most ``CHUNK_ROWS`` input
+    rows, so no first-level group is larger, and a key with half of all rows is
+    listed and sorted by many tasks. Nothing is counted or sampled first and no key
+    reaches the driver.
     """
-    not_null = None
-    for k in keys:
-        cond = F.col(k).isNotNull()
-        not_null = cond if not_null is None else not_null & cond
     names = list(fields)
-    rows = df.filter(not_null)
-
-    def simple(part: DataFrame) -> DataFrame:
-        item = F.struct(
-            F.col(order_col).isNull().alias("_o_null"),
-            F.col(order_col).alias("_o"),
-            *[F.col(t).alias(f"_t{i}") for i, t in enumerate(tie_breakers)],
-            *[_c(v).alias(k) for k, v in fields.items()],
-        )
-        grouped = part.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_sorted"))
-        return grouped.select(
-            *keys, F.transform("_sorted", lambda x: F.struct(*[x[n].alias(n) for n in names])).alias(list_col)
-        )
-
-    hot = hot_keys(rows, keys, hot_rows, sample_fraction, min_bytes=hot_check_min_bytes) if hot_rows else []
-    if not hot:
-        return simple(rows)
-
-    from .ordering import row_index
-
-    key_schema = rows.select(*keys).schema
-    hot_df = F.broadcast(rows.sparkSession.createDataFrame(hot, key_schema))  # <= HOT_KEYS_MAX rows
-    cold = simple(rows.join(hot_df, list(keys), "left_anti"))
-    hot_rows_df = rows.join(hot_df, list(keys), "left_semi").select(
-        *keys, F.col(order_col).alias("_o"),
+    rows = chunked(df.filter(_all_not_null(keys)))
+    item = F.struct(
+        F.col(order_col).isNull().alias("_o_null"),
+        F.col(order_col).alias("_o"),
         *[F.col(t).alias(f"_t{i}") for i, t in enumerate(tie_breakers)],
-        *[_c(v).alias(f"_f_{k}") for k, v in fields.items()],
-    )
-    order = (
-        [F.col("_o").asc_nulls_last()]
-        + [F.col(f"_t{i}").asc_nulls_first() for i in range(len(tie_breakers))]
-        + [F.col(f"_f_{k}").asc_nulls_first() for k in names]
-    )
-    ranked = row_index(hot_rows_df, order, keys, name="_rank")
-    item = F.struct(F.col("_rank"), *[F.col(f"_f_{k}").alias(k) for k in names])
-    chunks = ranked.groupBy(*keys, F.floor(F.col("_rank") / F.lit(chunk_rows)).alias("_chunk")).agg(
-        F.array_sort(F.collect_list(item)).alias("_part")
+        *[_c(v).alias(k) for k, v in fields.items()],
     )
-    joined = chunks.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("_chunk", "_part"))).alias("_parts")
-    )
-    flat = F.flatten(F.transform("_parts", lambda p: p["_part"]))
-    hot_out = joined.select(*keys, F.transform(flat, lambda x: F.struct(*[x[n].alias(n) for n in names])).alias(list_col))
-    return cold.unionByName(hot_out)
+    parts = rows.groupBy(*keys, "_chunk").agg(F.sort_array(F.collect_list(item)).alias("_part"))
+    merged = parts.groupBy(*keys).agg(F.collect_list("_part").alias("_parts"))
+    one = F.when(F.size("_parts") == 1, F.get("_parts", F.lit(0))).otherwise(F.sort_array(F.flatten("_parts")))
+    merged = merged.select(*keys, one.alias("_sorted"))
+    return merged.select(*keys, F.transform("_sorted", lambda x: F.struct(*[x[n].alias(n) for n in names])).alias(list_col))
+
+
+#: Input rows to a chunk (a power of two): the most that one first-level group lists.
+CHUNK_ROWS = 1 << 14
+
+
+def _all_not_null(keys: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    return cond
+
+
+def chunked(df: DataFrame, chunk_rows: int = CHUNK_ROWS, name: str = "_chunk") -> DataFrame:
+    """``df`` with the number of the run of ``chunk_rows`` (a power of two) rows each row is in.
+
+    A run lies within one partition. Rows of a key that stand together in the input
+    mostly share a run; a hot key is spread over the runs of all partitions.
+    """
+    bits = chunk_rows.bit_length() - 1
+    if chunk_rows != 1 << bits:
+        raise ValueError("chunk_rows must be a power of two")
+    return df.withColumn(name, F.shiftright(F.monotonically_increasing_id(), bits))
 
 
 def invoice_context(
@@ -142,81 +87,57 @@ def invoice_context(
     tie_breakers: Sequence[str] = (),
     as_json: bool = True,
     context_col: str = "context",
-    method: str = "auto",
-    hot_rows: int = HOT_GROUP_ROWS,
-    sample_fraction: float = HOT_SAMPLE_FRACTION,
-    hot_check_min_bytes: int = HOT_CHECK_MIN_BYTES,
 ) -> DataFrame:
     """Add the ordered invoice context to every line.
 
-    With ``as_json`` the list is rendered as JSON text (F15), doubles with NaN
-    written as null; a line with a null key gets ``[]``.
-
-    ``method="window"`` (default) is one pass: one shuffle on the keys, the
-    list collected once per invoice by a whole-partition window frame. Lines
-    with a null key never share a window partition: they are spread by a hash
-    of the row, so a third of the table without a creditor does not land in
-    one task. ``method="join"`` aggregates the lists (partial, map-side) and
-    joins them back: it scans the input twice, but the list of a hot invoice
-    is built in chunks (see :func:`ordered_groups`) and AQE can split the hot
-    invoice's lines over many join tasks. ``method="auto"`` (default) looks for
-    hot invoices in a sample of the keys (:func:`hot_keys`) and sends only
-    those through the join form, the rest through the window.
+    With ``as_json`` the list is rendered as JSON text (F15), doubles as Python
+    prints them and NaN as null; a line with a null key gets ``[]``. The list is
+    built once per invoice (:func:`ordered_groups`) and joined back, where a hot
+    invoice's lines may be split over many tasks. The result repeats the context on
+    every line, by its meaning; a job that only sends it to a model uses
+    :func:`context_requests`, which does not.
     """
+    groups = invoice_groups(lines, keys, order_col, fields, tie_breakers, as_json)
+    empty = F.lit("[]") if as_json else F.array().cast(groups.schema["_ctx"].dataType)
+    right = groups.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_ctx")
+    cond = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
+    joined = lines.join(right, on=cond, how="left")
+    return joined.select(*[F.col(c) for c in lines.columns], F.coalesce(F.col("_ctx"), empty).alias(context_col))
+
+
+def invoice_groups(
+    lines: DataFrame, keys: Sequence[str], order_col: str, fields: Mapping[str, Column | str], tie_breakers: Sequence[str] = (), as_json: bool = True
+) -> DataFrame:
+    """One row per invoice: the keys and ``_ctx``, its ordered lines (JSON text or structs)."""
     clean = {k: (nan_to_null(v) if _is_double(lines, v) else _c(v)) for k, v in fields.items()}
-    has_key = None
-    for k in keys:
-        cond = F.col(k).isNotNull()
-        has_key = cond if has_key is None else has_key & cond
-    if method == "auto":
-        hot = hot_keys(lines.filter(has_key), keys, hot_rows, sample_fraction, min_bytes=hot_check_min_bytes)
-        if not hot:
-            method = "window"
-        else:
-            hot_df = F.broadcast(lines.sparkSession.createDataFrame(hot, lines.select(*keys).schema))
-            args = (keys, order_col, fields, tie_breakers, as_json, context_col)
-            cold = invoice_context(lines.join(hot_df, list(keys), "left_anti"), *args, method="window")
-            warm = invoice_context(lines.join(hot_df, list(keys), "left_semi"), *args, method="join",
-                                   hot_rows=hot_rows, sample_fraction=sample_fraction,
-                                   hot_check_min_bytes=hot_check_min_bytes)
-            return cold.unionByName(warm)
-    if method == "join":
-        groups = ordered_groups(lines, keys, order_col, clean, tie_breakers, list_col="_ctx", hot_rows=hot_rows,
-                                sample_fraction=sample_fraction, hot_check_min_bytes=hot_check_min_bytes)
-        if as_json:
-            groups = groups.select(*keys, context_json("_ctx").alias("_ctx"))
-            empty = F.lit("[]")
-        else:
-            empty = F.array().cast(groups.schema["_ctx"].dataType)
-        right = groups.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_ctx")
-        cond = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
-        joined = lines.join(right, on=cond, how="left")
-        return joined.select(*[F.col(c) for c in lines.columns], F.coalesce(F.col("_ctx"), empty).alias(context_col))
-    if method != "window":
-        raise ValueError(f"unknown method {method!r}")
-    salt = F.when(~has_key, F.xxhash64(*[F.col(c) for c in lines.columns])).otherwise(F.lit(0))
-    # The frame is the whole invoice, in context order, so collect_list is
-    # evaluated once per invoice and comes out sorted (no per-row sort).
-    order = (
-        [F.col(order_col).asc_nulls_last()]
-        + [F.col(t).asc_nulls_first() for t in tie_breakers]
-        + [v.asc_nulls_first() for v in clean.values()]
-    )
-    w = (
-        Window.partitionBy(*keys, salt)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    )
-    item = F.struct(*[v.alias(k) for k, v in clean.items()])
-    if as_json:
-        # Each line is rendered to JSON once; the per-line context is then a
-        # join of ready strings, not a JSON rendering of the whole invoice.
-        listed = lines.withColumn("_ctx_list", F.collect_list(context_json(item)).over(w))
-        value = F.when(has_key, F.concat(F.lit("["), F.array_join("_ctx_list", ","), F.lit("]"))).otherwise(F.lit("[]"))
-        return listed.select(*[F.col(c) for c in lines.columns], value.alias(context_col))
-    listed = lines.withColumn("_ctx_list", F.collect_list(item).over(w))
-    value = F.when(has_key, F.col("_ctx_list")).otherwise(F.array().cast(listed.schema["_ctx_list"].dataType))
-    return listed.select(*[F.col(c) for c in lines.columns], value.alias(context_col))
+    if not as_json:
+        return ordered_groups(lines, keys, order_col, clean, tie_breakers, list_col="_ctx")
+    # Each line is rendered once; the context is a join of ready strings. The
+    # clean values go first, for they decide between lines that tie so far.
+    doubles = {k for k, v in fields.items() if _is_double(lines, v)}
+    listed = ordered_groups(lines, keys, order_col, {**clean, "_json": json_item(clean, doubles)}, tie_breakers, list_col="_items")
+    text = F.concat(F.lit("["), F.array_join(F.transform("_items", lambda x: x["_json"]), ","), F.lit("]"))
+    return listed.select(*keys, text.alias("_ctx"))
+
+
+def context_requests(lines: DataFrame, keys: Sequence[str], groups: DataFrame, parts: Column, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Requests for a model that sees an invoice's lines one by one, each with the whole invoice.
+
+    One row per (invoice, chunk), with at most ``chunk_rows`` lines: ``context`` once,
+    and ``lines``, an array of (``row``: all columns of the line, ``parts``: its prompt
+    without the context, to be joined by it). So the sum of squares of the invoice
+    sizes crosses neither a shuffle nor Arrow. A line with a null key is a request of
+    its own, with an empty context.
+    """
+    line = F.struct(F.struct(*[F.col(f"`{c}`") for c in lines.columns]).alias("row"), parts.alias("parts"))
+    has_key = _all_not_null(keys)
+    keyed = chunked(lines.filter(has_key).select(*keys, line.alias("_line")), chunk_rows)
+    chunks = keyed.groupBy(*keys, "_chunk").agg(F.collect_list("_line").alias("lines"))
+    right = groups.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_ctx").alias("context"))
+    cond = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
+    met = chunks.join(right, on=cond, how="left").select("context", "lines")
+    alone = lines.filter(~F.coalesce(has_key, F.lit(False))).select(F.lit("[]").alias("context"), F.array(line).alias("lines"))
+    return met.unionByName(alone)
 
 
 def _is_double(df: DataFrame, v: Column | str) -> bool:

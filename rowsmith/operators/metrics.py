@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .ordering import every_nth, row_index
@@ -47,11 +47,22 @@ def count_windows(
     first window starts at its own first fragment) and fragments per second
     (0 when no time passed). A last partial window uses its own length.
     """
-    idx = row_index(tokens, order_by, stream_cols, name="_tok_idx")
-    us = epoch_micros(tokens, ts_col)
+    # Only what the windows need is ranked: the rest would go through the checkpoint.
+    slim = tokens.select(
+        *stream_cols, *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)], epoch_micros(tokens, ts_col).alias("_us"), _c(token).cast("string").alias("_tok")
+    )
+    idx = row_index(slim, [f"_o{i}" for i in range(len(order_by))], stream_cols, name="_tok_idx")
+    return paced(windows_of(idx, stream_cols, size), stream_cols)
+
+
+def windows_of(idx: DataFrame, stream_cols: Sequence[str], size: int) -> DataFrame:
+    """Windows of ranked fragments (``_tok_idx, _us, _tok``): number, size, text and times.
+
+    ``_prev_end_us`` is the end of the window before, null for a stream's first.
+    """
+    us = F.col("_us")
     win = F.floor(F.col("_tok_idx") / F.lit(size)).cast("long")
-    own = F.struct(win.alias("w"), F.lit(True).alias("real"), F.col("_tok_idx").alias("i"), us.alias("us"),
-                   _c(token).cast("string").alias("tok"))
+    own = F.struct(win.alias("w"), F.lit(True).alias("real"), F.col("_tok_idx").alias("i"), us.alias("us"), F.col("_tok").alias("tok"))
     # The last fragment of a window also travels to the next window as that
     # window's start, so one aggregation (no self-join, no lag) gives both.
     carry = F.struct((win + F.lit(1)).alias("w"), F.lit(False).alias("real"), F.col("_tok_idx").alias("i"),
@@ -60,7 +71,7 @@ def count_windows(
     entries = F.when(is_last, F.array(own, carry)).otherwise(F.array(own))
     e = idx.select(*stream_cols, F.explode(entries).alias("e"))
     real = F.col("e.real")
-    agg = e.groupBy(*stream_cols, F.col("e.w").alias("window_no")).agg(
+    return e.groupBy(*stream_cols, F.col("e.w").alias("window_no")).agg(
         F.count(F.when(real, F.lit(1))).alias("n_tokens"),
         F.min(F.when(real, F.col("e.us"))).alias("_first_us"),
         F.max(F.when(real, F.col("e.us"))).alias("_last_us"),
@@ -72,18 +83,13 @@ def count_windows(
             "",
         ).alias("text"),
     ).filter(F.col("n_tokens") > 0)
-    start = F.coalesce(F.col("_prev_end_us"), F.col("_first_us"))
-    elapsed = F.col("_last_us") - start
-    return agg.select(
-        *stream_cols,
-        "window_no",
-        "n_tokens",
-        "text",
-        elapsed.alias("elapsed_us"),
-        F.when(elapsed > 0, F.col("n_tokens") / (elapsed / F.lit(1000000.0))).otherwise(F.lit(0.0)).alias(
-            "tokens_per_sec"
-        ),
-    )
+
+
+def paced(windows: DataFrame, stream_cols: Sequence[str]) -> DataFrame:
+    """Elapsed time and rate of :func:`windows_of`'s rows."""
+    elapsed = F.col("_last_us") - F.coalesce(F.col("_prev_end_us"), F.col("_first_us"))
+    rate = F.when(elapsed > 0, F.col("n_tokens") / (elapsed / F.lit(1000000.0))).otherwise(F.lit(0.0))
+    return windows.select(*stream_cols, "window_no", "n_tokens", "text", elapsed.alias("elapsed_us"), rate.alias("tokens_per_sec"))
 
 
 def response_stats(staged: DataFrame) -> DataFrame:
@@ -116,17 +122,13 @@ def progress_rows(df: DataFrame, order_by: Sequence[str], every: int, message: s
     )
 
 
-def observed_progress(df: DataFrame, name: str = "progress") -> DataFrame:
+def observed_progress(df: DataFrame, name: str = "progress") -> tuple[DataFrame, Observation]:
     """A5 for batch jobs: row and error counters collected by ``observe``.
 
-    Read them after the action from the returned Observation's ``get``.
+    Read them after the action from the Observation's ``get``.
     """
-    from pyspark.sql import Observation
-
     obs = Observation(name)
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.count("error").alias("errors"))
-    out._rowsmith_observation = obs  # type: ignore[attr-defined]
-    return out
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), F.count("error").alias("errors")), obs
 
 
 def response_log(staged: DataFrame, row_col: str, every: int | None = None) -> DataFrame:

@@ -5,21 +5,17 @@ operator (a plain UDF could be duplicated by projection collapsing), so each row
 is sent once per task attempt. Only the request columns are turned into pandas
 for the backend; every other column passes through as Arrow. The backend is built from a hashable spec once per
 Python worker (M7) and receives whole pandas batches; failures are isolated per
-row (M5): a failed batch is split and retried, and only the bad rows get an
-``error`` and null outputs. Rows whose prompt is null are never sent (P1).
+row (M5): a slice that raises is asked again one by one, and only the bad rows
+get an ``error`` and null outputs. Rows whose prompt is null are never sent (P1).
 
-Backends are user code. The ones here are deterministic stand-ins used by the
-tests, the oracle queries and the benchmark: their rules are simple enough to
-restate in SQL.
+Backends are user code; ``operators.standins`` has deterministic ones for tests,
+the oracle queries and the benchmark.
 """
 
 from __future__ import annotations
 
-import json
-import re
 import time
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
 from typing import Protocol
 
 import numpy as np
@@ -30,8 +26,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import ModelParams
-
 RESPONSE_FIELDS = (
     T.StructField("response", T.StringType()),
     T.StructField("n_tokens", T.IntegerType()),
@@ -99,10 +93,11 @@ def _conform(out: pd.DataFrame, n: int, elapsed: float) -> pd.DataFrame:
 
 
 def respond_isolated(backend: Backend, requests: pd.DataFrame) -> pd.DataFrame:
-    """M5: call the batch; if it fails, split it in halves and retry each half.
+    """M5: call the slice; if the call raises, ask for its requests one by one.
 
-    Only the requests that fail on their own get an ``error``; a rare bad row
-    costs O(log batch) extra calls instead of one call per row.
+    A backend that knows which of its requests failed says so in ``error`` and no
+    request is repeated. One that raises for a whole slice costs each request of
+    that slice one more call, and never more: at most two calls a request.
     """
     n = len(requests)
     if n == 0:
@@ -111,15 +106,44 @@ def respond_isolated(backend: Backend, requests: pd.DataFrame) -> pd.DataFrame:
     t0 = time.perf_counter()
     try:
         return _conform(backend.respond(req), n, time.perf_counter() - t0)
-    except Exception as exc:  # noqa: BLE001 - isolate below
-        if n == 1:
-            failed = _empty_result(1)
-            failed.loc[0, "error"] = f"{type(exc).__name__}: {exc}"
-            return failed
-    mid = n // 2
-    return pd.concat(
-        [respond_isolated(backend, req.iloc[:mid]), respond_isolated(backend, req.iloc[mid:])], ignore_index=True
-    )
+    except Exception as exc:  # noqa: BLE001 - isolated below
+        failed = exc
+    if n == 1:
+        return _failure(failed)
+    parts = []
+    for i in range(n):
+        t0 = time.perf_counter()
+        try:
+            parts.append(_conform(backend.respond(req.iloc[i : i + 1].reset_index(drop=True)), 1, time.perf_counter() - t0))
+        except Exception as exc:  # noqa: BLE001 - this request alone gets the error
+            parts.append(_failure(exc))
+    return pd.concat(parts, ignore_index=True)
+
+
+def _failure(exc: Exception) -> pd.DataFrame:
+    failed = _empty_result(1)
+    failed.loc[0, "error"] = f"{type(exc).__name__}: {exc}"
+    return failed
+
+
+#: Requests sent to a backend at once, unless the job says otherwise.
+REQUEST_ROWS = 64
+#: Rows of an Arrow batch that are pandas at one time.
+SLICE_ROWS = 1024
+
+_ARROW_TYPES = {"response": pa.string(), "n_tokens": pa.int32(), "seconds": pa.float64(), "stop_reason": pa.string(), "error": pa.string()}
+
+
+def _answers(backend: Backend, requests: pd.DataFrame, request_rows: int) -> list[pa.Array]:
+    """The response columns for a frame of requests; a null prompt is never sent."""
+    res = _empty_result(len(requests))
+    rows = np.flatnonzero(requests["prompt"].notna().to_numpy())
+    for k in range(0, len(rows), request_rows):
+        some = rows[k : k + request_rows]
+        got = respond_isolated(backend, requests.iloc[some])
+        for c in RESPONSE_COLUMNS:
+            res.loc[some, c] = got[c].to_numpy()
+    return [pa.Array.from_pandas(res[c], type=_ARROW_TYPES[c]) for c in RESPONSE_COLUMNS]
 
 
 def call_model(
@@ -132,7 +156,7 @@ def call_model(
     passthrough: Sequence[str] | None = None,
     checkpoint: bool = False,
     dedupe: bool = False,
-    request_rows: int | None = None,
+    request_rows: int = REQUEST_ROWS,
 ) -> DataFrame:
     """Run the model stage; output = input columns + RESPONSE_FIELDS.
 
@@ -148,9 +172,8 @@ def call_model(
     rows is one call and one skew-split join key, not a hot task.
 
     ``request_rows`` caps how many requests go to one ``respond`` call (each
-    Arrow batch is sliced); with page images also lower
-    ``spark.sql.execution.arrow.maxRecordsPerBatch`` so one batch of documents
-    fits a Python worker.
+    Arrow batch is sliced): it bounds what a raising call repeats, and the memory
+    of a call with page images.
 
     ``checkpoint`` runs the stage now and keeps its output in the shared
     checkpoint folder (a reliable checkpoint, lineage cut). Use it when the
@@ -180,7 +203,10 @@ def call_model(
         keep = [c for c in df.columns if (keep_prompt or c != prompt_col)]
         if passthrough is not None:
             keep = [c for c in keep if c in set(passthrough) or (keep_prompt and c == prompt_col)]
-        joined = df.join(answers, on=req, how="left")
+        # Null request columns match too: a request is its prompt and all of them.
+        right = answers.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(req)], *RESPONSE_COLUMNS)
+        cond = [F.col(c).eqNullSafe(F.col(f"_r{i}")) for i, c in enumerate(req)]
+        joined = df.join(right, on=cond, how="left")
         return joined.select(*[F.col(c) for c in keep], *RESPONSE_COLUMNS)
     passed = [f for f in df.schema.fields if keep_prompt or f.name != prompt_col]
     if passthrough is not None:
@@ -190,32 +216,16 @@ def call_model(
     out_cols = [f.name for f in passed]
     req_cols = [prompt_col, *request_cols]
 
-    arrow_types = {"response": pa.string(), "n_tokens": pa.int32(), "seconds": pa.float64(),
-                   "stop_reason": pa.string(), "error": pa.string()}
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Arrow in, Arrow out: only the request columns become pandas for the
         # backend; pass-through columns go back untouched (no conversion).
         be = worker_backend(backend)
         for whole in batches:
-            step = request_rows or max(whole.num_rows, 1)
-            for start in range(0, max(whole.num_rows, 1), step):
-                yield _answer_batch(be, whole.slice(start, step))
-
-    def _answer_batch(be, rb: pa.RecordBatch) -> pa.RecordBatch:
-        n = rb.num_rows
-        res = _empty_result(n)
-        valid = pc.is_valid(rb.column(prompt_col))
-        if n and pc.any(valid).as_py():
-            sent = rb.filter(valid)
-            req = pa.Table.from_batches([sent]).select(req_cols).to_pandas()
-            got = respond_isolated(be, req.rename(columns={prompt_col: "prompt"}))
-            rows = np.flatnonzero(valid.to_numpy(zero_copy_only=False))
-            for c in RESPONSE_COLUMNS:
-                res.loc[rows, c] = got[c].to_numpy()
-        arrays = [rb.column(c) for c in out_cols]
-        arrays += [pa.Array.from_pandas(res[c], type=arrow_types[c]) for c in RESPONSE_COLUMNS]
-        return pa.RecordBatch.from_arrays(arrays, names=out_cols + RESPONSE_COLUMNS)
+            for start in range(0, max(whole.num_rows, 1), SLICE_ROWS):
+                rb = whole.slice(start, SLICE_ROWS)
+                req = pa.Table.from_batches([rb]).select(req_cols).to_pandas().rename(columns={prompt_col: "prompt"})
+                arrays = [rb.column(c) for c in out_cols] + _answers(be, req, request_rows)
+                yield pa.RecordBatch.from_arrays(arrays, names=out_cols + RESPONSE_COLUMNS)
 
     from ..session import ship_package
 
@@ -235,189 +245,35 @@ def call_model(
     return out
 
 
-# ---------------------------------------------------------------------------
-# Deterministic backends (test and benchmark stand-ins for a model server)
-# ---------------------------------------------------------------------------
-
-# Keyword rules of the stand-in classifier, checked in order on
-# the lower-cased prompt; first hit gives the raw label the "model" answers.
-DEFAULT_KEYWORD_RULES: tuple[tuple[str, str], ...] = (
-    ("bolt", "materialeindkøb"),
-    ("rod", "Materiale"),
-    ("plate", "materialeindkøb"),
-    ("gear", "tjenesteydelse"),
-    ("widget", "Tjeneste (service)"),
-    ("ring", "automatisk tjeneste"),
-    ("anvil", "andet"),
-)
-DEFAULT_NO_RULE_LABEL = "ved ikke"
-
-
-@dataclass(frozen=True)
-class KeywordBackend:
-    """Rules on the prompt -> JSON (``mode='json'``) or prose with thinking.
-
-    JSON answer: ``{"label": <rule label>, "reason": "rule <needle>", "secure":
-    <prompt length % score_mod>, ...}``; with ``fields`` naming which keys to
-    write. Prose answer: ``<think>`` + the prompt + ``</think>`` then
-    ``Svaret er **<label>**.``
-    """
-
-    mode: str = "json"
-    rules: tuple[tuple[str, str], ...] = DEFAULT_KEYWORD_RULES
-    default_label: str = DEFAULT_NO_RULE_LABEL
-    fields: tuple[str, ...] = ("label", "reason", "secure")
-    score_mod: int = 12
-    # M6: per-job model settings; max_tokens cuts the answer after that many
-    # space-separated tokens and reports the length stop, as a server would.
-    params: ModelParams | None = None
-
-    def build(self) -> KeywordBackend:
-        return self
-
-    def respond(self, requests: pd.DataFrame) -> pd.DataFrame:
-        prompts = requests["prompt"].astype(str)
-        low = prompts.str.lower()
-        labels = pd.Series(self.default_label, index=prompts.index, dtype=object)
-        needles = pd.Series("none", index=prompts.index, dtype=object)
-        open_ = np.ones(len(prompts), dtype=bool)
-        for needle, label in self.rules:  # first matching rule wins
-            hit = open_ & low.str.contains(needle, regex=False).to_numpy()
-            labels[hit] = label
-            needles[hit] = needle
-            open_ &= ~hit
-        if self.mode == "prose":
-            text = "<think>\n" + prompts + "\n</think>\nSvaret er **" + labels + "**."
-        else:
-            score = (prompts.str.len() % self.score_mod).astype(str)
-            values = {
-                "label": '"' + labels + '"',
-                "reason": '"rule ' + needles + '"',
-                "reason_for": '"rule ' + needles + '"',
-                "reason_against": '"no rule before ' + needles + '"',
-                "secure": score,
-            }
-            parts = [f'"{f}": ' + values[f] for f in self.fields]
-            text = "{" + parts[0]
-            for p in parts[1:]:
-                text = text + ", " + p
-            text = text + "}"
-        n_tok = text.str.count(" ") + 1
-        stop = pd.Series("eosFound", index=text.index, dtype=object)
-        if self.params is not None and self.params.max_tokens:
-            m = self.params.max_tokens
-            over = n_tok > m
-            text = text.where(~over, text.str.split(" ").str[:m].str.join(" "))
-            n_tok = n_tok.clip(upper=m)
-            stop[over] = "maxPredictedTokensReached"
-        return pd.DataFrame({"response": text, "n_tokens": n_tok, "stop_reason": stop})
-
-
-_KEY = re.compile(r"#(\d+)")
-
-
-@dataclass(frozen=True)
-class FaultyBackend:
-    """Wraps another backend and breaks answers by the ``#<key>`` in the prompt.
-
-    Rules in order on key k: ``k % raise_every == 0`` raises (whole batch fails,
-    then only that row); ``k % none_every == 0`` returns null;
-    ``k % bad_every == 0`` returns non-JSON text; ``k % empty_every == 0`` returns
-    ``''``; ``k % cut_every == 0`` returns the first half of the inner answer.
-    """
-
-    inner: KeywordBackend = field(default_factory=KeywordBackend)
-    raise_every: int = 13
-    none_every: int = 17
-    bad_every: int = 7
-    empty_every: int = 11
-    cut_every: int = 5
-
-    def build(self) -> FaultyBackend:
-        return self
-
-    def respond(self, requests: pd.DataFrame) -> pd.DataFrame:
-        keys = requests["prompt"].astype(str).str.extract(_KEY, expand=False).astype("float64")
-        if (keys % self.raise_every == 0).any():
-            raise RuntimeError(f"backend failure for key multiple of {self.raise_every}")
-        out = self.inner.respond(requests)
-        resp = out["response"].astype(object).copy()
-        none = keys % self.none_every == 0
-        bad = (keys % self.bad_every == 0) & ~none
-        empty = (keys % self.empty_every == 0) & ~none & ~bad
-        cut = (keys % self.cut_every == 0) & ~none & ~bad & ~empty
-        resp[cut] = [s[: len(s) // 2] for s in resp[cut]]
-        resp[empty] = ""
-        resp[bad] = "Jeg er ikke sikker."
-        resp[none] = None
-        out["response"] = resp
-        out.loc[none.to_numpy(), "stop_reason"] = "failed"
-        return out
-
-
-@dataclass(frozen=True)
-class PageReaderBackend:
-    """Stand-in vision model (M3): reads a list of page contents per request.
-
-    A page is decoded as UTF-8 text; the answer has one line per page,
-    ``side <n>: <words> ord, <chars> tegn``. A request without readable pages gets
-    a null answer, like the reference when no image could be prepared.
-    """
-
-    pages_col: str = "pages"
-
-    def build(self) -> PageReaderBackend:
-        return self
+def call_model_joined(requests: DataFrame, backend: BackendSpec, request_rows: int = REQUEST_ROWS) -> DataFrame:
+    """The model stage for lines that share a context.
 
-    def respond(self, requests: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for pages in requests[self.pages_col]:
-            lines = []
-            if pages is not None:
-                for i, raw in enumerate(pages, start=1):
-                    if raw is None:
-                        continue  # a bad page is skipped
-                    txt = bytes(raw).decode("utf-8", errors="replace")
-                    lines.append(f"side {i}: {len(txt.split())} ord, {len(txt)} tegn")
-            out.append("\n".join(lines) if lines else None)
-        return pd.DataFrame({"response": out, "stop_reason": "eosFound"})
-
-
-_PAGE_LINE = re.compile(r"side (\d+): (\d+) ord, (\d+) tegn")
-
-
-@dataclass(frozen=True)
-class InvoiceWriterBackend:
-    """Stand-in text model for the second reader stage (M4).
-
-    Reads the page lines of the first answer out of the prompt and answers an
-    invoice as JSON: creditor from the ``Kreditor: <x>`` line of the prompt, one
-    invoice line per page (description ``side <n>``, quantity = words, amount =
-    characters), ``secure`` = number of pages capped at 10.
+    ``requests`` has ``context`` (text) and ``lines``, an array of ``row`` (a struct)
+    and ``parts`` (pieces of the prompt; null sends nothing). A line's prompt is its
+    parts joined by the context, put together here, in the task that sends it: the
+    context travels once for all lines of a row. Output: one row per line, the
+    columns of ``row`` and the response fields.
     """
+    from ..session import ship_package
 
-    def build(self) -> InvoiceWriterBackend:
-        return self
-
-    def respond(self, requests: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for prompt in requests["prompt"]:
-            cred = re.search(r"Kreditor: (\S+)", prompt)
-            lines = [
-                {"fakturalinje_beskrivelse": f"side {m[0]}", "antal": int(m[1]), "linje_beløb": float(m[2])}
-                for m in _PAGE_LINE.findall(prompt)
-            ]
-            doc = {"kreditor": cred.group(1) if cred else None, "fakturalinjer": lines, "secure": min(len(lines), 10)}
-            out.append(json.dumps(doc, ensure_ascii=False))
-        return pd.DataFrame({"response": out, "stop_reason": "eosFound"})
-
-
-@dataclass(frozen=True)
-class EchoBackend:
-    """Answers the prompt itself (zero-latency path benchmark)."""
-
-    def build(self) -> EchoBackend:
-        return self
+    ship_package(requests.sparkSession)
+    row = requests.schema["lines"].dataType.elementType["row"].dataType
+    clash = {f.name.lower() for f in row.fields} & set(RESPONSE_COLUMNS)
+    if clash:
+        raise ValueError(f"input already has model output columns {sorted(clash)}; rename them first")
+    names = [f.name for f in row.fields] + RESPONSE_COLUMNS
 
-    def respond(self, requests: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"response": requests["prompt"], "stop_reason": "eosFound"})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        be = worker_backend(backend)
+        for b in batches:
+            # All lines of the batch, and the row each belongs to; contexts stay one per row.
+            contexts, lines = b.column("context").to_pylist(), b.column("lines").flatten()
+            owner = np.repeat(np.arange(b.num_rows), pc.fill_null(pc.list_value_length(b.column("lines")), 0).to_numpy())
+            for k in range(0, len(lines), SLICE_ROWS):
+                some = lines.slice(k, SLICE_ROWS)
+                parts = some.field("parts").to_pylist()
+                prompts = [None if p is None else contexts[i].join(p) for i, p in zip(owner[k : k + SLICE_ROWS], parts)]
+                asked = pd.DataFrame({"prompt": pd.Series(prompts, dtype=object)})
+                yield pa.RecordBatch.from_arrays([*some.field("row").flatten(), *_answers(be, asked, request_rows)], names)
+
+    return requests.select("context", "lines").mapInArrow(run, T.StructType([*row.fields, *RESPONSE_FIELDS]))

@@ -3,9 +3,9 @@
 The reference asks a web search engine; here the pages are a table. A query is
 a set of words; a page's score is the number of distinct query words it
 contains. Pages are tokenised once (distinct ``(page, word)``), equi-joined with
-the query words (the query list is user input of known, small size, so it is
-broadcast behind an explicit row-count check), counted per ``(query, page)`` and
-ranked. ``row_number() <= k`` lets Spark keep a per-partition top-k before the
+the query words, counted per ``(query, page)`` and ranked; which side is
+broadcast, if any, is left to the sizes measured at run time. A word that every
+page holds is one hot key of an inner join, which may be split. ``row_number() <= k`` lets Spark keep a per-partition top-k before the
 shuffle (window group limit), so a query that hits every page does not pull
 all of them into one task.
 """
@@ -22,24 +22,16 @@ from ..functions import text as X
 CANDIDATES = 10  # results asked from the search engine
 MAX_PAGES = 3  # pages kept per query
 NO_TITLE = "Ingen titel"
-BROADCAST_MAX_QUERY_WORDS = 100_000
-PREFILTER_MAX_QUERY_WORDS = 10_000
-BROADCAST_MAX_CANDIDATES = 1_000_000
 
 
-def page_words(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
-               only: list[str] | None = None) -> DataFrame:
+def page_words(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Distinct cleaned words per page, from the page's whole text.
 
     Words are cleaned in one pass over the text and made distinct inside each
     row (``array_distinct``), so no shuffle is needed to de-duplicate them.
-    With ``only`` (a small, known word list) each page's words are intersected
-    with it before exploding, so pages never turn into one row per word.
     """
     text = H.html_to_text(html_col, max_chars=None)
     cleaned = F.array_distinct(X.words(F.lower(F.regexp_replace(text, X.NOT_WORD_OR_SPACE, ""))))
-    if only is not None:
-        cleaned = F.array_intersect(cleaned, F.array(*[F.lit(w) for w in only]).cast("array<string>"))
     return pages.select(F.col(id_col), F.explode(cleaned).alias("word"))
 
 
@@ -56,24 +48,11 @@ def search_candidates(
     html_col: str = "html",
 ) -> DataFrame:
     """J4 + O2: the ``candidates`` best pages per query: (query_id, rank, page_id, score)."""
-    return _candidates(pages, queries, candidates, id_col, html_col)[0]
-
-
-def _candidates(pages, queries, candidates, id_col, html_col):
-    qw = query_words(queries)
-    n_words = qw.count()  # driver gets one number: the size check for the broadcast
-    only = None
-    if n_words <= PREFILTER_MAX_QUERY_WORDS:  # bounded list: filter inside each page's array
-        only = sorted({r["word"] for r in qw.select("word").collect()})
-    if n_words <= BROADCAST_MAX_QUERY_WORDS:
-        qw = F.broadcast(qw)
-    hits = page_words(pages, id_col, html_col, only).join(qw, "word").groupBy("query_id", id_col).agg(
+    hits = page_words(pages, id_col, html_col).join(query_words(queries), "word").groupBy("query_id", id_col).agg(
         F.count(F.lit(1)).alias("score")
     )
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(id_col).asc())
-    ranked = hits.withColumn("rank", F.row_number().over(w))
-    # A query without words has no candidates, so rows <= candidates * words.
-    return ranked.filter(F.col("rank") <= F.lit(candidates)), candidates * n_words
+    return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.lit(candidates))
 
 
 def first_pages(
@@ -93,15 +72,11 @@ def first_pages(
     are dropped *after* the candidate cut, as the reference does. Output:
     query_id, position (1..max_pages), page_id, title, url, text.
     """
-    cand, max_rows = _candidates(pages, queries, candidates, id_col, html_col)
+    cand = search_candidates(pages, queries, candidates, id_col, html_col)
     href = F.col(href_col) if href_col else F.lit(None).cast("string")
     link = F.coalesce(F.when(href != "", href), F.when(F.col(url_col) != "", F.col(url_col)))
     cols = [id_col, url_col, html_col] + ([href_col] if href_col else [])
     # Only the candidates' pages are rendered to text: join first, then parse.
-    # The candidate list has at most ``candidates`` rows per query word
-    # counted above; under the bound it is the side to broadcast.
-    if max_rows <= BROADCAST_MAX_CANDIDATES:
-        cand = F.broadcast(cand)
     got = pages.select(*cols).join(cand, id_col)
     title = H.html_title(html_col)
     with_link = got.select(

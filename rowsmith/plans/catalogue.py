@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import model as M
+from ..operators import standins as B
 from . import jobs as J
 from . import oracle as O
 
@@ -31,20 +32,18 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-# Fact tables and tables with long texts: when a file holds a single row group
-# it is read by one task, so these are spread over all cores on read (a no-op
-# for inputs that already come in enough splits). Dimension tables are not:
-# they end up as broadcast or small shuffle sides anyway.
-TEXT_TABLES = ("documents", "pages", "lineitem", "orders", "events")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    if name in TEXT_TABLES:
-        from ..sources.readers import spread
+def wide(df: DataFrame) -> DataFrame:
+    """For heavy work row by row: a small file that one task would read is spread over the cores.
+
+    Called after filters and column choice, which therefore reach the scan.
+    """
+    from ..sources.readers import spread
 
-        df = spread(df)
-    return df
+    return spread(df)
 
 
 # ---------------------------------------------------------------------------
@@ -70,7 +69,7 @@ FROM k"""
 @register("classify_structured", sql=_simple_sql("part"))
 def classify_structured(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    out = J.classify_simple(part, "p_name", "p_partkey", M.KeywordBackend())
+    out = J.classify_simple(part, "p_name", "p_partkey", B.KeywordBackend())
     return out.select("p_partkey", "p_name", J.OUT_LABEL, J.OUT_SCORE, J.OUT_REASON, "status")
 
 
@@ -78,7 +77,7 @@ def classify_structured(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sources, sinks, unions
 # ---------------------------------------------------------------------------
 
-from ..session import scratch_path  # noqa: E402
+from ..session import scratch_path, written  # noqa: E402
 from ..sources import readers as R  # noqa: E402
 
 
@@ -209,7 +208,8 @@ _ANSWERS_SQL = f"(SELECT doc_id, {_MADE_ANSWER_SQL} AS answer FROM documents)"
 
 
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", _made_answer().alias("answer"))
+    docs = wide(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", _made_answer().alias("answer"))
 
 
 @register(
@@ -306,7 +306,7 @@ FROM (SELECT event_id,
       FROM (SELECT event_id, {_EVENT_TEXT_SQL} AS txt FROM events))""",
 )
 def q_parse_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    ev = wide(table(spark, sf_dir, "events").select("event_id", "props"))
     eid, props = F.col("event_id"), F.col("props")
     txt = F.when(eid % 7 == 0, F.lit("")).when(eid % 5 == 0, F.expr("substr(props, 1, length(props) - 2)")).otherwise(props)
     parsed = A.with_parsed_answer(ev.select("event_id", txt.alias("txt")), "txt", A.AnswerSchema.of(("k", "int")), "a")
@@ -399,7 +399,7 @@ FROM (SELECT doc_id, unnest(range(1, len(p) + 1)) AS page_no, unnest(p) AS page
       FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents))""",
 )
 def page_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = wide(table(spark, sf_dir, "documents").select("doc_id", "text"))
     pages = EX.page_explode(docs, "doc_id", EX.split_pages("text"))
     return pages.withColumn("content", F.decode("content", "UTF-8"))
 
@@ -507,7 +507,7 @@ SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity,
 FROM {_INVOICE_LINES_SQL} l JOIN g ON l.c_name = g.c_name AND l.l_orderkey = g.l_orderkey""",
 )
 def render_prompt_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _invoice_lines(spark, sf_dir)
+    lines = written(_invoice_lines(spark, sf_dir), "invoice-lines")  # read for the contexts and for the lines
     ctx = invoice_context(
         lines, ["c_name", "l_orderkey"], "l_linenumber",
         {"fakturalinje": "p_name", "antal": "l_quantity", "stykpris": "unit_price"},
@@ -579,7 +579,7 @@ def _part_nulled(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM ({_simple_sql("(SELECT p_partkey, CASE WHEN p_partkey % 9 <> 0 THEN p_name END AS p_name FROM part)")})""",
 )
 def null_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = J.classify_simple(_part_nulled(spark, sf_dir), "p_name", "p_partkey", M.KeywordBackend())
+    out = J.classify_simple(_part_nulled(spark, sf_dir), "p_name", "p_partkey", B.KeywordBackend())
     return out.select("p_partkey", "p_name", J.OUT_LABEL, J.OUT_SCORE, "status")
 
 
@@ -593,13 +593,13 @@ FROM ({_simple_sql("part")})""",
 )
 def score_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    out = J.classify_simple(part, "p_name", "p_partkey", M.KeywordBackend())
+    out = J.classify_simple(part, "p_name", "p_partkey", B.KeywordBackend())
     return out.select(
         "p_partkey", J.OUT_SCORE, A.score_band(J.OUT_SCORE).alias("band"), A.score_in_range(J.OUT_SCORE).alias("in_range")
     )
 
 
-FAULTY = M.FaultyBackend(raise_every=97)
+FAULTY = B.FaultyBackend(raise_every=97)
 
 
 def _fault_case(k: str = "p_partkey") -> str:
@@ -667,12 +667,12 @@ FROM (SELECT doc_id, {_prose_sql('prompt')} AS r FROM (SELECT doc_id, {_FREETEXT
 )
 def classify_freetext(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = J.classify_freetext(docs, "text", M.KeywordBackend(mode="prose"), LABELS)
+    out = J.classify_freetext(docs, "text", B.KeywordBackend(mode="prose"), LABELS)
     return out.select("doc_id", "label", "reason", "thinking_words", "total_words")
 
 
 DOC_TEMPLATE = "Kilde {kilde}, kvalitet {kvalitet}.\nTekst:\n{tekst}\nSvar med JSON: label, reason.\n"
-DOC_BACKEND = M.KeywordBackend(fields=("label", "reason"))
+DOC_BACKEND = B.KeywordBackend(fields=("label", "reason"))
 
 
 @register(
@@ -695,7 +695,7 @@ def classify_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SECOND_TEMPLATE = "Første svar:\n{svar}\nGiv nu label og secure som JSON.\n"
-SMALL_BACKEND = M.KeywordBackend(fields=("label", "secure"))
+SMALL_BACKEND = B.KeywordBackend(fields=("label", "secure"))
 
 
 @register(
@@ -708,7 +708,7 @@ FROM (SELECT doc_id, {O.render(SECOND_TEMPLATE, {'svar': O.strip_thinking('r')})
 def two_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = J.two_stage(
-        docs, P.render(J.FREETEXT_TEMPLATE, {"fakturalinje": "text"}), M.KeywordBackend(mode="prose"),
+        docs, P.render(J.FREETEXT_TEMPLATE, {"fakturalinje": "text"}), B.KeywordBackend(mode="prose"),
         SECOND_TEMPLATE, "svar", SMALL_BACKEND, A.PURCHASE_SMALL, keep=["doc_id"],
     )
     return out.select("doc_id", A.normalise_label("answer.label").alias(J.OUT_LABEL), F.col("answer.secure").alias(J.OUT_SCORE))
@@ -724,8 +724,63 @@ FROM (SELECT doc_id, source, p, unnest(range(1, len(p) + 1)) AS i
       FROM (SELECT doc_id, source, string_split(text, chr(10)) AS p FROM documents))""",
 )
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", EX.split_pages("text").alias("pages"))
-    return J.read_documents(docs, "doc_id", "source", "pages")
+    docs = wide(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    docs = docs.select("doc_id", "source", EX.split_pages("text").alias("pages"))
+    out = J.read_documents(docs, "source", "pages", B.PageReaderBackend(), B.InvoiceWriterBackend())
+    return out.drop("source", "status", "error")
+
+
+def _written_files(spark: SparkSession, docs: DataFrame, root: str) -> None:
+    """One file per document, by Spark's text writer: the folder carries the document's name."""
+    named = docs.select(F.concat(F.col("doc_id").cast("string"), F.lit(".pdf")).alias("name"), "text")
+    named.repartition("name").write.option("lineSep", "\x00").partitionBy("name").text(root)
+
+
+#: The register asks for every document; documents divisible by this number were never filed.
+UNFILED_EVERY = 10
+
+
+@register(
+    "read_register",
+    sql=f"""WITH d AS (SELECT *, doc_id % {UNFILED_EVERY} <> 0 AS filed, string_split(text, chr(10)) AS p FROM documents),
+x AS (SELECT *, unnest(range(1, len(p) + 1)) AS i FROM d WHERE filed)
+SELECT doc_id, source, lang, n_chars, source AS answer_kreditor, CAST(least(len(p), 10) AS INTEGER) AS answer_secure,
+  'side ' || CAST(i AS VARCHAR) AS fakturalinje_beskrivelse, CAST({O.word_count('p[i]')} AS INTEGER) AS antal,
+  CAST(length(p[i]) AS DOUBLE) AS "linje_beløb", CAST(i AS INTEGER) AS linjenummer, 'ok' AS status, NULL::VARCHAR AS error
+FROM x
+UNION ALL
+SELECT doc_id, source, lang, n_chars, NULL, NULL, NULL, NULL, NULL, NULL, 'missing', 'no readable page' FROM d WHERE NOT filed""",
+)
+def read_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files are written from the documents, scanned, looked up by id, paged and read by both models."""
+    root = scratch_path(spark, "register")
+    docs = table(spark, sf_dir, "documents")
+    _written_files(spark, docs.filter(F.col("doc_id") % UNFILED_EVERY != 0), root)
+    files = D.scan_documents(spark, root, glob="*.txt").select("path")
+    contents = D.scan_documents(spark, root, glob="*.txt", with_content=True).select("path", "content")
+
+    def decoder(chosen: DataFrame) -> DataFrame:
+        # The text writer ends a file with its separator.
+        text = F.regexp_replace(F.decode("content", "UTF-8"), "\x00", "")
+        return EX.page_explode(chosen.withColumn("_text", text), "path", EX.split_pages("_text")).select("path", "page_no", "content")
+
+    name = F.regexp_extract("path", r"name=([^/]*)[.]pdf/", 1)
+    out = J.read_register(
+        docs.drop("text"), "doc_id", "source", files, contents, decoder, B.PageReaderBackend(), B.InvoiceWriterBackend(), name=name
+    )
+    return out.drop("doc_path")
+
+
+@register(
+    "doc_scan",
+    sql=f"SELECT doc_id, CAST(strlen(text) + 1 AS BIGINT) AS length FROM documents WHERE doc_id % {UNFILED_EVERY} <> 0",
+)
+def doc_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scan of the files written from the documents (a separator byte ends each)."""
+    root = scratch_path(spark, "scan")
+    _written_files(spark, table(spark, sf_dir, "documents").filter(F.col("doc_id") % UNFILED_EVERY != 0), root)
+    found = D.scan_documents(spark, root, glob="*.txt")
+    return found.select(F.regexp_extract("path", r"name=([^/]*)[.]pdf/", 1).cast("long").alias("doc_id"), "length")
 
 
 # ---------------------------------------------------------------------------
@@ -741,7 +796,7 @@ FROM {_INVOICE_LINES_SQL} l JOIN (
   FROM {_INVOICE_LINES_SQL} GROUP BY c_name, l_orderkey) g
 ON l.c_name = g.c_name AND l.l_orderkey = g.l_orderkey)"""
 
-ADVANCED_BACKEND = M.KeywordBackend(fields=("label", "reason_for", "reason_against", "secure"))
+ADVANCED_BACKEND = B.KeywordBackend(fields=("label", "reason_for", "reason_against", "secure"))
 
 
 @register(
@@ -808,7 +863,7 @@ def _title_sql(h: str) -> str:
 
 @register("html_text", sql=f"SELECT page_id, {_title_sql('html')} AS title, {_html_text_sql('html')} AS text FROM pages")
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
+    pages = wide(table(spark, sf_dir, "pages").select("page_id", "html"))
     return pages.select("page_id", H.html_title("html").alias("title"), H.html_to_text("html").alias("text"))
 
 
@@ -839,7 +894,7 @@ firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORD
     sql=_SEARCH_SQL + "\nSELECT query_id, CAST(position AS INTEGER) AS position, page_id, title, url, text FROM firsts",
 )
 def search_first_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = S.first_pages(table(spark, sf_dir, "pages"), _queries(spark))
+    out = S.first_pages(wide(table(spark, sf_dir, "pages")), _queries(spark))
     return out.withColumn("position", F.col("position").cast("int"))
 
 
@@ -852,7 +907,7 @@ SELECT query_id, string_agg(printf('SIDE %d:' || chr(10) || 'Titel: %s' || chr(1
 FROM firsts GROUP BY query_id""",
 )
 def search_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.digest(S.first_pages(table(spark, sf_dir, "pages"), _queries(spark)))
+    return S.digest(S.first_pages(wide(table(spark, sf_dir, "pages")), _queries(spark)))
 
 
 @register(
@@ -887,6 +942,23 @@ def token_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MT.count_windows(ev, ["event_type"], ["ts", "event_id"], "ts", tok, size=50)
 
 
+from ..streaming import tokens as TK  # noqa: E402
+
+
+@register("token_stream", sql=SQL["token_throughput"])
+def token_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows of ``token_throughput`` from a stream that stops half way and goes on."""
+    events = table(spark, sf_dir, "events").select("event_type", "ts", "event_id", "user_id")
+    base = scratch_path(spark, "token-stream")
+    tok = F.concat(F.col("user_id").cast("string"), F.lit(" "))
+    early = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
+    for part, rows in enumerate((events.filter(early), events.filter(~early))):
+        rows.write.parquet(f"{base}/landing/part={part}")
+        stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(f"{base}/landing")
+        run = TK.run_token_windows(stream.withColumn("tok", tok), ["event_type"], "ts", "event_id", "tok", f"{base}/out", f"{base}/checkpoint")
+    return run.result()
+
+
 # ---------------------------------------------------------------------------
 # Resumable runs (first run stops part way, second resumes)
 # ---------------------------------------------------------------------------
@@ -895,7 +967,7 @@ from ..streaming import resume as RS  # noqa: E402
 
 ORDER_TEMPLATE = "Ordre #{key} med prioritet {fakturalinje}.\nSvar med JSON: label, reason, secure.\n"
 PRIORITY_RULES = (("urgent", "materialeindkøb"), ("high", "tjenesteydelse"), ("low", "Materiale"))
-ORDER_BACKEND = M.KeywordBackend(rules=PRIORITY_RULES)
+ORDER_BACKEND = B.KeywordBackend(rules=PRIORITY_RULES)
 CRASH_DATE = "1995-01-01"
 
 
@@ -922,7 +994,35 @@ def resume_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     # First run: only the orders before the crash date got done.
     RS.run_resumable(spark, orders.filter(F.col("o_orderdate") < F.lit(CRASH_DATE)), ["o_orderkey"], _classify_orders, path)
     # Second run over everything: the anti join leaves only the rest to do.
-    return RS.run_resumable(spark, orders, ["o_orderkey"], _classify_orders, path, chunks=2)
+    return RS.run_resumable(spark, orders, ["o_orderkey"], _classify_orders, path, save_every=100_000)
+
+
+#: Rows to a chunk in the runs that crash: enough chunks at any size to crash in a later one.
+CRASH_CHUNKS = 4
+
+
+@register("resume_crash", sql=SQL["resume_antijoin"])
+def resume_crash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first run that dies in its first chunk, a second that dies in its last, a third that ends.
+
+    The stage really raises; what was committed stays, and nothing is done twice.
+    """
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    path = scratch_path(spark, "resume-crash")
+    low, high, n = orders.agg(F.min("o_orderkey"), F.max("o_orderkey"), F.count(F.lit(1))).first()
+
+    def dying(key: int):
+        crash = F.when(F.col("o_orderkey") == F.lit(key), F.raise_error(F.lit("the worker died"))).otherwise(F.col(J.OUT_LABEL))
+        return lambda part: _classify_orders(part).withColumn(J.OUT_LABEL, crash)
+
+    every = -(-n // CRASH_CHUNKS)
+    for process in (dying(low), dying(high), _classify_orders):
+        try:
+            out = RS.run_resumable(spark, orders, ["o_orderkey"], process, path, save_every=every)
+        except Exception as exc:  # noqa: BLE001 - only the crash made above
+            if "the worker died" not in str(exc):
+                raise
+    return out
 
 
 _EVENT_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -930,7 +1030,7 @@ _EVENT_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type S
 
 EVENT_TEMPLATE = "Hændelse #{key} af typen {fakturalinje}.\nSvar med JSON: label, reason, secure.\n"
 EVENT_RULES = (("purchase", "materialeindkøb"), ("signup", "tjenesteydelse"), ("click", "Materiale"))
-EVENT_BACKEND = M.KeywordBackend(rules=EVENT_RULES)
+EVENT_BACKEND = B.KeywordBackend(rules=EVENT_RULES)
 
 
 def _parse_events(batch: DataFrame) -> DataFrame:
@@ -960,11 +1060,13 @@ def resume_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = T._parse_datatype_string(_EVENT_SCHEMA)
     early = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
     # Files that landed before the crash: first run handles them.
-    events.filter(early).repartition(4).write.parquet(f"{landing}/part=1")
-    RS.run_stream(spark, landing, schema, _parse_events, result, ckpt, max_files_per_trigger=2)
+    # They are cut by size, and come in micro-batches of so many files.
+    land = lambda rows, part: rows.write.option("maxRecordsPerFile", 250_000).parquet(f"{landing}/part={part}")
+    land(events.filter(early), 1)
+    RS.run_stream(spark, landing, schema, _parse_events, result, ckpt, max_files_per_trigger=64)
     # More files land; the rerun with the same checkpoint only reads those.
-    events.filter(~early).repartition(4).write.parquet(f"{landing}/part=2")
-    out = RS.run_stream(spark, landing, schema, _parse_events, result, ckpt, max_files_per_trigger=2)
+    land(events.filter(~early), 2)
+    out = RS.run_stream(spark, landing, schema, _parse_events, result, ckpt, max_files_per_trigger=64)
     return out.drop("batch_id")
 
 
@@ -1032,5 +1134,80 @@ FROM (SELECT *, {O.keyword_needle('prompt')} AS needle
 )
 def classify_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    out = J.classify_chat(part, "p_name", "p_partkey", M.KeywordBackend())
+    out = J.classify_chat(part, "p_name", "p_partkey", B.KeywordBackend())
     return out.select("p_partkey", "p_name", "chat_no", J.OUT_LABEL, J.OUT_SCORE)
+
+
+# ---------------------------------------------------------------------------
+# The job runner (S1, P7, M6, T1, T2, S6, S10), amounts in prompts (F1, F15), F16
+# ---------------------------------------------------------------------------
+
+from ..config import JobConfig, ModelParams  # noqa: E402
+
+
+def _job(spark: SparkSession, sf_dir: str, name: str, text_col: str, save_every: int, delete_work: bool) -> JobConfig:
+    work = scratch_path(spark, f"job-{name}")
+    return JobConfig(
+        os.path.join(sf_dir, f"{name}.parquet"), f"{work}-out.parquet", work, delete_work, text_col, save_every=save_every,
+        model=ModelParams(max_tokens=200, temperature=0.3),
+    )
+
+
+@register("job_part", sql=_simple_sql("part"))
+def job_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole job over the parts: load, classify with the job's model settings in chunks, write, clean up."""
+    config = _job(spark, sf_dir, "part", "p_name", 10_000, delete_work=True)
+    out = J.run_job(spark, config, "p_partkey", lambda params: B.KeywordBackend(params=params))
+    return out.select("p_partkey", "p_name", J.OUT_LABEL, J.OUT_SCORE, J.OUT_REASON, "status")
+
+
+JOB_SAVE_EVERY = 50_000
+
+
+@register(
+    "job_progress",
+    sql=f"""SELECT rows_done, 'Row: ' || CAST(rows_done AS VARCHAR) AS message
+FROM (SELECT least(i * {JOB_SAVE_EVERY}, n) AS rows_done
+      FROM (SELECT count(*) AS n FROM orders), range(1, 1000000) t(i) WHERE (i - 1) * {JOB_SAVE_EVERY} < n)""",
+)
+def job_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The progress rows that a job over the orders appended, one for each chunk."""
+    config = _job(spark, sf_dir, "orders", "o_orderpriority", JOB_SAVE_EVERY, delete_work=False)
+    J.run_job(spark, config, "o_orderkey", lambda params: B.KeywordBackend(rules=PRIORITY_RULES, params=params), ORDER_TEMPLATE)
+    return spark.read.schema("rows_done LONG, message STRING").parquet(f"{config.work_path}/progress")
+
+
+AMOUNT_TEMPLATE = "Beløb {beloeb}; sats {sats}; stor {stor}; lille {lille}."
+
+
+@register(
+    "render_amounts",
+    sql=f"""SELECT p_partkey, 'Beløb ' || CAST(p_retailprice * 12345.0::DOUBLE AS VARCHAR) || '; sats ' || CAST(p_retailprice / 1e7::DOUBLE AS VARCHAR)
+    || '; stor ' || CAST(p_retailprice * 1e15::DOUBLE AS VARCHAR) || '; lille ' || CAST(p_retailprice / 1e12::DOUBLE AS VARCHAR) || '.' AS prompt,
+  '[{{"beloeb":' || CAST(p_retailprice * 12345.0::DOUBLE AS VARCHAR) || ',"sats":' || CAST(p_retailprice / 1e7::DOUBLE AS VARCHAR) || '}}]' AS context
+FROM part""",
+)
+def render_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """amounts from 1e7 up and 1e-4 down print as Python prints them, in prompt and context."""
+    p = F.col("p_retailprice")
+    amounts = {"beloeb": p * F.lit(12345.0), "sats": p / F.lit(1e7), "stor": p * F.lit(1e15), "lille": p / F.lit(1e12)}
+    item = P.json_item({k: amounts[k] for k in ("beloeb", "sats")}, {"beloeb", "sats"})
+    part = table(spark, sf_dir, "part")
+    return part.select("p_partkey", P.render(AMOUNT_TEMPLATE, amounts).alias("prompt"), F.concat(F.lit("["), item, F.lit("]")).alias("context"))
+
+
+STATS_BACKEND = B.KeywordBackend(seconds_per_token=0.125)
+
+
+@register(
+    "stats_lines",
+    sql=f"""SELECT p_partkey, '[Row ' || CAST(p_partkey + 1 AS VARCHAR) || '] Tokens/sec: 8.00 | Total tokens: ' || CAST(n_tokens AS VARCHAR) || ' | Stop reason: eosFound' AS message
+FROM (SELECT p_partkey, 7 + length(lab) - length(replace(lab, ' ', '')) AS n_tokens
+      FROM (SELECT p_partkey, {O.keyword_label('needle')} AS lab
+            FROM (SELECT *, {O.keyword_needle('prompt')} AS needle FROM (SELECT p_partkey, {_SIMPLE_PROMPT_SQL} AS prompt FROM part))))""",
+)
+def stats_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F16: the statistics line of every response."""
+    part = wide(table(spark, sf_dir, "part").select("p_partkey", "p_name"))
+    prompt = P.render(J.SIMPLE_TEMPLATE, {"key": "p_partkey", "fakturalinje": "p_name"})
+    return MT.response_log(M.call_model(part.select("p_partkey", prompt.alias("prompt")), STATS_BACKEND), "p_partkey")

@@ -7,17 +7,19 @@ plan is the backend inside the model stage.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import JobConfig, ModelParams
 from ..functions import answers as A
 from ..functions import prompts as P
 from ..functions import text as X
-from ..operators.context import invoice_context
-from ..operators.model import BackendSpec, call_model
-from ..sources.readers import spread
+from ..operators.context import CHUNK_ROWS, context_requests, invoice_groups
+from ..operators.model import BackendSpec, call_model, call_model_joined
+from ..session import checkpoint_root, written
+from ..sources.readers import load_table, spread, write_table
 
 # Output column names of the reference jobs (snake-cased).
 OUT_LABEL = "klassificering"
@@ -142,22 +144,27 @@ def classify_with_context(
     template: str = CONTEXT_TEMPLATE,
     tie_breakers: Sequence[str] = (),
     slots: int | str | None = "auto",
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Advanced job: each line is classified with all lines of its invoice.
 
-    The invoice context is built once per invoice (J1) and rendered to JSON
-    (F15) before it is joined back to the lines, so no per-row scan remains.
+    The invoice context is built once per invoice (J1, F15) and goes to the model
+    stage once for each chunk of its lines, beside what is left of their prompts;
+    the stage puts a prompt together when it sends it. The lines are written once
+    to the shared folder first, since contexts and requests both read them.
     """
-    ctx = invoice_context(
-        lines, [creditor, invoice], line_no, {"fakturalinje": text_col, "antal": quantity, "stykpris": unit_price},
-        tie_breakers=tie_breakers, as_json=True, context_col="faktura",
-    )
-    prompt = F.when(
-        F.col(text_col).isNotNull(),
-        P.render(template, {"kreditor": creditor, "faktura": "faktura", "fakturalinje": text_col}),
-    )
-    schema = A.PURCHASE_SMALL if small_schema else A.PURCHASE_ADVANCED
-    staged = structured_answers(ctx, prompt, backend, schema, slots)
+    keys = [creditor, invoice]
+    lines = written(lines, "invoice-lines")
+    groups = invoice_groups(lines, keys, line_no, {"fakturalinje": text_col, "antal": quantity, "stykpris": unit_price}, tie_breakers)
+    parts = F.when(F.col(text_col).isNotNull(), P.render_around(template, "faktura", {"kreditor": creditor, "fakturalinje": text_col}))
+    requests = context_requests(lines, keys, groups, parts, chunk_rows)
+    # Requests are dealt out evenly: adaptive coalescing goes by bytes, but the work is calls.
+    setting = str(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    auto = max(lines.sparkSession.sparkContext.defaultParallelism, int(setting) if setting.isdigit() else 0)
+    if slots:
+        requests = requests.repartition(auto if slots == "auto" else int(slots))
+    staged = call_model_joined(requests, backend).withColumn("_sent", F.col(text_col).isNotNull())
+    staged = A.with_parsed_answer(staged, "response", A.PURCHASE_SMALL if small_schema else A.PURCHASE_ADVANCED)
     outputs = {"label": OUT_LABEL, "secure": OUT_SCORE}
     if not small_schema:
         outputs.update({"reason_for": OUT_REASON_FOR, "reason_against": OUT_REASON_AGAINST})
@@ -186,6 +193,7 @@ def two_stage(
     r = F.col("response")
     s1 = s1.select(*keep, (X.strip_thinking(r) if remove_thinking else r).alias("_answer1"), F.col("error").alias("_error1"))
     if checkpoint:
+        checkpoint_root(df.sparkSession)
         s1 = s1.checkpoint(eager=True)
     prompt2 = P.render(template2, {answer_var: "_answer1"}, null_text=None)
     s2 = structured_answers(s1, prompt2, backend2, schema2)
@@ -199,39 +207,80 @@ READER_TEMPLATE_2 = "Kreditor: {kreditor}\nFakturatekst:\n{faktura_text}\nUdtræ
 
 def read_documents(
     docs: DataFrame,
-    id_col: str,
     creditor_col: str,
     pages_col: str,
-    reader: BackendSpec | None = None,
-    writer: BackendSpec | None = None,
+    reader: BackendSpec,
+    writer: BackendSpec,
     checkpoint: bool = False,
+    request_rows: int = 8,
 ) -> DataFrame:
     """Reader job (M3 + M4 + F10): all pages of a document -> text -> invoice
     JSON -> one row per invoice line, numbered from 1.
 
-    ``pages_col`` is ``ARRAY<BINARY>`` in page order, produced by a page decoder
-    per document, so no shuffle regroups pages. Documents whose answer has no
-    lines give no row (see ``explode.unexploded`` for the dead letters).
+    ``pages_col`` is ``ARRAY<BINARY>`` in page order. Output: all other input
+    columns, the answer's creditor and score, the line fields and number, and
+    ``status`` / ``error``. A document that fails anywhere (no readable page, a
+    failed call, an answer that is no invoice) gives one row with null line fields,
+    its status and error, as a sound answer without lines gives none.
+    ``request_rows`` documents go to the reader at once, which bounds the images
+    that a worker holds.
     """
-    from ..operators.explode import explode_answer
-    from ..operators.model import InvoiceWriterBackend, PageReaderBackend
-
-    reader = reader or PageReaderBackend(pages_col=pages_col)
-    writer = writer or InvoiceWriterBackend()
+    keep = [c for c in docs.columns if c != pages_col]
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row")  # input names cannot clash with the stages' own
     s1 = call_model(
-        docs.select(id_col, creditor_col, pages_col, P.static_prompt(READER_TEMPLATE_1).alias("prompt")),
-        reader, request_cols=[pages_col], passthrough=[id_col, creditor_col],
-    )
-    s1 = s1.select(id_col, creditor_col, F.col("response").alias("faktura_text"), F.col("error").alias("_error1"))
+        docs.select(row, F.col(creditor_col).alias("_creditor"), pages_col, P.static_prompt(READER_TEMPLATE_1).alias("prompt")),
+        reader, request_cols=[pages_col], passthrough=["_row", "_creditor"], request_rows=request_rows,
+    )
+    error1 = F.coalesce("error", F.when(F.col("response").isNull(), F.lit("no readable page")))
+    s1 = s1.select("_row", "_creditor", F.col("response").alias("_text"), error1.alias("_error1"))
     if checkpoint:
+        checkpoint_root(docs.sparkSession)
         s1 = s1.checkpoint(eager=True)
-    prompt2 = P.render(READER_TEMPLATE_2, {"kreditor": creditor_col, "faktura_text": "faktura_text"}, null_text=None)
-    s2 = call_model(s1.select(id_col, prompt2.alias("prompt")), writer)
-    parsed = s2.select(id_col, F.from_json("response", A.INVOICE_DDL, A.JSON_OPTIONS).alias("answer"))
-    parsed = parsed.withColumn("answer", F.col("answer").withField("secure", A.whole_int(F.col("answer.secure"))))
-    out = explode_answer(parsed, "answer", "fakturalinjer", keep=[id_col], scalar_fields=["kreditor", "secure"],
-                         defaults={"kreditor": ""})
-    return out.withColumn("antal", A.whole_int(F.col("antal")))
+    prompt2 = F.when(F.col("_error1").isNull(), P.render(READER_TEMPLATE_2, {"kreditor": "_creditor", "faktura_text": "_text"}))
+    s2 = call_model(s1.select("_row", "_error1", prompt2.alias("prompt")), writer)
+    raw = s2.select("_row", "_error1", "error", "response", F.from_json("response", A.INVOICE_DDL, A.JSON_OPTIONS).alias("_a"))
+    status = (
+        F.when(F.col("response").isNull(), F.lit("missing"))
+        .when(F.trim("response") == "", F.lit("empty"))
+        .when(F.col("_a").isNull() | F.col(f"_a.{A.CORRUPT}").isNotNull(), F.lit("invalid"))
+        .otherwise(F.lit("ok"))
+    )
+    judged = raw.select("_row", "_a", "_error1", "error", status.alias("status"))
+    error = F.coalesce("_error1", "error", F.when(F.col("status") != "ok", F.concat(F.lit("answer "), F.col("status"))))
+    good = F.col("status") == "ok"
+    lines = judged.select(
+        "_row", "status", error.alias("error"), F.when(good, F.coalesce("_a.kreditor", F.lit(""))).alias("answer_kreditor"),
+        F.when(good, A.whole_int(F.col("_a.secure"))).alias("answer_secure"),
+        F.posexplode_outer(F.when(good, F.col("_a.fakturalinjer"))).alias("_pos", "_line"),
+    ).filter(F.col("_pos").isNotNull() | F.col("error").isNotNull())
+    own = ("answer_kreditor", "answer_secure", "fakturalinje_beskrivelse", "antal", "linje_beløb", "linjenummer", "status", "error")
+    return lines.select(
+        *[F.col("_row")[c].alias(c) for c in keep if c.lower() not in own],
+        "answer_kreditor", "answer_secure", F.col("_line.fakturalinje_beskrivelse"), A.whole_int(F.col("_line.antal")).alias("antal"),
+        F.col("_line")["linje_beløb"].alias("linje_beløb"), (F.col("_pos") + 1).cast("int").alias("linjenummer"), "status", "error",
+    )
+
+
+def read_register(
+    register: DataFrame, id_col: str, creditor_col: str, files: DataFrame, contents: DataFrame, decoder, reader: BackendSpec, writer: BackendSpec,
+    path_col: str = "path", name: Column | None = None, request_rows: int = 8,
+) -> DataFrame:
+    """The reader job end to end: register row -> document by id -> pages -> model -> lines.
+
+    ``files`` lists paths only, ``contents`` has path and content: a path is chosen
+    first (J2), and the bytes of chosen files alone are read and joined. ``decoder``
+    maps content to page rows, ``page_no`` and ``content`` (F12); rows of one document
+    are put together again in page order (M3). A register row without a document, or
+    whose document has no page, ends as a row with its error.
+    """
+    from ..operators.documents import lookup_documents, pages_of
+
+    found = lookup_documents(register, id_col, files, path_col, name=name)
+    paths = found.select(f"doc_{path_col}").filter(F.col(f"doc_{path_col}").isNotNull()).distinct()
+    chosen = contents.join(paths, contents[path_col] == paths[f"doc_{path_col}"], "left_semi")
+    pages = pages_of(decoder(chosen), path_col, "page_no", "content").withColumnRenamed(path_col, "_path")
+    whole = found.join(pages, found[f"doc_{path_col}"] == pages["_path"], "left").drop("_path")
+    return read_documents(whole, creditor_col, "pages", reader, writer, request_rows=request_rows)
 
 
 CHAT_SYSTEM_PROMPT = "Klassificér hver fakturalinje som materialeindkøb eller tjenesteydelse. Svar som JSON.\n"
@@ -265,3 +314,40 @@ def classify_chat(
     staged = structured_answers(chats, "_chat_prompt", backend, A.PURCHASE_SIMPLE, slots)
     outputs = {"label": OUT_LABEL, "secure": OUT_SCORE, "reason": OUT_REASON}
     return _finish(staged, outputs, [*df.columns, "chat_no"])
+
+
+def run_job(
+    spark: SparkSession,
+    config: JobConfig,
+    key_col: str,
+    backend: Callable[[ModelParams], BackendSpec],
+    template: str = SIMPLE_TEMPLATE,
+    schema=None,
+) -> DataFrame:
+    """A whole job: load, resume, classify, save, report, write, clean up.
+
+    The input is read by its suffix (S1); what earlier runs committed is left out
+    (J3); the rest is done in chunks of ``save_every`` rows in key order, each one
+    atomic append to ``<work_path>/done``; after every chunk a row is appended to
+    ``<work_path>/progress`` (T2). ``backend`` gets the job's model settings (M6).
+    At the end the result is written to ``output_path`` by its suffix (S6), and the
+    work folder goes if the job says so (S10). Returns the table as written.
+    """
+    from ..streaming import resume
+
+    rows = load_table(spark, config.input_path, schema)
+    text_col, done, log = config.text_col, f"{config.work_path}/done", f"{config.work_path}/progress"
+
+    def classify(part: DataFrame) -> DataFrame:
+        return classify_simple(part, text_col, key_col, backend(config.model), template)
+
+    def report(n_done: int) -> None:
+        line = spark.range(1).select(F.lit(n_done).cast("long").alias("rows_done"), F.format_string("Row: %d", F.lit(n_done)).alias("message"))
+        line.write.mode("append").parquet(log)
+
+    result = resume.run_resumable(spark, rows, [key_col], classify, done, save_every=config.rows_between_saves(), report=report)
+    write_table(result, config.output_path, mode="overwrite")
+    out = load_table(spark, config.output_path, result.schema)
+    if config.delete_work:
+        resume.delete_results(spark, config.work_path)
+    return out

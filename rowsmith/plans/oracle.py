@@ -10,7 +10,7 @@ import string
 from collections.abc import Mapping, Sequence
 
 from ..functions.answers import DEFAULT_LABEL_FALLBACK, DEFAULT_LABEL_RULES
-from ..operators.model import DEFAULT_KEYWORD_RULES, DEFAULT_NO_RULE_LABEL
+from ..operators.standins import DEFAULT_KEYWORD_RULES, DEFAULT_NO_RULE_LABEL
 
 # DuckDB twin of Python str.split() white space on these tables.
 SQL_WS = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"

@@ -13,7 +13,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -32,6 +32,8 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None) -> Spar
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
+        # Checkpoints go when nothing refers to them any more.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # Model calls must not be repeated by speculative copies.
         .config("spark.speculation", "false")
     )
@@ -67,6 +69,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), "rowsmith", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the shared checkpoint root and read back.
+
+    For plans that read an expensive input more than once: the input runs once,
+    and a lost executor costs a task and not the stages before.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED_KEY = "spark.rowsmith.shippedPyFile"
 
 

@@ -30,8 +30,14 @@ def format_of(path: str) -> str:
     return ext
 
 
-def load_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Read a table by its suffix (.parquet / .csv / .json)."""
+def load_table(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool = False
+) -> DataFrame:
+    """Read a table by its suffix (.parquet / .csv / .json).
+
+    CSV is read one record per line, so large files are split over many tasks;
+    ``multi_line`` allows line breaks inside quoted cells, at one task per file.
+    """
     fmt = format_of(path)
     reader = spark.read
     if schema is not None:
@@ -39,7 +45,7 @@ def load_table(spark: SparkSession, path: str, schema: T.StructType | str | None
     if fmt == "parquet":
         return reader.parquet(path)
     if fmt == "csv":
-        reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
+        reader = reader.option("header", True).option("multiLine", multi_line).option("escape", '"')
         if schema is None:
             reader = reader.option("inferSchema", True)
         return reader.csv(path)
@@ -47,13 +53,26 @@ def load_table(spark: SparkSession, path: str, schema: T.StructType | str | None
     return reader.json(path)
 
 
-def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
-    """Write by suffix. Unknown suffix raises (nothing is silently lost)."""
+def _single_line(c: str) -> F.Column:
+    broken = F.raise_error(F.lit(f"line break in column {c}: write this CSV with multi_line=True, and read it so"))
+    return F.when(F.col(f"`{c}`").rlike(r"[\r\n]"), broken).otherwise(F.col(f"`{c}`")).alias(c)
+
+
+def write_table(df: DataFrame, path: str, mode: str = "errorifexists", multi_line: bool = False) -> str:
+    """Write by suffix. Unknown suffix raises (nothing is silently lost).
+
+    A CSV cell with a line break cannot be read back line by line, so it stops
+    the write unless ``multi_line`` says that readers will allow for it.
+    """
     fmt = format_of(path)
     writer = df.write.mode(mode)
     if fmt == "parquet":
         writer.parquet(path)
     elif fmt == "csv":
+        if not multi_line:
+            texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+            df = df.select(*[_single_line(c) if c in texts else F.col(f"`{c}`") for c in df.columns])
+            writer = df.write.mode(mode)
         writer.option("header", True).option("escape", '"').csv(path)
     else:
         writer.option("ignoreNullFields", False).json(path)

@@ -22,30 +22,52 @@ never on a machine-local disk.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.ordering import row_index
+from ..session import scratch_path
+
 Process = Callable[[DataFrame], DataFrame]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a committed data file lies under ``path``.
+
+    A run that died in its first write leaves the folder with ``_temporary`` in it:
+    that is no result yet.
+    """
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+    if not fs.exists(hpath):
+        return False
+    for status in fs.listStatus(hpath):
+        name = status.getPath().getName()
+        if name.startswith(("_", ".")):
+            continue
+        if not status.isDirectory() or has_data(spark, status.getPath().toString()):
+            return True
+    return False
 
 
 def read_done(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """The result table written so far, or None when nothing is done."""
-    if not _exists(spark, path):
+    """The result table written so far, or None when nothing is committed."""
+    if not has_data(spark, path):
         return None
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(path)
 
 
+def read_result(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The result table; an empty one when there is nothing."""
+    done = read_done(spark, path, schema)
+    return spark.createDataFrame([], schema) if done is None else done
+
+
 def pending(input_df: DataFrame, done: DataFrame | None, keys: Sequence[str]) -> DataFrame:
     """Input rows whose key is not in ``done`` (left anti join on the keys)."""
     if done is None:
@@ -59,22 +81,46 @@ def run_resumable(
     keys: Sequence[str],
     process: Process,
     result_path: str,
-    chunks: int = 1,
+    save_every: int | None = None,
+    report: Callable[[int], None] | None = None,
 ) -> DataFrame:
     """S8 + S9 + J3 + U2: process what is not yet in ``result_path``, append it.
 
-    ``chunks`` > 1 commits the work in that many hash slices of the key (the
-    "save every n rows" of the reference, without rewriting earlier rows).
-    Returns the whole result table. One writer per result path: two runs at
-    the same time would both see the same work list.
+    ``save_every`` commits the work in chunks of so many rows, in key order (the
+    "save every n rows" of the reference, without rewriting earlier rows); without
+    it the work is one commit. The work list is made once: with several chunks it
+    is written to the shared folder by chunk, and every chunk reads its part only.
+    ``report`` is called with the rows of this run done so far, after each commit.
+    Returns the whole result table, an empty one for an empty input. One writer per
+    result path: two runs at the same time would both see the same work list.
     """
-    done = read_done(spark, result_path)
-    todo = pending(input_df, done, keys)
-    slice_col = F.pmod(F.xxhash64(*keys), F.lit(chunks)) if chunks > 1 else None
-    for i in range(chunks):
-        part = todo if slice_col is None else todo.filter(slice_col == F.lit(i))
+    result_schema = process(input_df.limit(0)).schema
+    todo = pending(input_df, read_done(spark, result_path, result_schema), keys)
+    total = 0
+    for part, rows in _chunks(todo, keys, save_every):
         process(part).write.mode("append").parquet(result_path)
-    return spark.read.parquet(result_path)
+        total += rows
+        if report is not None:
+            report(total)
+    return read_result(spark, result_path, result_schema)
+
+
+def _chunks(todo: DataFrame, keys: Sequence[str], save_every: int | None) -> Iterator[tuple[DataFrame, int]]:
+    """The work list in parts, with their numbers of rows (0: not counted)."""
+    if not save_every:
+        yield todo, 0
+        return
+    numbered = row_index(todo, list(keys), name="place_no")
+    numbered = numbered.withColumn("part_no", F.floor(F.col("place_no") / F.lit(save_every)))
+    path = scratch_path(todo.sparkSession, "work-list")
+    numbered.drop("place_no").write.partitionBy("part_no").parquet(path)
+    if not has_data(todo.sparkSession, path):
+        return
+    work = todo.sparkSession.read.parquet(path)
+    # One row per chunk of this run: the driver loops over the chunks anyway.
+    sizes = {r["part_no"]: r["n"] for r in work.groupBy("part_no").agg(F.count(F.lit(1)).alias("n")).collect()}
+    for i in sorted(sizes):
+        yield work.filter(F.col("part_no") == F.lit(i)).select(*todo.columns), sizes[i]
 
 
 def run_resumable_exploded(
@@ -85,6 +131,7 @@ def run_resumable_exploded(
     list_col: str,
     result_path: str,
     position: str = "position",
+    save_every: int | None = None,
 ) -> DataFrame:
     """``run_resumable`` for one-to-many results.
 
@@ -95,19 +142,19 @@ def run_resumable_exploded(
     of the next run is the input anti-joined with every key in the table.
     Returns the exploded rows (markers dropped), positions from 1.
     """
-    done = read_done(spark, result_path)
-    todo = pending(input_df, done, keys)
-    nested = process(todo)
-    other = [c for c in nested.columns if c != list_col]
-    flat = nested.select(*other, F.posexplode_outer(list_col).alias("_pos", "_el"))
-    el_type = nested.schema[list_col].dataType.elementType
-    out = flat.select(
-        *other,
-        *[F.col("_el")[f.name].alias(f.name) for f in el_type.fields],
-        (F.col("_pos") + F.lit(1)).cast("int").alias(position),
-    )
-    out.write.mode("append").parquet(result_path)
-    return spark.read.parquet(result_path).filter(F.col(position).isNotNull())
+
+    def exploded(part: DataFrame) -> DataFrame:
+        nested = process(part)
+        other = [c for c in nested.columns if c != list_col]
+        flat = nested.select(*other, F.posexplode_outer(list_col).alias("_pos", "_el"))
+        el_type = nested.schema[list_col].dataType.elementType
+        return flat.select(
+            *other,
+            *[F.col("_el")[f.name].alias(f.name) for f in el_type.fields],
+            (F.col("_pos") + F.lit(1)).cast("int").alias(position),
+        )
+
+    return run_resumable(spark, input_df, keys, exploded, result_path, save_every).filter(F.col(position).isNotNull())
 
 
 def run_stream(
@@ -126,8 +173,9 @@ def run_stream(
     micro-batches of ``max_files_per_trigger`` files, then stops; a later run
     with the same ``checkpoint_path`` continues with only the new files. Each
     batch is written to ``result_path/batch_id=N`` (overwrite: replays are
-    idempotent). Returns the whole result table.
+    idempotent). Returns the whole result table, an empty one when no file came.
     """
+    result_schema = process(spark.createDataFrame([], schema)).schema
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         process(batch).write.mode("overwrite").parquet(f"{result_path}/batch_id={batch_id}")
@@ -148,7 +196,7 @@ def run_stream(
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(f"stream failed: {query.exception()}")
-    return spark.read.parquet(result_path)
+    return read_result(spark, result_path, T.StructType([*result_schema.fields, T.StructField("batch_id", T.IntegerType())]))
 
 
 def delete_results(spark: SparkSession, path: str) -> bool:

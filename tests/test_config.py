@@ -49,6 +49,6 @@ def test_load_template_and_observe(spark, tmp_dir):
         fh.write("Linje: {x}\n")
     assert load_template(path) == "Linje: {x}\n"
     df = spark.createDataFrame([(1, None), (2, "boom")], "id INT, error STRING")
-    obs_df = observed_progress(df)
+    obs_df, seen = observed_progress(df)
     obs_df.write.format("noop").mode("overwrite").save()
-    assert obs_df._rowsmith_observation.get == {"rows": 2, "errors": 1}
+    assert seen.get == {"rows": 2, "errors": 1}

@@ -23,12 +23,11 @@ LINES = [
 SCHEMA = "k STRING, f LONG, l INT, t STRING, q DOUBLE, p DOUBLE"
 
 
-@pytest.mark.parametrize("method,hot_rows", [("window", 1), ("join", 1), ("join", 2), ("auto", 200_000), ("auto", 2)])
-def test_invoice_context(spark, method, hot_rows):
-    df = spark.createDataFrame(LINES, SCHEMA)
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_invoice_context(spark, partitions):
+    df = spark.createDataFrame(LINES, SCHEMA).repartition(partitions)
     out = invoice_context(df, ["k", "f"], "l", {"fakturalinje": "t", "antal": "q", "stykpris": "p"},
-                          tie_breakers=["t"], context_col="ctx", method=method, hot_rows=hot_rows,
-                          sample_fraction=1.0, hot_check_min_bytes=0)
+                          tie_breakers=["t"], context_col="ctx")
     got = {r["t"]: r["ctx"] for r in out.collect()}
     k1 = ('[{"fakturalinje":"a","antal":1.0,"stykpris":1.0},{"fakturalinje":"a2","antal":3.0,"stykpris":null},'
           '{"fakturalinje":"b","antal":1.0,"stykpris":2.0},{"fakturalinje":"z","antal":1.0,"stykpris":1.0}]')
@@ -106,24 +105,59 @@ def test_page_explode_and_names(spark):
         (5, 1, "5_1.png", "p1"), (5, 2, "5_2.png", "p2"), (5, 3, "5_3.png", ""), (6, 1, "6_1.png", "only")]
 
 
-def test_ordered_groups_hot_split_matches_simple(spark):
-    from rowsmith.operators.context import ordered_groups
+def test_ordered_groups_of_a_hot_key(spark, monkeypatch):
+    from rowsmith.operators import context as C
 
     rows = [("hot", i % 37, f"t{i % 11}", float(i % 5)) for i in range(3000)]
     rows += [(f"c{i % 20}", i % 3, f"u{i}", None) for i in range(200)]
     rows += [(None, 1, "nokey", 1.0)]
     df = spark.createDataFrame(rows, "k STRING, l INT, t STRING, q DOUBLE").repartition(5)
     fields = {"t": "t", "q": "q"}
-    plain = ordered_groups(df, ["k"], "l", fields, hot_rows=None)
-    split = ordered_groups(df, ["k"], "l", fields, hot_rows=500, chunk_rows=128, sample_fraction=1.0,
-                           hot_check_min_bytes=0)
-    a = {r["k"]: [tuple(x) for x in r["items"]] for r in plain.collect()}
-    b = {r["k"]: [tuple(x) for x in r["items"]] for r in split.collect()}
-    assert a == b and len(a["hot"]) == 3000 and None not in a
-    from rowsmith.operators.context import hot_keys, input_bytes
-
-    assert hot_keys(df, ["k"], 500, fraction=1.0, min_bytes=0) == [("hot",)]
-    assert hot_keys(df, ["k"], 500, fraction=1.0, min_bytes=input_bytes(df) + 1) == []
+    got = {r["k"]: [tuple(x) for x in r["items"]] for r in C.ordered_groups(df, ["k"], "l", fields).collect()}
+    want = {}
+    for k, line, t, q in rows:
+        if k is not None:
+            want.setdefault(k, []).append((line, t, q))
+    assert set(got) == set(want)
+    for k, v in want.items():
+        assert got[k] == [x[1:] for x in sorted(v, key=lambda x: (x[0], x[1], x[2] is not None, x[2] or 0))]
+
+
+def test_chunks_bound_every_first_level_group(spark):
+    from rowsmith.operators.context import chunked
+
+    df = spark.range(5000).withColumn("k", F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))).repartition(3)
+    sizes = chunked(df, 256).groupBy("k", "_chunk").count().agg(F.max("count")).first()[0]
+    assert sizes <= 256
+    with pytest.raises(ValueError):
+        chunked(df, 100)
+
+
+def test_context_job_sends_a_context_once(spark):
+    from backends import PromptLengths
+    from rowsmith.operators import context as C
+    from rowsmith.operators import model as M
+    from rowsmith.plans import jobs as J
+
+    # One invoice holds half the table.
+    rows = [("K", 1, i, f"line {i}", 1.0, 1.0) for i in range(600)] + [(f"k{i}", i, 1, f"x{i}", 1.0, 2.0) for i in range(600)]
+    rows += [(None, 5, 1, "no creditor", 1.0, 1.0), ("K9", 9, 1, None, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "k STRING, f LONG, l INT, t STRING, q DOUBLE, p DOUBLE")
+    keys, fields = ["k", "f"], {"fakturalinje": "t", "antal": "q", "stykpris": "p"}
+    parts = F.when(F.col("t").isNotNull(), J.P.render_around(J.CONTEXT_TEMPLATE, "faktura", {"kreditor": "k", "fakturalinje": "t"}))
+    requests = C.context_requests(df, keys, C.invoice_groups(df, keys, "l", fields), parts, chunk_rows=64)
+    assert requests.select(F.max(F.size("lines"))).first()[0] <= 64
+    assert requests.select(F.sum(F.size("lines"))).first()[0] == len(rows)
+    acc = spark.sparkContext.accumulator(0)
+    out = M.call_model_joined(requests, PromptLengths(acc))
+    ctx = C.invoice_context(df, keys, "l", fields, context_col="faktura")
+    prompt = F.when(F.col("t").isNotNull(), J.P.render(J.CONTEXT_TEMPLATE, {"kreditor": "k", "faktura": "faktura", "fakturalinje": "t"}))
+    want = sorted((r[0], r[1]) for r in ctx.select(F.coalesce("t", F.lit("-")), F.length(prompt).cast("string")).collect())
+    got = sorted((r["t"] or "-", r["response"]) for r in out.collect())
+    assert [g[0] for g in got] == [w[0] for w in want] and dict(got) == dict(want)
+    assert acc.value == len(rows) - 1
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "faktura" not in out.columns and "context" not in out.columns and "MapInArrow" in plan
 
 
 def test_explode_element_fields_override_inputs(spark):
@@ -132,20 +166,3 @@ def test_explode_element_fields_override_inputs(spark):
     out = EX.explode_answer(df, "answer", "lines", keep=["id", "X", "linjenummer"], scalar_fields=["k"])
     assert out.columns == ["id", "answer_k", "x", "linjenummer"]
     assert tuple(out.first()) == (1, "a", 5, 1)
-
-
-def test_hot_paths_on_driver_tables(spark):
-    from rowsmith.operators.context import ordered_groups
-
-    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
-    fields = {"p": "l_partkey", "q": "l_quantity"}
-    ties = ["l_orderkey", "l_extendedprice"]
-    plain = ordered_groups(li, ["l_suppkey"], "l_linenumber", fields, ties, hot_rows=None)
-    split = ordered_groups(li, ["l_suppkey"], "l_linenumber", fields, ties, hot_rows=100, chunk_rows=64,
-                           sample_fraction=1.0, hot_check_min_bytes=0)
-    assert {r[0]: list(r[1]) for r in plain.collect()} == {r[0]: list(r[1]) for r in split.collect()}
-    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "ctx"]
-    win = invoice_context(li, ["l_suppkey"], "l_linenumber", fields, ties, method="window", context_col="ctx").select(*key)
-    auto = invoice_context(li, ["l_suppkey"], "l_linenumber", fields, ties, method="auto", context_col="ctx",
-                           hot_rows=100, sample_fraction=1.0, hot_check_min_bytes=0).select(*key)
-    assert win.exceptAll(auto).count() == 0 and auto.exceptAll(win).count() == 0

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from backends import NullAnswers, RaiseOn, WrongLength
 from rowsmith.operators import model as M
+from rowsmith.operators import standins as B
 from rowsmith.operators.ordering import every_nth, row_index
 
 
@@ -39,18 +40,18 @@ def test_output_clash_rejected(spark):
 
 
 def test_worker_singleton():
-    spec = M.KeywordBackend()
-    assert M.worker_backend(spec) is M.worker_backend(M.KeywordBackend())
+    spec = B.KeywordBackend()
+    assert M.worker_backend(spec) is M.worker_backend(B.KeywordBackend())
 
 
 def test_slots(spark):
     df = _prompts(spark, ["a"] * 10).coalesce(1)
-    assert M.call_model(df, M.EchoBackend(), slots=4).rdd.getNumPartitions() == 4
-    assert M.call_model(df, M.EchoBackend(), slots=None).rdd.getNumPartitions() == 1
+    assert M.call_model(df, B.EchoBackend(), slots=4).rdd.getNumPartitions() == 4
+    assert M.call_model(df, B.EchoBackend(), slots=None).rdd.getNumPartitions() == 1
 
 
 def test_keyword_backend_rules():
-    be = M.KeywordBackend()
+    be = B.KeywordBackend()
     out = be.respond(pd.DataFrame({"prompt": ["a Rod and bolt", "GEAR", "nothing"]}))
     assert out["response"].tolist()[0].startswith('{"label": "materialeindkøb", "reason": "rule bolt"')
     assert '"label": "tjenesteydelse"' in out["response"].tolist()[1]
@@ -81,12 +82,12 @@ def test_model_params_cut_answers(spark):
     from rowsmith.config import ModelParams
     from rowsmith.functions import answers as A
 
-    be = M.KeywordBackend(fields=("label", "secure"), params=ModelParams(max_tokens=2))
+    be = B.KeywordBackend(fields=("label", "secure"), params=ModelParams(max_tokens=2))
     df = _prompts(spark, ["a bolt", "nothing"])
     out = A.with_parsed_answer(M.call_model(df, be), "response", A.PURCHASE_SMALL).orderBy("id").collect()
     assert [r["stop_reason"] for r in out] == ["maxPredictedTokensReached"] * 2
     assert [r["answer"]["status"] for r in out] == ["invalid", "invalid"]  # cut JSON
-    full = M.call_model(df, M.KeywordBackend(fields=("label", "secure"), params=ModelParams(max_tokens=200))).collect()
+    full = M.call_model(df, B.KeywordBackend(fields=("label", "secure"), params=ModelParams(max_tokens=200))).collect()
     assert all(r["stop_reason"] == "eosFound" for r in full)
 
 
@@ -121,6 +122,17 @@ def test_dedupe_calls_once_per_distinct_prompt(spark):
     assert "prompt" not in out.columns
 
 
+def test_dedupe_matches_null_request_columns(spark):
+    from backends import EchoPair
+
+    rows = [(1, "p", "x"), (2, "p", None), (3, "p", None), (4, "q", "x")]
+    df = spark.createDataFrame(rows, "id INT, prompt STRING, extra STRING")
+    plain = M.call_model(df, EchoPair(), request_cols=["extra"]).select("id", "response")
+    once = M.call_model(df, EchoPair(), request_cols=["extra"], dedupe=True).select("id", "response")
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, plain.collect()))
+    assert once.filter("response IS NULL").count() == 0
+
+
 def test_request_rows_bounds_calls(spark):
     from backends import MaxBatch
 
@@ -128,18 +140,39 @@ def test_request_rows_bounds_calls(spark):
                        slots=None)
     assert out.filter("error IS NOT NULL").count() == 0 and out.count() == 40
     bad = M.call_model(_prompts(spark, [f"p{i}" for i in range(40)]).coalesce(1), MaxBatch(7), slots=None)
-    # Without the cap the batch is too big; bisection still answers every row.
+    # Without the cap the slice is too big; asked one by one, every row is answered.
     assert bad.filter("error IS NOT NULL").count() == 0
 
 
+@pytest.mark.parametrize("every", [100, 2])
+def test_failures_cost_at_most_two_calls_a_row(spark, every):
+    from backends import CountingFaulty
+
+    acc = spark.sparkContext.accumulator(0)
+    n = 1000
+    df = _prompts(spark, [f"#{i}" for i in range(n)])
+    out = M.call_model(df, CountingFaulty(acc, every))
+    failed = {r["id"] for r in out.filter("error IS NOT NULL").collect()}
+    assert failed == {i for i in range(n) if i % every == 0}
+    assert acc.value <= 2 * n
+
+
+def test_backend_errors_cost_one_call_a_row(spark):
+    df = _prompts(spark, [f"#{i} a bolt" for i in range(1, 300)])
+    out = M.call_model(df, B.FaultyBackend(raise_every=10)).collect()
+    assert {r["id"] + 1 for r in out if r["error"]} == set(range(10, 300, 10))
+    raised = M.call_model(df, B.FaultyBackend(raise_every=10, raises=True)).select("id", "response")
+    assert sorted((r["id"], r["response"]) for r in out) == sorted(map(tuple, raised.collect()))
+
+
 def test_classify_simple_null_policies(spark):
     from rowsmith.plans import jobs as J
 
     df = spark.createDataFrame([(1, "a bolt"), (2, None)], "id LONG, text STRING")
-    skip = {r["id"]: r for r in J.classify_simple(df, "text", "id", M.KeywordBackend()).collect()}
+    skip = {r["id"]: r for r in J.classify_simple(df, "text", "id", B.KeywordBackend()).collect()}
     assert skip[1]["klassificering"] == "Materialeindkøb" and skip[1]["error"] is None
     assert skip[2]["klassificering"] is None and skip[2]["status"] == "missing" and skip[2]["error"] is None
-    sent = {r["id"]: r for r in J.classify_simple(df, "text", "id", M.KeywordBackend(), on_null="text").collect()}
+    sent = {r["id"]: r for r in J.classify_simple(df, "text", "id", B.KeywordBackend(), on_null="text").collect()}
     assert sent[2]["status"] == "ok" and sent[2]["klassificering"] == "Ukendt"  # "nan" was sent and answered
 
 

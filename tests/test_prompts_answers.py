@@ -17,8 +17,8 @@ def test_render_braces_nulls_numbers(spark):
     tpl = "{{lit}} {s} | {d} | {n} }}"
     out = dict(df.select("id", P.render(tpl, {"s": "s", "d": "d", "n": "n"}).alias("p")).collect())
     assert out[1] == "{lit} {x} in data | 2.0 | nan }"  # braces from data stay
-    assert out[2] == "{lit} nan | NaN | 7 }"
-    assert out[3] == "{lit} y | 1.0E7 | 0 }"  # Spark prints 1e7 as 1.0E7 (Python: 10000000.0)
+    assert out[2] == "{lit} nan | nan | 7 }"
+    assert out[3] == "{lit} y | 10000000.0 | 0 }"  # Spark prints 1e7 as 1.0E7 (Python: 10000000.0)
 
 
 def test_render_errors():
@@ -121,3 +121,26 @@ def test_whole_int(spark):
     df = spark.createDataFrame([(2.0,), (2.5,), (float("nan"),), (None,), (1e12,)], "d DOUBLE")
     assert [r[0] for r in df.select(A.whole_int(F.col("d"))).collect()] == [2, None, None, None, None]
     assert math.isnan(float("nan"))
+
+
+def test_numbers_print_as_python_prints_them(spark):
+    import random
+
+    from rowsmith.functions.prompts import json_item, number_text
+
+    rng = random.Random(5)
+    values = [12345678.9, 1e7, 1e16, 1e15, 123456789012345680.0, 1e-4, 0.0001234, 1e-5, 9.5e-5, 0.001, 0.0, -0.0, -2.5e7, 1e22, 2.2250738585072014e-308,
+              1.7976931348623157e308, 100.0, -1e-7, float("nan"), float("inf"), float("-inf"), None]
+    values += [rng.choice([-1, 1]) * rng.random() * 10.0 ** rng.randint(-12, 20) for _ in range(500)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i INT, v DOUBLE")
+    got = {r["i"]: r["t"] for r in df.select("i", number_text("v").alias("t")).collect()}
+    assert [got[i] for i in range(len(values))] == [None if v is None else str(v) for v in values]
+    import json
+
+    items = {r["i"]: r["j"] for r in df.select("i", json_item({"a b": F.col("v"), "n": F.col("i")}, {"a b"}).alias("j")).collect()}
+    for i, v in enumerate(values):
+        finite = v is not None and v == v and abs(v) != float("inf")
+        assert items[i] == json.dumps({"a b": v if finite else None, "n": i}, separators=(",", ":"))
+    # Other types are untouched, text that looks like a number included.
+    t = spark.createDataFrame([("1.0E7", 5)], "s STRING, n LONG").select(number_text("s"), number_text("n")).first()
+    assert tuple(t) == ("1.0E7", "5")

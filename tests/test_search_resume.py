@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from rowsmith.operators import metrics as MT
 from rowsmith.operators import search as S
 from rowsmith.streaming import resume as RS
-from rowsmith.streaming.tokens import ProgressCollector, stream_count_windows
+from rowsmith.streaming.tokens import ProgressTable, run_token_windows
 
 
 def _page(title, body):
@@ -48,7 +48,7 @@ def test_resume_antijoin(spark, tmp_dir):
     assert RS.pending(data, RS.read_done(spark, path), ["k"]).count() == 100  # nothing done
     RS.run_resumable(spark, data.filter("k < 30"), ["k"], _classify, path)
     assert RS.pending(data, RS.read_done(spark, path), ["k"]).count() == 70  # part done
-    out = RS.run_resumable(spark, data, ["k"], _classify, path, chunks=3)
+    out = RS.run_resumable(spark, data, ["k"], _classify, path, save_every=30)
     assert out.count() == 100 and out.select("k").distinct().count() == 100
     assert RS.pending(data, RS.read_done(spark, path), ["k"]).count() == 0  # all done
     again = RS.run_resumable(spark, data, ["k"], _classify, path)
@@ -89,34 +89,117 @@ def test_stream_resume_and_replay(spark, tmp_dir):
     assert out.count() == 60 and out.select("k").distinct().count() == 60
 
 
-def test_stream_count_windows_and_progress(spark, tmp_dir):
-    src = os.path.join(tmp_dir, "tok")
-    base = spark.range(0, 230).select(
-        (F.col("id") % 2).alias("s"), F.col("id").alias("i"),
-        (F.lit(1_700_000_000_000_000) + F.col("id") * 1000).cast("long").alias("us"),
-        F.concat(F.lit("t"), F.col("id").cast("string")).alias("tok"),
-    ).withColumn("ts", F.timestamp_micros("us")).drop("us")
-    for lo in range(0, 230, 60):  # files land in time order
-        base.filter((F.col("i") >= lo) & (F.col("i") < lo + 60)).coalesce(1).write.parquet(f"{src}/p{lo:04d}")
-    stream = (spark.readStream.schema(base.schema).option("maxFilesPerTrigger", 1)
-              .option("recursiveFileLookup", "true").parquet(src))
-    win = stream_count_windows(stream, ["s"], "ts", "i", "tok", size=50)
-    collector = ProgressCollector()
-    spark.streams.addListener(collector)
+_TOKENS = "s LONG, i LONG, us LONG, tok STRING"
+
+
+def _land(spark, rows, path, part):
+    df = spark.createDataFrame(rows, _TOKENS)
+    df.select("s", "i", F.timestamp_micros("us").alias("ts"), "tok").coalesce(1).write.parquet(f"{path}/part={part}")
+
+
+def _run_tokens(spark, path, **kw):
+    schema = "s LONG, i LONG, ts TIMESTAMP, tok STRING"
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{path}/in")
+    return run_token_windows(stream, ["s"], "ts", "i", "tok", f"{path}/out", f"{path}/ckpt", size=50, **kw)
+
+
+def _windows(df):
+    return sorted((r["s"], r["window_no"], r["n_tokens"], r["text"], r["elapsed_us"], r["tokens_per_sec"]) for r in df.collect())
+
+
+def test_token_windows_go_on_after_a_pause(spark, tmp_dir):
+    start = 1_700_000_000_000_000
+    rows = [(i % 2, i, start + i * 1000, f"t{i}") for i in range(230)]
+    _land(spark, rows[:90], f"{tmp_dir}/in", 0)
+    first = _windows(_run_tokens(spark, tmp_dir).result())
+    assert [w[:3] for w in first] == [(0, 0, 45), (1, 0, 45)]  # partial windows are shown
+    # An hour later the responses go on: same windows as in one go.
+    later = rows[:90] + [(s, i, us + 3_600_000_000, t) for s, i, us, t in rows[90:]]
+    _land(spark, later[90:], f"{tmp_dir}/in", 1)
+    run = _run_tokens(spark, tmp_dir)
+    whole = spark.createDataFrame(later, _TOKENS).select("s", "i", F.timestamp_micros("us").alias("ts"), "tok")
+    assert _windows(run.result()) == _windows(MT.count_windows(whole, ["s"], ["ts", "i"], "ts", "tok", 50))
+    assert run.read("late").count() == 0
+    # Nothing new: the next run changes nothing.
+    assert _windows(_run_tokens(spark, tmp_dir).result()) == _windows(run.result())
+
+
+def test_late_tokens_go_to_the_side(spark, tmp_dir):
+    start = 1_700_000_000_000_000
+    rows = [(1, i, start + i * 1000, f"t{i}") for i in range(60)]
+    _land(spark, rows[30:], f"{tmp_dir}/in", 0)  # 30 rows: pending
+    _run_tokens(spark, tmp_dir)
+    _land(spark, rows[20:30], f"{tmp_dir}/in", 1)  # older than the pending ones: placed before them
+    _run_tokens(spark, tmp_dir)
+    _land(spark, [(1, 100 + i, start + (100 + i) * 1000, "n") for i in range(20)], f"{tmp_dir}/in", 2)
+    run = _run_tokens(spark, tmp_dir)
+    full = [w for w in _windows(run.result()) if w[2] == 50]
+    assert len(full) == 1 and full[0][3].startswith("t20t21")
+    _land(spark, rows[:20], f"{tmp_dir}/in", 3)  # before the end of a full window: cannot be placed
+    run = _run_tokens(spark, tmp_dir)
+    assert sorted(r["_tok"] for r in run.read("late").collect()) == sorted(f"t{i}" for i in range(20))
+    assert sum(w[2] for w in _windows(run.result())) == 60
+
+
+def test_a_response_ends(spark, tmp_dir):
+    start, hour = 1_700_000_000_000_000, 3_600_000_000
+    _land(spark, [(1, i, start + i, "a") for i in range(100)] + [(2, i, start + i, "b") for i in range(70)], f"{tmp_dir}/in", 0)
+    _run_tokens(spark, tmp_dir, lifetime_us=hour)
+    _land(spark, [(3, i, start + 3 * hour + i, "c") for i in range(5)], f"{tmp_dir}/in", 1)
+    _run_tokens(spark, tmp_dir, lifetime_us=hour)
+    _land(spark, [(2, 900, start + 4 * hour, "b")], f"{tmp_dir}/in", 2)  # the response was over
+    run = _run_tokens(spark, tmp_dir, lifetime_us=hour)
+    assert [(w[0], w[1], w[2]) for w in _windows(run.result())] == [(1, 0, 50), (1, 1, 50), (2, 0, 50), (2, 1, 20), (3, 0, 5)]
+    assert [r["s"] for r in run.read("late").collect()] == [2]
+    assert {r["s"] for r in run.read("pending", run._last_batch()).collect()} <= {3}
+
+
+def test_progress_table(spark, tmp_dir):
+    import time
+
+    listener = ProgressTable(spark, f"{tmp_dir}/progress")
+    spark.streams.addListener(listener)
     try:
-        q = (win.writeStream.format("memory").queryName("tok_windows").outputMode("append")
-             .trigger(availableNow=True).option("checkpointLocation", os.path.join(tmp_dir, "tokck")).start())
-        q.awaitTermination()
+        _land(spark, [(1, i, i, "x") for i in range(12)], f"{tmp_dir}/in", 0)
+        _run_tokens(spark, tmp_dir)
+        for _ in range(50):
+            if RS.has_data(spark, f"{tmp_dir}/progress"):
+                break
+            time.sleep(0.2)
     finally:
-        spark.streams.removeListener(collector)
-    got = {(r["s"], r["window_no"]): r for r in spark.sql("SELECT * FROM tok_windows").collect()}
-    want = {(r["s"], r["window_no"]): r for r in MT.count_windows(base, ["s"], ["ts", "i"], "ts", "tok", 50).collect()}
-    full = {k: v for k, v in want.items() if v["n_tokens"] == 50}
-    assert set(got) == set(full)  # partial windows wait for the idle timeout
-    for k in full:
-        assert (got[k]["text"], got[k]["elapsed_us"], got[k]["tokens_per_sec"]) == (
-            full[k]["text"], full[k]["elapsed_us"], full[k]["tokens_per_sec"])
-    assert sum(r[2] for r in collector.rows) == 230 or collector.rows == []
+        spark.streams.removeListener(listener)
+    assert spark.read.parquet(f"{tmp_dir}/progress").agg(F.sum("input_rows")).first()[0] == 12
+
+
+def _dying(key):
+    """Process that raises out of the stage on one key."""
+    return lambda df: df.select("k", F.when(F.col("k") == key, F.raise_error(F.lit("dead"))).otherwise(F.col("v") * 2).alias("v2"))
+
+
+@pytest.mark.parametrize("save_every", [None, 10])
+def test_resume_after_a_crash(spark, tmp_dir, save_every):
+    data = spark.range(60).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    path = os.path.join(tmp_dir, "crash")
+    for key in (0, 55):  # in the first chunk, then in the last
+        with pytest.raises(Exception, match="dead"):
+            RS.run_resumable(spark, data, ["k"], _dying(key), path, save_every=save_every)
+    done = RS.read_done(spark, path)
+    assert (0 if done is None else done.count()) == (50 if save_every else 0)
+    reported = []
+    out = RS.run_resumable(spark, data, ["k"], _classify, path, save_every=save_every, report=reported.append)
+    assert sorted((r["k"], r["v2"]) for r in out.collect()) == [(i, 2 * i) for i in range(60)]
+    if save_every:
+        assert reported == [10]  # the last chunk alone was left to do
+
+
+def test_resume_of_nothing(spark, tmp_dir):
+    empty = spark.createDataFrame([], "k LONG, v LONG")
+    for every in (None, 5):
+        out = RS.run_resumable(spark, empty, ["k"], _classify, os.path.join(tmp_dir, f"e{every}"), save_every=every)
+        assert out.count() == 0 and out.columns == ["k", "v2"]
+    os.makedirs(os.path.join(tmp_dir, "landing"))
+    got = RS.run_stream(spark, os.path.join(tmp_dir, "landing"), empty.schema, _classify, f"{tmp_dir}/r", f"{tmp_dir}/c")
+    assert got.count() == 0 and got.columns == ["k", "v2", "batch_id"]
 
 
 def test_resume_calls_each_row_once(spark, tmp_dir):
@@ -133,6 +216,6 @@ def test_resume_calls_each_row_once(spark, tmp_dir):
     path = os.path.join(tmp_dir, "calls")
     RS.run_resumable(spark, data.filter("k < 70"), ["k"], process, path)
     assert acc.value == 70
-    out = RS.run_resumable(spark, data, ["k"], process, path, chunks=4)
+    out = RS.run_resumable(spark, data, ["k"], process, path, save_every=40)
     assert acc.value == 200  # the second run sent only the 130 rows not done
     assert out.count() == 200 and out.select("k").distinct().count() == 200

@@ -24,11 +24,30 @@ def test_format_dispatch():
 def test_roundtrip(spark, tmp_dir, suffix):
     df = spark.createDataFrame([(1, "a, \"quoted\"\nnew line", 1.5), (2, None, None)], "id INT, s STRING, d DOUBLE")
     path = os.path.join(tmp_dir, f"t.{suffix}")
-    R.write_table(df, path)
-    back = R.load_table(spark, path, schema=df.schema)
+    R.write_table(df, path, multi_line=True)
+    back = R.load_table(spark, path, schema=df.schema, multi_line=True)
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
 
 
+def test_csv_is_read_line_by_line(spark, tmp_dir):
+    df = spark.createDataFrame([(i, f"cell {i}, \"q\"") for i in range(2000)], "id INT, s STRING").coalesce(1)
+    path = R.write_table(df, os.path.join(tmp_dir, "t.csv"))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        back = R.load_table(spark, path, schema=df.schema)
+        assert back.rdd.getNumPartitions() > 1  # one file, many tasks
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+    broken = spark.createDataFrame([(1, "two\nlines")], "id INT, s STRING")
+    with pytest.raises(Exception, match="line break"):
+        R.write_table(broken, os.path.join(tmp_dir, "b.csv"))
+
+
 def test_union_named_inputs(spark):
     a = spark.createDataFrame([(1, "x")], "id INT, a STRING")
     b = spark.createDataFrame([("7", 2.0)], "id STRING, b DOUBLE")  # INT / STRING clash on id
@@ -66,7 +85,7 @@ def _tree(root):
 
 def test_doc_scan_and_lookup(spark, tmp_dir):
     _tree(tmp_dir)
-    files = D.scan_documents(spark, tmp_dir)
+    files = D.scan_documents(spark, tmp_dir, with_content=True)
     names = sorted(os.path.relpath(r["path"].replace("file:", ""), tmp_dir) for r in files.collect())
     assert names == ["a/10.PDF", "b/10.pdf", "b/11.pdf", "c/x.b.pdf"]  # .PDF found, .txt not
     reg = spark.createDataFrame([(10,), (11,), (13,), (None,)], "fakt_id LONG")
@@ -87,3 +106,28 @@ def test_spread(spark):
     big = spark.range(100).repartition(10)
     assert R.spread(big, 4).rdd.getNumPartitions() == 10
     assert F is not None
+
+
+def test_pages_go_back_together(spark):
+    rows = [("a", 2, b"2"), ("a", 1, b"1"), ("b", 1, None), ("a", 3, None)]
+    df = spark.createDataFrame(rows, "doc STRING, page_no INT, content BINARY").repartition(3)
+    got = {r["doc"]: [None if p is None else bytes(p) for p in r["pages"]] for r in D.pages_of(df, "doc").collect()}
+    assert got == {"a": [b"1", b"2", None], "b": [None]}
+
+
+def test_reader_job_keeps_failed_documents(spark):
+    from backends import BrokenWriter
+    from rowsmith.operators import standins as B
+    from rowsmith.plans import jobs as J
+
+    rows = [(1, "ok", [b"x"], "n1"), (2, "cut", [b"x"], "n2"), (3, "empty", [b"x"], "n3"), (4, "none", [b"x"], "n4"),
+            (5, "raise", [b"x"], "n5"), (6, "ok", [], "n6"), (7, "ok", None, "n7"), (8, "nolines", [b"x"], "n8"), (9, "ok", [None], "n9")]
+    df = spark.createDataFrame(rows, "id INT, cred STRING, pages ARRAY<BINARY>, note STRING")
+    out = {r["id"]: r for r in J.read_documents(df, "cred", "pages", B.PageReaderBackend(), BrokenWriter()).collect()}
+    assert set(out) == {1, 2, 3, 4, 5, 6, 7, 9}  # a sound answer without lines gives no row
+    assert (out[1]["status"], out[1]["error"], out[1]["antal"], out[1]["linjenummer"], out[1]["note"]) == ("ok", None, 2, 1, "n1")
+    assert {i: out[i]["status"] for i in (2, 3, 4, 5, 6, 7, 9)} == {2: "invalid", 3: "empty", 4: "missing", 5: "missing", 6: "missing", 7: "missing", 9: "missing"}
+    assert all(out[i]["error"] for i in (2, 3, 4, 5, 6, 7, 9)) and "writer down" in out[5]["error"]
+    assert out[6]["error"] == "no readable page" and out[6]["note"] == "n6" and out[6]["antal"] is None
+    with pytest.raises(TypeError):
+        J.read_documents(df, "cred", "pages")  # no stand-in steps in for a missing model
