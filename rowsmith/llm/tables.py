@@ -21,10 +21,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back with its schema."""
+#: Rows of a small table that share a file, where the writer knows how many there are.
+ROWS_PER_FILE = 40_000
+
+
+def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """``df`` written once to the shared folder and read back with its schema.
+
+    ``rows``, at most so many as the table has, keeps a table of few rows from being
+    cut into a file for each shuffle partition.
+    """
     spark = df.sparkSession
+    ship_package(spark)
     path = scratch_path(spark, name)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
