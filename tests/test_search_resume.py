@@ -38,6 +38,15 @@ def test_search_first_pages(spark):
     assert d[0]["digest"].startswith("SIDE 1:\nTitel: Ingen titel\nURL: http://h/3\nUddrag:\nalpha beta gamma\n\n\nSIDE 2:")
 
 
+def test_several_articles_are_not_run_together(spark):
+    from rowsmith.functions.html import html_to_text
+
+    page = "<p>menu</p><article class='a'><p>one &amp; two</p></article><p>advert</p><ARTICLE>three\n</ARTICLE><p>foot</p>"
+    rows = [(1, page), (2, "<p>no article</p>"), (3, "<article></article><p>empty one</p>"), (4, None), (5, "")]
+    got = {r[0]: r[1] for r in spark.createDataFrame(rows, "i INT, h STRING").select("i", html_to_text("h")).collect()}
+    assert got == {1: "one & two three", 2: "no article", 3: "empty one", 4: None, 5: ""}
+
+
 def _classify(df):
     return df.select("k", (F.col("v") * 2).alias("v2"))
 
