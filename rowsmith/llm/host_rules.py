@@ -121,7 +121,8 @@ def judged(docs: DataFrame, host_col: str = "source", text_col: str = "text", ca
     and by the documents after.
     """
     counted = tables.written(with_counts(docs, text_col, host_col, carry), "counts")
-    verdicts = host_verdicts(counted).select(F.col("host").alias("judged"), "bad")
+    # Written, so that its true size decides how it is joined: few hosts need no shuffle of the rows.
+    verdicts = tables.written(host_verdicts(counted).select(F.col("host").alias("judged"), "bad"), "hosts")
     ruled = counted.join(verdicts, F.col("host").eqNullSafe(F.col("judged")), "left")
     kept = ~base_failed() & ~(F.col("bad") & strict_failed())
     return ruled.select(*counted.columns, base_failed().alias("base_failed"), kept.alias("kept"))

@@ -175,7 +175,8 @@ def assign(pieces: DataFrame, window: int = WINDOW, unit: int = UNIT, depth: int
     rows = plan_rows(plan_sequences(histogram, classes, depth))
     plan = spark.createDataFrame(rows, "class int, low long, high long, many int, sequence long, slot int")
     earlier = Window.partitionBy("class").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = each.select("part", "class", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))
+    # Written, so that its true size decides how it is joined: a row for each partition and class.
+    before = tables.written(each.select("part", "class", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before")), "ranks")
     carried = [c for c in pieces.columns if c not in ("class", "part", "nth")]
     ranked = pieces.join(before, ["part", "class"]).select(*carried, "class", (F.col("_before") + F.col("nth")).alias("_rank"))
     # The plan has a few hundred rows, by the number of classes alone.
