@@ -208,9 +208,15 @@ def fit(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", lang_c
     """Trains on a bounded sample of the labelled rows outside the held-out fold; None without any."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(F.col(key_col)))
     # Keys are picked without their texts, so that no text is sorted or moved for it.
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
+    # By the hash's place among all its values only about twice as many as wanted are
+    # ranked, so a language with most of the rows is no hot group.
     keys = known.select(F.col(key_col).alias("key"), F.col(lang_col).cast("string").alias("lang")).distinct()
-    picked = keys.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") <= train_docs).select("key", "lang")
+    counts = keys.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed("lang", "_lang")
+    place = F.xxhash64("key")
+    near = (place.cast("double") / 2.0**64 + 0.5) * F.col("_n") <= 2.0 * train_docs + 64
+    few = keys.join(counts, F.col("lang") == F.col("_lang")).where(near).select("key", "lang")
+    first = Window.partitionBy("lang").orderBy(place, "key")
+    picked = few.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") <= train_docs).select("key", "lang")
     texts = known.select(F.col(key_col).alias("key"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
 
     def cut(batches):
