@@ -29,8 +29,10 @@ empty result; other input columns are not looked at, whatever their names.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +42,11 @@ from pyspark.sql import functions as F
 
 from . import tables
 from .tokens import grouped, id_arrays, text_bytes, vocabulary_path
-from .wordtable import SLICE_BYTES, WordTable, slices
+from .wordtable import KEY_BYTES, SLICE_BYTES, WordTable, slices
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-DICTIONARY = 1 << 20
+DICTIONARY = 1 << 17
 SAMPLE_DOCS = 20_000
 LONG_UNIT = 64
 #: In place of an id: a unit that is not in the dictionary.
@@ -178,20 +180,53 @@ def best_paths(words: DataFrame, path: str) -> DataFrame:
 # -- documents -----------------------------------------------------------------------
 
 
+class _Dictionary(WordTable):
+    """The dictionary's units and their ids, in the arrays of a word table; any other unit is marked."""
+
+    def __init__(self, known: pa.Table, bits: int):
+        units_ = pc.replace_substring(known.column("unit").combine_chunks(), SPACE, " ")
+        ids = known.column("ids").combine_chunks()
+        size, flat = np.diff(ids.offsets.to_numpy()), ids.values.to_numpy().astype(np.uint32)
+        data, offsets = text_bytes(units_)
+        short = np.diff(offsets) <= KEY_BYTES
+        cut = np.concatenate([[0], np.cumsum(size)])
+        self.known = data, offsets[:-1][short], offsets[1:][short]
+        self.answers = size[short], flat[np.repeat(short, size)]
+        self.known_long = {data[offsets[i] : offsets[i + 1]].tobytes(): flat[cut[i] : cut[i + 1]] for i in np.flatnonzero(~short)}
+        self.loading = False
+        super().__init__(self._resolve, bits, lower=False)
+
+    def _clear(self) -> None:
+        """Afresh, with the dictionary in it: what is missing from the table is missing from the dictionary."""
+        super()._clear()
+        self.loading = True
+        self.values(*self.known)
+        self.loading = False
+
+    def _order(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The answers in the order the table asks for them while loading."""
+        data, start, end = self.known
+        place = {data[a:b].tobytes(): i for i, (a, b) in enumerate(zip(start.tolist(), end.tolist()))}
+        size, flat = self.answers
+        cut = np.concatenate([[0], np.cumsum(size)])
+        at = [place[w] for w in words]
+        return size[at], np.concatenate([flat[cut[i] : cut[i + 1]] for i in at]) if at else flat[:0]
+
+    def _resolve(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        if self.loading:
+            return self._order(words)
+        found = [self.known_long.get(w, _MARK) for w in words]
+        return np.array([len(f) for f in found]), np.concatenate(found) if found else np.empty(0, np.uint32)
+
+
 class _Reader:
     """Ids of texts from a dictionary; units that are not in it are marked."""
 
     def __init__(self, path: str, known: pa.Table):
         self.path, self.cuts = path, _cuts(path)
-        units_, ids = known.column("unit").combine_chunks(), known.column("ids").combine_chunks()
-        self.place = {u: i for i, u in enumerate(units_.to_pylist())}
-        self.offsets, self.flat = ids.offsets.to_numpy(), ids.values.to_numpy().astype(np.uint32)
-        self.table = WordTable(self._resolve, lower=False)
-
-    def _resolve(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        at = [self.place.get(w.decode().replace(" ", SPACE), -1) for w in words]
-        found = [self.flat[self.offsets[i] : self.offsets[i + 1]] if i >= 0 else _MARK for i in at]
-        return np.array([len(f) for f in found]), np.concatenate(found) if found else np.empty(0, np.uint32)
+        # Room for as many units beside the dictionary's before the table starts afresh.
+        self.table = _Dictionary(known, max(10, int(2 * known.num_rows / 0.6).bit_length()))
+        self.back = _Decoder(path)
 
     def texts(self, column: pa.Array):
         """Per text: the ids, with ELSEWHERE for each unknown unit, and those units in order."""
@@ -240,35 +275,50 @@ class _Shared:
 
 
 def _dictionary(docs: DataFrame, path: str, sample_docs: int, most: int) -> _Shared:
-    """Units of at most ``sample_docs`` documents and at most ``most`` of them, with their ids."""
+    """The most frequent units of at most ``sample_docs`` documents, at most ``most``, with their ids."""
     spark = docs.sparkSession
     first = docs.select(F.xxhash64("doc_id", "text").alias("place")).orderBy("place").limit(sample_docs).agg(F.max("place")).first()[0]
     sample = docs.where(F.xxhash64("doc_id", "text") <= F.lit(first)) if first is not None else docs.limit(0)
 
     def cut(batches):
         cuts = _cuts(path)
-        for b in batches:
+        for b in tables.sliced(batches):
             data, offsets = text_bytes(pc.binary_join_element_wise(pa.scalar(" "), pc.replace_substring(b.column(0).cast(pa.string()).fill_null(""), SPACE, " "), ""))
-            seen: set[bytes] = set()
+            seen: Counter[bytes] = Counter()
             for i, j in slices(offsets):
                 part = data[offsets[i] : offsets[j]]
                 raw = part.tobytes()
                 seen.update(raw[x:y] for x, y in zip(*(a.tolist() for a in units(part, offsets[i:j] - offsets[i], cuts))) if y - x <= LONG_UNIT)
-            yield pa.RecordBatch.from_arrays([pa.array([w.decode().replace(" ", SPACE) for w in seen])], ["unit"])
-
-    words = sample.select("text").mapInArrow(cut, "unit string").distinct().orderBy(F.xxhash64("unit")).limit(most)
+            columns = [pa.array([w.decode().replace(" ", SPACE) for w in seen], pa.string()), pa.array(list(seen.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["unit", "n"])
+
+    counts = tables.written(sample.select("text").mapInArrow(cut, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n")), "unit-counts")
+    # The most frequent ones: at least so often that no more than ``most`` are left.
+    # There are far fewer different counts than units: one row each.
+    often, total = 0, 0
+    for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("m")).orderBy(F.col("n").desc()).collect():
+        total += r["m"]
+        if total > most:
+            often = r["n"] + 1
+            break
+    words = counts.where(F.col("n") >= often).select("unit")
     known = best_paths(words, path).toArrow()
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, known.schema) as w:
         w.write_table(known)
     shared = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
-    return _Shared(f"{shared._jbroadcast.id()}", shared) if hasattr(shared, "_jbroadcast") else _Shared(str(id(shared)), shared)
+    return _Shared(uuid4().hex, shared)
 
 
 def encode(
-    docs: DataFrame, path: str, key_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS, dictionary: int = DICTIONARY
-) -> DataFrame:
-    """Per row: ``doc_id, text_crc32, ids`` (little-endian 32-bit); the digest is of the normalised text."""
+    docs: DataFrame, path: str, key_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS, dictionary: int = DICTIONARY,
+    check: bool = False,
+) -> DataFrame:
+    """Per row: ``doc_id, text_crc32, ids`` (little-endian 32-bit); the digest is of the normalised text.
+
+    With ``check`` every row is decoded again in the same task: ``decoded_bytes`` and
+    ``decoded_crc32`` follow, of the text that came back.
+    """
     import zlib
 
     import zstandard
@@ -278,7 +328,7 @@ def encode(
 
     def missing(batches):
         own = _reader(path, shared)
-        for b in batches:
+        for b in tables.sliced(batches):
             at, found = [], []
             for i, (_, words) in enumerate(own.texts(b.column(1))):
                 for w in set(words):
@@ -291,7 +341,7 @@ def encode(
 
     def shrink(batches):
         squeeze = zstandard.ZstdCompressor(level=3)
-        for b in batches:
+        for b in tables.sliced(batches):
             packed = [None if t is None else squeeze.compress(t.encode()) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(packed, pa.binary())], ["doc_id", "packed"])
 
@@ -301,7 +351,7 @@ def encode(
 
     def finish(batches):
         own, stretch = _reader(path, shared), zstandard.ZstdDecompressor()
-        for b in batches:
+        for b in tables.sliced(batches):
             texts = [None if p is None else stretch.decompress(p.as_buffer()).decode() for p in (x if x.is_valid else None for x in b.column(1))]
             more, at = b.column(2).to_pylist(), 0
 
@@ -317,10 +367,30 @@ def encode(
             rows = (whole(i, *x) for i, x in enumerate(own.texts(pa.array(texts, pa.large_string()))))
             for group in grouped(rows, len, 1 << 21):
                 crc = [zlib.crc32((t or "").replace(SPACE, " ").encode()) for t in texts[at : at + len(group)]]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(group)), pa.array(crc, pa.int64()), id_arrays(group)], ["doc_id", "text_crc32", "ids"])
+                columns = [b.column(0).slice(at, len(group)), pa.array(crc, pa.int64()), id_arrays(group)]
+                if check:
+                    back = [own.back.text(ids) for ids in group]
+                    columns += [pa.array([len(t) for t in back], pa.int64()), pa.array([zlib.crc32(t) for t in back], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
                 at += len(group)
 
-    return met.mapInArrow(finish, tables.fields(slim.select("doc_id"), "text_crc32 long, ids binary"))
+    schema = tables.fields(slim.select("doc_id"), "text_crc32 long, ids binary" + ", decoded_bytes long, decoded_crc32 long" * check)
+    return met.mapInArrow(finish, schema)
+
+
+class _Decoder:
+    """Texts from ids: the bytes of the pieces one after the other, without the space put in front."""
+
+    def __init__(self, path: str):
+        text = pieces(path).text
+        self.flat = np.frombuffer(b"".join(text), np.uint8)
+        self.size = np.array([len(t) for t in text])
+        self.start = np.cumsum(self.size) - self.size
+
+    def text(self, ids: np.ndarray) -> bytes:
+        n = self.size[ids]
+        place = np.repeat(self.start[ids] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return self.flat[place].tobytes()[1:]
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -328,17 +398,9 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     at, schema = encoded.columns.index("ids"), tables.fields(encoded, "text string")
 
     def join(batches):
-        text = pieces(path).text
-        flat = np.frombuffer(b"".join(text), np.uint8)
-        size = np.array([len(t) for t in text])
-        start = np.cumsum(size) - size
-        for b in batches:
-            out = []
-            for value in b.column(at):
-                ids = np.frombuffer(value.as_buffer(), "<u4")
-                n = size[ids]
-                place = np.repeat(start[ids] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-                out.append(flat[place].tobytes().decode()[1:])  # without the space put in front
+        own = _Decoder(path)
+        for b in tables.sliced(batches):
+            out = [own.text(np.frombuffer(v.as_buffer(), "<u4")).decode() for v in b.column(at)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], schema.names)
 
     return encoded.mapInArrow(join, schema)
@@ -346,12 +408,11 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded, decoded again and compared."""
-    path = vocabulary_path(MODEL)
-    back = decode(encode(tables.table(spark, sf_dir, "documents"), path), path)
-    return back.select(
+    found = encode(tables.table(spark, sf_dir, "documents"), vocabulary_path(MODEL), check=True)
+    return found.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_pieces"),
         F.crc32("ids").alias("ids_crc32"),
-        F.octet_length("text").cast("long").alias("decoded_bytes"),
-        (F.crc32(F.encode("text", "UTF-8")) == F.col("text_crc32")).alias("round_trip"),
+        "decoded_bytes",
+        (F.col("decoded_crc32") == F.col("text_crc32")).alias("round_trip"),
     )

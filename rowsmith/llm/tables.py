@@ -51,3 +51,10 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def sliced(batches, rows: int = 1024):
+    """Arrow batches cut to at most so many rows, which bounds what a worker holds beside them."""
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            yield b.slice(k, rows)
