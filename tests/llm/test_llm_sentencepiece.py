@@ -42,7 +42,7 @@ def test_lattice_equals_the_fold(spark, unigram):
     units = {"".join(rng.choices(list("aeioutnrsTHE▁▁.,'-=é日😀0\n") + ["the", "ing", "====", "\x00"], k=rng.randint(1, 20))) for _ in range(400)}
     units |= {"a" * 64, "a" * 65, "the" * 200}
     df = spark.createDataFrame([(u,) for u in [*units, "a", "a"]], "unit STRING").repartition(3)
-    got = {r["unit"]: r["ids"] for r in sl.best_paths(df, path).collect()}
+    got = {r["unit"]: r["ids"] for r in sl.best_paths(df, path, 400).collect()}
     assert got == {u: sl.fold_long(u, sl.pieces(path)) for u in units | {"a"}}
 
 
