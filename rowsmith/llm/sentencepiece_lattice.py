@@ -10,7 +10,7 @@ their occurrences, so the lattice is built for distinct units only:
    are grouped by unit (which the table is already dealt by: no further shuffle);
    Viterbi is a fold over the edges with ``aggregate``. Of equal paths the one with the longest last piece wins, as in the library. A
    character without a piece costs the model's unknown penalty and becomes its bytes.
-2. ``encode``: units of a bounded sample of documents form a dictionary of at most
+2. ``encode``: units of a sample of documents, of bounded number, form a dictionary of at most
    ``DICTIONARY`` units that every task has. Documents name the units they hold
    beyond it; those get their paths the same way and come back to their documents as
    a small dictionary of each. The sample decides what moves, never the result.
@@ -128,11 +128,19 @@ def fold_long(unit: str, model: Pieces) -> list[int]:
     return [i for part in reversed(out) for i in part]
 
 
-def best_paths(words: DataFrame, path: str) -> DataFrame:
-    """(``unit``, ``ids``) for the distinct values of ``unit`` (spaces written as U+2581)."""
+#: Units to a task of the lattice: their edges are sorted by unit in its memory.
+TASK_UNITS = 16_384
+
+
+def best_paths(words: DataFrame, path: str, rows: int) -> DataFrame:
+    """(``unit``, ``ids``) for the distinct values of ``unit`` (spaces written as U+2581).
+
+    ``rows``, about how many units there are, sets the number of tasks: a unit is a
+    few bytes and its lattice a hundred times that, so sizes in bytes do not tell.
+    """
     spark, model = words.sparkSession, pieces(path)
     table = spark.createDataFrame([(p, i, s) for p, (i, s) in model.table.items()], "piece string, id int, score double")
-    distinct = words.select("unit").distinct()
+    distinct = words.select("unit").distinct().repartition(max(1, -(-rows // TASK_UNITS)), "unit")
     short = distinct.where(F.char_length("unit") <= LONG_UNIT)
     n = F.char_length("unit")
     starts = short.select("unit", F.explode(F.sequence(F.lit(0), n - 1)).alias("start"))
@@ -275,10 +283,11 @@ class _Shared:
 
 
 def _dictionary(docs: DataFrame, path: str, sample_docs: int, most: int) -> _Shared:
-    """The most frequent units of at most ``sample_docs`` documents, at most ``most``, with their ids."""
+    """The most frequent units of about ``sample_docs`` documents, at most ``most``, with their ids."""
     spark = docs.sparkSession
-    first = docs.select(F.xxhash64("doc_id", "text").alias("place")).orderBy("place").limit(sample_docs).agg(F.max("place")).first()[0]
-    sample = docs.where(F.xxhash64("doc_id", "text") <= F.lit(first)) if first is not None else docs.limit(0)
+    # Hashes are spread evenly over 64 bits: a cut by the number of rows leaves about so many.
+    share = min(1.0, sample_docs / max(1, docs.count()))
+    sample = docs.where(F.xxhash64("doc_id", "text").cast("double") <= F.lit((share - 0.5) * 2.0**64))
 
     def cut(batches):
         cuts = _cuts(path)
@@ -302,7 +311,7 @@ def _dictionary(docs: DataFrame, path: str, sample_docs: int, most: int) -> _Sha
             often = r["n"] + 1
             break
     words = counts.where(F.col("n") >= often).select("unit")
-    known = best_paths(words, path).toArrow()
+    known = best_paths(words, path, min(total, most)).toArrow()
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, known.schema) as w:
         w.write_table(known)
@@ -337,7 +346,8 @@ def encode(
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(found, pa.string())], ["doc_id", "unit"])
 
     asked = tables.written(slim.mapInArrow(missing, tables.fields(slim.select("doc_id"), "unit string")), "units")
-    answers = asked.join(best_paths(asked, path), "unit").groupBy("doc_id").agg(F.collect_list(F.struct("unit", "ids")).alias("more"))
+    # Most units asked for are rare: about as many as there are rows.
+    answers = asked.join(best_paths(asked, path, asked.count() // 2), "unit").groupBy("doc_id").agg(F.collect_list(F.struct("unit", "ids")).alias("more"))
 
     def shrink(batches):
         squeeze = zstandard.ZstdCompressor(level=3)
