@@ -33,6 +33,11 @@ def template_fields(template: str) -> list[str]:
 NULL_TEXT = "nan"
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, however often the body uses it."""
+    return F.transform(F.array(value), lambda x: body(x))[0]
+
+
 def _shortest(c: Column) -> Column:
     """A double's text with no more digits than needed (older Java runtimes sometimes print one or two more)."""
     text, double = c.cast("string"), c.cast("double")
@@ -41,10 +46,14 @@ def _shortest(c: Column) -> Column:
     for n in (16, 15, 14):  # digits after the first; the fewest that read back the same win
         sci = F.regexp_replace(F.regexp_replace(F.format_string(f"%.{n}e", double), r"e\+?(-?)0*(\d)", "E$1$2"), r"0+E", "E")
         sci = F.regexp_replace(sci, r"\.E", ".0E")
-        shown = F.when(sci.cast("double") == double, sci).otherwise(shown)
+        shown = _let(sci, _if_equal(double, shown))
     return F.when((digits >= 16) & F.typeof(c).isin("double", "float"), shown).otherwise(text)
 
 
+def _if_equal(double: Column, otherwise: Column):
+    return lambda text: F.when(text.cast("double") == double, text).otherwise(otherwise)
+
+
 def number_text(c: Column | str) -> Column:
     """A double as Python's ``str`` prints it; any other type as its cast to text.
 
@@ -54,7 +63,12 @@ def number_text(c: Column | str) -> Column:
     one value whose digits differ: ``4.9e-324`` here, ``5e-324`` in Python.)
     """
     c = F.col(c) if isinstance(c, str) else c
-    text = _shortest(c)
+    is_double = F.typeof(c).isin("double", "float")
+    return F.when(is_double, _let(_shortest(c), _as_python)).otherwise(c.cast("string"))
+
+
+def _as_python(text: Column) -> Column:
+    """A double's text with the exponent where and how Python writes it."""
     part = lambda i: F.regexp_extract(text, r"^(-?)(\d)\.(\d+)E(-?\d+)$", i)
     sign, exponent = part(1), part(4).cast("int")
     digits = F.concat(part(2), F.when(part(3) != "0", part(3)).otherwise(F.lit("")))
@@ -70,10 +84,8 @@ def number_text(c: Column | str) -> Column:
         .when(n <= exponent + 1, whole)
         .otherwise(split)
     )
-    is_double = F.typeof(c).isin("double", "float")
     special = F.when(text == "NaN", F.lit("nan")).when(text == "Infinity", F.lit("inf")).when(text == "-Infinity", F.lit("-inf"))
-    shown = F.when(text.rlike(r"E-?\d+$"), F.concat(sign, plain)).otherwise(F.coalesce(special, text))
-    return F.when(is_double, shown).otherwise(text)
+    return F.when(text.rlike(r"E-?\d+$"), F.concat(sign, plain)).otherwise(F.coalesce(special, text))
 
 
 def render(template: str, variables: Mapping[str, Column | str], null_text: str | None = NULL_TEXT) -> Column:
