@@ -9,11 +9,14 @@ aggregation whose first one splits an invoice of very many lines into chunks.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.prompts import json_item, nan_to_null
+from .ordering import row_index
 
 
 def _c(c: Column | str) -> Column:
@@ -146,6 +149,10 @@ def _is_double(df: DataFrame, v: Column | str) -> bool:
     return df.schema[v].dataType.typeName() in ("double", "float")
 
 
+#: Turns to a chunk of a long conversation in :func:`running_history`.
+HISTORY_CHUNK = 256
+
+
 def running_history(
     df: DataFrame,
     partition_by: Sequence[str],
@@ -153,14 +160,50 @@ def running_history(
     message: Column | str,
     include: Column | None = None,
     name: str = "history",
+    bounded: bool = False,
+    chunk_rows: int = HISTORY_CHUNK,
 ) -> DataFrame:
     """For each row, the messages of its partition so far (itself included).
 
     ``include`` picks which rows contribute a message (e.g. user turns only);
-    every row still gets the history up to itself.
+    every row still gets the history up to itself. Null messages are left out.
+
+    One plan for every size: rows are numbered (``row_index``, written once) and meet
+    by (partition, chunk of ``chunk_rows`` rows). A chunk's messages are one list; the
+    lists of the chunks before it are sent to it one by one and joined there, so
+    a row's history is that list and the part of its own chunk's up to itself. A hot
+    partition is spread over as many tasks as it has chunks; only the result is as
+    large as its meaning. With ``bounded`` the caller knows partitions to be small
+    (batches of fixed size), and each is one window.
     """
-    w = Window.partitionBy(*partition_by).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     msg = _c(message)
     if include is not None:
         msg = F.when(include, msg)
-    return df.withColumn(name, F.collect_list(msg).over(w))
+    if bounded:
+        w = Window.partitionBy(*partition_by).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(name, F.collect_list(msg).over(w))
+    keys, at = list(partition_by), "_rh_at"
+    rows = row_index(df.withColumn("_rh_msg", msg), order_by, keys, name="_rh_at")
+    rows = rows.withColumn("_rh_chunk", F.floor(F.col("_rh_at") / F.lit(chunk_rows)).cast("long"))
+    item = F.struct("_rh_at", "_rh_msg")
+    lists = rows.groupBy(*keys, "_rh_chunk").agg(F.transform(F.sort_array(F.collect_list(item)), lambda x: x["_rh_msg"]).alias("_rh_own"))
+
+    def keyed(prefix: str, *more: Column) -> DataFrame:
+        return lists.select(*[F.col(k).alias(f"{prefix}{i}") for i, k in enumerate(keys)], *more)
+
+    def same(prefix: str, other: Sequence[str]) -> Column:
+        return reduce(and_, [F.col(k).eqNullSafe(F.col(f"{prefix}{i}")) for i, k in enumerate(other)], F.lit(True))
+
+    # A chunk asks for each list before it, so what meets in a task is one list or one chunk.
+    chunk, to = F.col("_rh_chunk"), [f"_rh_t{i}" for i in range(len(keys))]
+    asked = keyed("_rh_t", chunk.alias("_rh_to"), F.explode(F.when(chunk > 0, F.sequence(F.lit(0).cast("long"), chunk - 1))).alias("_rh_from"))
+    given = keyed("_rh_g", chunk.alias("_rh_no"), F.filter("_rh_own", lambda m: m.isNotNull()).alias("_rh_list"))
+    met = asked.join(given, same("_rh_g", to) & (F.col("_rh_from") == F.col("_rh_no"))).groupBy(*to, "_rh_to")
+    before = met.agg(F.sort_array(F.collect_list(F.struct("_rh_from", "_rh_list"))).alias("_rh_parts"))
+    before = before.select(*to, "_rh_to", F.flatten(F.transform("_rh_parts", lambda x: x["_rh_list"])).alias("_rh_before"))
+    own = keyed("_rh_o", chunk.alias("_rh_of"), F.col("_rh_own"))
+    out = rows.join(own, same("_rh_o", keys) & (chunk == F.col("_rh_of"))).join(before, same("_rh_t", keys) & (chunk == F.col("_rh_to")), "left")
+    upto = F.slice("_rh_own", F.lit(1), (F.col("_rh_at") - chunk * F.lit(chunk_rows) + 1).cast("int"))
+    upto = F.filter(upto, lambda m: m.isNotNull())
+    history = F.when(F.col("_rh_before").isNull(), upto).otherwise(F.concat("_rh_before", upto))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns if c != name], history.alias(name))

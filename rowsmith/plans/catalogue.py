@@ -556,7 +556,7 @@ def chat_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         "chat_pos", (F.col("idx") % CHAT_BATCH).cast("long")
     )
     msg = F.concat(F.lit("Fakturalinje: "), F.col("p_name"))
-    h = running_history(idx, ["chat_no"], ["idx"], msg, name="msgs")
+    h = running_history(idx, ["chat_no"], ["idx"], msg, name="msgs", bounded=True)
     chat = F.concat(F.lit(CHAT_SYSTEM + "\n"), F.array_join("msgs", "\n"))
     return h.select("p_partkey", "chat_no", "chat_pos", chat.alias("chat"))
 

@@ -308,7 +308,7 @@ def classify_chat(
     idx = row_index(df, [order_col], name="_chat_idx")
     idx = idx.withColumn("chat_no", F.floor(F.col("_chat_idx") / F.lit(batch_rows)).cast("long"))
     msg = P.render(CHAT_USER_TEMPLATE, {"fakturalinje": text_col})
-    hist = running_history(idx, ["chat_no"], ["_chat_idx"], msg, name="_msgs")
+    hist = running_history(idx, ["chat_no"], ["_chat_idx"], msg, name="_msgs", bounded=True)
     prompt = F.concat(F.lit(system_prompt), F.array_join("_msgs", "\n"))
     chats = hist.withColumn("_chat_prompt", prompt).drop("_msgs")
     staged = structured_answers(chats, "_chat_prompt", backend, A.PURCHASE_SIMPLE, slots)

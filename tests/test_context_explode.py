@@ -166,3 +166,21 @@ def test_explode_element_fields_override_inputs(spark):
     out = EX.explode_answer(df, "answer", "lines", keep=["id", "X", "linjenummer"], scalar_fields=["k"])
     assert out.columns == ["id", "answer_k", "x", "linjenummer"]
     assert tuple(out.first()) == (1, "a", 5, 1)
+
+
+def test_history_of_a_hot_conversation_is_built_in_chunks(spark):
+    rows = [("hot", i, "user" if i % 3 else "tool", None if i % 11 == 5 else f"m{i}") for i in range(700)]
+    rows += [(None if i % 9 == 0 else f"c{i}", t, "user", f"x{i}.{t}") for i in range(60) for t in (3 * i, 3 * i + 1)]
+    df = spark.createDataFrame(rows, "c STRING, turn INT, role STRING, text STRING").repartition(5)
+    user = F.col("role") == "user"
+    out = running_history(df, ["c"], ["turn"], "text", include=user)
+    want = running_history(df, ["c"], ["turn"], "text", include=user, bounded=True)
+    key = lambda r: (r["c"] or "", r["turn"])
+    assert out.columns == want.columns
+    assert sorted((tuple(r) for r in out.collect()), key=lambda r: (r[0] or "", r[1])) == [tuple(r) for r in sorted(want.collect(), key=key)]
+    small = running_history(df, ["c"], ["turn"], "text", chunk_rows=7).collect()
+    plain = running_history(df, ["c"], ["turn"], "text", bounded=True).collect()
+    assert [tuple(r) for r in sorted(small, key=key)] == [tuple(r) for r in sorted(plain, key=key)]
+    # No window gathers the messages of a whole conversation.
+    windows = [[x for x in h._jdf.queryExecution().optimizedPlan().toString().splitlines() if "collect_list" in x and "windowspecdefinition" in x] for h in (out, want)]
+    assert not windows[0] and windows[1]
