@@ -20,16 +20,24 @@ from pyspark.sql import functions as F
 from rowsmith.llm import byte_cnn, host_rules, minhash, packing, pii, tables, tokens
 from rowsmith.session import ship_package
 
-#: Texts whose best language scores less are taken for no language at all.
-MIN_LANGUAGE_SCORE = 0.35
+#: Texts whose best language scores less are taken for no language at all: this, or with
+#: more than four learned languages this much times chance, which is less.
+MIN_LANGUAGE_SCORE, MIN_OVER_CHANCE = 0.35, 1.4
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter, null ones and those that look like no learned language."""
+    """Drops texts without a letter, null ones and those that look like no learned language.
+
+    Without a labelled row to learn from, every text with a letter stays.
+    """
     ship_package(spark)
+    net = byte_cnn.fit(docs)
+    if net is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    least = min(MIN_LANGUAGE_SCORE, MIN_OVER_CHANCE / len(net.languages))
     names = tables.fresh(docs, "lang_pred"), tables.fresh(docs, "lang_score")
-    found = byte_cnn.identify(docs, byte_cnn.fit(docs), names=names)
-    return found.where((F.col(names[0]) != byte_cnn.UNKNOWN) & (F.col(names[1]) >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    found = byte_cnn.identify(docs, net, names=names)
+    return found.where((F.col(names[0]) != byte_cnn.UNKNOWN) & (F.col(names[1]) >= least)).select(*docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 from llm_cases import documents, frame
+from pyspark.sql import functions as F
 from test_llm_chat_rules import counts
 from test_llm_minhash import brute as components
 from test_llm_pii import brute as personal
@@ -85,3 +86,10 @@ def test_run(spark):
         assert len(ids) == pieces[0][2] and ids[-1] == 1 and (ids[:-1] != 1).all() or len(ids) == pieces[0][2]
     assert [n for n, _ in cp.STAGES] == ["language_id", "quality_rules", "near_dedup", "redact_pii", "pack_sequences"]
     assert documents()
+
+
+def test_without_labels_every_text_with_a_letter_stays(spark):
+    docs = frame(spark)
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    kept = sorted(key(r) for r in cp.language_id(spark, unlabelled, SF).collect())
+    assert kept == sorted(k for k in map(key, docs.collect()) if any(c.isalpha() for c in k[3])) and kept
