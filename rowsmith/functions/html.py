@@ -33,9 +33,24 @@ def squeeze(text: Column) -> Column:
 
 
 def main_content(html: Column | str) -> Column:
-    """What stands in ``<article>`` elements (all of them, in order), else the page."""
+    """What stands in the outermost ``<article>`` elements (all of them, in order), else the page.
+
+    The page is cut before every opening and closing tag up to the last closing one,
+    and a fold over the parts keeps those at a depth of one or more.
+    """
     h = _c(html)
-    articles = F.array_join(F.regexp_extract_all(h, F.lit(r"(?is)<article\b[^>]*>(.*?)</article>"), 1), " ")
+    parts = F.split(F.regexp_extract(h, r"(?is)^(.*</article>)", 1), r"(?i)(?=<article\b[^>]*>|</article>)")
+    opening = r"(?i)^<article\b[^>]*>"
+
+    def step(acc: Column, part: Column) -> Column:
+        depth = acc["depth"] + F.when(part.rlike(opening), 1).when((F.lower(F.left(part, F.lit(10))) == "</article>") & (acc["depth"] > 0), -1).otherwise(0)
+        own = F.regexp_replace(F.regexp_replace(part, opening, ""), r"(?i)^</article>", "")
+        sep = F.when(acc["any"], " ").otherwise("")
+        inside = depth > 0
+        return F.struct(depth.alias("depth"), (acc["any"] | inside).alias("any"), F.when(inside, F.concat(acc["text"], sep, own)).otherwise(acc["text"]).alias("text"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("any"), F.lit("").alias("text"))
+    articles = F.aggregate(parts, start, step, lambda acc: acc["text"])
     return F.when(articles != F.lit(""), articles).otherwise(h)
 
 

@@ -38,6 +38,20 @@ def test_search_first_pages(spark):
     assert d[0]["digest"].startswith("SIDE 1:\nTitel: Ingen titel\nURL: http://h/3\nUddrag:\nalpha beta gamma\n\n\nSIDE 2:")
 
 
+def test_nested_articles_are_kept_whole(spark):
+    from rowsmith.functions import html as H
+
+    rows = [
+        (1, "<p>menu</p><article>post <ARTICLE class='c'>comment <article>reply</article> more</ARTICLE> end\n of post</article><p>foot</p><article>next</article>x"),
+        (2, "a</article>b<article>c</article>d"),
+        (3, "<article>never closed"),
+        (4, "<article>one</article>two<article>never closed"),
+        (5, "<articles>no</articles>"),
+    ]
+    got = {r[0]: r[1] for r in spark.createDataFrame(rows, "id INT, html STRING").select("id", H.html_to_text("html")).collect()}
+    assert got == {1: "post comment reply more end of post next", 2: "c", 3: "never closed", 4: "one", 5: "no"}
+
+
 def test_several_articles_are_not_run_together(spark):
     from rowsmith.functions.html import html_to_text
 
