@@ -232,17 +232,40 @@ def blocks(ids: DataFrame, lengths: np.ndarray) -> DataFrame:
     return ordered.mapInArrow(pack, "shard int, first long, tokens long, payload binary")
 
 
+#: The shard of the row that holds the code book.
+BOOK = -1
+
+
 def write_token_files(
     docs: DataFrame, path: str, end_id: int = END_ID, key_col: str = "doc_id", text_col: str = "text", vocabulary: int = VOCABULARY_SIZE
 ) -> tuple[DataFrame, np.ndarray]:
-    """Writes the blocks in ascending key order; the written table and its code book (the code lengths)."""
+    """Writes the blocks in ascending key order; the written table and its code book (the code lengths).
+
+    The code book is in the table as well, as the payload of a row of shard ``BOOK``,
+    one byte per id, so that the files can be read by themselves.
+    """
     ids = tables.written(token_ids(docs, path, end_id, key_col, text_col), "token-ids")
     lengths = code_lengths(id_counts(ids, vocabulary))
-    return tables.written(blocks(ids, lengths), "token-files"), lengths
+    coded = blocks(ids, lengths)
+    book = ids.sparkSession.createDataFrame([(BOOK, 0, 0, bytearray(lengths.astype(np.uint8).tobytes()))], coded.schema)
+    return tables.written(coded.unionByName(book), "token-files"), lengths
 
 
-def read_token_files(files: DataFrame, lengths: np.ndarray) -> DataFrame:
-    """Per document in the files: ``doc_id, start, n_tokens, ids`` (little-endian 32-bit)."""
+def code_book(files: DataFrame) -> np.ndarray:
+    """The code lengths that the files were written with: one row reaches the driver."""
+    row = files.where(F.col("shard") == BOOK).select("payload").first()
+    if row is None:
+        raise ValueError("no code book in the files")
+    return np.frombuffer(bytes(row["payload"]), np.uint8).astype(np.int64)
+
+
+def read_token_files(files: DataFrame, lengths: np.ndarray | None = None) -> DataFrame:
+    """Per document in the files: ``doc_id, start, n_tokens, ids`` (little-endian 32-bit).
+
+    The code book comes from the files, unless it is given.
+    """
+    lengths = code_book(files) if lengths is None else lengths
+    files = files.where(F.col("shard") != BOOK)
     # A block knows the tokens before it in its shard. Shards are partitions of the
     # sorted table: their totals are one row for each, whatever the corpus holds,
     # so a single task may sum them up and every task may have them.
@@ -265,5 +288,5 @@ def read_token_files(files: DataFrame, lengths: np.ndarray) -> DataFrame:
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the corpus as token files, read them back, and digest what came back."""
-    files, lengths = write_token_files(tables.table(spark, sf_dir, "documents"), vocabulary_path())
-    return read_token_files(files, lengths).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    files, _ = write_token_files(tables.table(spark, sf_dir, "documents"), vocabulary_path())
+    return read_token_files(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

@@ -134,6 +134,13 @@ def test_token_files(spark, library, monkeypatch):
     assert tf.read_token_files(empty, lengths).count() == 0
 
 
+def test_token_files_are_read_by_themselves(spark):
+    files, lengths = tf.write_token_files(frame(spark), PATH)
+    again = spark.read.parquet(*files.inputFiles())  # what a later session has
+    assert np.array_equal(tf.code_book(again), lengths)
+    assert sorted(map(str, tf.read_token_files(again).collect())) == sorted(map(str, tf.read_token_files(files, lengths).collect()))
+
+
 # -- operator 10 --------------------------------------------------------------------
 
 
