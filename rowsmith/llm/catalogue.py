@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .byte_cnn import op9_byte_cnn
 from .chat_format import SQL_OP7, op7_chat_format
+from .fill_in_middle import SQL_OP13, op13_fill_in_middle
 from .host_rules import SQL_OP8, op8_host_rules
 from .minhash import op2_minhash
 from .packing import op10_packing
@@ -28,10 +29,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_host_rules": op8_host_rules,
     "op9_byte_cnn": op9_byte_cnn,
     "op10_packing": op10_packing,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 SQL: dict[str, str] = {
     "op4_vptree": SQL_OP4,
     "op7_chat_format": SQL_OP7,
     "op8_host_rules": SQL_OP8,
+    "op13_fill_in_middle": SQL_OP13,
 }
