@@ -12,6 +12,7 @@ from .fill_in_middle import SQL_OP13, op13_fill_in_middle
 from .host_rules import SQL_OP8, op8_host_rules
 from .minhash import op2_minhash
 from .packing import op10_packing
+from .periodic_runs import op11_periodic_runs
 from .pii import op5_pii
 from .sentencepiece_lattice import op3_sentencepiece
 from .token_counts import op1_token_counts
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_host_rules": op8_host_rules,
     "op9_byte_cnn": op9_byte_cnn,
     "op10_packing": op10_packing,
+    "op11_periodic_runs": op11_periodic_runs,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
@@ -36,5 +38,6 @@ SQL: dict[str, str] = {
     "op4_vptree": SQL_OP4,
     "op7_chat_format": SQL_OP7,
     "op8_host_rules": SQL_OP8,
+    "op11_periodic_runs": op11_periodic_runs,
     "op13_fill_in_middle": SQL_OP13,
 }
