@@ -14,6 +14,7 @@ from .minhash import op2_minhash
 from .packing import op10_packing
 from .periodic_runs import op11_periodic_runs
 from .pii import op5_pii
+from .repeated_bytes import op12_repeated_bytes
 from .sentencepiece_lattice import op3_sentencepiece
 from .token_counts import op1_token_counts
 from .token_files import op6_token_files
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_byte_cnn": op9_byte_cnn,
     "op10_packing": op10_packing,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_repeated_bytes": op12_repeated_bytes,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
@@ -39,5 +41,6 @@ SQL: dict[str, str] = {
     "op7_chat_format": SQL_OP7,
     "op8_host_rules": SQL_OP8,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_repeated_bytes": op12_repeated_bytes,
     "op13_fill_in_middle": SQL_OP13,
 }

@@ -28,7 +28,7 @@ input that bear a name of the operator's own columns are left out, others are ca
 from __future__ import annotations
 
 from collections import defaultdict
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -317,7 +317,7 @@ def runs_of(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     sizes = np.array([len(w) for w in words], np.int64)
     starts = np.concatenate([[0], np.cumsum(sizes)])
     numbers: dict[bytes, int] = defaultdict(count().__next__)
-    ids = np.fromiter((numbers[w] for t in words for w in t), np.int64, int(starts[-1]))
+    ids = np.fromiter(map(numbers.__getitem__, chain.from_iterable(words)), np.int64, int(starts[-1]))
     text = np.repeat(np.arange(len(words)), sizes)
     different, ids = np.unique(text * (len(numbers) + 1) + ids, return_inverse=True)
     start, end, period = word_runs(ids, text, starts[1:], len(different))
