@@ -971,6 +971,7 @@ def token_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Resumable runs (first run stops part way, second resumes)
 # ---------------------------------------------------------------------------
 
+from ..config import resolve_every  # noqa: E402
 from ..streaming import resume as RS  # noqa: E402
 
 ORDER_TEMPLATE = "Ordre #{key} med prioritet {fakturalinje}.\nSvar med JSON: label, reason, secure.\n"
@@ -1033,6 +1034,59 @@ def resume_crash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+@register("resume_default_saves", sql=SQL["resume_antijoin"])
+def resume_default_saves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Saves at the default of every 100 rows, through a run that dies half way and one that ends.
+
+    However many saves that is, a run commits them in at most ``MAX_COMMITS`` micro-batches.
+    """
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    path = scratch_path(spark, "resume-saves")
+    middle = orders.agg(F.expr("percentile(o_orderkey, 0.5)")).first()[0]
+    middle = orders.filter(F.col("o_orderkey") >= F.lit(middle)).agg(F.min("o_orderkey")).first()[0]
+    crash = F.when(F.col("o_orderkey") == F.lit(middle), F.raise_error(F.lit("the worker died"))).otherwise(F.col(J.OUT_LABEL))
+    for process in (lambda part: _classify_orders(part).withColumn(J.OUT_LABEL, crash), _classify_orders):
+        try:
+            out = RS.run_resumable(spark, orders, ["o_orderkey"], process, path, save_every=resolve_every(None, None))
+        except Exception as exc:  # noqa: BLE001 - only the crash made above
+            if "the worker died" not in str(exc):
+                raise
+    return out
+
+
+@register(
+    "resume_schema_growth",
+    sql=f"""SELECT o_orderkey, {O.normalise(O.keyword_label(O.keyword_needle('prompt', PRIORITY_RULES), PRIORITY_RULES))} AS klassificering,
+  CASE WHEN early THEN CAST(o_custkey % 100 AS BIGINT) ELSE o_custkey * 1000000000 END AS amount,
+  CASE WHEN early THEN o_orderstatus END AS status, CASE WHEN NOT early THEN length(prompt) % 12 + 0.5::DOUBLE END AS score,
+  o_custkey AS detail_a, CASE WHEN NOT early THEN o_orderpriority END AS detail_b
+FROM (SELECT *, o_orderdate < DATE '{CRASH_DATE}' AS early, {_ORDER_PROMPT_SQL} AS prompt FROM orders)""",
+)
+def resume_schema_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An earlier run saved a column that a later one has not, and narrower types; all of it comes back."""
+    orders = table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "resume-growth")
+
+    def classified(part: DataFrame) -> DataFrame:
+        out = J.classify_simple(part, "o_orderpriority", "o_orderkey", ORDER_BACKEND, template=ORDER_TEMPLATE)
+        return out.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", J.OUT_LABEL, J.OUT_SCORE)
+
+    def first(part: DataFrame) -> DataFrame:
+        key = F.col("o_custkey")
+        return classified(part).select(
+            "o_orderkey", J.OUT_LABEL, (key % 100).cast("int").alias("amount"), F.col("o_orderstatus").alias("status"), F.struct(key.alias("a")).alias("detail")
+        )
+
+    def second(part: DataFrame) -> DataFrame:
+        key = F.col("o_custkey")
+        detail = F.struct(key.alias("a"), F.col("o_orderpriority").alias("b"))
+        return classified(part).select("o_orderkey", J.OUT_LABEL, (key * F.lit(10**9)).cast("long").alias("amount"), (F.col(J.OUT_SCORE) + 0.5).alias("score"), detail.alias("detail"))
+
+    RS.run_resumable(spark, orders.filter(F.col("o_orderdate") < F.lit(CRASH_DATE)), ["o_orderkey"], first, path)
+    out = RS.run_resumable(spark, orders, ["o_orderkey"], second, path, save_every=100_000)
+    return out.select("*", F.col("detail.a").alias("detail_a"), F.col("detail.b").alias("detail_b")).drop("detail")
+
+
 _EVENT_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 

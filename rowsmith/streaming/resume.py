@@ -4,10 +4,11 @@ The reference rewrites the whole finished prefix of the table every n rows and
 resumes by row position. Here results are keyed, append-only and committed in
 units Spark already makes atomic:
 
-* batch form (``run_resumable``): the work list is the input anti-joined with
-  the keys already in the result table; each chunk of work is one Spark write
-  job, committed all-or-nothing by the output committer, so a crash loses at
-  most the chunk in flight and never writes a row twice;
+* keyed form (``run_resumable``): the work list is the input anti-joined with
+  the keys already in the result table (``saves.SavedTable``); it is written as
+  files of whole saves and read back by one Structured Streaming query, whose
+  micro-batches are the commits, so a crash loses at most the one in flight and
+  never writes a row twice;
 * stream form (``run_stream``): Structured Streaming over a landing folder;
   each micro-batch goes through ``foreachBatch`` into its own ``batch_id=N``
   folder in overwrite mode, so a replayed batch (after a crash between write
@@ -22,7 +23,9 @@ never on a machine-local disk.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import re
+import time
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +33,7 @@ from pyspark.sql import types as T
 
 from ..operators.ordering import row_index
 from ..session import scratch_path
+from .saves import SavedTable
 
 Process = Callable[[DataFrame], DataFrame]
 
@@ -55,7 +59,14 @@ def has_data(spark: SparkSession, path: str) -> bool:
 
 
 def read_done(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """The result table written so far, or None when nothing is committed."""
+    """The result table written so far, or None when nothing is committed.
+
+    A table of saves comes with the columns of all of them, those of ``schema`` first;
+    a plain Parquet folder is read as it is.
+    """
+    table = SavedTable(spark, path)
+    if table.exists():
+        return table.read(*([schema] if schema is not None else [])) if table.saves() else None
     if not has_data(spark, path):
         return None
     reader = spark.read.schema(schema) if schema is not None else spark.read
@@ -86,41 +97,99 @@ def run_resumable(
 ) -> DataFrame:
     """S8 + S9 + J3 + U2: process what is not yet in ``result_path``, append it.
 
-    ``save_every`` commits the work in chunks of so many rows, in key order (the
-    "save every n rows" of the reference, without rewriting earlier rows); without
-    it the work is one commit. The work list is made once: with several chunks it
-    is written to the shared folder by chunk, and every chunk reads its part only.
-    ``report`` is called with the rows of this run done so far, after each commit.
-    Returns the whole result table, an empty one for an empty input. One writer per
-    result path: two runs at the same time would both see the same work list.
+    ``save_every`` is how many rows may be lost at least before a save (the "save every
+    n rows" of the reference, without rewriting earlier rows); without it the work is one
+    save. The work list is cut in key order into runs of so many rows and read as a
+    stream, a micro-batch for each run or, of very many, for several together: at most
+    ``MAX_COMMITS`` micro-batches, each one job over all cores, however small ``save_every``
+    is. ``report`` is called with the rows of this run done so far, after each commit.
+
+    The result keeps every column of every run (``SavedTable``): a column that this run's
+    stage has and earlier ones had not is null in their rows, and the other way round;
+    types are widened, or refused by name before any work is done. Returns the whole
+    result table, an empty one for an empty input. One writer per result path: two runs
+    at the same time would both see the same work list.
     """
     result_schema = process(input_df.limit(0)).schema
+    saved = SavedTable(spark, result_path)
+    saved.schema(result_schema)  # raises on a clash
     todo = pending(input_df, read_done(spark, result_path, result_schema), keys)
-    total = 0
-    for part, rows in _chunks(todo, keys, save_every):
-        process(part).write.mode("append").parquet(result_path)
-        total += rows
-        if report is not None:
-            report(total)
-    return read_result(spark, result_path, result_schema)
+    run = saved.start()
+    done = [0]
 
+    def save(part: DataFrame, number: int, rows: int | None = None) -> None:
+        done[0] = saved.save(process(part), run, number, done[0], rows).rows_done
+        if report is not None:
+            report(done[0])
 
-def _chunks(todo: DataFrame, keys: Sequence[str], save_every: int | None) -> Iterator[tuple[DataFrame, int]]:
-    """The work list in parts, with their numbers of rows (0: not counted)."""
     if not save_every:
-        yield todo, 0
-        return
-    numbered = row_index(todo, list(keys), name="place_no")
-    numbered = numbered.withColumn("part_no", F.floor(F.col("place_no") / F.lit(save_every)))
-    path = scratch_path(todo.sparkSession, "work-list")
-    numbered.drop("place_no").write.partitionBy("part_no").parquet(path)
-    if not has_data(todo.sparkSession, path):
-        return
-    work = todo.sparkSession.read.parquet(path)
-    # One row per chunk of this run: the driver loops over the chunks anyway.
-    sizes = {r["part_no"]: r["n"] for r in work.groupBy("part_no").agg(F.count(F.lit(1)).alias("n")).collect()}
-    for i in sorted(sizes):
-        yield work.filter(F.col("part_no") == F.lit(i)).select(*todo.columns), sizes[i]
+        save(todo, 0)
+        return saved.read(result_schema)
+    work = work_list(todo, keys, save_every)
+    if work is None:
+        return saved.read(result_schema)
+    path, sizes = work
+    stream = spark.readStream.schema(todo.schema).option("maxFilesPerTrigger", len(sizes[0])).parquet(path)
+    query = (
+        stream.writeStream.foreachBatch(lambda part, number: save(part, number, sum(sizes[number])))
+        .option("checkpointLocation", f"{path}-offsets")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"run failed: {query.exception()}")
+    delete_results(spark, path)
+    delete_results(spark, f"{path}-offsets")
+    return saved.read(result_schema)
+
+
+#: Most commits of one run.
+MAX_COMMITS = 12
+
+
+def work_list(todo: DataFrame, keys: Sequence[str], save_every: int) -> tuple[str, list[list[int]]] | None:
+    """The rows to do as files in key order; the folder, and the rows of each file by commit. None: nothing to do.
+
+    A commit is ``save_every`` rows, or so many times that as keeps the run within
+    ``MAX_COMMITS``. Its rows are dealt over up to as many files as there are cores, each
+    of whole saves. All files but the last have the same number of rows. A file source
+    reads files by their time, so times are set in the order of the keys, where the file
+    system lets them be set; elsewhere commits are the same rows in another order.
+    """
+    spark = todo.sparkSession
+    path = scratch_path(spark, "work-list")
+    numbered = row_index(todo, list(keys), name="_place")  # kept in a checkpoint, so it is read twice at no cost
+    total = numbered.count()
+    if not total:
+        return None
+    saves = -(-total // save_every)
+    together = -(-saves // MAX_COMMITS)
+    per_file = save_every * -(-together // spark.sparkContext.defaultParallelism)
+    files_a_commit = -(-together * save_every // per_file)
+    files = -(-total // per_file)
+    width = min(files, max(1, spark.sparkContext.defaultParallelism))
+    placed = numbered.withColumn("_file", F.floor(F.col("_place") / per_file))
+    ranged = placed.repartitionByRange(width, "_file").sortWithinPartitions("_place").drop("_place", "_file")
+    ranged.write.option("maxRecordsPerFile", per_file).parquet(path)
+    _order_by_name(spark, path)
+    sizes = [min(per_file, total - k * per_file) for k in range(files)]
+    return path, [sizes[k : k + files_a_commit] for k in range(0, files, files_a_commit)]
+
+
+def _order_by_name(spark: SparkSession, path: str) -> None:
+    """Sets the times of the files under ``path`` a second apart, by part and number."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")]
+
+    def place(p) -> tuple[int, int]:
+        found = re.match(r"part-(\d+)-.*?-c(\d+)", p.getName())
+        return int(found[1]), int(found[2])
+
+    start = int(time.time() * 1000) - 1000 * len(files)
+    for k, p in enumerate(sorted(files, key=place)):
+        fs.setTimes(p, start + 1000 * k, -1)
 
 
 def run_resumable_exploded(
