@@ -33,59 +33,43 @@ def template_fields(template: str) -> list[str]:
 NULL_TEXT = "nan"
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is worked out once, however often the body uses it."""
-    return F.transform(F.array(value), lambda x: body(x))[0]
-
-
-def _shortest(c: Column) -> Column:
-    """A double's text with no more digits than needed (older Java runtimes sometimes print one or two more)."""
-    text, double = c.cast("string"), c.cast("double")
-    digits = F.length(F.regexp_replace(F.regexp_replace(text, r"E.*$", ""), r"^-?0*\.?0*|[.]", ""))
-    shown = text
-    for n in (16, 15, 14):  # digits after the first; the fewest that read back the same win
-        sci = F.regexp_replace(F.regexp_replace(F.format_string(f"%.{n}e", double), r"e\+?(-?)0*(\d)", "E$1$2"), r"0+E", "E")
-        sci = F.regexp_replace(sci, r"\.E", ".0E")
-        shown = _let(sci, _if_equal(double, shown))
-    return F.when((digits >= 16) & F.typeof(c).isin("double", "float"), shown).otherwise(text)
-
-
-def _if_equal(double: Column, otherwise: Column):
-    return lambda text: F.when(text.cast("double") == double, text).otherwise(otherwise)
-
-
 def number_text(c: Column | str) -> Column:
     """A double as Python's ``str`` prints it; any other type as its cast to text.
 
     Both print the shortest digits that read back the same; they differ in when
     and how an exponent is written: Spark from 1e7 and below 1e-3 as ``1.0E7``,
-    Python from 1e16 and below 1e-4 as ``1e+16``. (The very smallest double is the
-    one value whose digits differ: ``4.9e-324`` here, ``5e-324`` in Python.)
+    Python from 1e16 and below 1e-4 as ``1e+16``. (Digits differ for the smallest
+    doubles, ``4.9e-324`` against ``5e-324``, and for some beside powers of two, where
+    Java's rounding gives another last digit that reads back the same.)
+
+    A text without an exponent, nearly every amount, is the cast as it is; the rest
+    is worked out only for the others.
     """
     c = F.col(c) if isinstance(c, str) else c
-    is_double = F.typeof(c).isin("double", "float")
-    return F.when(is_double, _let(_shortest(c), _as_python)).otherwise(c.cast("string"))
-
-
-def _as_python(text: Column) -> Column:
-    """A double's text with the exponent where and how Python writes it."""
-    part = lambda i: F.regexp_extract(text, r"^(-?)(\d)\.(\d+)E(-?\d+)$", i)
-    sign, exponent = part(1), part(4).cast("int")
-    digits = F.concat(part(2), F.when(part(3) != "0", part(3)).otherwise(F.lit("")))
-    n = F.length(digits)
-    whole = F.concat(F.rpad(digits, exponent + 1, "0"), F.lit(".0"))
-    split = F.concat(F.substring(digits, F.lit(1), exponent + 1), F.lit("."), F.substring(digits, exponent + 2, n))
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
-    mantissa = F.concat(part(2), F.when(part(3) != "0", F.concat(F.lit("."), part(3))).otherwise(F.lit("")))
-    power = F.concat(F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")), F.when(F.abs(exponent) < 10, F.lit("0")).otherwise(F.lit("")), F.abs(exponent).cast("string"))
-    plain = (
-        F.when((exponent < -4) | (exponent >= 16), F.concat(mantissa, power))
-        .when(exponent < 0, small)
-        .when(n <= exponent + 1, whole)
-        .otherwise(split)
-    )
+    text = c.cast("string")
     special = F.when(text == "NaN", F.lit("nan")).when(text == "Infinity", F.lit("inf")).when(text == "-Infinity", F.lit("-inf"))
-    return F.when(text.rlike(r"E-?\d+$"), F.concat(sign, plain)).otherwise(F.coalesce(special, text))
+    # The rare case is a lambda: written out at each use, it would make methods that are too long to be compiled.
+    rare = F.transform(F.array(text), lambda t: _with_exponent(t, t.cast("double")))[0]
+    as_python = F.when(F.contains(text, F.lit("E")), rare).otherwise(F.coalesce(special, text))
+    return F.when(F.typeof(c).isin("double", "float"), as_python).otherwise(text)
+
+
+def _with_exponent(text: Column, double: Column) -> Column:
+    """``1.25E-7`` as Python prints it.
+
+    Older Java runtimes print a digit or two too many for some doubles with an
+    exponent (of those without, tests find none): texts of so many digits that a
+    shorter one may read back the same are tried with 15, 16 and 17 digits.
+    """
+    shortest = F.upper(text)
+    for n in (16, 15, 14):  # digits after the first; the fewest that read back the same win
+        tried = F.format_string(f"%.{n}e", double)
+        shortest = F.when(tried.cast("double") == double, F.upper(tried)).otherwise(shortest)
+    sci = F.when(F.length(F.substring_index(text, "E", 1)) >= 17, shortest).otherwise(text)
+    # With an exponent: no trailing zeros, a sign, two digits at least. Without: every place a decimal has, less trailing zeros.
+    power = F.regexp_replace(F.regexp_replace(F.regexp_replace(sci, r"\.?0*E\+?", "e"), r"e(\d)", r"e+$1"), r"e([+-])(\d)$", "e$10$2")
+    plain = F.regexp_replace(sci.cast("decimal(38,22)").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.when((F.abs(double) >= 1e16) | (F.abs(double) < 1e-4), power).otherwise(plain)
 
 
 def render(template: str, variables: Mapping[str, Column | str], null_text: str | None = NULL_TEXT) -> Column:
