@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,37 +62,42 @@ def worker_backend(spec: BackendSpec) -> Backend:
     return be
 
 
-def _empty_result(n: int) -> pd.DataFrame:
-    return pd.DataFrame(
-        {
-            "response": pd.Series([None] * n, dtype=object),
-            "n_tokens": pd.Series([None] * n, dtype="Int32"),
-            "seconds": pd.Series([np.nan] * n, dtype="float64"),
-            "stop_reason": pd.Series([None] * n, dtype=object),
-            "error": pd.Series([None] * n, dtype=object),
-        }
-    )
+#: Values of the response columns, a list each.
+Answers = dict[str, list]
 
 
-def _conform(out: pd.DataFrame, n: int, elapsed: float) -> pd.DataFrame:
+def _missing(v) -> bool:
+    return v is None or v is pd.NA or v != v
+
+
+def _number(v, kind):
+    try:
+        return None if _missing(v) else kind(v)
+    except (TypeError, ValueError):
+        return None
+
+
+def _conform(out: pd.DataFrame, n: int, elapsed: float) -> Answers:
+    """The response columns of a backend's frame, with None for what is missing or no number."""
     if len(out) != n:
         raise ValueError(f"backend returned {len(out)} answers for {n} requests")
-    res = _empty_result(n)
+    res: Answers = {}
     for c in RESPONSE_COLUMNS:
-        if c in out.columns:
-            vals = out[c].to_numpy()
-            if c == "n_tokens":
-                res[c] = pd.array(pd.to_numeric(pd.Series(vals), errors="coerce"), dtype="Int32")
-            elif c == "seconds":
-                res[c] = pd.to_numeric(pd.Series(vals), errors="coerce").astype("float64")
-            else:
-                res[c] = pd.Series(vals, dtype=object).where(pd.notna(pd.Series(vals, dtype=object)), None)
-    if "seconds" not in out.columns and n:
-        res["seconds"] = elapsed / n
+        given = out[c].tolist() if c in out.columns else [None] * n
+        if c == "n_tokens":
+            res[c] = [_number(v, lambda x: int(float(x))) for v in given]
+        elif c == "seconds":
+            res[c] = [_number(v, float) for v in given] if c in out.columns else [elapsed / n] * n
+        else:
+            res[c] = [None if _missing(v) else v for v in given]
     return res
 
 
-def respond_isolated(backend: Backend, requests: pd.DataFrame) -> pd.DataFrame:
+def _failure(exc: Exception) -> Answers:
+    return {c: [f"{type(exc).__name__}: {exc}" if c == "error" else None] for c in RESPONSE_COLUMNS}
+
+
+def respond_isolated(backend: Backend, requests: pd.DataFrame) -> Answers:
     """M5: call the slice; if the call raises, ask for its requests one by one.
 
     A backend that knows which of its requests failed says so in ``error`` and no
@@ -101,7 +106,7 @@ def respond_isolated(backend: Backend, requests: pd.DataFrame) -> pd.DataFrame:
     """
     n = len(requests)
     if n == 0:
-        return _empty_result(0)
+        return {c: [] for c in RESPONSE_COLUMNS}
     req = requests.reset_index(drop=True)
     t0 = time.perf_counter()
     try:
@@ -110,40 +115,68 @@ def respond_isolated(backend: Backend, requests: pd.DataFrame) -> pd.DataFrame:
         failed = exc
     if n == 1:
         return _failure(failed)
-    parts = []
+    res: Answers = {c: [] for c in RESPONSE_COLUMNS}
     for i in range(n):
         t0 = time.perf_counter()
         try:
-            parts.append(_conform(backend.respond(req.iloc[i : i + 1].reset_index(drop=True)), 1, time.perf_counter() - t0))
+            one = _conform(backend.respond(req.iloc[i : i + 1].reset_index(drop=True)), 1, time.perf_counter() - t0)
         except Exception as exc:  # noqa: BLE001 - this request alone gets the error
-            parts.append(_failure(exc))
-    return pd.concat(parts, ignore_index=True)
-
-
-def _failure(exc: Exception) -> pd.DataFrame:
-    failed = _empty_result(1)
-    failed.loc[0, "error"] = f"{type(exc).__name__}: {exc}"
-    return failed
+            one = _failure(exc)
+        for c in RESPONSE_COLUMNS:
+            res[c] += one[c]
+    return res
 
 
 #: Requests sent to a backend at once, unless the job says otherwise.
 REQUEST_ROWS = 64
+#: Bytes of requests that are sent at once and that a worker holds as pandas; a larger request goes alone.
+REQUEST_BYTES = 16 << 20
 #: Rows of an Arrow batch that are pandas at one time.
 SLICE_ROWS = 1024
 
 _ARROW_TYPES = {"response": pa.string(), "n_tokens": pa.int32(), "seconds": pa.float64(), "stop_reason": pa.string(), "error": pa.string()}
 
 
-def _answers(backend: Backend, requests: pd.DataFrame, request_rows: int) -> list[pa.Array]:
+def _arrays(answers: Answers) -> list[pa.Array]:
+    return [pa.array(answers[c], _ARROW_TYPES[c]) for c in RESPONSE_COLUMNS]
+
+
+def request_bytes(column: pa.Array) -> np.ndarray:
+    """Bytes that each value of a column takes: texts, binary values and lists of them."""
+    kind = column.type
+    if pa.types.is_list(kind) or pa.types.is_large_list(kind):
+        inner = np.concatenate([[0], np.cumsum(request_bytes(column.flatten()))])
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))
+        return inner[ends] - inner[np.concatenate([[0], ends[:-1]])] if len(ends) else np.zeros(0, np.int64)
+    if pa.types.is_struct(kind):
+        return sum((request_bytes(column.field(k)) for k in range(kind.num_fields)), np.zeros(len(column), np.int64))
+    if pa.types.is_string(kind) or pa.types.is_binary(kind) or pa.types.is_large_string(kind) or pa.types.is_large_binary(kind):
+        return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.full(len(column), 8, np.int64)
+
+
+def cut(sizes: np.ndarray, rows: int, most: int) -> Iterator[tuple[int, int]]:
+    """Consecutive ranges of at most ``rows`` items and ``most`` bytes; a larger item is a range of its own."""
+    ends = np.cumsum(sizes)
+    i = 0
+    while i < len(sizes):
+        before = ends[i - 1] if i else 0
+        j = min(i + rows, max(i + 1, int(np.searchsorted(ends, before + most, side="right"))))
+        yield i, j
+        i = j
+
+
+def _answers(backend: Backend, requests: pd.DataFrame, sizes: np.ndarray, request_rows: int) -> list[pa.Array]:
     """The response columns for a frame of requests; a null prompt is never sent."""
-    res = _empty_result(len(requests))
+    res: Answers = {c: [None] * len(requests) for c in RESPONSE_COLUMNS}
     rows = np.flatnonzero(requests["prompt"].notna().to_numpy())
-    for k in range(0, len(rows), request_rows):
-        some = rows[k : k + request_rows]
+    for i, j in cut(sizes[rows], request_rows, REQUEST_BYTES):
+        some = rows[i:j]
         got = respond_isolated(backend, requests.iloc[some])
         for c in RESPONSE_COLUMNS:
-            res.loc[some, c] = got[c].to_numpy()
-    return [pa.Array.from_pandas(res[c], type=_ARROW_TYPES[c]) for c in RESPONSE_COLUMNS]
+            for k, v in zip(some.tolist(), got[c]):
+                res[c][k] = v
+    return _arrays(res)
 
 
 def call_model(
@@ -221,10 +254,11 @@ def call_model(
         # backend; pass-through columns go back untouched (no conversion).
         be = worker_backend(backend)
         for whole in batches:
-            for start in range(0, max(whole.num_rows, 1), SLICE_ROWS):
-                rb = whole.slice(start, SLICE_ROWS)
+            sizes = sum(request_bytes(whole.column(c)) for c in req_cols)
+            for start, end in cut(sizes, SLICE_ROWS, REQUEST_BYTES):
+                rb = whole.slice(start, end - start)
                 req = pa.Table.from_batches([rb]).select(req_cols).to_pandas().rename(columns={prompt_col: "prompt"})
-                arrays = [rb.column(c) for c in out_cols] + _answers(be, req, request_rows)
+                arrays = [rb.column(c) for c in out_cols] + _answers(be, req, sizes[start:end], request_rows)
                 yield pa.RecordBatch.from_arrays(arrays, names=out_cols + RESPONSE_COLUMNS)
 
     from ..session import ship_package
@@ -266,14 +300,71 @@ def call_model_joined(requests: DataFrame, backend: BackendSpec, request_rows: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         be = worker_backend(backend)
         for b in batches:
-            # All lines of the batch, and the row each belongs to; contexts stay one per row.
-            contexts, lines = b.column("context").to_pylist(), b.column("lines").flatten()
+            lines, contexts = b.column("lines").flatten(), b.column("context")
             owner = np.repeat(np.arange(b.num_rows), pc.fill_null(pc.list_value_length(b.column("lines")), 0).to_numpy())
+            shared = request_bytes(contexts)
             for k in range(0, len(lines), SLICE_ROWS):
-                some = lines.slice(k, SLICE_ROWS)
-                parts = some.field("parts").to_pylist()
-                prompts = [None if p is None else contexts[i].join(p) for i, p in zip(owner[k : k + SLICE_ROWS], parts)]
-                asked = pd.DataFrame({"prompt": pd.Series(prompts, dtype=object)})
-                yield pa.RecordBatch.from_arrays([*some.field("row").flatten(), *_answers(be, asked, request_rows)], names)
+                some, mine = lines.slice(k, SLICE_ROWS), owner[k : k + SLICE_ROWS]
+                parts = some.field("parts")
+                # A prompt's bytes: its parts, and the context between them.
+                sizes = request_bytes(parts) + shared[mine] * np.maximum(0, pc.fill_null(pc.list_value_length(parts), 0).to_numpy() - 1)
+                res: Answers = {c: [None] * len(some) for c in RESPONSE_COLUMNS}
+                sent = np.flatnonzero(parts.is_valid().to_numpy(zero_copy_only=False))
+                for i, j in cut(sizes[sent], request_rows, REQUEST_BYTES):
+                    # Prompts exist for one call at a time.
+                    rows, texts = sent[i:j].tolist(), {}
+                    for r in rows:
+                        if mine[r] not in texts:
+                            texts[mine[r]] = contexts[int(mine[r])].as_py()
+                    asked = pd.DataFrame({"prompt": pd.Series([texts[mine[r]].join(parts[r].as_py()) for r in rows], dtype=object)})
+                    got = respond_isolated(be, asked)
+                    for c in RESPONSE_COLUMNS:
+                        for r, v in zip(rows, got[c]):
+                            res[c][r] = v
+                yield pa.RecordBatch.from_arrays([*some.field("row").flatten(), *_arrays(res)], names)
 
     return requests.select("context", "lines").mapInArrow(run, T.StructType([*row.fields, *RESPONSE_FIELDS]))
+
+
+def deal_by_cost(df: DataFrame, cost: Column, slots: int) -> DataFrame:
+    """M1, M3: the rows of ``df`` in ``slots`` partitions of about equal total ``cost``, for calls that take as long as they are large.
+
+    A row of more than a share, of which there are fewer than slots, has a slot to itself.
+    The costs of the others are summed up along the rows as they lie in the input (sums
+    by input partition first, so only a number for each of these, the few large rows and
+    a bound for each slot reach the driver), and the line of all costs is cut into equal
+    parts. A row goes where its middle lies, so a slot has its share and at most one row
+    more. ``df`` is read twice: give a table as it was written, not a plan that may come
+    out in another order. Null and negative costs count as none.
+    """
+    spark = df.sparkSession
+    weight = F.greatest(F.coalesce(cost.cast("double"), F.lit(0.0)), F.lit(0.0))
+    costs = df.select(F.monotonically_increasing_id().alias("_id"), weight.alias("_cost"))
+    costs = costs.withColumn("_part", F.shiftright("_id", 33))
+    sums = {r["_part"]: r["s"] for r in costs.groupBy("_part").agg(F.sum("_cost").alias("s")).collect()}  # a number a partition
+    total = sum(sums.values())
+    if not total:
+        return df.repartition(slots)
+    is_large = F.col("_cost") > F.lit(total / slots)
+    large = costs.filter(is_large).collect() if slots > 1 else []  # fewer than slots
+    for r in large:
+        sums[r["_part"]] -= r["_cost"]
+    rest = slots - len(large)
+    total = sum(sums.values())
+    starts, before = {}, 0.0
+    for part in sorted(sums):
+        starts[part], before = before, before + sums[part]
+    offsets = spark.createDataFrame(list(starts.items()), "_part LONG, _before DOUBLE")
+    along = Window.partitionBy("_part").orderBy("_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    small = costs.filter(~is_large) if large else costs
+    running = small.withColumn("_sum", F.sum("_cost").over(along)).join(offsets, "_part")
+    middle = F.col("_before") + F.col("_sum") - F.col("_cost") / 2
+    slot = F.least(F.floor(middle * rest / F.lit(max(total, 1e-300))), F.lit(rest - 1)).cast("int")
+    firsts = {r["slot"]: r["first"] for r in running.groupBy(slot.alias("slot")).agg(F.min("_id").alias("first")).collect()}  # a bound a slot
+    # Slots follow each other along the ids, so the last bound that is not after a row names its slot.
+    bounds, numbers = F.lit([firsts[k] for k in sorted(firsts)]), F.lit([int(k) for k in sorted(firsts)])
+    place = F.get(numbers, F.size(F.filter(bounds, lambda b: b <= F.col("_id"))) - 1) if firsts else F.lit(0)
+    for k, r in enumerate(large):
+        place = F.when(F.col("_id") == F.lit(r["_id"]), F.lit(rest + k)).otherwise(place)
+    named = df.withColumn("_id", F.monotonically_increasing_id()).withColumn("_slot", place)
+    return named.repartitionById(slots, "_slot").drop("_id", "_slot")

@@ -54,43 +54,34 @@ class KeywordBackend:
         return self
 
     def respond(self, requests: pd.DataFrame) -> pd.DataFrame:
-        prompts = requests["prompt"].astype(str)
-        low = prompts.str.lower()
-        labels = pd.Series(self.default_label, index=prompts.index, dtype=object)
-        needles = pd.Series("none", index=prompts.index, dtype=object)
-        open_ = np.ones(len(prompts), dtype=bool)
-        for needle, label in self.rules:  # first matching rule wins
-            hit = open_ & low.str.contains(needle, regex=False).to_numpy()
-            labels[hit] = label
-            needles[hit] = needle
-            open_ &= ~hit
-        if self.mode == "prose":
-            text = "<think>\n" + prompts + "\n</think>\nSvaret er **" + labels + "**."
-        else:
-            score = (prompts.str.len() % self.score_mod).astype(str)
-            values = {
-                "label": '"' + labels + '"',
-                "reason": '"rule ' + needles + '"',
-                "reason_for": '"rule ' + needles + '"',
-                "reason_against": '"no rule before ' + needles + '"',
-                "secure": score,
-            }
-            parts = [f'"{f}": ' + values[f] for f in self.fields]
-            text = "{" + parts[0]
-            for p in parts[1:]:
-                text = text + ", " + p
-            text = text + "}"
-        n_tok = text.str.count(" ") + 1
-        stop = pd.Series("eosFound", index=text.index, dtype=object)
-        if self.params is not None and self.params.max_tokens:
-            m = self.params.max_tokens
-            over = n_tok > m
-            text = text.where(~over, text.str.split(" ").str[:m].str.join(" "))
-            n_tok = n_tok.clip(upper=m)
-            stop[over] = "maxPredictedTokensReached"
-        out = pd.DataFrame({"response": text, "n_tokens": n_tok, "stop_reason": stop})
+        texts, n_tokens, stops = [], [], []
+        most = self.params.max_tokens if self.params is not None else 0
+        for prompt in requests["prompt"]:
+            prompt = str(prompt)
+            low = prompt.lower()
+            needle, label = next((rule for rule in self.rules if rule[0] in low), ("none", self.default_label))  # first matching rule wins
+            if self.mode == "prose":
+                text = f"<think>\n{prompt}\n</think>\nSvaret er **{label}**."
+            else:
+                values = {
+                    "label": f'"{label}"',
+                    "reason": f'"rule {needle}"',
+                    "reason_for": f'"rule {needle}"',
+                    "reason_against": f'"no rule before {needle}"',
+                    "secure": str(len(prompt) % self.score_mod),
+                }
+                text = "{" + ", ".join(f'"{f}": {values[f]}' for f in self.fields) + "}"
+            n = text.count(" ") + 1
+            if most and n > most:
+                text, n = " ".join(text.split(" ")[:most]), most
+                stops.append("maxPredictedTokensReached")
+            else:
+                stops.append("eosFound")
+            texts.append(text)
+            n_tokens.append(n)
+        out = pd.DataFrame({"response": texts, "n_tokens": n_tokens, "stop_reason": stops})
         if self.seconds_per_token is not None:
-            out["seconds"] = n_tok * self.seconds_per_token
+            out["seconds"] = out["n_tokens"] * self.seconds_per_token
         return out
 
 

@@ -508,7 +508,7 @@ SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity,
 FROM {_INVOICE_LINES_SQL} l JOIN g ON l.c_name = g.c_name AND l.l_orderkey = g.l_orderkey""",
 )
 def render_prompt_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = written(_invoice_lines(spark, sf_dir), "invoice-lines")  # read for the contexts and for the lines
+    lines = R.spread(written(_invoice_lines(spark, sf_dir), "invoice-lines"), run_rows=J.LINE_RUN)  # read for the contexts and for the lines
     ctx = invoice_context(
         lines, ["c_name", "l_orderkey"], "l_linenumber",
         {"fakturalinje": "p_name", "antal": "l_quantity", "stykpris": "unit_price"},
@@ -731,6 +731,15 @@ def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("source", "status", "error")
 
 
+@register("read_documents_by_cost", sql=SQL["read_documents"])
+def read_documents_by_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1, M3: documents dealt to the reading model's slots by their bytes, so that no slot has far more than its share."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    dealt = M.deal_by_cost(docs, F.octet_length("text"), spark.sparkContext.defaultParallelism)
+    dealt = dealt.select("doc_id", "source", EX.split_pages("text").alias("pages"))
+    return J.read_documents(dealt, "source", "pages", B.PageReaderBackend(), B.InvoiceWriterBackend()).drop("source", "status", "error")
+
+
 def _written_files(spark: SparkSession, docs: DataFrame, root: str) -> None:
     """One file per document, by Spark's text writer: the folder carries the document's name."""
     named = docs.select(F.concat(F.col("doc_id").cast("string"), F.lit(".pdf")).alias("name"), "text")

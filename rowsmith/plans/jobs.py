@@ -131,6 +131,10 @@ def classify_freetext(
     )
 
 
+#: Lines that stay together where few splits are spread over the cores: an invoice's lines mostly stand together.
+LINE_RUN = 1 << 12
+
+
 def classify_with_context(
     lines: DataFrame,
     creditor: str,
@@ -154,7 +158,7 @@ def classify_with_context(
     to the shared folder first, since contexts and requests both read them.
     """
     keys = [creditor, invoice]
-    lines = written(lines, "invoice-lines")
+    lines = spread(written(lines, "invoice-lines"), run_rows=LINE_RUN)
     groups = invoice_groups(lines, keys, line_no, {"fakturalinje": text_col, "antal": quantity, "stykpris": unit_price}, tie_breakers)
     parts = F.when(F.col(text_col).isNotNull(), P.render_around(template, "faktura", {"kreditor": creditor, "fakturalinje": text_col}))
     requests = context_requests(lines, keys, groups, parts, chunk_rows)

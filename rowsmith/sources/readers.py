@@ -156,9 +156,12 @@ def scan_partitions(df: DataFrame) -> int | None:
     return df.rdd.getNumPartitions()
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None, run_rows: int = 1) -> DataFrame:
     """Round-robin an under-partitioned input over the cluster's cores.
 
+    ``run_rows`` (a power of two) rows that follow each other stay together, for work
+    that groups neighbours.
+
     A table stored as one file with one row group is read by one task, so any
     heavy per-row work (regexes over whole texts) would run on one core. When
     the input already has enough partitions (the large-table case), or comes
@@ -170,5 +173,5 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
         # Hash on the row's position in its split: no per-partition sort (a
         # round-robin repartition sorts every partition first), and the same
         # split always sends the same row to the same place on a retry.
-        return df.repartition(target, F.monotonically_increasing_id())
+        return df.repartition(target, F.shiftright(F.monotonically_increasing_id(), run_rows.bit_length() - 1))
     return df

@@ -124,3 +124,17 @@ class BrokenWriter:
             kind = p.split("Kreditor: ")[1].split("\n")[0]
             out.append({"cut": good[:40], "empty": "", "none": None, "nolines": '{"kreditor": "k", "fakturalinjer": [], "secure": 1}'}.get(kind, good))
         return pd.DataFrame({"response": out})
+
+
+@dataclass(frozen=True)
+class WorkerMemory:
+    """Answers with the length of the prompt, the prompts of its call and the worker's peak memory in MB."""
+
+    def build(self):
+        return self
+
+    def respond(self, requests: pd.DataFrame) -> pd.DataFrame:
+        import resource
+
+        peak = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024
+        return pd.DataFrame({"response": [f"{len(p)} {len(requests)} {peak}" for p in requests["prompt"]]})
