@@ -740,57 +740,52 @@ def read_documents_by_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.read_documents(dealt, "source", "pages", B.PageReaderBackend(), B.InvoiceWriterBackend()).drop("source", "status", "error")
 
 
-def _written_files(spark: SparkSession, docs: DataFrame, root: str) -> None:
-    """One file per document, by Spark's text writer: the folder carries the document's name."""
-    named = docs.select(F.concat(F.col("doc_id").cast("string"), F.lit(".pdf")).alias("name"), "text")
-    named.repartition("name").write.option("lineSep", "\x00").partitionBy("name").text(root)
+def _filed(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Every document in container files, under the name ``<doc_id>.pdf``."""
+    docs = wide(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    name, content = F.concat(F.col("doc_id").cast("string"), F.lit(".pdf")), F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    D.write_containers(docs, name, content, root)
 
 
-#: The register asks for every document; documents divisible by this number were never filed.
-UNFILED_EVERY = 10
+def _decoded(chosen: DataFrame) -> DataFrame:
+    """Stand-in page decoder of the filed documents."""
+    return EX.page_explode(chosen.withColumn("_text", F.decode("content", "UTF-8")), "path", EX.split_pages("_text")).select("path", "page_no", "content")
 
 
-@register(
-    "read_register",
-    sql=f"""WITH d AS (SELECT *, doc_id % {UNFILED_EVERY} <> 0 AS filed, string_split(text, chr(10)) AS p FROM documents),
-x AS (SELECT *, unnest(range(1, len(p) + 1)) AS i FROM d WHERE filed)
+def _register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the reader is asked for: every document, and for each one more id that no file has."""
+    docs = table(spark, sf_dir, "documents").drop("text")
+    return docs.unionByName(docs.withColumn("doc_id", -1 - F.col("doc_id")))
+
+
+_REGISTER_SQL = f"""WITH d AS (SELECT *, string_split(coalesce(text, ''), chr(10)) AS p FROM documents),
+x AS (SELECT *, unnest(range(1, len(p) + 1)) AS i FROM d)
 SELECT doc_id, source, lang, n_chars, source AS answer_kreditor, CAST(least(len(p), 10) AS INTEGER) AS answer_secure,
   'side ' || CAST(i AS VARCHAR) AS fakturalinje_beskrivelse, CAST({O.word_count('p[i]')} AS INTEGER) AS antal,
   CAST(length(p[i]) AS DOUBLE) AS "linje_beløb", CAST(i AS INTEGER) AS linjenummer, 'ok' AS status, NULL::VARCHAR AS error
 FROM x
 UNION ALL
-SELECT doc_id, source, lang, n_chars, NULL, NULL, NULL, NULL, NULL, NULL, 'missing', 'no readable page' FROM d WHERE NOT filed""",
-)
+SELECT -1 - doc_id, source, lang, n_chars, NULL, NULL, NULL, NULL, NULL, NULL, 'missing', 'no readable page' FROM d"""
+
+
+@register("read_register", sql=_REGISTER_SQL)
 def read_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files are written from the documents, scanned, looked up by id, paged and read by both models."""
     root = scratch_path(spark, "register")
-    docs = table(spark, sf_dir, "documents")
-    _written_files(spark, docs.filter(F.col("doc_id") % UNFILED_EVERY != 0), root)
-    files = D.scan_documents(spark, root, glob="*.txt").select("path")
-    contents = D.scan_documents(spark, root, glob="*.txt", with_content=True).select("path", "content")
-
-    def decoder(chosen: DataFrame) -> DataFrame:
-        # The text writer ends a file with its separator.
-        text = F.regexp_replace(F.decode("content", "UTF-8"), "\x00", "")
-        return EX.page_explode(chosen.withColumn("_text", text), "path", EX.split_pages("_text")).select("path", "page_no", "content")
-
-    name = F.regexp_extract("path", r"name=([^/]*)[.]pdf/", 1)
+    _filed(spark, sf_dir, root)
+    files, contents = D.scan_containers(spark, root).select("path"), D.scan_containers(spark, root, with_content=True).select("path", "content")
     out = J.read_register(
-        docs.drop("text"), "doc_id", "source", files, contents, decoder, B.PageReaderBackend(), B.InvoiceWriterBackend(), name=name
+        _register(spark, sf_dir), "doc_id", "source", files, contents, _decoded, B.PageReaderBackend(), B.InvoiceWriterBackend()
     )
     return out.drop("doc_path")
 
 
-@register(
-    "doc_scan",
-    sql=f"SELECT doc_id, CAST(strlen(text) + 1 AS BIGINT) AS length FROM documents WHERE doc_id % {UNFILED_EVERY} <> 0",
-)
+@register("doc_scan", sql="SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS length FROM documents")
 def doc_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A scan of the files written from the documents (a separator byte ends each)."""
+    """A scan of the container files written from the documents."""
     root = scratch_path(spark, "scan")
-    _written_files(spark, table(spark, sf_dir, "documents").filter(F.col("doc_id") % UNFILED_EVERY != 0), root)
-    found = D.scan_documents(spark, root, glob="*.txt")
-    return found.select(F.regexp_extract("path", r"name=([^/]*)[.]pdf/", 1).cast("long").alias("doc_id"), "length")
+    _filed(spark, sf_dir, root)
+    return D.scan_containers(spark, root).select(EX.base_name("path").cast("long").alias("doc_id"), "length")
 
 
 # ---------------------------------------------------------------------------

@@ -131,3 +131,20 @@ def test_reader_job_keeps_failed_documents(spark):
     assert out[6]["error"] == "no readable page" and out[6]["note"] == "n6" and out[6]["antal"] is None
     with pytest.raises(TypeError):
         J.read_documents(df, "cred", "pages")  # no stand-in steps in for a missing model
+
+
+def test_containers(spark, tmp_dir):
+    rows = [("a/b.PDF", b"12345"), ("x.y.pdf", b""), ("no suffix", None), ("a/b.PDF", b"again")]
+    docs = spark.createDataFrame(rows, "n STRING, c BINARY").coalesce(1)
+    D.write_containers(docs, F.col("n"), F.col("c"), f"{tmp_dir}/c", rows_per_file=2)
+    names = D.scan_containers(spark, f"{tmp_dir}/c")
+    assert "content" not in names._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
+    got = {(r.path.split(D.MEMBER)[1], r.length) for r in names.collect()}
+    assert got == {("a/b.PDF", 5), ("x.y.pdf", 0), ("no suffix", None)}
+    assert len({r.path.split(D.MEMBER)[0] for r in names.collect()}) == 2
+    whole = D.scan_containers(spark, f"{tmp_dir}/c", with_content=True)
+    assert sorted(bytes(r.content or b"") for r in whole.collect()) == [b"", b"", b"12345", b"again"]
+    found = D.lookup_documents(spark.createDataFrame([("b",), ("x.y",), ("z",), (None,)], "id STRING"), "id", names.select("path"))
+    assert {r.id: r.doc_path is not None for r in found.collect()} == {"b": True, "x.y": True, "z": False, None: False}
+    D.write_containers(docs.limit(0), F.col("n"), F.col("c"), f"{tmp_dir}/e")
+    assert D.scan_containers(spark, f"{tmp_dir}/e").count() == 0
