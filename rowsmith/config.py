@@ -44,7 +44,7 @@ class JobConfig:
 
     input_path: str
     output_path: str
-    # Saved chunks and progress rows of the run, in the shared folder.
+    # Saves of the run, in the shared folder; a folder for each job (``work_folder``).
     work_path: str = ""
     delete_work: bool = False
     input_col: str | None = None
@@ -59,6 +59,14 @@ class JobConfig:
     quantity_col: str = "Antal"
     unit_price_col: str = "Stykpris"
     document_id_col: str = "Fakt_ID"
+    key_col: str = "id"
+
+    @property
+    def work_folder(self) -> str:
+        """``work_path``, which a run needs: without one two jobs would take each other's saves for their own."""
+        if not self.work_path.strip():
+            raise ValueError("set work_path to a folder of this job's own; its saves are kept there")
+        return self.work_path
 
     @property
     def text_col(self) -> str:

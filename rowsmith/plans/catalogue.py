@@ -1208,6 +1208,8 @@ def classify_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The job runner (S1, P7, M6, T1, T2, S6, S10), amounts in prompts (F1, F15), F16
 # ---------------------------------------------------------------------------
 
+from dataclasses import replace  # noqa: E402
+
 from ..config import JobConfig, ModelParams  # noqa: E402
 
 
@@ -1240,7 +1242,77 @@ def job_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The progress rows that a job over the orders appended, one for each chunk."""
     config = _job(spark, sf_dir, "orders", "o_orderpriority", JOB_SAVE_EVERY, delete_work=False)
     J.run_job(spark, config, "o_orderkey", lambda params: B.KeywordBackend(rules=PRIORITY_RULES, params=params), ORDER_TEMPLATE)
-    return spark.read.schema("rows_done LONG, message STRING").parquet(f"{config.work_path}/progress")
+    return J.job_progress(spark, config).select("rows_done", "message")
+
+
+@register(
+    "job_progress_errors",
+    sql=f"""SELECT CAST(i * 500 AS BIGINT) AS rows_done, 'Row: ' || CAST(i * 500 AS VARCHAR) AS message,
+  (SELECT count(*) FROM (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) AS n FROM part) WHERE p_partkey % 13 = 0 AND n <= least(((i * 500 - 1) // 20000 + 1) * 20000, (SELECT count(*) FROM part))) AS errors
+FROM range(1, 1000000) t(i) WHERE i * 500 <= (SELECT count(*) FROM part)""",
+)
+def job_progress_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A message every 500 rows (the default), with the failed calls up to the save that passed them."""
+    config = _job(spark, sf_dir, "part", "p_name", 20_000, delete_work=False)
+    J.run_job(spark, config, "p_partkey", lambda params: B.FaultyBackend(B.KeywordBackend(params=params), none_every=10**9, bad_every=10**9, empty_every=10**9, cut_every=10**9))
+    return J.job_progress(spark, config, config.rows_between_progress())
+
+
+@register("job_freetext", sql=SQL["classify_freetext"])
+def job_freetext(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The free-text job through the runner, saves and output file included."""
+    config = replace(_job(spark, sf_dir, "documents", "text", 50_000, delete_work=True), labels=tuple(LABELS))
+    out = J.run_job(spark, config, "doc_id", lambda params: B.KeywordBackend(mode="prose"), kind="freetext")
+    return out.select("doc_id", "label", "reason", "thinking_words", "total_words")
+
+
+@register("job_context", sql=SQL["classify_context"])
+def job_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The context job through the runner: a run that dies with part of the lines saved, and one that ends.
+
+    Lines are saved in an order that cuts invoices, so prompts hold lines that are done already.
+    """
+    config = _job(spark, sf_dir, "lineitem", "p_name", 250_000, delete_work=True)
+    work = config.work_path
+    lines = _invoice_lines(spark, sf_dir).drop("l_extendedprice")
+    config = replace(
+        config, input_path=f"{work}-in.parquet", creditor_col="c_name", invoice_col="l_orderkey", line_col="l_linenumber", quantity_col="l_quantity", unit_price_col="unit_price"
+    )
+    lines.write.parquet(config.input_path)
+    keys = ["l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity", "unit_price"]
+    # The earlier run had the lines of some parts only; its saves are in the work folder.
+    all_lines = spark.read.parquet(config.input_path)
+    early = replace(config, input_path=f"{work}-early.parquet", delete_work=False)
+    early_lines = all_lines.filter(F.col("l_partkey") % 3 == 0)
+    run = lambda part: J.classify_with_context(
+        part, "c_name", "l_orderkey", "l_linenumber", "p_name", "l_quantity", "unit_price", ADVANCED_BACKEND, tie_breakers=keys, invoices=all_lines
+    )
+    RS.run_resumable(spark, early_lines, keys, run, f"{early.work_folder}/done")
+    out = J.run_job(spark, config, keys, lambda params: ADVANCED_BACKEND, kind="context")
+    return out.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", J.OUT_LABEL, J.OUT_SCORE, J.OUT_REASON_FOR, J.OUT_REASON_AGAINST
+    )
+
+
+@register("job_reader", sql=_REGISTER_SQL)
+def job_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reader job with two models through the runner: half of the register first, then all of it.
+
+    Documents done keep a row of their own in the saves, with lines or without, so the second run reads the others only.
+    """
+    work = scratch_path(spark, "job-reader")
+    _filed(spark, sf_dir, f"{work}-files")
+    files = D.scan_containers(spark, f"{work}-files").select("path")
+    contents = D.scan_containers(spark, f"{work}-files", with_content=True).select("path", "content")
+    documents = J.Documents(files, contents, _decoded)
+    config = JobConfig(f"{work}-first.parquet", f"{work}-out.parquet", work, creditor_col="source", document_id_col="doc_id", save_every=25_000)
+    register_rows = _register(spark, sf_dir)
+    register_rows.filter(F.col("doc_id") % 2 == 0).write.parquet(config.input_path)
+    models = dict(backend=lambda params: B.PageReaderBackend(), writer=lambda params: B.InvoiceWriterBackend(), kind="reader_dual", documents=documents)
+    J.run_job(spark, config, **models)
+    config = replace(config, input_path=f"{work}-all.parquet", delete_work=True)
+    register_rows.write.parquet(config.input_path)
+    return J.run_job(spark, config, **models).drop("doc_path")
 
 
 AMOUNT_TEMPLATE = "Beløb {beloeb}; sats {sats}; stor {stor}; lille {lille}."

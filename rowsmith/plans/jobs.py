@@ -8,6 +8,7 @@ plan is the backend inside the model stage.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -149,9 +150,12 @@ def classify_with_context(
     tie_breakers: Sequence[str] = (),
     slots: int | str | None = "auto",
     chunk_rows: int = CHUNK_ROWS,
+    invoices: DataFrame | None = None,
 ) -> DataFrame:
     """Advanced job: each line is classified with all lines of its invoice.
 
+    ``invoices`` has all lines, where ``lines`` are only those still to classify.
+
     The invoice context is built once per invoice (J1, F15) and goes to the model
     stage once for each chunk of its lines, beside what is left of their prompts;
     the stage puts a prompt together when it sends it. The lines are written once
@@ -159,7 +163,10 @@ def classify_with_context(
     """
     keys = [creditor, invoice]
     lines = spread(written(lines, "invoice-lines"), run_rows=LINE_RUN)
-    groups = invoice_groups(lines, keys, line_no, {"fakturalinje": text_col, "antal": quantity, "stykpris": unit_price}, tie_breakers)
+    if invoices is not None:
+        wanted = lines.select(*[F.col(k).alias(f"_w{i}") for i, k in enumerate(keys)]).distinct()
+        invoices = invoices.join(wanted, [F.col(k) == F.col(f"_w{i}") for i, k in enumerate(keys)], "left_semi")
+    groups = invoice_groups(lines if invoices is None else invoices, keys, line_no, {"fakturalinje": text_col, "antal": quantity, "stykpris": unit_price}, tie_breakers)
     parts = F.when(F.col(text_col).isNotNull(), P.render_around(template, "faktura", {"kreditor": creditor, "fakturalinje": text_col}))
     requests = context_requests(lines, keys, groups, parts, chunk_rows)
     # Requests are dealt out evenly: adaptive coalescing goes by bytes, but the work is calls.
@@ -226,9 +233,27 @@ def read_documents(
     ``status`` / ``error``. A document that fails anywhere (no readable page, a
     failed call, an answer that is no invoice) gives one row with null line fields,
     its status and error, as a sound answer without lines gives none.
-    ``request_rows`` documents go to the reader at once, which bounds the images
-    that a worker holds.
+    ``request_rows`` documents go to the reader at once, fewer of many bytes, which
+    bounds the images that a worker holds.
     """
+    nested = read_documents_nested(docs, creditor_col, pages_col, reader, writer, checkpoint, request_rows)
+    lines = nested.select(*[c for c in nested.columns if c != LINES], F.posexplode_outer(LINES).alias("_pos", "_line"))
+    lines = lines.filter(F.col("_pos").isNotNull() | F.col("error").isNotNull())
+    fields = [F.col("_line")[f].alias(f) for f in ("fakturalinje_beskrivelse", "antal", "linje_beløb")]
+    keep = [c for c in nested.columns if c not in (*READER_OWN, LINES)]
+    number = (F.col("_pos") + 1).cast("int").alias("linjenummer")
+    return lines.select(*[F.col(f"`{c}`") for c in keep], "answer_kreditor", "answer_secure", *fields, number, "status", "error")
+
+
+#: The answer's lines in ``read_documents_nested``, and the columns of the reader job beside them.
+LINES = "fakturalinjer"
+READER_OWN = ("answer_kreditor", "answer_secure", "status", "error")
+
+
+def read_documents_nested(
+    docs: DataFrame, creditor_col: str, pages_col: str, reader: BackendSpec, writer: BackendSpec, checkpoint: bool = False, request_rows: int = 8
+) -> DataFrame:
+    """``read_documents`` before its lines are exploded: one row per document, its lines in the array ``fakturalinjer``."""
     keep = [c for c in docs.columns if c != pages_col]
     row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row")  # input names cannot clash with the stages' own
     s1 = call_model(
@@ -252,22 +277,18 @@ def read_documents(
     judged = raw.select("_row", "_a", "_error1", "error", status.alias("status"))
     error = F.coalesce("_error1", "error", F.when(F.col("status") != "ok", F.concat(F.lit("answer "), F.col("status"))))
     good = F.col("status") == "ok"
-    lines = judged.select(
-        "_row", "status", error.alias("error"), F.when(good, F.coalesce("_a.kreditor", F.lit(""))).alias("answer_kreditor"),
-        F.when(good, A.whole_int(F.col("_a.secure"))).alias("answer_secure"),
-        F.posexplode_outer(F.when(good, F.col("_a.fakturalinjer"))).alias("_pos", "_line"),
-    ).filter(F.col("_pos").isNotNull() | F.col("error").isNotNull())
-    own = ("answer_kreditor", "answer_secure", "fakturalinje_beskrivelse", "antal", "linje_beløb", "linjenummer", "status", "error")
-    return lines.select(
+    own = (*READER_OWN, LINES, "fakturalinje_beskrivelse", "antal", "linje_beløb", "linjenummer")
+    line = lambda x: F.struct(x["fakturalinje_beskrivelse"].alias("fakturalinje_beskrivelse"), A.whole_int(x["antal"]).alias("antal"), x["linje_beløb"].alias("linje_beløb"))
+    return judged.select(
         *[F.col("_row")[c].alias(c) for c in keep if c.lower() not in own],
-        "answer_kreditor", "answer_secure", F.col("_line.fakturalinje_beskrivelse"), A.whole_int(F.col("_line.antal")).alias("antal"),
-        F.col("_line")["linje_beløb"].alias("linje_beløb"), (F.col("_pos") + 1).cast("int").alias("linjenummer"), "status", "error",
+        F.when(good, F.coalesce("_a.kreditor", F.lit(""))).alias("answer_kreditor"), F.when(good, A.whole_int(F.col("_a.secure"))).alias("answer_secure"),
+        F.when(good, F.transform("_a.fakturalinjer", line)).alias(LINES), "status", error.alias("error"),
     )
 
 
 def read_register(
     register: DataFrame, id_col: str, creditor_col: str, files: DataFrame, contents: DataFrame, decoder, reader: BackendSpec, writer: BackendSpec,
-    path_col: str = "path", name: Column | None = None, request_rows: int = 8,
+    path_col: str = "path", name: Column | None = None, request_rows: int = 8, nested: bool = False,
 ) -> DataFrame:
     """The reader job end to end: register row -> document by id -> pages -> model -> lines.
 
@@ -275,7 +296,8 @@ def read_register(
     first (J2), and the bytes of chosen files alone are read and joined. ``decoder``
     maps content to page rows, ``page_no`` and ``content`` (F12); rows of one document
     are put together again in page order (M3). A register row without a document, or
-    whose document has no page, ends as a row with its error.
+    whose document has no page, ends as a row with its error. With ``nested`` there is one
+    row per register row, its lines in an array.
     """
     from ..operators.documents import lookup_documents, pages_of
 
@@ -284,7 +306,8 @@ def read_register(
     chosen = contents.join(paths, contents[path_col] == paths[f"doc_{path_col}"], "left_semi")
     pages = pages_of(decoder(chosen), path_col, "page_no", "content").withColumnRenamed(path_col, "_path")
     whole = found.join(pages, found[f"doc_{path_col}"] == pages["_path"], "left").drop("_path")
-    return read_documents(whole, creditor_col, "pages", reader, writer, request_rows=request_rows)
+    read = read_documents_nested if nested else read_documents
+    return read(whole, creditor_col, "pages", reader, writer, request_rows=request_rows)
 
 
 CHAT_SYSTEM_PROMPT = "Klassificér hver fakturalinje som materialeindkøb eller tjenesteydelse. Svar som JSON.\n"
@@ -320,38 +343,100 @@ def classify_chat(
     return _finish(staged, outputs, [*df.columns, "chat_no"])
 
 
+#: Kinds of jobs that ``run_job`` runs, with the templates they have of their own.
+JOB_TEMPLATES = {
+    "simple": SIMPLE_TEMPLATE,
+    "freetext": FREETEXT_TEMPLATE,
+    "context": CONTEXT_TEMPLATE,
+    "context_small": CONTEXT_TEMPLATE,
+    "reader": None,  # one model reads and writes
+    "reader_dual": None,  # a vision model and a text model
+}
+
+
+@dataclass(frozen=True)
+class Documents:
+    """What a reader job reads besides its register: listed paths, paths with contents, and how contents become pages."""
+
+    files: DataFrame
+    contents: DataFrame
+    decoder: Callable[[DataFrame], DataFrame]
+    name: Column | None = None
+
+
 def run_job(
     spark: SparkSession,
     config: JobConfig,
-    key_col: str,
-    backend: Callable[[ModelParams], BackendSpec],
-    template: str = SIMPLE_TEMPLATE,
+    key_col: str | Sequence[str] | None = None,
+    backend: Callable[[ModelParams], BackendSpec] | None = None,
+    template: str | None = None,
     schema=None,
+    kind: str = "simple",
+    documents: Documents | None = None,
+    writer: Callable[[ModelParams], BackendSpec] | None = None,
 ) -> DataFrame:
-    """A whole job: load, resume, classify, save, report, write, clean up.
-
-    The input is read by its suffix (S1); what earlier runs committed is left out
-    (J3); the rest is done in chunks of ``save_every`` rows in key order, each one
-    atomic append to ``<work_path>/done``; after every chunk a row is appended to
-    ``<work_path>/progress`` (T2). ``backend`` gets the job's model settings (M6).
-    At the end the result is written to ``output_path`` by its suffix (S6), and the
-    work folder goes if the job says so (S10). Returns the table as written.
+    """A whole job of any kind: load, resume, work, save, report, write, clean up.
+
+    The input is read by its suffix (S1); what earlier runs saved is left out (J3); the
+    rest is saved every ``save_every`` rows in key order under ``<work_folder>/done``
+    (``resume.run_resumable``), with columns that may differ from those of earlier runs
+    (S9). ``backend`` gets the job's model settings (M6). Rows and errors so far can be
+    read while the job runs (``job_progress``, T2). At the end the result is written to
+    ``output_path`` by its suffix (S6), and the work folder goes if the job says so
+    (S10). Returns the table as written.
+
+    Columns come from the config: the text, the labels (``freetext``), creditor, invoice,
+    line number, quantity and unit price (``context``; the prompt holds all lines of the
+    invoice, those done before included), creditor and document id (``reader``). A reader
+    job needs ``documents``; its result has a row per invoice line, and one for each
+    document that failed; ``reader_dual`` has a model of its own, ``writer``, for the
+    second stage. Keys are ``key_col``, by default the config's (the document id for readers).
     """
     from ..streaming import resume
 
+    if kind not in JOB_TEMPLATES:
+        raise ValueError(f"no job of kind {kind!r}; there are {sorted(JOB_TEMPLATES)}")
+    reads = kind.startswith("reader")
+    if backend is None or (reads and documents is None) or (kind == "reader_dual" and writer is None):
+        raise ValueError(f"a {kind} job needs its model" + (", documents and, with two models, a writer" if reads else ""))
+    done = f"{config.work_folder}/done"
     rows = load_table(spark, config.input_path, schema)
-    text_col, done, log = config.text_col, f"{config.work_path}/done", f"{config.work_path}/progress"
-
-    def classify(part: DataFrame) -> DataFrame:
-        return classify_simple(part, text_col, key_col, backend(config.model), template)
-
-    def report(n_done: int) -> None:
-        line = spark.range(1).select(F.lit(n_done).cast("long").alias("rows_done"), F.format_string("Row: %d", F.lit(n_done)).alias("message"))
-        line.write.mode("append").parquet(log)
-
-    result = resume.run_resumable(spark, rows, [key_col], classify, done, save_every=config.rows_between_saves(), report=report)
+    model, template = backend(config.model), template or JOB_TEMPLATES[kind]
+    keys = [key_col] if isinstance(key_col, str) else list(key_col or [config.document_id_col if reads else config.key_col])
+    text_col, every = config.text_col, config.rows_between_saves()
+
+    def work(part: DataFrame) -> DataFrame:
+        if kind == "simple":
+            return classify_simple(part, text_col, keys[0], model, template)
+        if kind == "freetext":
+            return classify_freetext(part, text_col, model, config.labels, template)
+        if reads:
+            second = writer(config.model) if writer is not None else model
+            d = documents
+            return read_register(part, config.document_id_col, config.creditor_col, d.files, d.contents, d.decoder, model, second, name=d.name, nested=True)
+        return classify_with_context(
+            part, config.creditor_col, config.invoice_col, config.line_col, text_col, config.quantity_col, config.unit_price_col, model,
+            small_schema=kind == "context_small", template=template, tie_breakers=keys, invoices=rows,
+        )
+
+    if reads:
+        failed = F.col("error").isNotNull()
+        result = resume.run_resumable_exploded(spark, rows, keys, work, LINES, done, position="linjenummer", save_every=every, keep=failed)
+    else:
+        result = resume.run_resumable(spark, rows, keys, work, done, save_every=every)
     write_table(result, config.output_path, mode="overwrite")
     out = load_table(spark, config.output_path, result.schema)
     if config.delete_work:
-        resume.delete_results(spark, config.work_path)
+        resume.delete_results(spark, config.work_folder)
     return out
+
+
+def job_progress(spark: SparkSession, config: JobConfig, every: int | None = None) -> DataFrame:
+    """``rows_done``, ``errors`` and ``message`` of a job, while it runs or later.
+
+    A row for each save; with ``every`` (``config.rows_between_progress()`` is the job's
+    own) for each multiple of so many rows.
+    """
+    from ..streaming.saves import SavedTable
+
+    return SavedTable(spark, f"{config.work_folder}/done").progress(every)

@@ -27,7 +27,7 @@ import re
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -201,6 +201,7 @@ def run_resumable_exploded(
     result_path: str,
     position: str = "position",
     save_every: int | None = None,
+    keep: Column | None = None,
 ) -> DataFrame:
     """``run_resumable`` for one-to-many results.
 
@@ -209,7 +210,8 @@ def run_resumable_exploded(
     row with an empty or null list still writes one marker row (null position):
     output rows and done keys land in the same atomic append, and the work list
     of the next run is the input anti-joined with every key in the table.
-    Returns the exploded rows (markers dropped), positions from 1.
+    Returns the exploded rows, positions from 1; of the markers only those that ``keep``
+    holds for (failed inputs, say).
     """
 
     def exploded(part: DataFrame) -> DataFrame:
@@ -223,7 +225,8 @@ def run_resumable_exploded(
             (F.col("_pos") + F.lit(1)).cast("int").alias(position),
         )
 
-    return run_resumable(spark, input_df, keys, exploded, result_path, save_every).filter(F.col(position).isNotNull())
+    shown = F.col(position).isNotNull() if keep is None else F.col(position).isNotNull() | keep
+    return run_resumable(spark, input_df, keys, exploded, result_path, save_every).filter(shown)
 
 
 def run_stream(
