@@ -971,6 +971,23 @@ def token_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.result()
 
 
+from ..streaming import keyed_tokens as KT  # noqa: E402
+
+
+@register("token_state", sql=SQL["token_throughput"])
+def token_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same windows on keyed state; the stream stops half way, and a second run goes on from its state."""
+    events = table(spark, sf_dir, "events").select("event_type", "ts", "event_id", "user_id")
+    base = scratch_path(spark, "token-state")
+    tok = F.concat(F.col("user_id").cast("string"), F.lit(" "))
+    early = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
+    for part, rows in enumerate((events.filter(early), events.filter(~early))):
+        rows.write.parquet(f"{base}/landing/part={part}")
+        stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(f"{base}/landing")
+        run = KT.run_keyed_token_windows(stream.withColumn("tok", tok), ["event_type"], "ts", "event_id", "tok", f"{base}/out", f"{base}/checkpoint")
+    return run.result()
+
+
 # ---------------------------------------------------------------------------
 # Resumable runs (first run stops part way, second resumes)
 # ---------------------------------------------------------------------------
