@@ -77,3 +77,37 @@ def every_nth(df: DataFrame, index_col: str, n: int) -> DataFrame:
     if n <= 0:
         raise ValueError("n must be positive")
     return df.filter((F.col(index_col) + F.lit(1)) % F.lit(n) == F.lit(0))
+
+
+def file_ordered(spark, path: str, name: str = "row_id", schema=None) -> DataFrame:
+    """The rows of a Parquet table with their position in file order: by file name, then as they lie in the file.
+
+    No sort and no key: a row knows its file and its place there (``_metadata``), and the
+    rows before a file come from a table of one row a file. The position is the same in
+    every run, and reading stays as parallel as the scan is.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    rows = reader.parquet(path)
+    placed = rows.select("*", F.col("_metadata.file_path").alias("_fo_file"), F.col("_metadata.row_index").alias("_fo_at"))
+    # Column pruning leaves nothing but the metadata to this read.
+    counts = rows.groupBy(F.col("_metadata.file_path").alias("_fo_of")).agg((F.max("_metadata.row_index") + 1).alias("_fo_n"))
+    before = Window.orderBy("_fo_of").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
+    starts = counts.select("_fo_of", F.coalesce(F.sum("_fo_n").over(before), F.lit(0)).alias("_fo_start"))
+    joined = placed.join(starts, F.col("_fo_file") == F.col("_fo_of"))
+    return joined.select(*[F.col(f"`{c}`") for c in rows.columns if c != name], (F.col("_fo_start") + F.col("_fo_at")).alias(name))
+
+
+def file_ordered_union(spark, paths: dict[str, str], name: str = "row_id", source_col: str = "source_name", ordinal_col: str = "source_ordinal") -> DataFrame:
+    """Many Parquet inputs as one table in input order, then file order, with one index over all.
+
+    Missing columns are null (``readers.union_by_name``). The sizes of the inputs are one
+    number each.
+    """
+    from ..sources.readers import union_by_name
+
+    frames, before = [], 0
+    for i, (source, path) in enumerate(paths.items()):
+        rows = file_ordered(spark, path, name)
+        frames.append(rows.withColumn(name, F.col(name) + F.lit(before)).select("*", F.lit(source).alias(source_col), F.lit(i).cast("int").alias(ordinal_col)))
+        before += spark.read.parquet(path).count()  # from the footers
+    return union_by_name(frames)

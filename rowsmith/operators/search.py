@@ -65,14 +65,16 @@ def first_pages(
     href_col: str | None = None,
     html_col: str = "html",
     max_chars: int = H.MAX_TEXT_CHARS,
+    found: DataFrame | None = None,
 ) -> DataFrame:
     """W4 + O3 + P8 + F13: first ``max_pages`` candidates that have a link.
 
     The link is ``href`` when non-empty, else ``url``; candidates without one
     are dropped *after* the candidate cut, as the reference does. Output:
-    query_id, position (1..max_pages), page_id, title, url, text.
+    query_id, position (1..max_pages), page_id, title, url, text. ``found`` has the
+    candidates where they come from elsewhere (``page_index.PageIndex.search``).
     """
-    cand = search_candidates(pages, queries, candidates, id_col, html_col)
+    cand = search_candidates(pages, queries, candidates, id_col, html_col) if found is None else found
     href = F.col(href_col) if href_col else F.lit(None).cast("string")
     link = F.coalesce(F.when(href != "", href), F.when(F.col(url_col) != "", F.col(url_col)))
     cols = [id_col, url_col, html_col] + ([href_col] if href_col else [])

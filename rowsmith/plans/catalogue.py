@@ -1366,3 +1366,91 @@ def stats_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = wide(table(spark, sf_dir, "part").select("p_partkey", "p_name"))
     prompt = P.render(J.SIMPLE_TEMPLATE, {"key": "p_partkey", "fakturalinje": "p_name"})
     return MT.response_log(M.call_model(part.select("p_partkey", prompt.alias("prompt")), STATS_BACKEND), "p_partkey")
+
+
+# ---------------------------------------------------------------------------
+# F6 with a table of labels, J4 from an index, F8 on VARIANT, W1 in file order
+# ---------------------------------------------------------------------------
+
+from ..functions import variants as V  # noqa: E402
+from ..operators.labels import labels_from_table  # noqa: E402
+from ..operators.ordering import file_ordered_union  # noqa: E402
+from ..operators.page_index import PageIndex  # noqa: E402
+
+
+@register(
+    "extract_label_table",
+    sql=f"""WITH l AS (SELECT {O.clean_word('w')} AS word, min(w) AS label
+    FROM (SELECT unnest({O.words('text')}) AS w FROM benchmark) WHERE length(w) > 9 GROUP BY 1),
+a AS (SELECT doc_id, {O.words(O.strip_thinking('answer'))} AS ws FROM {_ANSWERS_SQL}),
+w AS (SELECT doc_id, unnest(list_transform(ws, lambda x: {O.clean_word('x')})) AS word, generate_subscripts(ws, 1) AS i FROM a),
+f AS (SELECT doc_id, arg_min(label, i) AS label FROM w JOIN l USING (word) WHERE word <> '' GROUP BY doc_id)
+SELECT documents.doc_id, label FROM documents LEFT JOIN f USING (doc_id)""",
+)
+def extract_label_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F6 with labels that are rows: the long words of the benchmark items."""
+    words = table(spark, sf_dir, "benchmark").select(F.explode(X.words("text")).alias("label"))
+    labels = words.filter(F.length("label") > 9).distinct()
+    return labels_from_table(_answers(spark, sf_dir), "answer", labels).select("doc_id", "label")
+
+
+@register("search_from_index", sql=SQL["search_first_k"])
+def search_from_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages are indexed in two goes, the second with all of them; searches read the buckets of their words."""
+    pages = wide(table(spark, sf_dir, "pages"))
+    index = PageIndex(spark, scratch_path(spark, "page-index"))
+    index.add(pages.filter(F.length("html") % 2 == 0))
+    index.add(pages)
+    out = S.first_pages(pages, _queries(spark), found=index.search(_queries(spark)))
+    return out.withColumn("position", F.col("position").cast("int"))
+
+
+#: Answers in every way a model gives them, made from the parts.
+_VARIANT_CASES = (
+    """'{"label": "' || p_name || '", "score": ' || CAST(p_size AS VARCHAR) || '}'""",
+    """'{"label": null, "score": ' || CAST(p_size AS VARCHAR) || '.5}'""",
+    """'{"score": "' || CAST(p_size AS VARCHAR) || '"}'""",
+    """'{"label": ["' || p_brand || '"], "score": ' || CAST(p_size AS VARCHAR) || '00000000000}'""",
+    """'{"label": "' || p_name""",
+    """'[' || CAST(p_size AS VARCHAR) || ']'""",
+    """' '""",
+)
+_VARIANT_CASE = "CASE p_partkey % 8 " + " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(_VARIANT_CASES)) + " END"
+
+
+def _variant_state_sql(key: str, kinds: str, extra: str = "true") -> str:
+    return f"""CASE WHEN ok THEN CASE WHEN NOT json_exists(j, '$.{key}') THEN 'absent' WHEN json_type(j, '$.{key}') = 'NULL' THEN 'null'
+    WHEN json_type(j, '$.{key}') IN ({kinds}) AND {extra} THEN 'value' ELSE 'wrong type' END END"""
+
+
+@register(
+    "variant_answers",
+    sql=f"""WITH r AS (SELECT p_partkey, {_VARIANT_CASE} AS t FROM part),
+v AS (SELECT *, CASE WHEN json_valid(t) THEN CAST(t AS JSON) END AS j, coalesce(json_valid(t) AND json_type(CASE WHEN json_valid(t) THEN t END) = 'OBJECT', false) AS ok FROM r),
+s AS (SELECT *, {_variant_state_sql('label', "'VARCHAR'")} AS label_state,
+    {_variant_state_sql('score', "'BIGINT', 'UBIGINT'", "TRY_CAST(json_extract_string(j, '$.score') AS INTEGER) IS NOT NULL")} AS score_state FROM v)
+SELECT p_partkey, CASE WHEN t IS NULL THEN 'missing' WHEN trim(t) = '' THEN 'empty' WHEN j IS NULL THEN 'bad json' WHEN NOT ok THEN 'no object' ELSE 'ok' END AS status,
+  CASE WHEN label_state = 'value' THEN json_extract_string(j, '$.label') END AS label, label_state,
+  CASE WHEN score_state = 'value' THEN CAST(json_extract_string(j, '$.score') AS INTEGER) END AS score, score_state,
+  concat_ws('; ', CASE WHEN label_state <> 'value' THEN 'label: ' || label_state END, CASE WHEN score_state = 'wrong type' THEN 'score: wrong type' END) AS violations
+FROM s""",
+)
+def variant_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers with values, nulls, absent keys, wrong types, bad JSON, no object, nothing."""
+    part = table(spark, sf_dir, "part").select("p_partkey", F.expr(_VARIANT_CASE.replace("VARCHAR", "STRING")).alias("answer"))
+    out = V.with_variant_answer(part, "answer", {"label": "string", "score": "int"}, required=("label",))
+    return out.select("p_partkey", "status", "label", "label_state", "score", "score_state", F.array_join("violations", "; ").alias("violations"))
+
+
+@register(
+    "union_file_order",
+    sql="""WITH o AS (SELECT o_orderkey, o_custkey, NULL::DOUBLE AS o_totalprice, 'up' AS source_name, 0 AS source_ordinal, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_id FROM orders
+UNION ALL SELECT o_orderkey, NULL, o_totalprice, 'down', 1, row_number() OVER (ORDER BY o_orderkey DESC) - 1 + (SELECT count(*) FROM orders) FROM orders)
+SELECT * FROM o""",
+)
+def union_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two inputs whose files lie in opposite orders; rows are numbered as they lie, over both."""
+    orders, base = table(spark, sf_dir, "orders"), scratch_path(spark, "file-order")
+    for source, key, columns in (("up", F.col("o_orderkey").asc(), ["o_orderkey", "o_custkey"]), ("down", F.col("o_orderkey").desc(), ["o_orderkey", "o_totalprice"])):
+        orders.select(*columns).repartitionByRange(5, key).sortWithinPartitions(key).write.option("maxRecordsPerFile", 40_000).parquet(f"{base}/{source}")
+    return file_ordered_union(spark, {"up": f"{base}/up", "down": f"{base}/down"})
