@@ -179,6 +179,10 @@ def unpack_block(payload: bytes, ids: np.ndarray, size: np.ndarray) -> tuple[lis
 # -- the jobs -----------------------------------------------------------------
 
 
+#: Ids of the largest vocabulary that fits the 16 bits of an id on its way to the files.
+MOST_IDS = 1 << 16
+
+
 def token_ids(docs: DataFrame, path: str, end_id: int, key_col: str, text_col: str) -> DataFrame:
     """``doc_id`` and the ids of each text with the end id, as little-endian 16-bit integers."""
     slim = docs.select(F.col(key_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -189,6 +193,8 @@ def token_ids(docs: DataFrame, path: str, end_id: int, key_col: str, text_col: s
         for b in batches:
             at = 0
             for rows in grouped((np.concatenate([x, end]) for x in own.texts(b.column(1))), len, 1 << 21):
+                if max(int(x.max()) for x in rows) >= MOST_IDS:
+                    raise ValueError(f"an id of {path} does not fit 16 bits")
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(rows)), id_arrays(rows, "<u2")], ["doc_id", "ids"])
                 at += len(rows)
 
@@ -244,6 +250,8 @@ def write_token_files(
     The code book is in the table as well, as the payload of a row of shard ``BOOK``,
     one byte per id, so that the files can be read by themselves.
     """
+    if vocabulary > MOST_IDS or not 0 <= end_id < vocabulary:
+        raise ValueError(f"ids are kept in 16 bits: at most {MOST_IDS} of them, the end id among them; got {vocabulary} and {end_id}")
     ids = tables.written(token_ids(docs, path, end_id, key_col, text_col), "token-ids")
     lengths = code_lengths(id_counts(ids, vocabulary))
     coded = blocks(ids, lengths)

@@ -198,3 +198,11 @@ def test_packing(spark, library):
         assert at <= 64
     assert sorted(sequences) == list(range(len(sequences)))
     assert packing.pack(frame(spark, []), PATH).count() == 0
+
+
+def test_ids_beyond_16_bits_are_refused(spark):
+    docs = frame(spark)
+    with pytest.raises(ValueError, match="16 bits"):
+        tf.write_token_files(docs, PATH, vocabulary=70_000)
+    with pytest.raises(ValueError, match="end id"):
+        tf.write_token_files(docs, PATH, end_id=70_000)
