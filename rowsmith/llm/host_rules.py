@@ -4,7 +4,10 @@ Every text gets counts (words, symbols, repeated lines, words in repeated 5-word
 windows) and base rules decide on them. A host (the ``source`` of a document) is
 judged by all its documents: failures of the strict rules are summed by host, the
 rate is shrunk towards the rate of all hosts with a beta prior fitted to the hosts
-themselves (moments of the host rates), and a host over ``HOST_LIMIT`` is bad. The
+themselves (moments of the host rates), and a host is bad whose shrunk rate is over
+``HOST_FACTOR`` times the rate of all documents, or over ``HOST_LIMIT`` in any case. The
+fewer documents a host has, and the more alike hosts are, the nearer its rate is drawn
+to that of all, so chance alone makes no host bad. The
 verdict is joined back: documents of a bad host are held to the strict rules,
 others to the base rules alone. So a clean document stays, whatever its host.
 
@@ -34,8 +37,8 @@ MAX_REPEAT_PERCENT = 20
 STRICT_REPEAT_PERCENT = 10
 STRICT_SYMBOL_PERCENT = 10
 STRICT_DUP_LINES_PERCENT = 30
-#: A host is bad when its shrunk failure rate is over this.
-HOST_LIMIT = 0.5
+#: A host is bad when its shrunk failure rate is over so many times that of all documents, or over the limit.
+HOST_FACTOR, HOST_LIMIT = 1.25, 0.5
 #: Least and most weight of the prior, in documents.
 PRIOR_WEIGHT = (1.0, 1e6)
 
@@ -111,7 +114,7 @@ def host_verdicts(counted: DataFrame) -> DataFrame:
     if n and (variance := square / n - mean * mean) > 0:
         weight = min(max(mean * (1 - mean) / variance - 1, PRIOR_WEIGHT[0]), PRIOR_WEIGHT[1])
     rate = (F.col("failed") + F.lit(weight * mean)) / (F.col("n") + F.lit(weight))
-    return hosts.select("host", "n", "failed", rate.alias("rate"), (rate > HOST_LIMIT).alias("bad"))
+    return hosts.select("host", "n", "failed", rate.alias("rate"), (rate > min(HOST_LIMIT, HOST_FACTOR * mean)).alias("bad"))
 
 
 def judged(docs: DataFrame, host_col: str = "source", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -152,7 +155,7 @@ h AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE strict) AS bad FROM f
 m AS (SELECT sum(bad) / sum(n) AS mean FROM h),
 v AS (SELECT any_value(mean) AS mean, sum(n * power(bad / n - mean, 2)) / sum(n) AS var FROM h, m),
 p AS (SELECT mean, greatest({PRIOR_WEIGHT[0]}, least({PRIOR_WEIGHT[1]}, CASE WHEN var > 0 THEN mean * (1 - mean) / var - 1 ELSE {PRIOR_WEIGHT[1]} END)) AS weight FROM v),
-x AS (SELECT source, (bad + weight * mean) / (n + weight) > {HOST_LIMIT} AS bad_host FROM h, p)
+x AS (SELECT source, (bad + weight * mean) / (n + weight) > least({HOST_LIMIT}, {HOST_FACTOR} * mean) AS bad_host FROM h, p)
 SELECT doc_id, n_words, coalesce(word_chars, 0) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT (bad_host AND strict) AS kept
 FROM f JOIN x ON f.source IS NOT DISTINCT FROM x.source

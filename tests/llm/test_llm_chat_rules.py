@@ -109,3 +109,22 @@ def test_no_python_in_native_plans(spark, name):
     df = QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|MapInArrow|ArrowEval", plan)
+
+
+def test_a_bad_host_loses_what_fails_the_strict_rules(spark):
+    good = " ".join(f"word{i}" for i in range(40))
+    noisy = good + " " + "#$%&" * 30  # fails the strict rules alone
+    rows = [(1000 * h + i, f"{good} {h} {i}", f"host{h}") for h in range(10) for i in range(100)]
+    rows += [(20_000 + i, f"{noisy} {i}", "host3") for i in range(60)] + [(30_000 + h, f"{noisy} {h} again", f"host{h}") for h in range(10) if h != 3]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, source STRING")
+    bad = {r.host for r in hr.host_verdicts(hr.with_counts(docs)).where("bad").collect()}
+    assert bad == {"host3"}
+    kept = {r.doc_id: r.kept for r in hr.judged(docs).select("row.doc_id", "kept").collect()}
+    assert [d for d, k in kept.items() if not k] == list(range(20_000, 20_060))  # noisy ones elsewhere stay, and so does what is clean on the host
+
+
+def test_one_failure_makes_no_small_host_bad(spark):
+    good = " ".join(f"word{i}" for i in range(40))
+    rows = [(i, f"{good} {i}" if i % 7 else "few words", f"host{i % 20}") for i in range(2000)] + [(9999, "few words", "tiny")]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, source STRING")
+    assert hr.host_verdicts(hr.with_counts(docs)).where("bad").count() == 0
