@@ -234,8 +234,10 @@ def fit(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", lang_c
                     found.append(windows_of(text[at : at + WINDOW])[0].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(found, pa.binary())], ["lang", "window"])
 
-    # The picked keys are at most train_docs for each language: small enough to be sent to every task.
-    sample = texts.join(F.broadcast(picked), ["key", "lang"]).select("lang", "text").mapInArrow(cut, "lang string, window binary")
+    # Written, so that their true size decides how the texts are joined: a few languages have few keys.
+    # Of rows that repeat a key in a language the least text counts, so one text a key goes on.
+    joined = texts.join(tables.written(picked, "picked"), ["key", "lang"]).groupBy("key", "lang").agg(F.min("text").alias("text"))
+    sample = joined.select("lang", "text").mapInArrow(cut, "lang string, window binary")
     rows = sorted((r["lang"], bytes(r["window"])) for r in sample.collect())
     if not rows:
         return None

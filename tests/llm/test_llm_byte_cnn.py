@@ -63,3 +63,13 @@ def test_the_held_out_fold_is_never_learned_from(spark):
     rows = [(i, "hello there" if zlib.crc32(str(i).encode()) % 5 else "never seen", "en" if zlib.crc32(str(i).encode()) % 5 else "xx") for i in range(200)]
     net = bc.fit(spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING"))
     assert net.languages == ["en"]
+
+
+def test_a_repeated_key_brings_one_text(spark, monkeypatch):
+    given = []
+    train = bc.train
+    monkeypatch.setattr(bc, "train", lambda x, labels, languages: given.append(len(x)) or train(x, labels, languages, epochs=1))
+    free = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5][:2]
+    rows = [(free[0], f"hello number {i}", "en") for i in range(3000)] + [(free[1], "der die das", "de")]
+    assert bc.fit(spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING")).languages == ["de", "en"]
+    assert given == [2]
