@@ -1454,3 +1454,32 @@ def union_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     for source, key, columns in (("up", F.col("o_orderkey").asc(), ["o_orderkey", "o_custkey"]), ("down", F.col("o_orderkey").desc(), ["o_orderkey", "o_totalprice"])):
         orders.select(*columns).repartitionByRange(5, key).sortWithinPartitions(key).write.option("maxRecordsPerFile", 40_000).parquet(f"{base}/{source}")
     return file_ordered_union(spark, {"up": f"{base}/up", "down": f"{base}/down"})
+
+
+from ..streaming.arrivals import run_arrivals  # noqa: E402
+
+
+@register(
+    "documents_arriving",
+    sql="""SELECT doc_id, source, 'ok' AS status, CAST(least(len(string_split(coalesce(text, ''), chr(10))), 10) AS INTEGER) AS answer_secure,
+  CAST(len(string_split(coalesce(text, ''), chr(10))) AS INTEGER) AS n_lines FROM documents
+UNION ALL SELECT -1 - doc_id, source, 'waiting', NULL, NULL FROM documents""",
+)
+def documents_arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents land in two goes; each is read in the run after its landing, and register rows without a file wait."""
+    base = scratch_path(spark, "arriving")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    register_rows = _register(spark, sf_dir).select("doc_id", "source")
+    name, content = F.concat(F.col("doc_id").cast("string"), F.lit(".pdf")), F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+
+    def read(found: DataFrame) -> DataFrame:
+        pages = found.select("doc_id", "source", EX.split_pages(F.decode("content", "UTF-8")).alias("pages"))
+        nested = J.read_documents_nested(pages, "source", "pages", B.PageReaderBackend(), B.InvoiceWriterBackend())
+        return nested.select("doc_id", "source", "status", "answer_secure", F.size(J.LINES).alias("n_lines"))
+
+    short = F.col("n_chars") < 1500
+    for part, rows in enumerate((docs.filter(short), docs.filter(~F.coalesce(short, F.lit(False))))):
+        D.write_containers(wide(rows), name, content, f"{base}/landing/part={part}")
+        run = run_arrivals(register_rows, "doc_id", D.stream_containers(spark, f"{base}/landing"), read, f"{base}/out", f"{base}/checkpoint")
+    waiting = run.waiting(register_rows).select("doc_id", "source", F.lit("waiting").alias("status"), F.lit(None).cast("int").alias("answer_secure"), F.lit(None).cast("int").alias("n_lines"))
+    return run.results().unionByName(waiting)

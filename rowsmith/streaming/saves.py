@@ -149,9 +149,13 @@ class SavedTable:
         """Columns of ``more`` and then of all saves; raises on types that clash."""
         return merged([*more, *[s.schema for s in self.saves()]])
 
-    def read(self, *more: T.StructType) -> DataFrame:
-        """All rows saved, with the columns of ``more`` first; an empty table when there is none."""
-        saves, schema = self.saves(), self.schema(*more)
+    @staticmethod
+    def folder(run: str, number: int) -> str:
+        return f"save-{run}-{number:06d}"
+
+    def read(self, *more: T.StructType, without: str | None = None) -> DataFrame:
+        """All rows saved, but for the save in the folder ``without``, with the columns of ``more`` first; an empty table when there is none."""
+        saves, schema = [s for s in self.saves() if s.folder != without], self.schema(*more)
         kinds: dict[str, list[Save]] = {}
         for s in saves:
             kinds.setdefault(s.schema.json(), []).append(s)
@@ -162,10 +166,10 @@ class SavedTable:
             out = part if i == 0 else out.unionByName(part)
         return out
 
-    def start(self) -> str:
-        """The name of a new run."""
+    def start(self, run: str | None = None) -> str:
+        """The name of a run, a new one without ``run``."""
         self._fs.mkdirs(self._path("_saves"))
-        return uuid.uuid4().hex[:12]
+        return run or uuid.uuid4().hex[:12]
 
     def save(self, df: DataFrame, run: str, number: int, rows_before: int = 0, input_rows: int | None = None) -> Save:
         """Write ``df`` and put its entry in place; a save of the same run and number is replaced.
@@ -173,7 +177,7 @@ class SavedTable:
         Rows and errors (of an ``error`` column) are counted while the rows are written.
         ``rows_done`` goes on by ``input_rows``, by the rows written without it.
         """
-        folder = f"save-{run}-{number:06d}"
+        folder = self.folder(run, number)
         errors = F.count("error") if "error" in df.columns else F.count(F.lit(None))
         seen = Observation()
         df.observe(seen, F.count(F.lit(1)).alias("rows"), errors.alias("errors")).write.mode("overwrite").parquet(f"{self.path}/{folder}")
