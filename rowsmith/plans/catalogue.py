@@ -1483,3 +1483,30 @@ def documents_arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
         run = run_arrivals(register_rows, "doc_id", D.stream_containers(spark, f"{base}/landing"), read, f"{base}/out", f"{base}/checkpoint")
     waiting = run.waiting(register_rows).select("doc_id", "source", F.lit("waiting").alias("status"), F.lit(None).cast("int").alias("answer_secure"), F.lit(None).cast("int").alias("n_lines"))
     return run.results().unionByName(waiting)
+
+
+from ..functions import content as CT  # noqa: E402
+
+
+def _fragment_sql(x: str) -> str:
+    decoded = _ENTITY_SQL.format(f"regexp_replace({x}, '(?s)<[^>]*>', ' ', 'g')")
+    return f"array_to_string(list_filter(string_split_regex({decoded}, '[\\x09-\\x0d ]+'), lambda w: w <> ''), ' ')"
+
+
+@register(
+    "page_content",
+    sql=f"""WITH s AS (SELECT page_id, string_split_regex(regexp_replace(html, '(?is)<head\\b.*?</head>|<script\\b.*?</script>|<style\\b.*?</style>|<!--.*?-->', ' ', 'g'),
+    '(?i)</?(p|div|article|section|main|td|th|tr|table|li|ul|ol|dl|dt|dd|h[1-6]|header|footer|nav|aside|body|head|html|title|br|hr|blockquote|pre|form|figure|figcaption)\\b[^>]*>') AS parts FROM pages),
+f AS (SELECT page_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS place FROM s),
+t AS (SELECT page_id, place, {_fragment_sql('part')} AS text, length({_fragment_sql("regexp_replace(part, '(?is)<a\\b[^>]*>.*?</a>', ' ', 'g')")}) AS plain FROM f),
+b AS (SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY place) AS k, text, length(text) - 3 * (length(text) - plain) - 30 AS score FROM t WHERE text <> ''),
+p AS (SELECT *, sum(score) OVER (PARTITION BY page_id ORDER BY k) AS upto FROM b),
+r AS (SELECT a.page_id, a.k AS from_k, z.k AS to_k, z.upto - a.upto + a.score AS total FROM p a JOIN p z ON a.page_id = z.page_id AND a.k <= z.k),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY total DESC, to_k, from_k DESC) AS rank FROM r) WHERE rank = 1),
+kept AS (SELECT b.page_id, string_agg(text, ' ' ORDER BY k) AS text FROM b JOIN best USING (page_id) WHERE total <= 0 OR k BETWEEN from_k AND to_k GROUP BY b.page_id)
+SELECT page_id, substr(coalesce(kept.text, ''), 1, 5000) AS text FROM pages LEFT JOIN kept USING (page_id)""",
+)
+def page_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the run of blocks with the best text and link density, of every page."""
+    pages = wide(table(spark, sf_dir, "pages").select("page_id", "html"))
+    return pages.select("page_id", CT.content_text("html").alias("text"))
