@@ -89,10 +89,19 @@ def file_ordered(spark, path: str, name: str = "row_id", schema=None) -> DataFra
     reader = spark.read if schema is None else spark.read.schema(schema)
     rows = reader.parquet(path)
     placed = rows.select("*", F.col("_metadata.file_path").alias("_fo_file"), F.col("_metadata.row_index").alias("_fo_at"))
-    # Column pruning leaves nothing but the metadata to this read.
+    # Column pruning leaves nothing but the metadata to this read. One row a file; summed up
+    # along the names in ranges, as ``row_index`` does, so that millions of files are no one task's.
     counts = rows.groupBy(F.col("_metadata.file_path").alias("_fo_of")).agg((F.max("_metadata.row_index") + 1).alias("_fo_n"))
-    before = Window.orderBy("_fo_of").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
-    starts = counts.select("_fo_of", F.coalesce(F.sum("_fo_n").over(before), F.lit(0)).alias("_fo_start"))
+    from ..session import checkpoint_root
+
+    checkpoint_root(spark)
+    ranged = counts.repartitionByRange(spark.sparkContext.defaultParallelism, "_fo_of").withColumn("_rs_pid", F.spark_partition_id()).checkpoint(eager=True)
+    upto = Window.rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy("_rs_pid").agg(F.sum("_fo_n").alias("_fo_n"))
+    ranges = sums.select(F.col("_rs_pid").alias("_rs_opid"), F.coalesce(F.sum("_fo_n").over(upto.orderBy("_rs_pid")), F.lit(0)).alias("_fo_range"))
+    within = F.coalesce(F.sum("_fo_n").over(upto.partitionBy("_rs_pid").orderBy("_fo_of")), F.lit(0))
+    starts = ranged.select("_fo_of", "_rs_pid", within.alias("_fo_in")).join(ranges, F.col("_rs_pid") == F.col("_rs_opid"))
+    starts = starts.select("_fo_of", (F.col("_fo_range") + F.col("_fo_in")).alias("_fo_start"))
     joined = placed.join(starts, F.col("_fo_file") == F.col("_fo_of"))
     return joined.select(*[F.col(f"`{c}`") for c in rows.columns if c != name], (F.col("_fo_start") + F.col("_fo_at")).alias(name))
 
