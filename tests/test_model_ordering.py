@@ -71,6 +71,13 @@ def test_row_index_matches_window(spark, partitions):
     assert sorted(r["row_id"] for r in glob) == list(range(len(rows)))
 
 
+def test_row_index_without_a_shuffle_partition_setting(spark):
+    own = spark.newSession()
+    own.conf.unset("spark.sql.shuffle.partitions")  # as on a cluster that never set it
+    df = own.range(1000).select((F.col("id") * 7 % 1000).alias("k"))
+    assert row_index(df, ["k"]).filter("row_id <> k").count() == 0
+
+
 def test_every_nth(spark):
     df = row_index(spark.range(100).withColumnRenamed("id", "k"), ["k"])
     assert [r["k"] for r in every_nth(df, "row_id", 25).orderBy("k").collect()] == [24, 49, 74, 99]
