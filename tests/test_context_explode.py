@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rowsmith.operators import explode as EX
 from rowsmith.operators import metrics as MT
-from rowsmith.operators.context import invoice_context, running_history
+from rowsmith.operators.context import invoice_context, ordered_groups, running_history
 
 LINES = [
     # creditor, invoice, line, text, qty, price
@@ -123,6 +123,18 @@ def test_ordered_groups_of_a_hot_key(spark, monkeypatch):
         assert got[k] == [x[1:] for x in sorted(v, key=lambda x: (x[0], x[1], x[2] is not None, x[2] or 0))]
 
 
+def test_ordered_groups_moves_rows_once(spark):
+    df = spark.range(30_000, numPartitions=6).select((F.col("id") % 3 * (F.col("id") % 2)).alias("k"), (-F.col("id")).alias("o"), F.col("id").cast("string").alias("v"))
+    out = ordered_groups(df, ["k"], "o", {"v": "v"})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partial_collect_list" in plan  # listed where the rows lie, then met once
+    got = {r.k: [x.v for x in r["items"]] for r in out.collect()}
+    want = {}
+    for i in reversed(range(30_000)):
+        want.setdefault(i % 3 * (i % 2), []).append(str(i))
+    assert got == want
+
+
 def test_chunks_bound_every_first_level_group(spark):
     from rowsmith.operators.context import chunked
 
