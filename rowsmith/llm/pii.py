@@ -13,8 +13,11 @@
    the span's own context. Wrong ones are candidates that fail a check of their kind
    (:func:`fails`) and damaged copies of right ones (:func:`damaged`). A candidate
    that touches no base span and fails no check is no example: it is what is sought.
-   At most ``TRAIN_CANDIDATES`` are used, as many of each kind, right and wrong, the
-   first by hash.
+   All of them are used. So that no kind decides alone, the right and the wrong ones of a
+   kind count as at most ``SORT_WEIGHT`` examples together, each the same. Examples of
+   equal bins are one row with their number; of more than ``IN_MEMORY`` such rows Spark
+   sums the gradients by node, feature and bin, a job for each level of a tree, and the
+   driver gets these sums alone. They are sums of whole numbers, the same in any order.
 4. A third of them, by the span they come from, is held back to calibrate: for each
    kind the least threshold with a precision of ``PRECISION`` over it. A kind without
    such a threshold adds nothing.
@@ -34,21 +37,26 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import tables
 
 KINDS = ("email", "ip", "card", "phone")
-TRAIN_CANDIDATES = 20_000
+#: What the examples of a kind, right or wrong, count as together, however many more there are.
+SORT_WEIGHT = 2_500
+#: Weights and gradients are summed as multiples of 1 / UNIT: whole numbers that a double holds exactly.
+UNIT = 2.0**38
 PRECISION = 0.995
+#: Rows of different bins up to which the driver sums them itself, as a job a level would take longer.
+IN_MEMORY = 20_000
+#: Steps of the score from 0 to 1: scores within one share a threshold.
+SCORE_STEPS = 1 << 14
 ROUNDS, DEPTH, BINS, RATE = 40, 3, 32, 0.25
 #: Characters of context looked at on either side of a candidate.
 CONTEXT = 24
@@ -305,62 +313,86 @@ class Trees:
         return np.stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(self.edges)], axis=1).astype(np.int64)
 
     def scores(self, x: np.ndarray) -> np.ndarray:
-        b, total = self.bins(x), np.full(len(x), self.bias)
-        for f, c, leaf in zip(self.feature, self.cut, self.leaf):
+        return self.binned_scores(self.bins(x))
+
+    def binned_scores(self, b: np.ndarray, trees: int = ROUNDS) -> np.ndarray:
+        """Scores by the first so many trees."""
+        total = np.full(len(b), self.bias)
+        for f, c, leaf in zip(self.feature[:trees], self.cut[:trees], self.leaf):
             total += leaf[_descend(b, f, c)]
         return 1 / (1 + np.exp(-total))
 
 
-def _descend(b: np.ndarray, feature: np.ndarray, cut: np.ndarray) -> np.ndarray:
+def _descend(b: np.ndarray, feature: np.ndarray, cut: np.ndarray, depth: int = DEPTH) -> np.ndarray:
+    """Where each row stands in the level ``depth`` of a tree."""
     node = np.zeros(len(b), np.int64)
-    for _ in range(DEPTH):
+    for _ in range(depth):
         node = 2 * node + 1 + (b[np.arange(len(b)), feature[node]] > cut[node])
-    return node - (2**DEPTH - 1)
+    return node - (2**depth - 1)
+
+
+def level_sums(model: Trees, tree: int, depth: int, b: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Gradients and curvatures of the logistic loss (2, nodes, features, bins), in whole multiples of 1 / UNIT."""
+    p = model.binned_scores(b, tree)
+    g, h = np.rint(UNIT * weight * (p - y)), np.rint(UNIT * weight * np.maximum(p * (1 - p), 1e-6))
+    node, width = _descend(b, model.feature[tree], model.cut[tree], depth), 2**depth
+    out = np.empty((2, width, b.shape[1], BINS + 1))
+    for j in range(b.shape[1]):
+        at = node * (BINS + 1) + b[:, j]
+        out[0, :, j], out[1, :, j] = (np.bincount(at, v, width * (BINS + 1)).reshape(width, -1) for v in (g, h))
+    return out
 
 
-def boost(x: np.ndarray, y: np.ndarray) -> Trees:
-    """Trees for the logistic loss, by gradient and curvature sums over bins."""
-    edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1], method="lower")) for j in range(x.shape[1])]
-    rate = min(max(y.mean(), 1e-3), 1 - 1e-3)
+def grown(edges: list[np.ndarray], rate: float, sums: Callable[[Trees, int, int], np.ndarray]) -> Trees:
+    """Trees for the logistic loss; ``sums`` gives the ``level_sums`` of all examples for a level of the tree that grows."""
+    rate = min(max(rate, 1e-3), 1 - 1e-3)
     model = Trees(edges, np.zeros((ROUNDS, 2**DEPTH - 1), np.int64), np.full((ROUNDS, 2**DEPTH - 1), BINS), np.zeros((ROUNDS, 2**DEPTH)), float(np.log(rate / (1 - rate))), np.full(len(KINDS), np.inf))
-    b, total = model.bins(x), np.full(len(x), model.bias)
     for t in range(ROUNDS):
-        p = 1 / (1 + np.exp(-total))
-        g, h = p - y, np.maximum(p * (1 - p), 1e-6)
-        node = np.zeros(len(x), np.int64)
         for depth in range(DEPTH):
-            first, width = 2**depth - 1, 2**depth
-            best = np.full(width, 1e-6)
-            for j in range(x.shape[1]):
-                at = (node - first) * (BINS + 1) + b[:, j]
-                gl = np.bincount(at, g, width * (BINS + 1)).reshape(width, -1).cumsum(axis=1)
-                hl = np.bincount(at, h, width * (BINS + 1)).reshape(width, -1).cumsum(axis=1)
-                gr, hr = gl[:, -1:] - gl, hl[:, -1:] - hl
-                gain = gl**2 / (hl + 1) + gr**2 / (hr + 1) - gl[:, -1:] ** 2 / (hl[:, -1:] + 1)
-                top = gain.argmax(axis=1)
-                better = gain[np.arange(width), top] > best
-                best = np.where(better, gain[np.arange(width), top], best)
-                model.feature[t, first : first + width][better] = j
-                model.cut[t, first : first + width][better] = top[better]
-            node = 2 * node + 1 + (b[np.arange(len(x)), model.feature[t, node]] > model.cut[t, node])
-        leaf = node - (2**DEPTH - 1)
-        model.leaf[t] = -RATE * np.bincount(leaf, g, 2**DEPTH) / (np.bincount(leaf, h, 2**DEPTH) + 1)
-        total += model.leaf[t][leaf]
+            gl, hl = sums(model, t, depth).cumsum(axis=3) / UNIT
+            gr, hr = gl[..., -1:] - gl, hl[..., -1:] - hl
+            gain = gl**2 / (hl + 1) + gr**2 / (hr + 1) - gl[..., -1:] ** 2 / (hl[..., -1:] + 1)
+            first, nodes = 2**depth - 1, np.arange(2**depth)
+            best = np.full(len(nodes), 1e-6)
+            for j in range(len(edges)):
+                top = gain[:, j].argmax(axis=1)
+                better = gain[nodes, j, top] > best
+                best = np.where(better, gain[nodes, j, top], best)
+                model.feature[t, first : first + len(nodes)][better] = j
+                model.cut[t, first : first + len(nodes)][better] = top[better]
+        # The leaves are the two sides of the last level's splits.
+        split = nodes, model.feature[t, first:], model.cut[t, first:]
+        g, h = (np.stack([left[split], right[split]], axis=1).ravel() for left, right in ((gl, gr), (hl, hr)))
+        model.leaf[t] = -RATE * g / (h + 1)
     return model
 
 
+#: Which parts of the examples lie below the edges of the bins.
+PARTS = np.linspace(0, 1, BINS + 1)[1:-1]
+
+
+def boost(x: np.ndarray, y: np.ndarray) -> Trees:
+    """Trees from examples in memory, each of weight 1."""
+    edges = [np.unique(np.quantile(x[:, j], PARTS, method="lower")) for j in range(x.shape[1])]
+    b = np.stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(edges)], axis=1).astype(np.int64)
+    return grown(edges, float(y.mean()), lambda model, t, depth: level_sums(model, t, depth, b, y, np.ones(len(y))))
+
+
+def _threshold(score: np.ndarray, right: np.ndarray, all_: np.ndarray, precision: float, least: float) -> float:
+    """The least score over which the candidates are right often enough; ``right`` and ``all_`` are their weights."""
+    order = np.argsort(-score, kind="stable")
+    score, right, rank = score[order], right[order].cumsum(), all_[order].cumsum()
+    last = np.append(score[1:] < score[:-1], True) if len(order) else np.empty(0, bool)  # equal scores stand together
+    good = np.flatnonzero(last & (right >= precision * rank) & (right >= least))
+    return max(0.5, float(score[good[-1]])) if len(good) else np.inf
+
+
 def calibrate(model: Trees, x: np.ndarray, y: np.ndarray, precision: float = PRECISION, least: int = 20) -> None:
     """For each kind the least threshold over which the held-back candidates are right often enough."""
     p = model.scores(x)
     for k in range(len(KINDS)):
         own = x[:, 0] == k
-        order = np.argsort(-p[own], kind="stable")
-        score, right = p[own][order], y[own][order].cumsum()
-        rank = np.arange(1, len(order) + 1)
-        last = np.append(score[1:] < score[:-1], True) if len(order) else np.empty(0, bool)  # equal scores stand together
-        good = np.flatnonzero(last & (right >= precision * rank) & (right >= least))
-        if len(good):
-            model.thresholds[k] = max(0.5, score[good[-1]])
+        model.thresholds[k] = _threshold(p[own], y[own], np.ones(int(own.sum())), precision, least)
 
 
 # -- the operator -----------------------------------------------------------------
@@ -381,8 +413,8 @@ class Taken:
         return self.marks.find(1, start, end) >= 0
 
 
-def fit(docs: DataFrame, text_col: str = "text", most: int = TRAIN_CANDIDATES) -> Trees | None:
-    """Trees from a bounded sample of the corpus's candidates; None without right and wrong ones."""
+def fit(docs: DataFrame, text_col: str = "text", sort_weight: int = SORT_WEIGHT, in_memory: int = IN_MEMORY) -> Trees | None:
+    """Trees from all the corpus's candidates; None without right and wrong ones."""
 
     def label(batches):
         for b in batches:
@@ -409,25 +441,115 @@ def fit(docs: DataFrame, text_col: str = "text", most: int = TRAIN_CANDIDATES) -
 
     found = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(label, "kind int, good boolean, held boolean, place long, row binary")
     found = tables.written(found.distinct(), "candidates")  # many copies of a document are one example
-    # Places are spread evenly over 32 bits, so a cut by their number leaves about twice
-    # as many as wanted of each sort: no task sends the driver more than its share of them.
-    each = max(1, most // (2 * len(KINDS)))
-    cuts = [((F.col("kind") == r["kind"]) & (F.col("good") == r["good"]), min(1.0, (2 * each + 64) / r["count"])) for r in found.groupBy("kind", "good").count().collect()]
-    rows, taken = [], Counter()
-    for r in sorted(found.where(reduce(or_, [sort & (F.col("place") <= int(cut * 2**32)) for sort, cut in cuts], F.lit(False))).collect(), key=lambda r: (r["place"], r["row"], r["good"])):
-        taken[r["kind"], r["good"]] += 1
-        if taken[r["kind"], r["good"]] <= each:
-            rows.append(r)
-    y = np.array([r["good"] for r in rows], float)
-    held = np.array([r["held"] for r in rows], bool)
-    if not len(y) or len(set(y[~held])) < 2:
+    counts = {(r["kind"], r["good"], r["held"]): r["count"] for r in found.groupBy("kind", "good", "held").count().collect()}
+    if {good for _, good, held in counts if not held} != {False, True}:
         return None
-    x = np.frombuffer(b"".join(bytes(r["row"]) for r in rows), np.float32).reshape(len(rows), N_FEATURES).astype(float)
-    model = boost(x[~held], y[~held])
-    calibrate(model, x[held], y[held])
+    # What one example weighs, by kind and right or wrong, in multiples of 1 / UNIT.
+    weights = np.array([[np.rint(UNIT * min(1.0, sort_weight / max(1, sum(counts.get((k, good, h), 0) for h in (False, True))))) for good in (False, True)] for k in range(len(KINDS))])
+    learnt = {good: sum(weights[k, int(g)] * n for (k, g, held), n in counts.items() if g == good and not held) for good in (False, True)}
+    edges = _edges(found.where(~F.col("held")), weights, sum(learnt.values()))
+    examples = _binned(found, Trees(edges, *[np.empty(0)] * 3, 0.0, np.empty(0)))
+    training = examples.where(~F.col("held")).drop("held")
+    sums = lambda model, t, depth: _summed(training, model, t, depth, weights)
+    if training.count() <= in_memory:
+        b, y, weight = _weighted(training.toArrow().combine_chunks().to_batches()[0], weights)
+        sums = lambda model, t, depth: level_sums(model, t, depth, b, y, weight)
+    model = grown(edges, learnt[True] / sum(learnt.values()), sums)
+    _calibrated(examples.where("held"), model, weights)
     return model
 
 
+def _rows(b: pa.RecordBatch, kind: type) -> np.ndarray:
+    """Features or bins of a batch of examples."""
+    return np.frombuffer(b"".join(b.column("row").to_pylist()), kind).reshape(b.num_rows, N_FEATURES)
+
+
+def _weights(b: pa.RecordBatch, weights: np.ndarray) -> np.ndarray:
+    """What one of each example weighs."""
+    return weights[b.column("kind").to_numpy(), b.column("good").to_numpy(zero_copy_only=False).astype(np.int64)]
+
+
+def _weighted(b: pa.RecordBatch, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bins, whether they are right, and weights of a batch of ``_binned``."""
+    y = b.column("good").to_numpy(zero_copy_only=False).astype(float)
+    return _rows(b, np.uint8).astype(np.int64), y, _weights(b, weights) / UNIT * b.column("n").to_numpy()
+
+
+def _edges(found: DataFrame, weights: np.ndarray, total: float) -> list[np.ndarray]:
+    """Edges of the bins of each feature: the values below which the ``PARTS`` of all examples lie, by weight.
+
+    Features are counts, marks and shares of at most CONTEXT characters, so a feature has
+    few different values, at most as many as there are lengths of candidates.
+    """
+
+    def count(batches):
+        for b in batches:
+            x, weight = _rows(b, np.float32), _weights(b, weights)
+            for j in range(N_FEATURES):
+                value, at = np.unique(x[:, j], return_inverse=True)
+                summed = np.bincount(at, weight, len(value)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(value), j, np.int32)), pa.array(value), pa.array(summed)], ["feature", "value", "weight"])
+
+    values = found.mapInArrow(count, "feature int, value float, weight long").groupBy("feature", "value").agg(F.sum("weight").alias("weight"))
+    below = F.sum("weight").over(Window.partitionBy("feature").orderBy("value"))
+    places = F.lit([float(p) for p in PARTS * (total - UNIT)])
+    edges = values.withColumn("below", below).where(F.exists(places, lambda p: (p < F.col("below")) & (p >= F.col("below") - F.col("weight"))))
+    out: list[list[float]] = [[] for _ in range(N_FEATURES)]
+    for r in edges.collect():  # at most BINS - 1 a feature
+        out[r["feature"]].append(r["value"])
+    return [np.array(sorted(e), float) for e in out]
+
+
+def _binned(found: DataFrame, model: Trees) -> DataFrame:
+    """(kind, good, held, row, n): the bins of the examples, a byte a feature, and how many have these."""
+
+    def bin_(batches):
+        for b in batches:
+            if b.num_rows:
+                rows = model.bins(_rows(b, np.float32).astype(float)).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("kind", "good", "held")), pa.array([r.tobytes() for r in rows], pa.binary())], ["kind", "good", "held", "row"])
+
+    binned = found.mapInArrow(bin_, "kind int, good boolean, held boolean, row binary")
+    return tables.written(binned.groupBy("kind", "good", "held", "row").agg(F.count(F.lit(1)).alias("n")), "examples")
+
+
+def _summed(examples: DataFrame, model: Trees, tree: int, depth: int, weights: np.ndarray) -> np.ndarray:
+    """``level_sums`` over all examples: a task sums its own, Spark sums those of the tasks."""
+    shape = 2, 2**depth, N_FEATURES, BINS + 1
+
+    def sums(batches):
+        total = np.zeros(shape)
+        for b in batches:
+            total += level_sums(model, tree, depth, *_weighted(b, weights))
+        g, h = total.reshape(2, -1).astype(np.int64)
+        cell = np.flatnonzero(h)
+        yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(g[cell]), pa.array(h[cell])], ["cell", "g", "h"])
+
+    cells = examples.mapInArrow(sums, "cell int, g long, h long").groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow()
+    out = np.zeros((2, int(np.prod(shape[1:]))))
+    at = cells.column("cell").to_numpy()
+    out[0, at], out[1, at] = cells.column("g").to_numpy(), cells.column("h").to_numpy()
+    return out.reshape(shape)
+
+
+def _calibrated(held: DataFrame, model: Trees, weights: np.ndarray, least: int = 20) -> None:
+    """``calibrate`` over all held-back examples: their weights are summed by kind and step of the score."""
+
+    def score(batches):
+        for b in batches:
+            rows, y, weight = _weighted(b, weights)
+            p, weight = model.binned_scores(rows), (UNIT * weight).astype(np.int64)
+            columns = [(p * SCORE_STEPS).astype(np.int32), p, weight * y.astype(np.int64), weight]
+            yield pa.RecordBatch.from_arrays([b.column("kind"), *(pa.array(c) for c in columns)], ["kind", "step", "score", "good", "all"])
+
+    scored = held.mapInArrow(score, "kind int, step int, score double, good long, all long").groupBy("kind", "step")
+    steps = scored.agg(F.min("score").alias("score"), F.sum("good").alias("good"), F.sum("all").alias("all")).toArrow()
+    kind, p, right, all_ = (steps.column(c).to_numpy() for c in ("kind", "score", "good", "all"))
+    for k in range(len(KINDS)):
+        own = kind == k
+        model.thresholds[k] = _threshold(p[own], right[own] / UNIT, all_[own] / UNIT, PRECISION, least)
+
+
 def added_spans(texts: list[str], base: list[list[tuple]], model: Trees | None) -> list[list[tuple]]:
     """(kind, start, end) of the candidates over their threshold, best first, clear of base spans and each other."""
     more: list[list[tuple]] = [[] for _ in texts]

@@ -162,3 +162,33 @@ def test_long_addresses_are_proposed_whole():
     assert len(pii.candidates(text)) == pii.ENDS + 1
     for t in ("@" * 50_000, "a@" * 50_000, "a@b." * 50_000, "a (at) b" + " (dot) c" * 50_000):
         assert len(pii.candidates(t)) <= len(t)
+
+
+def test_trees_learn_from_all_candidates(spark, monkeypatch):
+    """However many there are of a sort: none is left out, and all of them together weigh no more than a sort may."""
+    df = spark.createDataFrame([(i, t) for i, t, _ in people()], "doc_id LONG, text STRING").repartition(3)
+    seen = []
+    sums = pii.level_sums
+    monkeypatch.setattr(pii, "level_sums", lambda m, t, d, b, y, w: seen.append((b, w)) or sums(m, t, d, b, y, w))
+    pii.fit(df, sort_weight=10**6)
+    whole, n = seen[0][0], seen[0][1].sum()  # weight 1 each
+    seen.clear()
+    model = pii.fit(df, sort_weight=25)
+    assert len(seen[0][0]) > 8 * 25 and seen[0][1].sum() <= 8 * 25 < n
+    assert len(whole) <= n and model is not None
+
+
+def test_sums_by_spark_are_those_in_memory(spark):
+    df = spark.createDataFrame([(i, t) for i, t, _ in people(100)], "doc_id LONG, text STRING").repartition(3)
+    one, other = pii.fit(df, sort_weight=200), pii.fit(df.repartition(5), sort_weight=200, in_memory=0)
+    assert all((getattr(one, a) == getattr(other, a)).all() for a in ("feature", "cut", "leaf", "thresholds"))
+
+
+def test_weights_stand_for_repeated_examples():
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 6, size=(300, pii.N_FEATURES)).astype(float)
+    y = (x[:, 1] > 2).astype(float)
+    n = rng.integers(1, 5, 300)
+    many = pii.boost(np.repeat(x, n, axis=0), np.repeat(y, n))
+    one = pii.grown(many.edges, float((y * n).sum() / n.sum()), lambda m, t, d: pii.level_sums(m, t, d, m.bins(x), y, n))
+    assert (one.feature == many.feature).all() and (one.cut == many.cut).all() and np.allclose(one.leaf, many.leaf)
