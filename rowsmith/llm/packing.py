@@ -41,6 +41,8 @@ WINDOW = 2048
 UNIT = 16
 DEPTH = 3
 END_ID = 1
+#: Bytes of ids to a task that sorts pieces with their ids into sequences.
+TASK_BYTES = 16 << 20
 
 
 # -- the plan, on the histogram -------------------------------------------------
@@ -186,6 +188,10 @@ def assign(pieces: DataFrame, window: int = WINDOW, unit: int = UNIT, depth: int
         (F.col("sequence") + F.floor((F.col("_rank") - F.col("low")) / F.col("many"))).cast("long").alias("sequence_id"),
         (F.col("slot") + (F.col("_rank") - F.col("low")) % F.col("many")).alias("_slot"),
     )
+    if "ids" in carried:
+        # Ids make rows of up to four bytes a token: tasks go by them, whatever the session's number of partitions.
+        held = 4 * unit * sum(k * n for k, n in histogram.items())
+        placed = placed.repartition(max(1, -(-held // TASK_BYTES)), "sequence_id")
     inside = Window.partitionBy("sequence_id").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     return placed.select(*carried, "sequence_id", F.coalesce(F.sum("length").over(inside), F.lit(0)).alias("offset"))
 

@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from llm_cases import documents, frame
+from pyspark.sql import functions as F
 
 from rowsmith.llm import packing, tokens, wordtable
 from rowsmith.llm import token_counts as tc
@@ -200,6 +201,21 @@ def test_packing(spark, library):
     assert packing.pack(frame(spark, []), PATH).count() == 0
 
 
+def test_ids_are_sorted_in_tasks_of_bounded_size(spark, monkeypatch):
+    """More ids give more tasks, whatever the session's number of shuffle partitions."""
+
+    def packed():
+        rows = packing.pack(frame(spark), PATH, window=64, unit=8).withColumn("task", F.spark_partition_id()).collect()
+        return sorted(((r["sequence_id"], r["offset"], r["length"]) for r in rows)), {r["task"] for r in rows}, sum(r["length"] for r in rows)
+
+    plain, tasks, total = packed()
+    assert len(tasks) == 1 and 4 * total < packing.TASK_BYTES
+    monkeypatch.setattr(packing, "TASK_BYTES", 4096)
+    small, tasks, _ = packed()
+    assert small == plain
+    assert len(tasks) >= 4 * total // 4096 // 2 > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_ids_beyond_16_bits_are_refused(spark):
     docs = frame(spark)
     with pytest.raises(ValueError, match="16 bits"):
