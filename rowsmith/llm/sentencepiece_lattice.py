@@ -11,15 +11,17 @@ their occurrences, so the lattice is built for distinct units only:
    Viterbi is a fold over the edges with ``aggregate``. Of equal paths the one with the longest last piece wins, as in the library. A
    character without a piece costs the model's unknown penalty and becomes its bytes.
 2. ``encode``: units of a sample of documents, of bounded number, form a dictionary of at most
-   ``DICTIONARY`` units that every task has. Documents name the units they hold
-   beyond it; those get their paths the same way and come back to their documents as
-   a small dictionary of each. The sample decides what moves, never the result.
+   ``DICTIONARY`` units that every task has. Documents are dealt, compressed, in blocks of
+   about ``BLOCK_BYTES`` of text. A block names each unit it holds beyond the dictionary
+   once, whatever the number of its documents; those units get their paths the same way
+   and come back to their block. Names and paths move many to a row, as one text and one
+   run of ids. The sample and the blocks decide what moves, never the result.
 3. ``decode``: pieces and bytes are put together again.
 
 Scores are taken as those of a unigram model, whatever trained them: the result is
 the path of the highest sum of scores, equal to the library's for the same file read
 as a unigram model. Units beyond ``LONG_UNIT`` characters (texts with no place to
-cut) are folded in Python, in time linear in their length.
+cut) are folded in Python, in time linear in their length, where their block is.
 
 Defined results: a null or empty text has no ids and decodes to the empty text;
 U+2581 itself in a text decodes as a space, as in the library; rows are encoded one
@@ -29,6 +31,8 @@ empty result; other input columns are not looked at, whatever their names.
 
 from __future__ import annotations
 
+import hashlib
+import zlib
 from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
@@ -39,6 +43,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import tables
 from .tokens import grouped, id_arrays, text_bytes, vocabulary_path
@@ -49,6 +54,8 @@ SPACE = "▁"
 DICTIONARY = 1 << 17
 SAMPLE_DOCS = 20_000
 LONG_UNIT = 64
+#: Bytes of text in a block; a longer text is a block of its own.
+BLOCK_BYTES = 1 << 23
 #: In place of an id: a unit that is not in the dictionary.
 ELSEWHERE = 0xFFFFFFFF
 #: How much less than the least score an unknown character scores (the library's value).
@@ -132,25 +139,22 @@ def fold_long(unit: str, model: Pieces) -> list[int]:
 TASK_UNITS = 16_384
 
 
-def best_paths(words: DataFrame, path: str, rows: int) -> DataFrame:
-    """(``unit``, ``ids``) for the distinct values of ``unit`` (spaces written as U+2581).
+def _folded(short: DataFrame, path: str) -> DataFrame:
+    """The rows of ``short``, each with the ``ids`` of its ``unit``, of at most ``LONG_UNIT`` characters.
 
-    ``rows``, about how many units there are, sets the number of tasks: a unit is a
-    few bytes and its lattice a hundred times that, so sizes in bytes do not tell.
+    Rows are grouped by all their columns: where ``short`` is dealt by some of them, nothing moves.
     """
-    spark, model = words.sparkSession, pieces(path)
-    table = spark.createDataFrame([(p, i, s) for p, (i, s) in model.table.items()], "piece string, id int, score double")
-    distinct = words.select("unit").distinct().repartition(max(1, -(-rows // TASK_UNITS)), "unit")
-    short = distinct.where(F.char_length("unit") <= LONG_UNIT)
+    model, own = pieces(path), short.columns
+    table = short.sparkSession.createDataFrame([(p, i, s) for p, (i, s) in model.table.items()], "piece string, id int, score double")
     n = F.char_length("unit")
-    starts = short.select("unit", F.explode(F.sequence(F.lit(0), n - 1)).alias("start"))
-    ends = starts.select("unit", "start", F.explode(F.sequence(F.col("start") + 1, F.least(F.col("start") + model.longest, n))).alias("end"))
-    spanned = ends.select("unit", "start", "end", F.substring("unit", F.col("start") + 1, F.col("end") - F.col("start")).alias("piece"))
+    starts = short.select(*own, F.explode(F.sequence(F.lit(0), n - 1)).alias("start"))
+    ends = starts.select(*own, "start", F.explode(F.sequence(F.col("start") + 1, F.least(F.col("start") + model.longest, n))).alias("end"))
+    spanned = ends.select(*own, "start", "end", F.substring("unit", F.col("start") + 1, F.col("end") - F.col("start")).alias("piece"))
     # The piece table is the model's own: its size does not depend on the data.
     known = spanned.join(F.broadcast(table), "piece", "left").where("id is not null or end = start + 1")
     # An unknown character is noted by its place, as -1 - start, and spelled at the end.
     edge = F.struct("end", "start", F.coalesce("id", -1 - F.col("start")).alias("id"), F.coalesce("score", F.lit(model.unknown)).alias("score"))
-    lattice = known.groupBy("unit").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+    lattice = known.groupBy(*own).agg(F.sort_array(F.collect_list(edge)).alias("edges"))
 
     def step(best: Column, e: Column) -> Column:
         """Edges come by end and start; ``best`` holds score and ids for each place reached so far."""
@@ -172,9 +176,19 @@ def best_paths(words: DataFrame, path: str, rows: int) -> DataFrame:
             F.sequence(F.lit(1), F.char_length(digits), F.lit(2)), lambda k: byte[F.conv(F.substring(digits, k, F.lit(2)), 16, 10).cast("int")]
         )
 
-    folded = lattice.select("unit", F.aggregate("edges", nothing, step, lambda best: F.element_at(best, -1)["ids"]).alias("path"))
+    folded = lattice.select(*own, F.aggregate("edges", nothing, step, lambda best: F.element_at(best, -1)["ids"]).alias("path"))
     ids = F.when(F.exists("path", lambda x: x < 0), F.flatten(F.transform("path", lambda x: F.when(x < 0, spelled(x)).otherwise(F.array(x)))))
-    done = folded.select("unit", ids.otherwise(F.col("path")).alias("ids"))
+    return folded.select(*own, ids.otherwise(F.col("path")).alias("ids"))
+
+
+def best_paths(words: DataFrame, path: str, rows: int) -> DataFrame:
+    """(``unit``, ``ids``) for the distinct values of ``unit`` (spaces written as U+2581).
+
+    ``rows``, about how many units there are, sets the number of tasks: a unit is a
+    few bytes and its lattice a hundred times that, so sizes in bytes do not tell.
+    """
+    distinct = words.select("unit").distinct().repartition(max(1, -(-rows // TASK_UNITS)), "unit")
+    done = _folded(distinct.where(F.char_length("unit") <= LONG_UNIT), path)
 
     def fold(batches):
         own = pieces(path)
@@ -276,6 +290,8 @@ class _Shared:
 
     id: str
     broadcast: object
+    #: At most about so many units are beyond it, by those of the sample that are.
+    beyond: int
 
     @property
     def data(self) -> bytes:
@@ -308,15 +324,113 @@ def _dictionary(docs: DataFrame, path: str, sample_docs: int, most: int) -> _Sha
     for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("m")).orderBy(F.col("n").desc()).collect():
         total += r["m"]
         if total > most:
-            often = r["n"] + 1
-            break
+            often = max(often, r["n"] + 1)
     words = counts.where(F.col("n") >= often).select("unit")
     known = best_paths(words, path, min(total, most)).toArrow()
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, known.schema) as w:
         w.write_table(known)
     shared = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
-    return _Shared(uuid4().hex, shared)
+    return _Shared(uuid4().hex, shared, int((total - known.num_rows) / share))
+
+
+def _packed(batches):
+    """Consecutive rows as blocks: one value of each, compressed, under a number made of it."""
+    squeeze = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
+    parts = (x for b in tables.sliced(batches, 64) for x in tables.sliced([b], 64 if b.nbytes <= BLOCK_BYTES else 1))
+    for group in grouped(parts, lambda b: b.nbytes, BLOCK_BYTES):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, group[0].schema, options=squeeze) as w:
+            w.write_table(pa.Table.from_batches(group).combine_chunks())
+        rows = sink.getvalue().to_pybytes()
+        number = int.from_bytes(hashlib.blake2b(rows, digest_size=8).digest(), "little", signed=True)
+        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([rows], pa.binary())], ["block", "rows"])
+
+
+def _unpacked(table: pa.Table):
+    """The rows of each block of a group."""
+    for rows in table.column("rows"):
+        yield from pa.ipc.open_stream(rows.as_buffer()).read_all().combine_chunks().to_batches()
+
+
+#: Units, which write a space as U+2581, are joined by this.
+BETWEEN = " "
+_ASKED = "bucket int, block long, units string"
+_ANSWERS = "block long, units string, sizes binary, ids binary"
+#: Buckets of units to a task of the lattice.
+TASK_BUCKETS = 4
+
+
+def _asked(block: int, words: set[str], buckets: int) -> pa.Table:
+    """A block's units beyond the dictionary, by bucket, each once."""
+    dealt: dict[int, list[str]] = {}
+    for w in sorted(words):
+        dealt.setdefault(zlib.crc32(w.encode()) % buckets, []).append(w)
+    rows = [pa.array(dealt, pa.int32()), pa.array([block] * len(dealt), pa.int64()), pa.array(map(BETWEEN.join, dealt.values()), pa.string())]
+    return pa.Table.from_arrays(rows, names=["bucket", "block", "units"])
+
+
+def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Places ``start`` to ``start + size`` of each, one after the other."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
+def _answered(asked: pa.Table, found: pa.Table) -> pa.Table:
+    """What each block asked a bucket, with the ids of its units."""
+    ids = found.column("ids").combine_chunks()
+    cut, flat = ids.offsets.to_numpy().astype(np.int64), ids.values.to_numpy().astype("<u4")
+    place = {w: i for i, w in enumerate(found.column("unit").to_pylist())}
+    blocks, sizes, packed = asked.column("block"), [], []
+    for units_ in asked.column("units").to_pylist():
+        at = np.array([place[w] for w in units_.split(BETWEEN)])
+        size = cut[at + 1] - cut[at]
+        sizes.append(size.astype("<u2").tobytes())
+        packed.append(_narrow(flat[_spans(cut[at], size)]))
+    rows = [blocks, asked.column("units"), pa.array(sizes, pa.binary()), pa.array(packed, pa.binary())]
+    return pa.Table.from_arrays(rows, names=["block", "units", "sizes", "ids"])
+
+
+def _narrow(ids: np.ndarray) -> bytes:
+    """Ids as their low halves, then their high halves: the latter are mostly zeros and shrink to nothing."""
+    return np.ascontiguousarray(ids.astype("<u4").view("<u2").reshape(-1, 2).T).tobytes()
+
+
+def _wide(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, "<u2").reshape(2, -1).T).view("<u4").ravel()
+
+
+class _Answers:
+    """The ids of a block's units beyond the dictionary."""
+
+    def __init__(self, path: str, table: pa.Table):
+        self.model = pieces(path)
+        self.place: dict[str, int] = {}
+        for units_ in table.column("units").to_pylist():
+            for w in units_.split(BETWEEN):
+                self.place[w] = len(self.place)
+        sizes = np.frombuffer(b"".join(table.column("sizes").to_pylist()), "<u2").astype(np.int64)
+        self.cut = [0, *np.cumsum(sizes).tolist()]
+        self.ids = np.concatenate([np.empty(0, np.uint32), *map(_wide, table.column("ids").to_pylist())])
+        self.others: dict[str, np.ndarray] = {}
+
+    def of(self, word: str) -> np.ndarray:
+        i = self.place.get(word)
+        if i is not None:
+            return self.ids[self.cut[i] : self.cut[i + 1]]
+        if word not in self.others:
+            self.others[word] = np.array(fold_long(word, self.model), np.uint32)
+        return self.others[word]
+
+    def whole(self, ids: np.ndarray, words: list[str]) -> np.ndarray:
+        """``ids`` with those of ``words`` in their marked places."""
+        if not words:
+            return ids
+        answer, lost = [self.of(w) for w in words], ids == ELSEWHERE
+        size = np.ones(len(ids), np.int64)
+        size[lost] = [len(a) for a in answer]
+        out = np.repeat(ids, size)
+        out[np.repeat(lost, size)] = np.concatenate(answer)
+        return out
 
 
 def encode(
@@ -328,64 +442,41 @@ def encode(
     With ``check`` every row is decoded again in the same task: ``decoded_bytes`` and
     ``decoded_crc32`` follow, of the text that came back.
     """
-    import zlib
-
-    import zstandard
-
     slim = docs.select(F.col(key_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     shared = _dictionary(slim, path, sample_docs, dictionary)
+    tasks = max(1, -(-shared.beyond // TASK_UNITS))
+    buckets = TASK_BUCKETS * tasks
+    # Texts move once: whoever names units and whoever puts the paths in share one exchange, by block.
+    dealt = slim.mapInArrow(_packed, "block long, rows binary").groupBy("block")
 
-    def missing(batches):
+    def missing(key, table):
         own = _reader(path, shared)
-        for b in tables.sliced(batches):
-            at, found = [], []
-            for i, (_, words) in enumerate(own.texts(b.column(1))):
-                for w in set(words):
-                    at.append(i)
-                    found.append(w)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(found, pa.string())], ["doc_id", "unit"])
-
-    asked = tables.written(slim.mapInArrow(missing, tables.fields(slim.select("doc_id"), "unit string")), "units")
-    # Most units asked for are rare: about as many as there are rows.
-    answers = asked.join(best_paths(asked, path, asked.count() // 2), "unit").groupBy("doc_id").agg(F.collect_list(F.struct("unit", "ids")).alias("more"))
-
-    def shrink(batches):
-        squeeze = zstandard.ZstdCompressor(level=3)
-        for b in tables.sliced(batches):
-            packed = [None if t is None else squeeze.compress(t.encode()) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(packed, pa.binary())], ["doc_id", "packed"])
-
-    # Texts go to their answers compressed: this is the one time that they move.
-    small = slim.mapInArrow(shrink, tables.fields(slim.select("doc_id"), "packed binary"))
-    met = small.join(answers.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left").select("doc_id", "packed", "more")
-
-    def finish(batches):
-        own, stretch = _reader(path, shared), zstandard.ZstdDecompressor()
-        for b in tables.sliced(batches):
-            texts = [None if p is None else stretch.decompress(p.as_buffer()).decode() for p in (x if x.is_valid else None for x in b.column(1))]
-            more, at = b.column(2).to_pylist(), 0
-
-            def whole(i: int, ids: np.ndarray, words: list[str]) -> np.ndarray:
-                if not words:
-                    return ids
-                answer = {x["unit"]: np.array(x["ids"], np.uint32) for x in more[i]}
-                lost = np.flatnonzero(ids == ELSEWHERE)
-                parts = np.split(ids, np.stack([lost, lost + 1], axis=1).ravel())
-                parts[1::2] = [answer[w] for w in words]
-                return np.concatenate(parts)
-
-            rows = (whole(i, *x) for i, x in enumerate(own.texts(pa.array(texts, pa.large_string()))))
-            for group in grouped(rows, len, 1 << 21):
-                crc = [zlib.crc32((t or "").replace(SPACE, " ").encode()) for t in texts[at : at + len(group)]]
-                columns = [b.column(0).slice(at, len(group)), pa.array(crc, pa.int64()), id_arrays(group)]
+        words = {w for t in _unpacked(table) for _, found in own.texts(t.column(1)) for w in found}
+        return _asked(key[0].as_py(), {w for w in words if len(w) <= LONG_UNIT}, buckets)
+
+    asked = dealt.applyInArrow(missing, _ASKED).repartition(tasks, "bucket")
+    # ``block`` goes along for no other purpose than that both readers of ``asked`` read the same rows: one exchange.
+    beyond = asked.select("bucket", "block", F.explode(F.split("units", BETWEEN)).alias("unit")).groupBy("bucket", "unit").agg(F.min("block").alias("block"))
+    paths = _folded(beyond, path).withColumnRenamed("bucket", "same_bucket")
+    answers = asked.groupBy("bucket").cogroup(paths.groupBy("same_bucket")).applyInArrow(_answered, _ANSWERS)
+
+    def finish(table, found):
+        own, more, out = _reader(path, shared), _Answers(path, found), []
+        for t in _unpacked(table):
+            at = 0
+            for group in grouped((more.whole(*x) for x in own.texts(t.column(1))), len, 1 << 21):
+                mine = t.slice(at, len(group))
+                crc = [zlib.crc32((x or "").replace(SPACE, " ").encode()) for x in mine.column(1).to_pylist()]
+                columns = [mine.column(0), pa.array(crc, pa.int64()), id_arrays(group)]
                 if check:
                     back = [own.back.text(ids) for ids in group]
-                    columns += [pa.array([len(t) for t in back], pa.int64()), pa.array([zlib.crc32(t) for t in back], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, schema.names)
+                    columns += [pa.array([len(x) for x in back], pa.int64()), pa.array([zlib.crc32(x) for x in back], pa.int64())]
+                out.append(pa.RecordBatch.from_arrays(columns, schema.names))
                 at += len(group)
+        return pa.Table.from_batches(out) if out else to_arrow_schema(schema).empty_table()
 
     schema = tables.fields(slim.select("doc_id"), "text_crc32 long, ids binary" + ", decoded_bytes long, decoded_crc32 long" * check)
-    return met.mapInArrow(finish, schema)
+    return dealt.cogroup(answers.groupBy("block")).applyInArrow(finish, schema)
 
 
 class _Decoder:

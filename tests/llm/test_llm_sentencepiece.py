@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import documents, frame
 
@@ -64,3 +65,49 @@ def test_the_shipped_model_round_trips(spark):
     path = sl.vocabulary_path(sl.MODEL)
     out = sl.encode(frame(spark), path, check=True)
     assert out.where("decoded_crc32 != text_crc32").count() == 0 and out.count() == len(documents())
+
+
+def _moved(plan) -> int:
+    """Bytes of rows that the exchanges of an executed plan wrote."""
+    kind = plan.nodeName()
+    if kind == "AdaptiveSparkPlan":
+        return _moved(plan.executedPlan())
+    if kind.endswith("QueryStage"):
+        return _moved(plan.plan())
+    own = plan.metrics().apply("dataSize").value() if kind == "Exchange" else 0
+    children = plan.children()
+    return own + sum(_moved(children.apply(i)) for i in range(children.size()))
+
+
+def test_a_block_asks_for_a_unit_once(spark):
+    """Documents that share their unseen units: paths come back by block, not by document."""
+    rng = random.Random(3)
+    own = ["".join(rng.choices("aeioutnrs", k=12)) for _ in range(60)]
+    rows = [(i, " ".join(rng.sample(own, 60))) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    out = sl.encode(df, sl.vocabulary_path(sl.MODEL), sample_docs=1, dictionary=1, check=True)
+    got = out.collect()
+    assert len(got) == 3000 and all(r["decoded_crc32"] == r["text_crc32"] for r in got)
+    assert _moved(out._jdf.queryExecution().executedPlan()) < 2 * sum(len(t) for _, t in rows)
+
+
+def test_repeated_rows_and_keys(spark, unigram):
+    """Equal blocks share a number; one key has many texts; null keys and texts stay."""
+    path, library = unigram
+    rows = [(None, "no key"), (None, None), (7, "one text"), (7, "another text"), (7, "one text"), (8, ""), (9, "x" * 200), (9, "the" * 40 + "日本語" * 30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    out = sl.decode(sl.encode(df.union(df), path, check=True, sample_docs=1, dictionary=1), path).collect()
+    key = lambda i, t: (i is None, i or 0, t or "")
+    got = sorted(key(r["doc_id"], r["text"]) + (np.frombuffer(r["ids"], "<u4").tolist(),) for r in out)
+    assert got == sorted(key(i, t) + (library.encode(t or ""),) for i, t in rows * 2)
+
+
+def test_blocks_are_bounded_and_whole(monkeypatch):
+    monkeypatch.setattr(sl, "BLOCK_BYTES", 5000)
+    texts = ["a" * 4000, "b" * 20_000, None, "c", "d" * 3000] * 20
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+    blocks = list(sl._packed(iter([batch])))
+    back = [sl._unpacked(pa.Table.from_batches([b])) for b in blocks]
+    parts = [p for x in back for p in x]
+    assert [t for p in parts for t in p.column(1).to_pylist()] == texts and [i for p in parts for i in p.column(0).to_pylist()] == list(range(len(texts)))
+    assert all(p.num_rows == 1 or p.nbytes <= 5100 for p in parts) and len({b.column(0)[0].as_py() for b in blocks}) == len(blocks)
