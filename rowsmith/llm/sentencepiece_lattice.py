@@ -93,6 +93,23 @@ def pieces(path: str) -> Pieces:
     return Pieces(table, tuple(byte), tuple(text), max(map(len, table)), least - UNKNOWN_PENALTY)
 
 
+@lru_cache(maxsize=4)
+def _needed(path: str) -> list[tuple[str, int, float]]:
+    """The pieces that a best path can hold: not those that score less than other pieces in their place.
+
+    Less means by more than rounding accounts for, so that equal paths stay.
+    """
+    model, out = pieces(path), []
+    for piece, (i, score) in model.table.items():
+        best = [0.0]
+        for end in range(1, len(piece) + 1):
+            arriving = [best[a] + got[1] for a in range(end) if end - a < len(piece) and (got := model.table.get(piece[a:end]))]
+            best.append(max(arriving, default=best[end - 1] + model.unknown))
+        if len(piece) == 1 or best[-1] <= score + 1e-3:
+            out.append((piece, i, score))
+    return out
+
+
 @lru_cache(maxsize=4)
 def _cuts(path: str) -> np.ndarray:
     """Pairs of bytes between which no piece goes on: both ASCII, or a space after anything else."""
@@ -145,7 +162,7 @@ def _folded(short: DataFrame, path: str) -> DataFrame:
     Rows are grouped by all their columns: where ``short`` is dealt by some of them, nothing moves.
     """
     model, own = pieces(path), short.columns
-    table = short.sparkSession.createDataFrame([(p, i, s) for p, (i, s) in model.table.items()], "piece string, id int, score double")
+    table = short.sparkSession.createDataFrame(_needed(path), "piece string, id int, score double")
     n = F.char_length("unit")
     starts = short.select(*own, F.explode(F.sequence(F.lit(0), n - 1)).alias("start"))
     ends = starts.select(*own, "start", F.explode(F.sequence(F.col("start") + 1, F.least(F.col("start") + model.longest, n))).alias("end"))

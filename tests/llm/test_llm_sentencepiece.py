@@ -111,3 +111,14 @@ def test_blocks_are_bounded_and_whole(monkeypatch):
     parts = [p for x in back for p in x]
     assert [t for p in parts for t in p.column(1).to_pylist()] == texts and [i for p in parts for i in p.column(0).to_pylist()] == list(range(len(texts)))
     assert all(p.num_rows == 1 or p.nbytes <= 5100 for p in parts) and len({b.column(0)[0].as_py() for b in blocks}) == len(blocks)
+
+
+def test_pieces_left_out_are_on_no_best_path(unigram):
+    path, library = unigram
+    model, kept = sl.pieces(path), {i for _, i, _ in sl._needed(path)}
+    dropped = [(p, i) for p, (i, _) in model.table.items() if i not in kept]
+    assert dropped and all(i not in sl.fold_long(p, model) for p, i in dropped)
+    rng = random.Random(4)
+    for _ in range(300):
+        text = "".join(rng.choices([p for p, _ in dropped], k=4)).replace(sl.SPACE, " ")
+        assert set(library.encode(text)) <= kept | set(model.bytes)
