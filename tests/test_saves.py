@@ -84,6 +84,23 @@ def test_progress_counts_rows_and_errors(spark, tmp_dir):
     assert [tuple(r) for r in every] == [(30, 4, "Row: 30"), (60, 8, "Row: 60"), (90, 10, "Row: 90")]
 
 
+def test_progress_does_not_depend_on_the_commits(spark, tmp_dir):
+    """More steps than commits: each step has its own rows and errors, also where keys repeat or are null."""
+    keys = [None] * 3 + [5] * 6 + list(range(10, 196))
+    data = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k INT, i INT")
+    bad = F.col("k").isNull() | (F.col("k") % 5 == 0)
+    path = os.path.join(tmp_dir, "t")
+    reported = []
+    RS.run_resumable(spark, data, ["k"], lambda d: d.select("k", "i", F.when(bad, "bad").alias("error")), path, save_every=4, report=reported.append)
+    assert len(SavedTable(spark, path).saves()) <= RS.MAX_COMMITS
+    errors = [sum(k is None or k % 5 == 0 for k in keys[:n]) for n in range(len(keys) + 1)]
+    ends = [*range(4, 195, 4), 195]
+    got = sorted(tuple(r) for r in SavedTable(spark, path).progress().collect())
+    assert got == [(n, errors[n], f"Row: {n}") for n in ends] and reported == ends
+    every = sorted(tuple(r)[:2] for r in SavedTable(spark, path).progress(every=10).collect())
+    assert every == [(n, errors[min(-(-n // 4) * 4, 195)]) for n in range(10, 196, 10)]
+
+
 def _jobs(spark):
     """Number of the last job so far."""
     sc = spark.sparkContext
