@@ -1,5 +1,7 @@
 """Requests bounded by bytes and dealt by cost."""
 
+import time
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -65,3 +67,47 @@ def test_deal_nothing_and_no_costs(spark):
 def test_clashing_names(spark):
     df = spark.createDataFrame([(i, i, i) for i in range(20)], "size LONG, slot LONG, part LONG")
     assert M.deal_by_cost(df, F.col("size"), 3).agg(F.sum("slot")).first()[0] == 190
+
+
+def _invoices(spark):
+    rows = [("K", 1, i, f"bolt {i}", 1.0, 1.0) for i in range(300)] + [(f"k{i % 40}", i % 40, i, f"rod {i}", 2.0, float(i)) for i in range(200)]
+    rows += [(None, 5, 1, "gear", 1.0, 1.0), ("K9", None, 1, "ring", 1.0, 1.0), ("K8", 8, 1, None, 1.0, 1.0)]
+    return spark.createDataFrame(rows, "k STRING, f LONG, l INT, t STRING, q DOUBLE, p DOUBLE")
+
+
+def test_context_lines_are_shuffled_once(spark):
+    from rowsmith.operators.standins import KeywordBackend
+    from rowsmith.plans import jobs as J
+
+    out = J.classify_with_context(_invoices(spark), "k", "f", "l", "t", "q", "p", KeywordBackend())
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(k") == 1 and "RoundRobin" not in plan
+
+
+@pytest.mark.parametrize("of_all", [False, True])
+def test_context_of_large_and_usual_invoices(spark, of_all):
+    from rowsmith.operators.standins import KeywordBackend
+    from rowsmith.plans import jobs as J
+
+    every = _invoices(spark)
+    lines = every.filter("l % 3 > 0 or f is null or k is null or k = 'K'") if of_all else every
+    job = lambda **more: sorted(map(str, J.classify_with_context(lines, "k", "f", "l", "t", "q", "p", KeywordBackend(), invoices=every if of_all else None, **more).collect()))
+    assert job(chunk_rows=64) == job() == job(slots=None) and len(job()) == lines.count()
+
+
+def test_written_gives_back_its_shuffles(spark):
+    from rowsmith.session import written
+
+    def shuffled():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum("shuffle_" in files.apply(i).getName() for i in range(files.size()))
+
+    before = shuffled()
+    got = written(spark.range(100_000).groupBy((F.col("id") % 1009).alias("k")).count(), "freed")
+    assert got.count() == 1009
+    for _ in range(50):  # files go in the background
+        if shuffled() <= before:
+            break
+        time.sleep(0.2)
+    assert shuffled() <= before
+    assert spark.conf.get("spark.sql.shuffleDependency.fileCleanup.enabled") == "false"
