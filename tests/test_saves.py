@@ -133,3 +133,26 @@ def test_one_key_with_a_third_of_the_rows_and_null_keys(spark, tmp_dir):
     data = spark.createDataFrame(rows, "k INT, i INT")
     out = RS.run_resumable(spark, data, ["k"], lambda d: d.select("k", "i"), os.path.join(tmp_dir, "t"), save_every=4)
     assert sorted(r.i for r in out.collect()) == list(range(92))
+
+
+def test_files_are_ordered_by_part_and_number(spark, tmp_dir):
+    """Also where a piece of the write's id looks like a file's number."""
+    names = [f"part-{p:05d}-0a1b2c3d-c123-4e5f-8a9b-0123456789ab-c{c:03d}.snappy.parquet" for p in range(3) for c in range(20)]
+    for name in reversed(names):
+        open(os.path.join(tmp_dir, name), "w").close()
+    RS._order_by_name(spark, tmp_dir)
+    assert sorted(names, key=lambda n: os.stat(os.path.join(tmp_dir, n)).st_mtime) == names
+
+
+def test_the_work_list_moves_rows_twice_and_keeps_no_checkpoint(spark, tmp_dir):
+    from rowsmith.operators.ordering import row_index
+
+    data = spark.range(1000, numPartitions=4).select((F.col("id") * 7 % 1000).alias("k"))
+    path = os.path.join(tmp_dir, "sorted")
+    got = row_index(data, ["k"], name="at", path=path)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert os.path.isdir(path) and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert got.filter("k <> at").count() == 0 and got.count() == 1000
+    work, sizes = RS.work_list(data, ["k"], 30)
+    assert not [f for f in os.listdir(os.path.dirname(work)) if f.startswith("work-order")]
+    assert sum(map(sum, sizes)) == 1000 == spark.read.parquet(work).count()
